@@ -195,7 +195,7 @@ def match_broadcast(df: DataFrame, rules: DataFrame, on: Column | Keys, max_byte
 
 def plan_bytes(df: DataFrame) -> int:
     """Spark's own size estimate of a plan (file sizes for scans, products for unknown joins)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def build_fact(fact: DataFrame, dim: DataFrame, on: Keys, fact_ts: str, dim_ts: str, name: str = "updated_at") -> DataFrame:

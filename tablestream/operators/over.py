@@ -105,7 +105,7 @@ def crossing_alerts(df: DataFrame, keys: Keys, order: Keys, back: str, value: st
     """BLOCK when a rolling total or count rises over its limit, UNBLOCK when it falls back."""
     k, o = as_list(keys), as_list(order)
     roll = over_range(df.select(*k, *o, value), k, o[0], back,
-                      {"total": F.round(F.sum(value), 2), "n": F.count(F.lit(1))}, chunk)
+                      {"total": F.sum(value), "n": F.count(F.lit(1))}, chunk).withColumn("total", F.round("total", 2))
     d = lag_in_order(roll, k, o, {"total_lag": "total", "n_lag": "n"}, chunk)
     t, tl, n, nl = (F.col(c) for c in ("total", "total_lag", "n", "n_lag"))
     up = ((t > max_total) & (tl <= max_total)) | ((n > max_count) & (nl <= max_count))

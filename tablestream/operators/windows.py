@@ -157,12 +157,13 @@ def batch_messages(df: DataFrame, ts: str, key: Column, payload: str, buckets: i
     A payload holds at most ``max_rows`` messages; a fuller window gives further parts, so nothing is dropped
     and no payload outgrows a task. ``key`` must be an integer expression; the bucket is ``pmod(key, buckets)``.
     """
+    from .sequence import position
     o = as_list(order)
     d = df.filter(keep) if keep is not None else df
-    d = d.select(F.window(ts, size).alias("w"), F.pmod(key, F.lit(buckets)).cast("int").alias("bucket"),
-                 F.struct(*[F.col(x) for x in o]).alias("o"), F.col(payload).alias("v")).filter("v is not null")
-    place = F.row_number().over(Window.partitionBy("w", "bucket").orderBy("o"))
-    d = d.withColumn("part", F.floor((place - 1) / max_rows).cast("int"))
+    d = d.select(ts, F.window(ts, size).alias("w"), F.pmod(key, F.lit(buckets)).cast("int").alias("bucket"),
+                 F.struct(*[F.col(x) for x in [ts, *o]]).alias("o"), F.col(payload).alias("v")).filter("v is not null")
+    d = position(d, ["w", "bucket"], [ts, "o"], "place", f"{seconds(size) / 8} seconds")
+    d = d.withColumn("part", F.floor((F.col("place") - 1) / max_rows).cast("int"))
     lines = F.transform(F.sort_array(F.collect_list(F.struct("o", "v"))), lambda x: x["v"])
     g = d.groupBy("w", "bucket", "part").agg(F.array_join(lines, sep).alias("val"), F.count(F.lit(1)).alias("n"))
     return g.select(*_bounds(), F.concat(F.lit("b"), F.col("bucket").cast("string")).alias("key"), "part", "n", "val")

@@ -1,9 +1,8 @@
 """User function shapes: scalar, table, aggregate, table aggregate, external call."""
 
-from __future__ import annotations
-
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from typing import Iterator, Tuple
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -84,7 +83,7 @@ def predict(df: DataFrame, model: Callable[[pd.DataFrame], pd.Series], cols: Key
     """Batched model call; the model object travels with the function, no remote service."""
     c = as_list(cols)
 
-    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[Tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         for b in batches:
             yield model(pd.concat(list(b), axis=1, keys=c))
 
@@ -92,8 +91,7 @@ def predict(df: DataFrame, model: Callable[[pd.DataFrame], pd.Series], cols: Key
         for b in batches:
             yield model(b.to_frame(c[0]))
 
-    from pyspark.sql.pandas.functions import PandasUDFType
-    udf = F.pandas_udf(run if len(c) > 1 else run_one, returns, PandasUDFType.SCALAR_ITER)
+    udf = F.pandas_udf(run if len(c) > 1 else run_one, returns)
     return df.withColumn(name, udf(*[F.col(x) for x in c]))
 
 

@@ -159,16 +159,26 @@ def join_salted(l: DataFrame, r: DataFrame, on: Keys, n: int = 16, how: str = "i
     return ls.join(rs, [*k, "__salt"], how).drop("__salt")
 
 
-def expand_party(events: DataFrame, party_info: DataFrame, details: str = "event_details",
-                 account_path: str = "$.accountNumber") -> DataFrame:
-    """For each account named in an event's JSON details: its party, then all accounts of that party."""
-    named = (events.select("event_id", "event_time", F.explode(details).alias("d"))
-             .select("event_id", "event_time", F.get_json_object("d", account_path).alias("account_number")))
-    parties = named.join(party_info.select("party_id", "account_number"), "account_number", "left")
-    siblings = party_info.withColumnRenamed("account_number", "member_account")
-    return (parties.withColumnRenamed("account_number", "event_account")
-            .dropDuplicates(["event_id", "event_account", "party_id"])
-            .join(siblings, "party_id", "left"))
+def expand_party(events: DataFrame, party_info: DataFrame, expand_type: str, plan_type: str,
+                 keep: Keys = ("addr_street", "addr_city", "addr_state", "addr_zip")) -> DataFrame:
+    """Events of ``expand_type`` spread to all accounts of the party they concern, with each account's plan.
+
+    ``events``: event_id, event_time, context_data (JSON with eventType), event_details (array of JSON with
+    account_number). The plan comes from ``plan_type`` events of the related account.
+    """
+    named = (events.withColumn("event_type", F.get_json_object("context_data", "$.eventType"))
+             .filter(F.col("event_type").isin(expand_type, plan_type))
+             .select("event_id", "event_time", "event_type", F.explode("event_details").alias("d"))
+             .select("event_id", "event_time", "event_type", F.get_json_object("d", "$.account_number").alias("account_number"),
+                     F.get_json_object("d", "$.plan_name").alias("plan_name"))
+             .filter(F.col("account_number").isNotNull()))
+    es = named.filter(F.col("event_type") == expand_type).drop("plan_name")
+    plans = named.filter(F.col("event_type") == plan_type).select(F.col("account_number").alias("member"), "plan_name")
+    home = party_info.select("account_number", "party_id", *as_list(keep))
+    members = party_info.select("party_id", F.col("account_number").alias("member"))
+    out = es.join(home, "account_number", "left").join(members, "party_id", "left").join(plans, "member", "left")
+    return out.select("party_id", F.coalesce("member", "account_number").alias("related_account_id"), "event_time", "event_type",
+                      "account_number", "plan_name", *as_list(keep))
 
 
 def apply_group_tombstone(df: DataFrame, group: str, member: str, ts: str, deleted: str) -> DataFrame:

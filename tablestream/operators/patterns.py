@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import cut_lineage
-from .core import Keys, as_list, epoch_us, interval, seconds
+from .core import Keys, any_of, as_list, epoch_us, interval, join_null_safe, seconds
 from .sequence import CHUNK, DEFAULT_CHUNK, attach, carry_over, chunk_window, lag_in_order, with_chunk
 
 
@@ -133,6 +133,21 @@ def diff_alert(df: DataFrame, keys: Keys, order: Keys, col: str, chunk: str = DE
 
 # ---- sequential state machines over a key ---------------------------------------------------------
 
+def group_slices(batches: Iterator[pd.DataFrame], keys: Sequence[str]) -> Iterator[tuple[tuple, pd.DataFrame, bool]]:
+    """Cut sorted batches where the key changes: (key, rows, starts a new group). A group may span batches."""
+    last = object()
+    for pdf in batches:
+        if not len(pdf):
+            continue
+        cols = [pdf[c].astype(object).where(pdf[c].notna(), None).tolist() for c in keys]
+        ids = list(zip(*cols))
+        start = 0
+        for i in range(1, len(ids) + 1):
+            if i == len(ids) or ids[i] != ids[start]:
+                yield ids[start], pdf.iloc[start:i], ids[start] != last
+                last, start = ids[start], i
+
+
 def chunked_scan(df: DataFrame, keys: Keys, order: Keys, step: Callable[[dict | None, pd.DataFrame], tuple[list[dict], dict | None]],
                  out_schema: str, chunk: str = "1 day") -> DataFrame:
     """Run a sequential ``step(state, rows) -> (outputs, state)`` over each key, chunks in parallel.
@@ -140,31 +155,52 @@ def chunked_scan(df: DataFrame, keys: Keys, order: Keys, step: Callable[[dict |
     Every chunk is first run from the empty state; then each chunk whose true start state (the end state of
     the chunk before it) differs from the one it was run with is run again, until none differs. The first
     chunk is always right, so this ends with the sequential result; a machine that resets now and then
-    needs two or three rounds. States are small dicts (JSON); only changed chunks are recomputed.
+    needs two or three rounds. States are small dicts (JSON); only changed chunks are recomputed. Rows
+    stream through ``step`` in batches, none are gathered.
     """
     k, o = as_list(keys), as_list(order)
+    g = [*k, CHUNK]
     rows = with_chunk(df, o[0], chunk)
-    key_types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    key_ddl = ", ".join(f"`{c}` {key_types[c]}" for c in [*k, CHUNK])
-    schema = f"{key_ddl}, in_state string, out_state string, outputs array<string>"
-
-    def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        start = right["in_state"].iloc[0] if len(right) else None
-        outs, end = step(json.loads(start) if start else None, left.sort_values(o, kind="stable"))
-        return pd.DataFrame([[*key, start, json.dumps(end, sort_keys=True) if end else None,
-                              [json.dumps(x, default=str) for x in outs]]], columns=[*k, CHUNK, "in_state", "out_state", "outputs"])
-
-    todo = rows.select(*k, CHUNK).distinct().withColumn("in_state", F.lit(None).cast("string"))
-    done: DataFrame | None = None
+    types = dict(rows.dtypes)
+    schema = ", ".join(f"`{c}` {types[c]}" for c in g) + ", in_state string, out_state string, is_end boolean, outputs array<string>"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, start, state, out = None, None, None, []
+
+        def flush(end: bool) -> None:
+            done.append([*key, start, json.dumps(state, sort_keys=True) if end and state else None, end, list(out)])
+            out.clear()
+
+        done: list[list] = []
+        for key_now, part, fresh in group_slices(batches, g):
+            if fresh:
+                if key is not None:
+                    flush(True)
+                key, start = key_now, part["__in_state"].iloc[0]
+                state = json.loads(start) if start else None
+            got, state = step(state, part)
+            out += [json.dumps(x, default=str) for x in got]
+            if len(out) > 10_000:
+                flush(False)
+            if len(done) > 1_000:
+                yield pd.DataFrame(done, columns=[*g, "in_state", "out_state", "is_end", "outputs"])
+                done.clear()
+        if key is not None:
+            flush(True)
+            yield pd.DataFrame(done, columns=[*g, "in_state", "out_state", "is_end", "outputs"])
+
+    def scan(part: DataFrame) -> DataFrame:
+        return cut_lineage(part.repartition(*g).sortWithinPartitions(*g, *o).mapInPandas(run, schema))
+
+    done = scan(rows.withColumn("__in_state", F.lit(None).cast("string")))
     while True:
-        part = rows if done is None else rows.join(todo, [*k, CHUNK], "left_semi")
-        got = cut_lineage(part.groupBy(*k, CHUNK).cogroup(todo.groupBy(*k, CHUNK)).applyInPandas(run, schema))
-        done = got if done is None else cut_lineage(done.join(got, [*k, CHUNK], "left_anti").unionByName(got))
         want = F.lag("out_state").over(Window.partitionBy(*k).orderBy(CHUNK))
-        todo = cut_lineage(done.select(*k, CHUNK, "in_state", want.alias("want")).filter(~F.col("want").eqNullSafe(F.col("in_state")))
-                           .select(*k, CHUNK, F.col("want").alias("in_state")))
+        todo = cut_lineage(done.filter("is_end").select(*g, "in_state", want.alias("__in_state"))
+                           .filter(~F.col("__in_state").eqNullSafe(F.col("in_state"))).drop("in_state"))
         if todo.isEmpty():
             break
+        got = scan(join_null_safe(rows, todo, g))
+        done = cut_lineage(join_null_safe(done, todo, g, "left_anti").unionByName(got))
     out = F.from_json("x", out_schema)
     return done.select(*k, F.explode("outputs").alias("x")).select(*k, out.alias("x")).select(*k, "x.*")
 
@@ -288,14 +324,30 @@ def match_sequence(df: DataFrame, keys: Keys, ts: str, stages: Sequence[Stage],
     names, ties = [s.name for s in stages], [f"__tie_{c}" for c in o]
     types = dict(df.dtypes)
 
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        p = pdf.sort_values(["__us", *ties], kind="stable").reset_index(drop=True)
-        flags = [p[f"__c{i}"].tolist() for i in range(len(plan))]
-        stops = [p[f"__u{i}"].tolist() for i in range(len(plan))]
-        times, ids, mine = p["__us"].tolist(), p["__id"].tolist(), (p["__own"] == p[CHUNK]).tolist()
-        out = [[*key[:-1], times[m[0][1]], times[m[-1][1]], [f"{names[s]}:{ids[r]}" for s, r in m]]
-               for i in range(len(times)) if mine[i] for m in find_sequences(flags, stops, times, plan, i, within_us)]
-        return pd.DataFrame(out, columns=[*k, "start_us", "end_us", "matched"])
-
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def matches(key: tuple, parts: list[pd.DataFrame]) -> list[list]:
+            p = pd.concat(parts) if len(parts) > 1 else parts[0]
+            flags = [p[f"__c{i}"].tolist() for i in range(len(plan))]
+            stops = [p[f"__u{i}"].tolist() for i in range(len(plan))]
+            times, ids, mine = p["__us"].tolist(), p["__id"].tolist(), (p["__own"] == p[CHUNK]).tolist()
+            return [[*key[:-1], times[m[0][1]], times[m[-1][1]], [f"{names[s]}:{ids[r]}" for s, r in m]]
+                    for i in range(len(times)) if mine[i] for m in find_sequences(flags, stops, times, plan, i, within_us)]
+
+        key, parts, out = None, [], []
+        for key_now, part, fresh in group_slices(batches, [*k, CHUNK]):
+            if fresh and parts:
+                out += matches(key, parts)
+                parts = []
+                if len(out) > 10_000:
+                    yield pd.DataFrame(out, columns=[*k, "start_us", "end_us", "matched"])
+                    out = []
+            key = key_now
+            parts.append(part)
+        if parts:
+            out += matches(key, parts)
+        yield pd.DataFrame(out, columns=[*k, "start_us", "end_us", "matched"])
+
+    if all(s.contiguity != "next" for s in stages):              # rows no stage looks at cannot matter
+        d = d.filter(any_of([F.col(f"__c{i}") | F.col(f"__u{i}") for i in range(len(stages))]))
     ddl = ", ".join([f"`{c}` {types[c]}" for c in k] + ["start_us bigint", "end_us bigint", "matched array<string>"])
-    return d.groupBy(*k, CHUNK).applyInPandas(run, ddl)
+    return d.repartition(*k, CHUNK).sortWithinPartitions(*k, CHUNK, "__us", *ties).mapInPandas(run, ddl)

@@ -124,7 +124,7 @@ def validate_json(df: DataFrame, col: str, schema: T.StructType, required: Keys)
     doc = F.from_json(col, T.StructType([*schema.fields, T.StructField("__corrupt", T.StringType())]),
                       {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__corrupt"})
     d = df.withColumn("__doc", doc)
-    why = F.coalesce(F.when(F.col("__doc").isNull(), "not json"),
+    why = F.coalesce(F.when(F.get_json_object(col, "$").isNull(), "not json"),
                      *[F.when(F.get_json_object(col, f"$.{p}").isNull(), f"missing {p}") for p in as_list(required)],
                      F.when(F.col("__doc.__corrupt").isNotNull(), "bad value"))
     d = d.withColumn("error", why)

@@ -1,9 +1,10 @@
 """Time windows over rows: tumble, hop, cumulate, session, count windows and their combinations."""
 
-from __future__ import annotations
-
+from collections.abc import Callable
 from math import gcd
+from typing import Any, Iterator, Tuple
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .core import (Aggs, Keys, as_list, epoch_us, finish_aggs, interval, join_null_safe, merge_aggs, partial_aggs,
@@ -181,14 +182,19 @@ def count_window(df: DataFrame, keys: Keys, order: Keys, n: int, aggs: Aggs, ful
     return g.select(*k, "window_no", *finish_aggs(aggs))
 
 
-def apply_window(df: DataFrame, ts: str, size: str, keys: Keys, fn, schema: str) -> DataFrame:
-    """Call ``fn(pandas.DataFrame) -> pandas.DataFrame`` with all rows of a (window, key).
+def apply_window(df: DataFrame, ts: str, size: str, keys: Keys, fn: Callable[..., Iterator[pd.DataFrame]], schema: str) -> DataFrame:
+    """Call ``fn(key, batches)`` for each (window, key); it gets the rows as an iterator of pandas frames.
 
-    For logic no aggregate can express; the rows of one window and key must fit one task.
+    For logic no aggregate can express. Rows arrive in batches, so a big window needs no big memory, as long
+    as ``fn`` keeps a running state instead of the rows. ``key`` is (window_start, window_end, *keys).
     """
     k = as_list(keys)
     d = df.select("*", F.window(ts, size).alias("w")).select(*_bounds(), *df.columns)
-    return d.groupBy("window_start", "window_end", *k).applyInPandas(fn, schema)
+
+    def run(key: Tuple[Any, ...], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from fn(key, batches)
+
+    return d.groupBy("window_start", "window_end", *k).applyInPandas(run, schema)
 
 
 def evict(df: DataFrame, ts: str, size: str, keys: Keys, last_n: int | None = None, last_t: str | None = None,

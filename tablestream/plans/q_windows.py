@@ -131,8 +131,11 @@ def w19(t):
     """A function called with all rows of each (day, user)."""
     import pandas as pd
 
-    def spread(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame([[key[0], key[2], len(pdf), round(float(pdf["value"].max() - pdf["value"].min()), 2)]], columns=["window_start", "user_id", "n", "spread"])
+    def spread(key, batches):
+        n, low, high = 0, float("inf"), float("-inf")
+        for pdf in batches:
+            n, low, high = n + len(pdf), min(low, float(pdf["value"].min())), max(high, float(pdf["value"].max()))
+        yield pd.DataFrame([[key[0], key[2], n, round(high - low, 2)]], columns=["window_start", "user_id", "n", "spread"])
 
     e = t.events.select("ts", "user_id", "value")
     return W.apply_window(e, "ts", "1 day", "user_id", spread, "window_start timestamp_ntz, user_id bigint, n bigint, spread double")

@@ -1 +1,148 @@
+"""Streaming forms, run over whole tables to their end and compared with the batch SQL."""
 
+from pyspark.sql import functions as F
+
+from ..streaming import stateful as ST, streams as S
+from .registry import QUERIES, query
+
+DELAY = "1 minute"
+NTZ = "timestamp_ntz"
+
+
+def same_sql(name):
+    from . import q_aggregates, q_dedup, q_joins, q_over, q_patterns, q_windows  # noqa: F401
+    return QUERIES[name].sql
+
+
+def events(t, build, **kw):
+    return S.replay(t.spark, t.folder, "events", "ts", DELAY, build, **kw)
+
+
+def back(d, *cols):
+    return d.withColumns({c: F.col(c).cast(NTZ) for c in cols})
+
+
+@query("w01_tumble_stream", same_sql("w01_tumble"))
+def w01s(t):
+    aggs = {"n": ("count", "*"), "total": ("sum", "value")}
+    d = events(t, lambda s: S.stream_tumble(s, "ts", "1 hour", "event_type", aggs))
+    d = back(d, "window_start", "window_end").withColumn("total", F.round("total", 2))
+    return d.withColumn("mean", F.col("total") / F.col("n"))
+
+
+@query("w02_hop_stream", same_sql("w02_hop_direct"))
+def w02s(t):
+    return back(events(t, lambda s: S.stream_hop(s, "ts", "6 hours", "12 hours", "event_type", {"low": ("min", "value"), "high": ("max", "value")})), "window_start", "window_end")
+
+
+@query("w04_session_stream", same_sql("w04_session"))
+def w04s(t):
+    d = events(t, lambda s: S.stream_session(s, "ts", "8 hours", "user_id", {"n": ("count", "*"), "total": ("sum", "value")}))
+    return back(d, "window_start", "window_end").withColumn("total", F.round("total", 2))
+
+
+@query("w07_rolling_stream", same_sql("w07_rolling_features"))
+def w07s(t):
+    d = events(t, lambda s: S.stream_rolling_features(s, "ts", "user_id", "value"))
+    return back(d, "feature_time").withColumns({c: F.round(c, 2) for c in ("amt_sum_6h", "amt_sum_12h")})
+
+
+@query("w14_split_late", """WITH r AS (SELECT event_id, ts, MAX(ts) OVER (ORDER BY a ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS high FROM (SELECT *, (event_id * 7919) % 10007 + event_id * 10 AS a FROM events))
+    SELECT event_id, COALESCE(ts < high - INTERVAL '2 days', false) AS is_late FROM r""")
+def w14(t):
+    """Late rows by arrival order (ids shuffled by a fixed rule stand for arrival)."""
+    a = (F.col("event_id") * 7919) % 10007 + F.col("event_id") * 10
+    return S.split_late_batch(t.events.select("event_id", "ts", a.alias("a")), "ts", "a", "2 days", 5000).select("event_id", "is_late")
+
+
+@query("o01_over_range_stream", same_sql("o01_over_range"))
+def o01s(t):
+    d = events(t, lambda s: ST.stream_over_range(S.without_beats(s, "ts"), "user_id", "ts", "1 day", "event_id", "value"))
+    return d.select(F.col("label").cast("bigint").alias("event_id"), "n", F.round("total", 2).alias("total"))
+
+
+@query("o05_on_change_stream", same_sql("o05_on_change"))
+def o05s(t):
+    d = events(t, lambda s: ST.stream_on_change(S.without_beats(s, "ts"), "user_id", "ts", "event_type", "event_id"))
+    return d.select(F.col("event_id").cast("bigint").alias("event_id"), "event_type")
+
+
+@query("w18_count_window_stream", "WITH p AS (SELECT *, (ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1) // 10 AS w FROM events) SELECT user_id, ROUND(SUM(value), 2) AS total, MAX(ts) AS last_ts FROM p GROUP BY user_id, w HAVING COUNT(*) = 10")
+def w18s(t):
+    d = events(t, lambda s: ST.stream_count_window(S.without_beats(s, "ts"), "user_id", "ts", 10, "value", "event_id"))
+    return d.select("user_id", F.round("total", 2).alias("total"), F.timestamp_micros("last_us").cast(NTZ).alias("last_ts"))
+
+
+@query("x08_missing_followup_stream", same_sql("x08_missing_followup"))
+def x08s(t):
+    k = F.col("event_type")
+    d = events(t, lambda s: ST.stream_missing_followup(S.without_beats(S.pick(s, k.isin("view", "purchase")), "ts"), "user_id", "ts", k == "view", k == "purchase", "6 hours", "event_id"))
+    return d.select(F.col("id").cast("bigint").alias("event_id"))
+
+
+@query("x10_state_counter", "SELECT user_id, COUNT(*) AS n FROM events GROUP BY user_id")
+def x10(t):
+    """Per-key counter in a stateful processor, upserted by key."""
+    d = events(t, lambda s: ST.stream_counter(S.without_beats(s, "ts"), "user_id"), mode="update", keys="user_id")
+    from ..operators.dedup import dedup_last
+    return dedup_last(d, "user_id", "_batch").select("user_id", "n")
+
+
+@query("x11_dedup_ttl", "SELECT user_id, event_type, COUNT(*) AS n FROM (SELECT DISTINCT user_id, event_type FROM events) GROUP BY ALL")
+def x11(t):
+    """First arrival per key; the watermark delay (60 days) spans the whole table, so each key comes once."""
+    build = lambda s: S.dedup_ttl(S.without_beats(s, "ts"), ["user_id", "event_type"]).select("user_id", "event_type")
+    d = S.replay(t.spark, t.folder, "events", "ts", "60 days", build)
+    return d.groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("a20_upsert_sum_stream", same_sql("a20_upsert_sum"))
+def a20s(t):
+    """Update-mode totals upserted by key."""
+    from ..operators.dedup import dedup_last
+    build = lambda s: S.without_beats(s, "ts").groupBy("user_id", "event_type").agg(F.sum("value").alias("total"))
+    d = events(t, build, mode="update", keys=["user_id", "event_type"])
+    return dedup_last(d, ["user_id", "event_type"], "_batch").select("user_id", "event_type", F.round("total", 2).alias("total"))
+
+
+@query("j10_interval_stream", same_sql("j10_interval"))
+def j10s(t):
+    def build(s):
+        p = S.without_beats(S.pick(s, F.col("event_type") == "purchase"), "ts").select("event_id", "user_id", "ts")
+        v = S.without_beats(S.pick(s, F.col("event_type") == "view"), "ts").select("user_id", F.col("ts").alias("v_ts"), F.col("value").alias("rate"))
+        return S.stream_join_interval(p, v, "user_id", "ts", "v_ts", "-1 day", "2 hours").select("event_id", "v_ts", "rate")
+    return back(events(t, build), "v_ts")
+
+
+@query("j10_interval_left_stream", same_sql("j10_interval_left"))
+def j10ls(t):
+    def build(s):
+        p = S.without_beats(S.pick(s, F.col("event_type") == "purchase"), "ts").select("event_id", "user_id", "ts")
+        v = S.without_beats(S.pick(s, F.col("event_type") == "view"), "ts").select("user_id", F.col("ts").alias("v_ts"))
+        return S.stream_join_interval(p, v, "user_id", "ts", "v_ts", "-1 day", "2 hours", "left").select("event_id", "v_ts")
+    return back(events(t, build), "v_ts")
+
+
+@query("j16_lookup_stream", "SELECT event_id, CASE WHEN c_custkey IS NULL THEN 'FAILED' ELSE 'SUCCESS' END AS lookup_status, c_name FROM events LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON user_id = c_custkey")
+def j16s(t):
+    """Lookup against a table that is read again for every micro-batch."""
+    from ..session import scratch_dir
+    from ..sources.files import read_table_stream
+    root = scratch_dir(t.spark, "lookup")
+    dim = lambda: t.customer.filter("c_acctbal > 0").select(F.col("c_custkey").alias("user_id"), "c_name")
+
+    def write(found, missing, i):
+        found.unionByName(missing).write.mode("overwrite").parquet(f"{root}/out/_batch={i}")
+
+    s = read_table_stream(t.spark, t.folder, "events", t.events.schema).select("event_id", "user_id")
+    S.lookup_each_batch(s, dim, "user_id", write, f"{root}/checkpoint")
+    return t.spark.read.parquet(f"{root}/out").select("event_id", "lookup_status", "c_name")
+
+
+@query("j26_pair_once_stream", """WITH a AS (SELECT user_id, event_id, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts) AS n FROM events WHERE event_type = 'view'),
+    b AS (SELECT user_id, event_id AS purchase_id, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts) AS n FROM events WHERE event_type = 'purchase')
+    SELECT a.user_id, a.event_id, purchase_id FROM a JOIN b USING (user_id, n)""")
+def j26s(t):
+    k = F.col("event_type")
+    d = events(t, lambda s: ST.stream_pair_once(S.without_beats(S.pick(s, k.isin("view", "purchase")), "ts"), "user_id", "ts", k == "view", k == "purchase", "event_id"))
+    return d.select("user_id", F.col("left_id").cast("bigint").alias("event_id"), F.col("right_id").cast("bigint").alias("purchase_id"))

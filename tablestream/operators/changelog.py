@@ -21,12 +21,12 @@ def apply_changelog(df: DataFrame, keys: Keys, seq: Keys, kind: str = KIND) -> D
     return dedup_last(live, keys, as_list(seq)).filter(F.col(kind) != "-D").drop(kind)
 
 
-def to_retract(df: DataFrame, keys: Keys, order: Keys, cols: Keys | None = None, chunk: str = "1 hour") -> DataFrame:
+def to_retract(df: DataFrame, keys: Keys, order: Keys, cols: Keys | None = None) -> DataFrame:
     """Versions of a table -> retract stream: each change gives (-U old row, +U new row), the first +I."""
     k, o = as_list(keys), as_list(order)
     payload = as_list(cols) if cols is not None else [c for c in df.columns if c not in k]
     d = df.withColumn("__row", F.struct(*payload))
-    d = lag_in_order(d, k, o, {"__old": "__row"}, chunk)
+    d = lag_in_order(d, k, o, {"__old": "__row"})
     first = F.col("__old").isNull()
     out = F.when(first, F.array(F.struct(F.lit("+I").alias(KIND), F.col("__row").alias("r")))).otherwise(
         F.array(F.struct(F.lit("-U").alias(KIND), F.col("__old").alias("r")), F.struct(F.lit("+U").alias(KIND), F.col("__row").alias("r"))))
@@ -35,14 +35,14 @@ def to_retract(df: DataFrame, keys: Keys, order: Keys, cols: Keys | None = None,
                     *[F.col(f"__o_{c}").alias(f"change_{c}") for c in o])
 
 
-def normalize(df: DataFrame, keys: Keys, order: Keys, deleted: Column | None = None, chunk: str = "1 hour") -> DataFrame:
+def normalize(df: DataFrame, keys: Keys, order: Keys, deleted: Column | None = None) -> DataFrame:
     """Upsert stream -> full changelog. Deletes become -D of the old row; a delete of an absent key gives nothing."""
     k, o = as_list(keys), as_list(order)
     payload = [c for c in df.columns if c not in k]
     gone = F.coalesce(deleted, F.lit(False)) if deleted is not None else F.lit(False)
     d = df.withColumn("__gone", gone).withColumn("__row", F.when(~F.col("__gone"), F.struct(*payload)))
     d = d.withColumn("__state", F.struct(F.col("__row").alias("r")))
-    d = lag_in_order(d, k, o, {"__prev": "__state"}, chunk).withColumn("__old", F.col("__prev.r"))
+    d = lag_in_order(d, k, o, {"__prev": "__state"}).withColumn("__old", F.col("__prev.r"))
     entry = lambda kind, row: F.struct(F.lit(kind).alias(KIND), F.col(row).alias("r"))
     has = F.col("__old").isNotNull()
     out = (F.when(F.col("__gone") & has, F.array(entry("-D", "__old")))

@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import cut_lineage
 from .aggs import exact_quantile
 from .core import Keys, as_list, join_null_safe
 from .dedup import top_n
 from .over import over_rows
-from .sequence import DEFAULT_CHUNK, running
+from .sequence import running
 
 # Two-sided normal quantiles of the usual confidence levels (percent).
 Z_OF_CONFIDENCE = {90.0: 1.6449, 95.0: 1.9600, 96.0: 2.0537, 98.0: 2.3263, 99.0: 2.5758, 99.9: 3.2905}
 
 
 def detect_anomalies(df: DataFrame, keys: Keys, order: Keys, value: str, confidence: float = 95.0, min_train: int = 50,
-                     name: str = "anomaly", chunk: str = DEFAULT_CHUNK) -> DataFrame:
+                     name: str = "anomaly") -> DataFrame:
     """Flag values outside mean +- z * stddev of the key's *earlier* values.
 
     Expanding statistics come from running count, sum and sum of squares less the row itself, so the scan
@@ -24,7 +27,7 @@ def detect_anomalies(df: DataFrame, keys: Keys, order: Keys, value: str, confide
     z = Z_OF_CONFIDENCE[float(confidence)]
     v = F.col(value).cast("double")
     d = running(df, keys, order, {"__n": F.when(v.isNotNull(), 1).otherwise(0).cast("long"), "__s": F.coalesce(v, F.lit(0.0)),
-                                  "__q": F.coalesce(v * v, F.lit(0.0))}, chunk)
+                                  "__q": F.coalesce(v * v, F.lit(0.0))})
     own = F.coalesce(v, F.lit(0.0))
     n = F.col("__n") - F.when(v.isNotNull(), 1).otherwise(0)
     s, q = F.col("__s") - own, F.col("__q") - own * own
@@ -40,10 +43,10 @@ def detect_anomalies(df: DataFrame, keys: Keys, order: Keys, value: str, confide
 
 
 def detect_anomalies_rolling(df: DataFrame, keys: Keys, order: Keys, value: str, last_n: int = 100, confidence: float = 95.0,
-                             min_train: int = 50, name: str = "anomaly", chunk: str = DEFAULT_CHUNK) -> DataFrame:
+                             min_train: int = 50, name: str = "anomaly") -> DataFrame:
     """As ``detect_anomalies``, trained on the last ``last_n`` values only."""
     z, v = Z_OF_CONFIDENCE[float(confidence)], F.col(value).cast("double")
-    d = over_rows(df, keys, order, last_n, {"__n": F.count(value), "__s": F.sum(v), "__q": F.sum(v * v)}, chunk)
+    d = over_rows(df, keys, order, last_n, {"__n": F.count(value), "__s": F.sum(v), "__q": F.sum(v * v)})
     n, s, q = F.col("__n") - 1, F.col("__s") - v, F.col("__q") - v * v
     mean = s / F.nullif(n, F.lit(0))
     sd = F.sqrt(F.greatest((q - s * mean) / F.nullif(n - 1, F.lit(0)), F.lit(0.0)))
@@ -60,7 +63,7 @@ def detect_anomalies_mad(df: DataFrame, keys: Keys, value: str, threshold: float
     Median and MAD are exact and computed without gathering a key (``exact_quantile``).
     """
     k = as_list(keys)
-    med = exact_quantile(df, k, value, 0.5, "median")
+    med = cut_lineage(exact_quantile(df, k, value, 0.5, "median"))          # one row per key, used four times below
     dev = join_null_safe(df, med, k).withColumn("__dev", F.abs(F.col(value) - F.col("median")))
     mad = exact_quantile(dev, k, "__dev", 0.5, "mad")
     score = F.when(F.col("mad") > 0, F.lit(0.6745) * F.col("__dev") / F.col("mad"))
@@ -94,19 +97,34 @@ def derive_features(df: DataFrame, features: dict[str, Column]) -> DataFrame:
 
 
 def vector_topk(queries: DataFrame, base: DataFrame, k: int, qid: str, bid: str, vec: str, qvec: str,
-                blocks: int = 64, max_query_bytes: int = 64 << 20) -> DataFrame:
-    """Exact cosine top-k of each query vector, blocked.
+                block_rows: int = 50_000, slice_rows: int = 5_000) -> DataFrame:
+    """Exact cosine top-k of each query vector.
 
-    Queries are replicated to the base blocks by an equi join on the block number; each (query, block) keeps
-    its best ``k`` before the shuffle (WindowGroupLimit), so k x blocks candidates per query travel.
+    Base rows are cut into blocks and queries into slices of bounded size; one matrix product per (block,
+    slice) cell gives all scores of the cell and only the best ``k`` per query leave it, so no pair table
+    is built. The final top-k runs over k rows per query and block. Scores are rounded to 12 digits.
     """
-    norm = lambda c: F.sqrt(F.aggregate(c, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
-    b = base.select(F.col(bid), F.col(vec).alias("__b"), norm(F.col(vec)).alias("__bn"), F.pmod(F.xxhash64(bid), F.lit(blocks)).alias("__blk"))
-    q = queries.select(F.col(qid), F.col(qvec).alias("__q"), norm(F.col(qvec)).alias("__qn"),
-                       F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>")).alias("__blk"))
-    dot = F.aggregate(F.zip_with("__q", "__b", lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda a, x: a + x)
-    pairs = q.join(b, "__blk").select(qid, bid, (dot / (F.col("__qn") * F.col("__bn"))).alias("score"))
-    return top_n(pairs, qid, [F.col("score").desc(), F.col(bid).asc()], k, rank="rank")
+    blocks, slices = -(-base.count() // block_rows) or 1, -(-queries.count() // slice_rows) or 1
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    b = base.select(F.col(bid).alias("bid"), F.col(vec).alias("v"), F.pmod(F.xxhash64(bid), F.lit(blocks)).cast("int").alias("blk"), every(slices).alias("sl"))
+    q = queries.select(F.col(qid).alias("qid"), F.col(qvec).alias("v"), every(blocks).alias("blk"), F.pmod(F.xxhash64(qid), F.lit(slices)).cast("int").alias("sl"))
+
+    def unit(col: pd.Series) -> np.ndarray:
+        m = np.asarray(col.tolist(), dtype="float64")
+        return m / np.linalg.norm(m, axis=1, keepdims=True)
+
+    def cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(left) and len(right):
+            scores, ids = np.round(unit(right["v"]) @ unit(left["v"]).T, 12), left["bid"].to_numpy()
+            for i, query in enumerate(right["qid"].tolist()):
+                best = np.lexsort((ids, -scores[i]))[:k]
+                out += [[query, ids[j], scores[i, j]] for j in best]
+        return pd.DataFrame(out, columns=["qid", "bid", "score"])
+
+    t = {**dict(queries.dtypes), **dict(base.dtypes)}
+    best = b.groupBy("blk", "sl").cogroup(q.groupBy("blk", "sl")).applyInPandas(cell, f"qid {t[qid]}, bid {t[bid]}, score double")
+    return top_n(best, "qid", [F.col("score").desc(), F.col("bid").asc()], k, rank="rank").withColumnsRenamed({"qid": qid, "bid": bid})
 
 
 def text_search(df: DataFrame, doc_id: str, text: str, terms: list[str], pattern: str = r"\W+") -> DataFrame:

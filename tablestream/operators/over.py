@@ -5,32 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .core import Keys, as_list, join_null_safe, seconds
-from .sequence import (CHUNK, DEFAULT_CHUNK, chunk_window, lag_in_order, last_known, position, running, with_context)
+from .sequence import CHUNK, lag_in_order, last_known, position, running, with_context
 
 
-def over_range(df: DataFrame, keys: Keys, ts: str, back: str, aggs: dict[str, Column],
-               chunk: str | None = None) -> DataFrame:
+def over_range(df: DataFrame, keys: Keys, ts: str, back: str, aggs: dict[str, Column]) -> DataFrame:
     """Aggregates over RANGE BETWEEN ``back`` PRECEDING AND CURRENT ROW (rows of equal time included)."""
-    k = as_list(keys)
-    d = with_context(df, ts, back, chunk)
-    w = Window.partitionBy(*k, CHUNK).orderBy("__us").rangeBetween(-round(seconds(back) * 1_000_000), 0)
+    k, back_us = as_list(keys), round(seconds(back) * 1_000_000)
+    d = with_context(df, k, ts, back_us)
+    w = Window.partitionBy(*k, CHUNK).orderBy("__us").rangeBetween(-back_us, 0)
     return (d.select("*", *[c.over(w).alias(n) for n, c in aggs.items()])
             .filter("__own").select(*df.columns, *aggs))
 
 
-def over_rows(df: DataFrame, keys: Keys, order: Keys, n: int, aggs: dict[str, Column],
-              chunk: str = DEFAULT_CHUNK, block: int = 10_000) -> DataFrame:
+def over_rows(df: DataFrame, keys: Keys, order: Keys, n: int, aggs: dict[str, Column], block: int = 1_000_000) -> DataFrame:
     """Aggregates over the current row and the ``n`` rows before it.
 
-    The key's rows are numbered first, then cut into blocks by number; the last ``n`` rows of a block
-    are copied into the next one, so no task holds more than a block plus ``n`` rows of a key.
+    The key's rows are numbered, then cut into blocks by number; the last ``n`` rows of a block are copied
+    into the next one, so no task holds more than a block plus ``n`` rows of a key.
     """
     k, o = as_list(keys), as_list(order)
     block = max(block, n)
-    p = position(df, k, o, "__pos", chunk)
+    p = position(df, k, o, "__pos")
     own = F.floor((F.col("__pos") - 1) / block).cast("long")
     upto = F.floor((F.col("__pos") - 1 + n) / block).cast("long")
-    d = (p.withColumn("__first", own).withColumn("__blk", F.explode(F.sequence(own, upto))))
+    d = p.withColumn("__first", own).withColumn("__blk", F.explode(F.sequence(own, upto)))
     w = Window.partitionBy(*k, "__blk").orderBy("__pos").rowsBetween(-n, 0)
     return (d.select("*", *[c.over(w).alias(a) for a, c in aggs.items()])
             .filter(F.col("__blk") == F.col("__first")).select(*df.columns, *aggs))
@@ -43,18 +41,17 @@ def over_partition(df: DataFrame, keys: Keys, aggs: dict[str, Column]) -> DataFr
 
 
 def running_total(df: DataFrame, keys: Keys, order: Keys, value: str | Column, name: str = "running_total",
-                  threshold: float | None = None, flag: str = "over_threshold",
-                  chunk: str = DEFAULT_CHUNK) -> DataFrame:
+                  threshold: float | None = None, flag: str = "over_threshold") -> DataFrame:
     c = F.col(value) if isinstance(value, str) else value
-    out = running(df, keys, order, {name: c}, chunk)
+    out = running(df, keys, order, {name: c})
     return out if threshold is None else out.withColumn(flag, F.col(name) > threshold)
 
 
-def lag(df: DataFrame, keys: Keys, order: Keys, col: str, name: str, chunk: str = DEFAULT_CHUNK) -> DataFrame:
-    return lag_in_order(df, keys, order, {name: col}, chunk)
+def lag(df: DataFrame, keys: Keys, order: Keys, col: str, name: str) -> DataFrame:
+    return lag_in_order(df, keys, order, {name: col})
 
 
-def on_change(df: DataFrame, keys: Keys, order: Keys, col: str, chunk: str = DEFAULT_CHUNK,
+def on_change(df: DataFrame, keys: Keys, order: Keys, col: str,
               null_safe: bool = False) -> DataFrame:
     """Rows whose ``col`` differs from the key's previous row: ``prev IS NULL OR cur <> prev``.
 
@@ -62,51 +59,49 @@ def on_change(df: DataFrame, keys: Keys, order: Keys, col: str, chunk: str = DEF
     """
     k, o = as_list(keys), as_list(order)
     if null_safe:
-        d = lag_in_order(df.withColumn("__one", F.lit(1)), k, o, {"__prev": col, "__seen": "__one"}, chunk)
+        d = lag_in_order(df.withColumn("__one", F.lit(1)), k, o, {"__prev": col, "__seen": "__one"})
         keep = F.col("__seen").isNull() | ~F.col("__prev").eqNullSafe(F.col(col))
     else:
-        d = lag_in_order(df, k, o, {"__prev": col}, chunk)
+        d = lag_in_order(df, k, o, {"__prev": col})
         keep = F.col("__prev").isNull() | (F.col(col) != F.col("__prev"))
     return d.filter(keep).select(*df.columns)
 
 
-def locf(df: DataFrame, keys: Keys, order: Keys, cols: Keys, chunk: str = DEFAULT_CHUNK,
+def locf(df: DataFrame, keys: Keys, order: Keys, cols: Keys,
          suffix: str = "") -> DataFrame:
     """Last observation carried forward for each of ``cols``."""
-    return last_known(df, keys, order, {f"{c}{suffix}": c for c in as_list(cols)}, chunk)
+    return last_known(df, keys, order, {f"{c}{suffix}": c for c in as_list(cols)})
 
 
-def locf_max(df: DataFrame, keys: Keys, order: Keys, cols: Keys, chunk: str = DEFAULT_CHUNK) -> DataFrame:
+def locf_max(df: DataFrame, keys: Keys, order: Keys, cols: Keys) -> DataFrame:
     """Largest carried-forward value per key. Carrying repeats values and adds none, so the plain max is it."""
     k = as_list(keys)
     return df.groupBy(*k).agg(*[F.max(c).alias(c) for c in as_list(cols)])
 
 
-def row_number(df: DataFrame, keys: Keys, order: Keys, name: str = "rn", chunk: str = DEFAULT_CHUNK) -> DataFrame:
-    return position(df, keys, order, name, chunk)
+def row_number(df: DataFrame, keys: Keys, order: Keys, name: str = "rn") -> DataFrame:
+    return position(df, keys, order, name)
 
 
 def dense_rank(df: DataFrame, keys: Keys, by: str, name: str = "rank") -> DataFrame:
-    """DENSE_RANK: rank the distinct values of a key, then join the rank back."""
+    """DENSE_RANK by a number or time: number the distinct values of a key, then join the number back."""
     k = as_list(keys)
-    vals = df.select(*k, by).distinct()
-    ranked = vals.withColumn(name, F.row_number().over(Window.partitionBy(*k).orderBy(by)))
+    ranked = position(df.select(*k, by).distinct(), k, by, name)
     return join_null_safe(df, ranked, [*k, by])
 
 
-def window_delta(agg: DataFrame, keys: Keys, start: str, value: str, chunk: str = "1000 days") -> DataFrame:
+def window_delta(agg: DataFrame, keys: Keys, start: str, value: str) -> DataFrame:
     """Change of a windowed aggregate against the key's previous window."""
-    d = lag_in_order(agg, keys, [start], {"prev_value": value}, chunk)
+    d = lag_in_order(agg, keys, [start], {"prev_value": value})
     return d.withColumn("delta", F.col(value) - F.col("prev_value"))
 
 
-def crossing_alerts(df: DataFrame, keys: Keys, order: Keys, back: str, value: str, max_total: float, max_count: int,
-                    chunk: str = DEFAULT_CHUNK) -> DataFrame:
+def crossing_alerts(df: DataFrame, keys: Keys, order: Keys, back: str, value: str, max_total: float, max_count: int) -> DataFrame:
     """BLOCK when a rolling total or count rises over its limit, UNBLOCK when it falls back."""
     k, o = as_list(keys), as_list(order)
     roll = over_range(df.select(*k, *o, value), k, o[0], back,
-                      {"total": F.sum(value), "n": F.count(F.lit(1))}, chunk).withColumn("total", F.round("total", 2))
-    d = lag_in_order(roll, k, o, {"total_lag": "total", "n_lag": "n"}, chunk)
+                      {"total": F.sum(value), "n": F.count(F.lit(1))}).withColumn("total", F.round("total", 2))
+    d = lag_in_order(roll, k, o, {"total_lag": "total", "n_lag": "n"}, base=df)
     t, tl, n, nl = (F.col(c) for c in ("total", "total_lag", "n", "n_lag"))
     up = ((t > max_total) & (tl <= max_total)) | ((n > max_count) & (nl <= max_count))
     down = ((t <= max_total) & (tl > max_total)) | ((n <= max_count) & (nl > max_count))

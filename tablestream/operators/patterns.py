@@ -11,19 +11,19 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import cut_lineage
 from .core import Keys, any_of, as_list, epoch_us, interval, join_null_safe, seconds
-from .sequence import CHUNK, DEFAULT_CHUNK, attach, carry_over, chunk_window, lag_in_order, with_chunk
+from .sequence import CHUNK, HOT, chunk_no, grid_for, lag_in_order, mark_hot, position, running, with_chunk
 
 
-def repeat_purchase(df: DataFrame, keys: Keys, order: Keys, item: str, chunk: str = DEFAULT_CHUNK) -> DataFrame:
+def repeat_purchase(df: DataFrame, keys: Keys, order: Keys, item: str) -> DataFrame:
     """Rows whose item equals the key's previous item (nothing in between)."""
-    d = lag_in_order(df, keys, order, {"prev_item": item}, chunk)
+    d = lag_in_order(df, keys, order, {"prev_item": item})
     return d.filter(F.col("prev_item") == F.col(item)).drop("prev_item")
 
 
-def repeat_within(df: DataFrame, keys: Keys, item: str, ts: str, within: str, tie: Keys = (), chunk: str = DEFAULT_CHUNK) -> DataFrame:
+def repeat_within(df: DataFrame, keys: Keys, item: str, ts: str, within: str, tie: Keys = ()) -> DataFrame:
     """Rows whose (key, item) was seen at most ``within`` earlier; other items may lie between."""
     k = [*as_list(keys), item]
-    d = lag_in_order(df, k, [ts, *as_list(tie)], {"prev_ts": ts}, chunk)
+    d = lag_in_order(df, k, [ts, *as_list(tie)], {"prev_ts": ts})
     gap = epoch_us(d, ts) - epoch_us(d, "prev_ts")
     return d.filter(gap <= round(seconds(within) * 1_000_000))
 
@@ -34,11 +34,11 @@ def burst(df: DataFrame, keys: Keys, ts: str, n: int, size: str) -> DataFrame:
     return tumble(df, ts, size, keys, {"n": ("count", "*")}).filter(F.col("n") > n)
 
 
-def flapping(df: DataFrame, keys: Keys, order: Keys, col: str, n: int, size: str, chunk: str | None = None) -> DataFrame:
+def flapping(df: DataFrame, keys: Keys, order: Keys, col: str, n: int, size: str) -> DataFrame:
     """(window, key) in which the value changes at least ``n`` times; changes are counted inside the window only."""
     k, o = as_list(keys), as_list(order)
     d = df.select("*", F.window(o[0], size).alias("w")).select(*df.columns, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"))
-    d = lag_in_order(d, [*k, "window_start", "window_end"], o, {"__prev": col}, chunk or size)
+    d = lag_in_order(d, [*k, "window_start", "window_end"], o, {"__prev": col})
     changed = F.when(F.col("__prev").isNotNull() & (F.col("__prev") != F.col(col)), 1).otherwise(0)
     return (d.groupBy("window_start", "window_end", *k).agg(F.sum(changed).alias("changes")).filter(F.col("changes") >= n))
 
@@ -94,18 +94,13 @@ def completeness(transactions: DataFrame, events: DataFrame, server: str, tx: st
     j = t.join(e, [server, tx], "left").withColumn("have", F.coalesce("have", F.lit(0)))
     at = F.lit(as_of).cast(transactions.schema[created].dataType)
     j = j.withColumn("old_enough", F.col("created") <= at - interval(seconds(old_after)))
-    block = 100_000
     j = j.withColumn("missing", F.greatest(F.col("want") - F.col("have"), F.lit(0))).withColumn("over", (F.col("want") < F.col("have")).cast("int"))
-    j = j.withColumn(CHUNK, F.floor(F.col(tx) / block).cast("long"))
-    upto = Window.unboundedPreceding, 0
-    c1 = carry_over(j, [server], {"m": F.sum("missing")}, {"m0": ("sum", "m")})
-    j = attach(j.withColumn("m1", F.sum("missing").over(chunk_window([server], [tx]).rowsBetween(*upto))), c1, [server])
-    c2 = carry_over(j, [server, "old_enough"], {"c": F.count(F.lit(1))}, {"c0": ("sum", "c")})
-    j = attach(j.withColumn("r1", F.row_number().over(chunk_window([server, "old_enough"], [tx]))), c2, [server, "old_enough"])
+    j = running(j, server, tx, {"cumulative_missing": F.col("missing")})
+    j = position(j, [server, "old_enough"], tx, "place")
     new_start = j.filter(~F.col("old_enough")).groupBy(server).agg(F.min(tx).alias("new_start"))
     j = j.join(new_start, server, "left")
-    rel = F.col("r1") + F.coalesce("c0", F.lit(0)) - 1
-    j = (j.withColumn("complete", (F.col("m1") + F.coalesce("m0", F.lit(0))) == 0)
+    rel = F.col("place") - 1
+    j = (j.withColumn("complete", F.col("cumulative_missing") == 0)
          .withColumn("contiguous", F.when(~F.col("old_enough"), F.col(tx) - rel == F.col("new_start")))
          .withColumn("old_missing", F.when(F.col("old_enough"), F.col(tx) - rel - offset))
          .withColumn("loadable", F.col("complete") & (F.coalesce("contiguous", F.lit(False)) | F.col("old_enough"))))
@@ -125,9 +120,9 @@ def seq_gap_report(a: DataFrame, b: DataFrame, seq: str, keys: Keys | None = Non
     return hw.withColumn("gap", F.col("high_a") - F.coalesce("high_b", F.lit(0))), a.join(b.select(*k), k, "left_anti")
 
 
-def diff_alert(df: DataFrame, keys: Keys, order: Keys, col: str, chunk: str = DEFAULT_CHUNK) -> DataFrame:
+def diff_alert(df: DataFrame, keys: Keys, order: Keys, col: str) -> DataFrame:
     """Versions whose value dropped against the version before."""
-    d = lag_in_order(df, keys, order, {"prev_value": col}, chunk)
+    d = lag_in_order(df, keys, order, {"prev_value": col})
     return d.filter(F.col(col) < F.col("prev_value")).withColumn("drop", F.col("prev_value") - F.col(col))
 
 
@@ -149,8 +144,8 @@ def group_slices(batches: Iterator[pd.DataFrame], keys: Sequence[str]) -> Iterat
 
 
 def chunked_scan(df: DataFrame, keys: Keys, order: Keys, step: Callable[[dict | None, pd.DataFrame], tuple[list[dict], dict | None]],
-                 out_schema: str, chunk: str = "1 day") -> DataFrame:
-    """Run a sequential ``step(state, rows) -> (outputs, state)`` over each key, chunks in parallel.
+                 out_schema: str) -> DataFrame:
+    """Run a sequential ``step(state, rows) -> (outputs, state)`` over each key; the chunks of hot keys in parallel.
 
     Every chunk is first run from the empty state; then each chunk whose true start state (the end state of
     the chunk before it) differs from the one it was run with is run again, until none differs. The first
@@ -160,7 +155,7 @@ def chunked_scan(df: DataFrame, keys: Keys, order: Keys, step: Callable[[dict |
     """
     k, o = as_list(keys), as_list(order)
     g = [*k, CHUNK]
-    rows = with_chunk(df, o[0], chunk)
+    rows = with_chunk(df, k, o[0]).drop(HOT)
     types = dict(rows.dtypes)
     schema = ", ".join(f"`{c}` {types[c]}" for c in g) + ", in_state string, out_state string, is_end boolean, outputs array<string>"
 
@@ -205,7 +200,7 @@ def chunked_scan(df: DataFrame, keys: Keys, order: Keys, step: Callable[[dict |
     return done.select(*k, F.explode("outputs").alias("x")).select(*k, out.alias("x")).select(*k, "x.*")
 
 
-def match_runs(df: DataFrame, keys: Keys, ts: str, value: str, bound: float, tie: Keys = (), chunk: str = "1 day") -> DataFrame:
+def match_runs(df: DataFrame, keys: Keys, ts: str, value: str, bound: float, tie: Keys = ()) -> DataFrame:
     """Pattern A+ B, A = running average of the matched values < ``bound``, B = the row that breaks it.
 
     One row per match, the search goes on after B. A run that never breaks gives no match.
@@ -224,7 +219,7 @@ def match_runs(df: DataFrame, keys: Keys, ts: str, value: str, bound: float, tie
                 start, last, s, n = None, None, 0.0, 0
         return outs, ({"start": start, "last": last, "s": s, "n": n} if n else None)
 
-    m = chunked_scan(d, k, o, step, "start_us bigint, last_us bigint, avg_value double, n bigint", chunk)
+    m = chunked_scan(d, k, o, step, "start_us bigint, last_us bigint, avg_value double, n bigint")
     t = df.schema[ts].dataType.simpleString()
     zero = F.lit("1970-01-01 00:00:00").cast(t)
     stamp = lambda c: (F.timestamp_micros(c) if t == "timestamp"
@@ -301,16 +296,16 @@ def find_sequences(flags: list[list[bool]], stops: list[list[bool]], times: list
     return found
 
 
-def match_sequence(df: DataFrame, keys: Keys, ts: str, stages: Sequence[Stage], within: str, tie: Keys = (), chunk: str = DEFAULT_CHUNK,
+def match_sequence(df: DataFrame, keys: Keys, ts: str, stages: Sequence[Stage], within: str, tie: Keys = (),
                    id_col: str | None = None) -> DataFrame:
     """Sequence pattern per key, every match reported (no skip), all rows of a match at most ``within`` apart.
 
-    Conditions are evaluated by Spark as flag columns; a small automaton walks the flags per (key, chunk). A
-    chunk also gets the rows up to ``within`` after its end, and a match belongs to the chunk of its first
-    row, so the cut changes nothing. Output: start and end time and one ``stage:id`` entry per matched row.
+    Conditions are evaluated by Spark as flag columns; a small automaton walks the flags of a key. A hot key
+    is cut into chunks; each also gets the rows up to ``within`` after its end, and a match belongs to the
+    chunk of its first row, so the cut changes nothing. Output: start and end time (microseconds) and one
+    ``stage:id`` entry per matched row.
     """
-    k, o = as_list(keys), as_list(tie)
-    size_us, within_us = round(max(seconds(chunk), seconds(within)) * 1_000_000), round(seconds(within) * 1_000_000)
+    k, o, within_us = as_list(keys), as_list(tie), round(seconds(within) * 1_000_000)
     no = F.lit(False)
     us = epoch_us(df, ts)
     ident = F.col(id_col).cast("string") if id_col else us.cast("string")
@@ -318,8 +313,13 @@ def match_sequence(df: DataFrame, keys: Keys, ts: str, stages: Sequence[Stage],
         *k, *[F.col(c).alias(f"__tie_{c}") for c in o], us.alias("__us"), ident.alias("__id"),
         *[F.coalesce(s.where, no).alias(f"__c{i}") for i, s in enumerate(stages)],
         *[F.coalesce(s.until, no).alias(f"__u{i}") if s.until is not None else no.alias(f"__u{i}") for i, s in enumerate(stages)])
-    own, back = F.floor(F.col("__us") / size_us).cast("long"), F.floor((F.col("__us") - within_us) / size_us).cast("long")
-    d = d.withColumn("__own", own).withColumn(CHUNK, F.explode(F.sequence(back, own)))
+    if all(s.contiguity != "next" for s in stages):              # rows no stage looks at cannot matter
+        d = d.filter(any_of([F.col(f"__c{i}") | F.col(f"__u{i}") for i in range(len(stages))]))
+    d = mark_hot(d, k, grid_for(d, k, "__us", max(within_us, 1)))
+    own, first = chunk_no(F.col("__us")), F.greatest(chunk_no(F.col("__us") - within_us), F.lit(0).cast("long"))
+    spread = F.when(F.col(HOT), F.sequence(first, own)).otherwise(F.array(F.lit(0).cast("long")))
+    d = (d.withColumn("__own", F.when(F.col(HOT), own).otherwise(0)).withColumn(CHUNK, F.explode(spread))
+         .drop("__lo", "__width", HOT))
     plan = [(s.contiguity, s.at_least, s.at_most, s.optional, s.greedy) for s in stages]
     names, ties = [s.name for s in stages], [f"__tie_{c}" for c in o]
     types = dict(df.dtypes)
@@ -347,7 +347,5 @@ def match_sequence(df: DataFrame, keys: Keys, ts: str, stages: Sequence[Stage],
             out += matches(key, parts)
         yield pd.DataFrame(out, columns=[*k, "start_us", "end_us", "matched"])
 
-    if all(s.contiguity != "next" for s in stages):              # rows no stage looks at cannot matter
-        d = d.filter(any_of([F.col(f"__c{i}") | F.col(f"__u{i}") for i in range(len(stages))]))
     ddl = ", ".join([f"`{c}` {types[c]}" for c in k] + ["start_us bigint", "end_us bigint", "matched array<string>"])
     return d.repartition(*k, CHUNK).sortWithinPartitions(*k, CHUNK, "__us", *ties).mapInPandas(run, ddl)

@@ -1,59 +1,116 @@
 """Ordered per-key computations that survive a hot key.
 
-``Window.partitionBy(key)`` sends a whole key to one task, so a key that holds a third of the rows
-becomes one task with a third of the rows. Here each key's time line is cut into chunks of fixed
-length. Rows are windowed inside (key, chunk); what a chunk needs from earlier chunks (the last
-row, the last non-null value, the total so far) comes from a table with one row per (key, chunk)
-that is pre-aggregated on the map side and small enough to order per key. The results are exact.
+``Window.partitionBy(key)`` sends a whole key to one task, so a key that holds a third of the rows becomes
+one task with a third of the rows. Here keys are counted first (key column only, combined on the map side).
+Keys a task can hold are windowed the plain way. The time line of a bigger key is cut into chunks; its rows
+are windowed per (key, chunk), and what a chunk needs from earlier chunks (last row, last non-null value,
+total so far) comes from a table with one row per hot (key, chunk). Results are exact either way.
+
+Both side tables have a bound that does not depend on the data: a hot key holds more than
+1/``MAX_HOT_KEYS`` of the rows, so there are fewer than that many, and all hot keys together get at most
+``MAX_CHUNKS`` chunks plus one each. That is why they may be broadcast, and rows are shuffled only once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from .core import Keys, as_list, epoch_us, join_null_safe, seconds
+from .core import Keys, as_list, epoch_us, join_null_safe
 
-CHUNK = "__chunk"
-DEFAULT_CHUNK = "1 hour"
+CHUNK, HOT, POS = "__chunk", "__hot", "__pos_us"
+MAX_HOT_KEYS, MAX_CHUNKS = 5_000, 100_000
+HOT_ROWS_CONF, HOT_ROWS = "spark.tablestream.hotKeyRows", 1_000_000
 
 
-def with_chunk(df: DataFrame, ts: str, chunk: str = DEFAULT_CHUNK) -> DataFrame:
-    """Add the chunk number of the row's time; rows without a time share the NULL chunk (ordered first)."""
-    size = round(seconds(chunk) * 1_000_000)
-    return df.withColumn(CHUNK, F.floor(epoch_us(df, ts) / F.lit(size)).cast("long"))
+def position_of(df: DataFrame, order: str) -> Column:
+    """BIGINT that never falls while ``order`` rises: microseconds of a time, a scaled number."""
+    kind = df.schema[order].dataType
+    if isinstance(kind, T.IntegralType):
+        return F.col(order).cast("long")
+    if isinstance(kind, (T.FractionalType, T.DecimalType)):
+        scaled = F.col(order).cast("double") * 1_000_000
+        return F.greatest(F.least(scaled, F.lit(9e18)), F.lit(-9e18)).cast("long")
+    return epoch_us(df, order)
+
+
+def grid_for(df: DataFrame, keys: Sequence[str], order: str, min_width: int = 1) -> DataFrame:
+    """Keys too big for one task: first position, chunk width and last chunk of each.
+
+    ``min_width`` keeps chunks at least that long (a look-back must not span many chunks).
+    """
+    limit = int(df.sparkSession.conf.get(HOT_ROWS_CONF, str(HOT_ROWS)))
+    d = df.select(*keys, position_of(df, order).alias(POS))
+    per = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"), F.min(POS).alias("__lo"), F.max(POS).alias("__hi"))
+    total = per.agg(F.sum("__rows").alias("t")).scalar()
+    d = per.withColumn("__total", total)
+    d = d.filter(F.col("__rows") > F.greatest(F.lit(limit).cast("double"), F.col("__total") / MAX_HOT_KEYS))
+    n = F.least(F.ceil(F.col("__rows") * 10 / limit), F.ceil(F.col("__rows") / F.col("__total") * MAX_CHUNKS))
+    width = F.greatest(F.ceil((F.col("__hi") - F.col("__lo") + 1) / n), F.lit(min_width)).cast("long")
+    d = d.select(*keys, "__lo", "__hi", width.alias("__width"), F.lit(True).alias(HOT))
+    return d.select(*keys, "__lo", "__width", F.floor((F.col("__hi") - F.col("__lo")) / F.col("__width")).cast("long").alias("__top"), HOT)
+
+
+def mark_hot(df: DataFrame, keys: Sequence[str], grid: DataFrame) -> DataFrame:
+    """Rows with the hot key's grid (NULL for all other keys)."""
+    g = grid.drop("__top")
+    if not keys:
+        cell = g.select(F.struct("__lo", "__width", HOT)).scalar()
+        return df.select("*", cell.alias("__g")).select(*df.columns, "__g.*")
+    return join_null_safe(df, F.broadcast(g), keys, "left")
+
+
+def chunk_no(pos: Column) -> Column:
+    """Chunk of a position on its hot key's grid; no position comes first."""
+    return F.coalesce(F.floor((pos - F.col("__lo")) / F.col("__width")).cast("long"), F.lit(-1).cast("long"))
+
+
+def on_grid(df: DataFrame, keys: Sequence[str], order: str, grid: DataFrame) -> DataFrame:
+    d = mark_hot(df.withColumn(POS, position_of(df, order)), keys, grid)
+    return d.withColumn(CHUNK, F.when(F.col(HOT), chunk_no(F.col(POS))).otherwise(0)).drop("__lo", "__width", POS)
+
+
+def with_chunk(df: DataFrame, keys: Sequence[str], order: str, base: DataFrame | None = None) -> DataFrame:
+    """Add chunk number and hot flag. ``order``: time or number column the key is ordered by.
+
+    ``base``: a frame with the same keys and about the same rows per key that is cheaper to count. The grid
+    only decides how the work is cut, never the result.
+    """
+    return on_grid(df, keys, order, grid_for(base if base is not None else df, keys, order))
 
 
 def chunk_window(keys: Sequence[str], order: Sequence[str | Column]):
     return Window.partitionBy(*keys, CHUNK).orderBy(*order)
 
 
-def carry_over(df: DataFrame, keys: Sequence[str], per_chunk: dict[str, Column],
-               carried: dict[str, tuple[str, str]]) -> DataFrame:
-    """One row per (key, chunk) with values taken from the key's *earlier* chunks.
+def carry_over(df: DataFrame, keys: Sequence[str], per_chunk: dict[str, Column], carried: dict[str, tuple[str, str]],
+               backwards: bool = False, grid: DataFrame | None = None) -> DataFrame:
+    """One row per hot (key, chunk) with values taken from the key's *earlier* chunks (later ones if ``backwards``).
 
-    ``per_chunk``: aggregates of one chunk; ``carried``: output name -> (how, per-chunk name) with
-    how in ``last`` (latest non-null), ``sum`` (total so far).
+    ``per_chunk``: aggregates of one chunk; ``carried``: output name -> (how, per-chunk name) with how in
+    ``last`` (nearest non-null), ``sum`` and ``max`` (so far). With ``grid`` every chunk gets a row, also
+    those ``df`` has no rows in.
     """
-    per = df.groupBy(*keys, CHUNK).agg(*[c.alias(n) for n, c in per_chunk.items()])
-    before = (Window.partitionBy(*keys).orderBy(CHUNK)
-              .rowsBetween(Window.unboundedPreceding, -1))
-    out = {n: (F.last(src, ignorenulls=True) if how == "last" else F.sum(src)).over(before)
-           for n, (how, src) in carried.items()}
-    return per.select(*keys, CHUNK, *[c.alias(n) for n, c in out.items()])
+    per = df.filter(HOT).groupBy(*keys, CHUNK).agg(*[c.alias(n) for n, c in per_chunk.items()])
+    if grid is not None:
+        cells = grid.select(*keys, F.explode(F.sequence(F.lit(-1).cast("long"), F.col("__top"))).alias(CHUNK))
+        per = join_null_safe(cells, per, [*keys, CHUNK], "left")
+    line = F.col(CHUNK).desc() if backwards else F.col(CHUNK).asc()
+    before = Window.partitionBy(*keys).orderBy(line).rowsBetween(Window.unboundedPreceding, -1)
+    how = {"last": lambda c: F.last(c, ignorenulls=True), "sum": F.sum, "max": F.max}
+    return per.select(*keys, CHUNK, *[how[h](src).over(before).alias(n) for n, (h, src) in carried.items()])
 
 
 def attach(df: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Bring the carried values to the rows. Both sides are hashed on (key, chunk) already."""
-    return join_null_safe(df, carry, [*keys, CHUNK])
+    """Bring the carried values to the rows of hot keys; other rows get NULL."""
+    return join_null_safe(df, F.broadcast(carry), [*keys, CHUNK], "left")
 
 
-def lag_in_order(df: DataFrame, keys: Keys, order: Keys, outputs: dict[str, str],
-                 chunk: str = DEFAULT_CHUNK) -> DataFrame:
+def lag_in_order(df: DataFrame, keys: Keys, order: Keys, outputs: dict[str, str], base: DataFrame | None = None) -> DataFrame:
     """Previous row's values per key. ``order``: time column first, then tie breakers; outputs: new -> source."""
     k, o = as_list(keys), as_list(order)
-    d = with_chunk(df, o[0], chunk)
+    d = with_chunk(df, k, o[0], base)
     prev = F.struct(*[F.col(src).alias(n) for n, src in outputs.items()])
     carry = carry_over(d, k, {"__last": F.max_by(prev, F.struct(*o))}, {"__prev": ("last", "__last")})
     local = d.withColumn("__lag", F.lag(prev).over(chunk_window(k, o)))
@@ -62,53 +119,54 @@ def lag_in_order(df: DataFrame, keys: Keys, order: Keys, outputs: dict[str, str]
             .select(*df.columns, *[F.col(f"__lag.{n}").alias(n) for n in outputs]))
 
 
-def running(df: DataFrame, keys: Keys, order: Keys, sums: dict[str, Column],
-            chunk: str = DEFAULT_CHUNK) -> DataFrame:
+def running(df: DataFrame, keys: Keys, order: Keys, sums: dict[str, Column]) -> DataFrame:
     """Running totals per key, row by row (a running count is the total of ``lit(1)``)."""
     k, o = as_list(keys), as_list(order)
-    d = with_chunk(df, o[0], chunk)
-    for n, c in sums.items():
-        d = d.withColumn(f"__in_{n}", c)
+    d = with_chunk(df.withColumns({f"__in_{n}": c for n, c in sums.items()}), k, o[0])
     carry = carry_over(d, k, {f"__c_{n}": F.sum(f"__in_{n}") for n in sums},
                        {f"__b_{n}": ("sum", f"__c_{n}") for n in sums})
     w = chunk_window(k, o).rowsBetween(Window.unboundedPreceding, 0)
-    local = d.select(*d.columns, *[F.sum(f"__in_{n}").over(w).alias(f"__l_{n}") for n in sums])
-    total = [F.when(F.col(f"__l_{n}").isNull() & F.col(f"__b_{n}").isNull(), F.lit(None))
-             .otherwise(F.coalesce(f"__l_{n}", F.lit(0)) + F.coalesce(f"__b_{n}", F.lit(0))).alias(n)
-             for n in sums]
+    local = d.select("*", *[F.sum(f"__in_{n}").over(w).alias(f"__l_{n}") for n in sums])
+    total = [F.coalesce(F.col(f"__l_{n}") + F.col(f"__b_{n}"), f"__l_{n}", f"__b_{n}").alias(n) for n in sums]
     return attach(local, carry, k).select(*df.columns, *total)
 
 
-def last_known(df: DataFrame, keys: Keys, order: Keys, outputs: dict[str, str],
-               chunk: str = DEFAULT_CHUNK) -> DataFrame:
+def last_known(df: DataFrame, keys: Keys, order: Keys, outputs: dict[str, str]) -> DataFrame:
     """Latest non-null value up to and including the row. ``outputs``: new name -> source column."""
     k, o = as_list(keys), as_list(order)
-    d = with_chunk(df, o[0], chunk)
+    d = with_chunk(df, k, o[0])
     stamp = F.struct(*o)
     per = {f"__c_{n}": F.max_by(F.col(src), F.when(F.col(src).isNotNull(), stamp)) for n, src in outputs.items()}
     carry = carry_over(d, k, per, {f"__b_{n}": ("last", f"__c_{n}") for n in outputs})
     w = chunk_window(k, o).rowsBetween(Window.unboundedPreceding, 0)
-    local = d.select(*d.columns, *[F.last(src, ignorenulls=True).over(w).alias(f"__l_{n}")
-                                   for n, src in outputs.items()])
+    local = d.select("*", *[F.last(src, ignorenulls=True).over(w).alias(f"__l_{n}") for n, src in outputs.items()])
     keep = [c for c in df.columns if c not in outputs]
     return attach(local, carry, k).select(*keep, *[F.coalesce(f"__l_{n}", f"__b_{n}").alias(n) for n in outputs])
 
 
-def position(df: DataFrame, keys: Keys, order: Keys, name: str = "pos", chunk: str = DEFAULT_CHUNK) -> DataFrame:
+def next_known(df: DataFrame, keys: Keys, order: Keys, src: str, name: str) -> DataFrame:
+    """First non-null ``src`` at or after the row (order: position first, then tie breakers, all descending)."""
+    k, o = as_list(keys), as_list(order)
+    d = with_chunk(df, k, o[0])
+    first = F.min_by(F.col(src), F.when(F.col(src).isNotNull(), F.struct(*o)))
+    carry = carry_over(d, k, {"__m": first}, {"__later": ("last", "__m")}, backwards=True)
+    w = Window.partitionBy(*k, CHUNK).orderBy(*[F.col(c).desc() for c in o]).rowsBetween(Window.unboundedPreceding, 0)
+    local = d.withColumn("__here", F.last(src, ignorenulls=True).over(w))
+    return attach(local, carry, k).select(*df.columns, F.coalesce("__here", "__later").alias(name))
+
+
+def position(df: DataFrame, keys: Keys, order: Keys, name: str = "pos") -> DataFrame:
     """1-based place of the row in its key's time line (ROW_NUMBER over the whole key)."""
-    return running(df, keys, order, {name: F.lit(1).cast("long")}, chunk)
+    return running(df, keys, order, {name: F.lit(1).cast("long")})
 
 
-def with_context(df: DataFrame, ts: str, back: str | float, chunk: str | None = None) -> DataFrame:
-    """Copy each row into the next chunk(s) its ``back``-long look-back reaches (``__own`` marks the original).
+def with_context(df: DataFrame, keys: Sequence[str], ts: str, back_us: int) -> DataFrame:
+    """Rows of a hot key copied into the chunk their look-back reaches (``__own`` marks the original).
 
-    The chunk is at least ``back`` long, so a row is held twice at most.
+    Chunks are at least the look-back long, so such a row is held twice at most; other keys are not copied.
     """
-    size = max(seconds(chunk or DEFAULT_CHUNK), seconds(back))
-    size_us, back_us = round(size * 1_000_000), round(seconds(back) * 1_000_000)
-    d = df.withColumn("__us", epoch_us(df, ts))
-    first = F.floor(F.col("__us") / F.lit(size_us)).cast("long")
-    last = F.floor((F.col("__us") + back_us) / F.lit(size_us)).cast("long")
-    return (d.withColumn("__first", first)
-            .withColumn(CHUNK, F.explode_outer(F.when(F.col("__us").isNotNull(), F.sequence(first, last))))
-            .withColumn("__own", F.col(CHUNK).eqNullSafe(F.col("__first"))).drop("__first"))
+    d = mark_hot(df.withColumn("__us", epoch_us(df, ts)), keys, grid_for(df, keys, ts, max(back_us, 1)))
+    first, last = chunk_no(F.col("__us")), chunk_no(F.col("__us") + back_us)
+    spread = F.when(F.col(HOT), F.sequence(first, last)).otherwise(F.array(F.lit(0).cast("long")))
+    d = d.withColumn("__first", F.when(F.col(HOT), first).otherwise(0)).withColumn(CHUNK, F.explode(spread))
+    return d.withColumn("__own", F.col(CHUNK) == F.col("__first")).drop("__first", "__lo", "__width", HOT)

@@ -7,17 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .core import Keys, as_list, epoch_us, interval, seconds
-from .sequence import CHUNK, DEFAULT_CHUNK, attach, chunk_window, last_known, with_chunk
+from .sequence import attach, carry_over, chunk_window, grid_for, next_known, on_grid, with_chunk
 
 
 def join_asof(l: DataFrame, r: DataFrame, on: Keys, lts: str, rts: str, how: str = "left", ttl: str | None = None,
-              chunk: str = DEFAULT_CHUNK) -> DataFrame:
+              base: DataFrame | None = None) -> DataFrame:
     """For each left row the latest right row of its key with ``rts <= lts``.
 
     Both sides are laid on one time line per key and the latest right row is carried forward: linear in
-    the input, one shuffle, no pairs, and chunked in time so that a hot key is spread (see ``sequence``).
-    A version valid exactly at the left time counts; of versions with equal time the largest by column
-    order is taken. ``ttl`` drops versions older than that.
+    the input, one shuffle, no pairs, and a hot key is cut in time (see ``sequence``). A version valid
+    exactly at the left time counts; of versions with equal time the largest by column order is taken.
+    ``ttl`` drops versions older than that. ``base``: frame to count the left keys on, if ``l`` is costly.
     """
     k = as_list(on)
     vals = [c for c in r.columns if c not in k]
@@ -26,12 +26,17 @@ def join_asof(l: DataFrame, r: DataFrame, on: Keys, lts: str, rts: str, how: str
     right = r.filter(F.col(rts).isNotNull()).select(*k, F.col(rts).alias("__t"), F.lit(0).alias("__side"),
                                                     F.struct(*vals).alias("__r"))
     left = l.select(*k, F.col(lts).alias("__t"), F.lit(1).alias("__side"), F.struct(*l.columns).alias("__l"))
-    line = left.unionByName(right, allowMissingColumns=True)
-    got = last_known(line, k, ["__t", "__side", "__r"], {"__v": "__r"}, chunk).filter("__side = 1")
-    valid = F.lit(True)
+    counted = (base if base is not None else l).select(*k, F.col(lts).alias("__t")).unionByName(right.select(*k, "__t"))
+    grid = grid_for(counted, k, "__t")
+    newest = F.max_by("__r", F.struct("__t", "__r"))
+    carry = carry_over(on_grid(right, k, "__t", grid), k, {"__m": newest}, {"__before": ("last", "__m")}, grid=grid)
+    line = on_grid(left.unionByName(right, allowMissingColumns=True), k, "__t", grid)
+    w = chunk_window(k, ["__t", "__side", "__r"]).rowsBetween(Window.unboundedPreceding, 0)
+    line = line.withColumn("__here", F.last("__r", ignorenulls=True).over(w)).filter("__side = 1")
+    got = attach(line, carry, k).withColumn("__v", F.coalesce("__here", "__before"))
+    valid = F.col("__t").isNotNull()
     for c in k:                                  # SQL equality: a NULL key has no match
         valid = valid & F.col(c).isNotNull()
-    valid = valid & F.col("__t").isNotNull()
     if ttl:
         got = got.withColumn("__rt", F.col(f"__v.{rts}"))
         gap = epoch_us(got, "__t") - epoch_us(got, "__rt")
@@ -42,14 +47,13 @@ def join_asof(l: DataFrame, r: DataFrame, on: Keys, lts: str, rts: str, how: str
     return got.select("__l.*", *[F.col(f"__v.{c}").alias(c) for c in vals])
 
 
-def versions(df: DataFrame, keys: Keys, ts: str, chunk: str = "1 day") -> DataFrame:
+def versions(df: DataFrame, keys: Keys, ts: str) -> DataFrame:
     """Validity intervals of versions: [valid_from, valid_to), open end = NULL."""
     k = as_list(keys)
-    d = with_chunk(df, ts, chunk)
-    firsts = d.groupBy(*k, CHUNK).agg(F.min(ts).alias("__first"))
-    after = firsts.select(*k, CHUNK, F.lead("__first").over(Window.partitionBy(*k).orderBy(CHUNK)).alias("__next"))
+    d = with_chunk(df, k, ts)
+    carry = carry_over(d, k, {"__m": F.min(ts)}, {"__next": ("last", "__m")}, backwards=True)
     local = d.withColumn("__lead", F.lead(ts).over(chunk_window(k, [ts])))
-    return attach(local, after, k).select(*df.columns, F.col(ts).alias("valid_from"), F.coalesce("__lead", "__next").alias("valid_to"))
+    return attach(local, carry, k).select(*df.columns, F.col(ts).alias("valid_from"), F.coalesce("__lead", "__next").alias("valid_to"))
 
 
 def join_rules(events: DataFrame, rules: DataFrame, on: Keys, lts: str, rts: str, breach: Column, how: str = "inner") -> DataFrame:
@@ -60,7 +64,7 @@ def join_rules(events: DataFrame, rules: DataFrame, on: Keys, lts: str, rts: str
 def enrich_asof_many(l: DataFrame, lts: str, dims: Sequence[tuple[DataFrame, Keys, str]]) -> DataFrame:
     out = l
     for dim, on, rts in dims:
-        out = join_asof(out, dim, on, lts, rts)
+        out = join_asof(out, dim, on, lts, rts, base=l)
     return out
 
 
@@ -98,10 +102,10 @@ def join_interval(l: DataFrame, r: DataFrame, on: Keys, lts: str, rts: str, lo:
     if how == "inner":
         return hit.select(*l.columns, *[c for c in r.columns if c not in k])
     if how == "left_anti":
-        return _unmatched(l, r, k, lts, rts, lo_us, hi_us, size)
+        return _unmatched(l, r, k, lts, rts, lo_us, hi_us)
     if how != "left":
         raise ValueError("inner, left or left_anti")
-    none = _unmatched(l, r, k, lts, rts, lo_us, hi_us, size)
+    none = _unmatched(l, r, k, lts, rts, lo_us, hi_us)
     pad = none.select(*l.columns, *[F.lit(None).cast(r.schema[c].dataType).alias(c) for c in r.columns if c not in k])
     return hit.select(*l.columns, *[c for c in r.columns if c not in k]).unionByName(pad)
 
@@ -112,7 +116,7 @@ def _signed(x: str | float) -> float:
     return seconds(x) if isinstance(x, str) and x.strip() != "0" else float(x)
 
 
-def _unmatched(l, r, k, lts, rts, lo_us, hi_us, size) -> DataFrame:
+def _unmatched(l: DataFrame, r: DataFrame, k: Sequence[str], lts: str, rts: str, lo_us: int, hi_us: int) -> DataFrame:
     """Left rows without partner. Per (key, bucket) only the sorted distinct times matter, so this is a
     nearest-neighbour test on a time line: the first right time >= lts + lo must be > lts + hi."""
     us_l, us_r = epoch_us(l, lts), epoch_us(r, rts)
@@ -122,25 +126,13 @@ def _unmatched(l, r, k, lts, rts, lo_us, hi_us, size) -> DataFrame:
     line_r = (r.select(*k, us_r.alias("__t")).distinct()
               .select(*k, "__t", F.lit(1).alias("__side"), F.lit(None).cast(line_l.schema["__l"].dataType).alias("__l"),
                       F.col("__t").alias("__rt")))
-    nxt = next_known(line_l.unionByName(line_r), k, "__t", "__side", "__rt", "__next", max(size, 3_600_000_000))
+    nxt = next_known(line_l.unionByName(line_r), k, ["__t", "__side"], "__rt", "__next")
     miss = F.col("__next").isNull() | (F.col("__next") > F.col("__t") + (hi_us - lo_us)) | F.col("__t").isNull()
     for c in k:
         miss = miss | F.col(c).isNull()
     return nxt.filter((F.col("__side") == 0) & miss).select("__l.*")
 
 
-def next_known(df: DataFrame, keys: Sequence[str], t: str, side: str, src: str, name: str, size_us: int) -> DataFrame:
-    """First non-null ``src`` at or after the row (time ``t`` in microseconds), chunked like ``last_known``."""
-    d = df.withColumn(CHUNK, F.floor(F.col(t) / size_us).cast("long"))
-    per = d.groupBy(*keys, CHUNK).agg(F.min(src).alias("__m"))
-    after = Window.partitionBy(*keys).orderBy(F.col(CHUNK).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    carry = per.select(*keys, CHUNK, F.last("__m", ignorenulls=True).over(after).alias("__later"))
-    w = (Window.partitionBy(*keys, CHUNK).orderBy(F.col(t).desc(), F.col(side).desc())
-         .rowsBetween(Window.unboundedPreceding, 0))
-    local = d.withColumn("__here", F.last(src, ignorenulls=True).over(w))
-    return attach(local, carry, keys).withColumn(name, F.coalesce("__here", "__later")).drop("__here", "__later", CHUNK)
-
-
 def join_range(l: DataFrame, r: DataFrame, lts: str, rts: str, lo: str | float, hi: str | float) -> DataFrame:
     """Time-range join without key: the time bucket is the hash key."""
     return join_interval(l, r, [], lts, rts, lo, hi)

@@ -7,9 +7,10 @@ from typing import Any, Iterator, Tuple
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import cut_lineage
 from .core import (Aggs, Keys, as_list, epoch_us, finish_aggs, interval, join_null_safe, merge_aggs, partial_aggs,
                    partial_names, seconds)
-from .sequence import CHUNK, chunk_window, with_chunk
+from .sequence import CHUNK, HOT, chunk_window, with_chunk
 
 BOUNDS = ("window_start", "window_end")
 
@@ -56,36 +57,31 @@ def cumulate(df: DataFrame, ts: str, step: str, size: str, keys: Keys | None, ag
     return g.select(*BOUNDS, *k, *finish_aggs(aggs))
 
 
-def session_rows(df: DataFrame, ts: str, gap: str, keys: Keys, chunk: str = "1 hour") -> DataFrame:
-    """Rows with ``__lsid``: session number inside (key, chunk)."""
-    k = as_list(keys)
-    d = with_chunk(df.filter(F.col(ts).isNotNull()).withColumn("__us", epoch_us(df, ts)), ts, chunk)
-    w = chunk_window(k, ["__us"])
-    new = F.when(F.col("__us") - F.lag("__us").over(w) > round(seconds(gap) * 1_000_000), 1).otherwise(0)
-    return (d.withColumn("__new", new)
-            .withColumn("__lsid", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0))))
-
-
-def session(df: DataFrame, ts: str, gap: str, keys: Keys, aggs: Aggs, chunk: str = "1 hour") -> DataFrame:
+def session(df: DataFrame, ts: str, gap: str, keys: Keys, aggs: Aggs) -> DataFrame:
     """Sessions per key: a pause longer than ``gap`` starts a new one; window_end = last event + gap.
 
-    Sessions are built inside (key, chunk) and aggregated there; only the first and last session of each
-    chunk can continue across a chunk border, and only those are ordered per key and merged.
+    Sessions are numbered inside (key, chunk) and aggregated there. Only hot keys have more than one chunk;
+    of these only a chunk's first and last session can continue across its border, and only those are
+    ordered per key and merged.
     """
     k = as_list(keys)
     if df.isStreaming:
         g = df.groupBy(F.session_window(ts, gap).alias("w"), *k).agg(*partial_aggs(aggs))
         return g.select(*_bounds(), *k, *finish_aggs(aggs))
-    names = partial_names(aggs)
-    loc = (session_rows(df, ts, gap, k, chunk).groupBy(*k, CHUNK, "__lsid")
-           .agg(F.min(ts).alias("__first"), F.max(ts).alias("__last"), F.min("__us").alias("__fus"),
+    names, gap_us = partial_names(aggs), round(seconds(gap) * 1_000_000)
+    started = lambda first, before: F.when(first - before > gap_us, 1).otherwise(0)
+    d = with_chunk(df.filter(F.col(ts).isNotNull()), k, ts).withColumn("__us", epoch_us(df, ts))
+    w = chunk_window(k, ["__us"])
+    d = (d.withColumn("__new", started(F.col("__us"), F.lag("__us").over(w)))
+         .withColumn("__lsid", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0))))
+    loc = (d.groupBy(*k, CHUNK, "__lsid")
+           .agg(F.any_value(HOT).alias(HOT), F.min(ts).alias("__first"), F.max(ts).alias("__last"), F.min("__us").alias("__fus"),
                 F.max("__us").alias("__lus"), *partial_aggs(aggs)))
-    edge = (F.col("__lsid") == 0) | (F.col("__lsid") == F.max("__lsid").over(Window.partitionBy(*k, CHUNK)))
-    loc = loc.withColumn("__edge", edge)
+    edge = F.col(HOT) & ((F.col("__lsid") == 0) | (F.col("__lsid") == F.max("__lsid").over(Window.partitionBy(*k, CHUNK))))
+    loc = loc.withColumn("__edge", F.coalesce(edge, F.lit(False)))
     inner = loc.filter(~F.col("__edge")).select(*k, "__first", "__last", *names)
     w = Window.partitionBy(*k).orderBy("__fus")
-    new = F.when(F.col("__fus") - F.lag("__lus").over(w) > round(seconds(gap) * 1_000_000), 1).otherwise(0)
-    merged = (loc.filter("__edge").withColumn("__new", new)
+    merged = (loc.filter("__edge").withColumn("__new", started(F.col("__fus"), F.lag("__lus").over(w)))
               .withColumn("__sid", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
               .groupBy(*k, "__sid").agg(F.min("__first").alias("__first"), F.max("__last").alias("__last"), *merge_aggs(aggs))
               .select(*k, "__first", "__last", *names))
@@ -94,17 +90,16 @@ def session(df: DataFrame, ts: str, gap: str, keys: Keys, aggs: Aggs, chunk: str
                     (F.col("__last") + interval(seconds(gap))).alias("window_end"), *k, *finish_aggs(aggs)))
 
 
-def session_collect(df: DataFrame, ts: str, gap: str, keys: Keys, col: str, name: str = "items",
-                    chunk: str = "1 hour") -> DataFrame:
+def session_collect(df: DataFrame, ts: str, gap: str, keys: Keys, col: str, name: str = "items") -> DataFrame:
     """Sessions with the ordered list of values, start, end and length in seconds.
 
     The list is attached by an interval lookup: each row finds its session start by carry-forward.
     """
     from .temporal import join_asof
     k = as_list(keys)
-    s = session(df, ts, gap, k, {"n": ("count", "*"), "last_ts": ("max", ts)}, chunk)
+    s = cut_lineage(session(df, ts, gap, k, {"n": ("count", "*"), "last_ts": ("max", ts)}))
     rows = join_asof(df.select(*k, ts, col), s.select(*k, F.col("window_start").alias("session_start"), "last_ts"),
-                     k, ts, "session_start", "inner", chunk=chunk)
+                     k, ts, "session_start", "inner")
     items = F.transform(F.sort_array(F.collect_list(F.struct(F.col(ts).alias("t"), F.col(col).alias("v")))), lambda x: x["v"])
     return (rows.groupBy(*k, "session_start", "last_ts").agg(items.alias(name))
             .withColumn("session_seconds", F.timestamp_diff("SECOND", "session_start", "last_ts")))
@@ -163,19 +158,18 @@ def batch_messages(df: DataFrame, ts: str, key: Column, payload: str, buckets: i
     d = df.filter(keep) if keep is not None else df
     d = d.select(ts, F.window(ts, size).alias("w"), F.pmod(key, F.lit(buckets)).cast("int").alias("bucket"),
                  F.struct(*[F.col(x) for x in [ts, *o]]).alias("o"), F.col(payload).alias("v")).filter("v is not null")
-    d = position(d, ["w", "bucket"], [ts, "o"], "place", f"{seconds(size) / 8} seconds")
+    d = position(d, ["w", "bucket"], [ts, "o"], "place")
     d = d.withColumn("part", F.floor((F.col("place") - 1) / max_rows).cast("int"))
     lines = F.transform(F.sort_array(F.collect_list(F.struct("o", "v"))), lambda x: x["v"])
     g = d.groupBy("w", "bucket", "part").agg(F.array_join(lines, sep).alias("val"), F.count(F.lit(1)).alias("n"))
     return g.select(*_bounds(), F.concat(F.lit("b"), F.col("bucket").cast("string")).alias("key"), "part", "n", "val")
 
 
-def count_window(df: DataFrame, keys: Keys, order: Keys, n: int, aggs: Aggs, full_only: bool = True,
-                 chunk: str = "1 hour") -> DataFrame:
+def count_window(df: DataFrame, keys: Keys, order: Keys, n: int, aggs: Aggs, full_only: bool = True) -> DataFrame:
     """Groups of ``n`` consecutive rows per key; only full groups fire unless ``full_only`` is off."""
     from .over import row_number
     k = as_list(keys)
-    d = row_number(df, k, order, "__pos", chunk).withColumn("window_no", F.floor((F.col("__pos") - 1) / n).cast("long"))
+    d = row_number(df, k, order, "__pos").withColumn("window_no", F.floor((F.col("__pos") - 1) / n).cast("long"))
     g = d.groupBy(*k, "window_no").agg(F.count(F.lit(1)).alias("__rows"), *partial_aggs(aggs))
     if full_only:
         g = g.filter(F.col("__rows") == n)
@@ -226,12 +220,12 @@ def window_max_of_sums(df: DataFrame, ts: str, size: str, key: str, value: str)
 
 
 def session_drop_alert(df: DataFrame, ts: str, gap: str, keys: Keys, short: str = "5 minutes", long: str = "60 minutes",
-                       ratio: float = 0.5, chunk: str = "1 hour") -> DataFrame:
+                       ratio: float = 0.5) -> DataFrame:
     """Sessions that end when the short rolling mean of session length falls under ``ratio`` x the long one."""
     from .over import over_range
     k = as_list(keys)
-    s = session(df, ts, gap, k, {"n": ("count", "*"), "last_ts": ("max", ts)}, chunk)
-    s = s.withColumn("session_seconds", F.timestamp_diff("SECOND", "window_start", "last_ts"))
+    s = session(df, ts, gap, k, {"n": ("count", "*"), "last_ts": ("max", ts)})
+    s = cut_lineage(s.withColumn("session_seconds", F.timestamp_diff("SECOND", "window_start", "last_ts")))
     a = over_range(s, k, "window_end", long, {"long_sum": F.sum("session_seconds"), "long_n": F.count("session_seconds")})
     b = over_range(a, k, "window_end", short, {"short_sum": F.sum("session_seconds"), "short_n": F.count("session_seconds")})
     b = b.withColumn("short_avg", F.col("short_sum") / F.col("short_n")).withColumn("long_avg", F.col("long_sum") / F.col("long_n"))

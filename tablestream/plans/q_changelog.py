@@ -85,14 +85,14 @@ def c08(t):
     SELECT CASE WHEN rn = 1 THEN '+I' ELSE '+U' END AS row_kind, user_id, value, event_id AS change_event_id FROM v UNION ALL
     SELECT '-U', user_id, old, event_id FROM v WHERE rn > 1""")
 def c09(t):
-    d = L.to_retract(t.events.select("user_id", "ts", "event_id", "value"), "user_id", ["ts", "event_id"], cols="value", chunk="1 day")
+    d = L.to_retract(t.events.select("user_id", "ts", "event_id", "value"), "user_id", ["ts", "event_id"], cols="value")
     return d.drop("change_ts")
 
 
 @query("c09_retract_totals", "SELECT user_id % 10 AS grp, ROUND(SUM(value), 2) AS total, COUNT(*) AS n FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1 GROUP BY 1")
 def c09b(t):
     """Totals over the retract stream equal totals over the final table."""
-    d = L.to_retract(t.events.select("user_id", "ts", "event_id", "value"), "user_id", ["ts", "event_id"], cols="value", chunk="1 day")
+    d = L.to_retract(t.events.select("user_id", "ts", "event_id", "value"), "user_id", ["ts", "event_id"], cols="value")
     r = L.retract_aggregate(d.withColumn("grp", F.col("user_id") % 10), "grp", "value")
     return r.withColumn("total", F.round("total", 2)).withColumn("n", F.col("n").cast("bigint"))
 
@@ -103,7 +103,7 @@ def c09b(t):
 def c10(t):
     """Upserts with deletes to a full changelog."""
     e = t.events.select("user_id", "ts", "event_id", "value", (F.col("event_type") == "error").alias("gone"))
-    d = L.normalize(e, "user_id", ["ts", "event_id"], F.col("gone"), chunk="1 day")
+    d = L.normalize(e, "user_id", ["ts", "event_id"], F.col("gone"))
     return d.select("row_kind", "user_id", "value", "change_event_id")
 
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..operators import features as M, windows as W
+from ..operators import features as M
 from .registry import query
 
 
@@ -18,7 +18,7 @@ def cents(t):
       n >= 20 AND (v < m - 2.0537 * sd OR v > m + 2.0537 * sd) AS is_anomaly FROM p""")
 def m01(t):
     """Values outside the confidence band of the user's earlier values (at least 20 of them)."""
-    d = M.detect_anomalies(cents(t), "user_id", ["ts", "event_id"], "v", 96.0, 20, chunk="1 day")
+    d = M.detect_anomalies(cents(t), "user_id", ["ts", "event_id"], "v", 96.0, 20)
     return d.select("event_id", F.round("anomaly.forecast_value", 3).alias("forecast_value"), F.round("anomaly.upper_bound", 2).alias("upper_bound"), "anomaly.is_anomaly")
 
 
@@ -26,7 +26,7 @@ def m01(t):
     p AS (SELECT event_id, v, COUNT(*) OVER w AS n, AVG(v) OVER w AS m, STDDEV(v) OVER w AS sd FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING))
     SELECT event_id, n >= 10 AND (v < m - 1.96 * sd OR v > m + 1.96 * sd) AS is_anomaly FROM p""")
 def m01b(t):
-    d = M.detect_anomalies_rolling(cents(t), "user_id", ["ts", "event_id"], "v", 30, 95.0, 10, chunk="1 day")
+    d = M.detect_anomalies_rolling(cents(t), "user_id", ["ts", "event_id"], "v", 30, 95.0, 10)
     return d.select("event_id", "anomaly.is_anomaly")
 
 
@@ -41,7 +41,7 @@ def m02(t):
     p AS (SELECT event_id, v, COUNT(*) OVER w AS n, AVG(v) OVER w AS m, STDDEV(v) OVER w AS sd FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
     SELECT event_id, v FROM p WHERE n >= 20 AND (v < m - 2.5758 * sd OR v > m + 2.5758 * sd)""")
 def m03(t):
-    return M.escalate(M.detect_anomalies(cents(t), "user_id", ["ts", "event_id"], "v", 99.0, 20, chunk="1 day")).select("event_id", "v")
+    return M.escalate(M.detect_anomalies(cents(t), "user_id", ["ts", "event_id"], "v", 99.0, 20)).select("event_id", "v")
 
 
 @query("m04_burst_injection", "SELECT event_id, ROUND(CASE WHEN CAST(EXTRACT(SECOND FROM ts) AS INTEGER) % 30 <= 5 THEN value + 20 ELSE value END, 2) AS temp FROM events")
@@ -76,7 +76,7 @@ def m08(t):
 def m09(t):
     """Five nearest vectors by cosine for the first vector of each label."""
     q = t.embeddings.groupBy("label").agg(F.min_by("vec_id", "vec_id").alias("qid"), F.min_by("embedding", "vec_id").alias("qv")).drop("label")
-    d = M.vector_topk(q, t.embeddings.select("vec_id", "embedding"), 5, "qid", "vec_id", "embedding", "qv", blocks=8)
+    d = M.vector_topk(q, t.embeddings.select("vec_id", "embedding"), 5, "qid", "vec_id", "embedding", "qv", block_rows=200)
     return d.select("qid", "vec_id", "rank", F.round("score", 6).alias("score"))
 
 

@@ -18,26 +18,26 @@ def o01(t):
 @query("o02_over_rows", """SELECT event_id, COUNT(*) OVER w AS n, MAX(value) OVER w AS top FROM events
     WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 10 PRECEDING AND CURRENT ROW)""")
 def o02(t):
-    d = O.over_rows(t.events.select("event_id", "user_id", "ts", "value"), "user_id", ["ts", "event_id"], 10, {"n": N, "top": F.max("value")}, chunk="1 day", block=25)
+    d = O.over_rows(t.events.select("event_id", "user_id", "ts", "value"), "user_id", ["ts", "event_id"], 10, {"n": N, "top": F.max("value")}, block=25)
     return d.select("event_id", "n", "top")
 
 
 @query("o03_running_total", """SELECT event_id, ROUND(s, 2) AS running_total, s > 500 AS over_threshold FROM
     (SELECT event_id, SUM(CAST(value AS DECIMAL(12,2))) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)::DOUBLE AS s FROM events)""")
 def o03(t):
-    d = O.running_total(t.events.select("event_id", "user_id", "ts", F.col("value").cast("decimal(12,2)").alias("value")), "user_id", ["ts", "event_id"], "value", threshold=500, chunk="1 day")
+    d = O.running_total(t.events.select("event_id", "user_id", "ts", F.col("value").cast("decimal(12,2)").alias("value")), "user_id", ["ts", "event_id"], "value", threshold=500)
     return d.select("event_id", F.col("running_total").cast("double").alias("running_total"), "over_threshold")
 
 
 @query("o04_lag", "SELECT event_id, value, LAG(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS previous_value FROM events")
 def o04(t):
-    return O.lag(t.events.select("event_id", "user_id", "ts", "value"), "user_id", ["ts", "event_id"], "value", "previous_value", "1 day").select("event_id", "value", "previous_value")
+    return O.lag(t.events.select("event_id", "user_id", "ts", "value"), "user_id", ["ts", "event_id"], "value", "previous_value").select("event_id", "value", "previous_value")
 
 
 @query("o05_on_change", """SELECT event_id, event_type FROM (SELECT *, LAG(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events)
     WHERE prev IS NULL OR event_type <> prev""")
 def o05(t):
-    return O.on_change(t.events.select("event_id", "user_id", "ts", "event_type"), "user_id", ["ts", "event_id"], "event_type", "1 day").select("event_id", "event_type")
+    return O.on_change(t.events.select("event_id", "user_id", "ts", "event_type"), "user_id", ["ts", "event_id"], "event_type").select("event_id", "event_type")
 
 
 LOCF = "CASE WHEN event_id % 3 <> 0 THEN NULL ELSE value END"
@@ -49,7 +49,7 @@ LOCF = "CASE WHEN event_id % 3 <> 0 THEN NULL ELSE value END"
 def o06(t):
     e = t.events.select("event_id", "user_id", "ts", F.when(F.col("event_id") % 3 == 0, F.col("value")).alias("v"),
                         F.when(F.col("event_id") % 5 == 0, F.col("event_type")).alias("k"))
-    return O.locf(e, "user_id", ["ts", "event_id"], ["v", "k"], "1 day").select("event_id", "v", "k")
+    return O.locf(e, "user_id", ["ts", "event_id"], ["v", "k"]).select("event_id", "v", "k")
 
 
 @query("o07_locf_max", f"SELECT user_id, MAX(c) AS v FROM (SELECT user_id, LAST_VALUE({LOCF} IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS c FROM events) GROUP BY user_id")
@@ -60,10 +60,10 @@ def o07(t):
 
 @query("o08_row_number", "SELECT event_id, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events")
 def o08(t):
-    return O.row_number(t.events.select("event_id", "user_id", "ts"), "user_id", ["ts", "event_id"], chunk="1 day").select("event_id", "rn")
+    return O.row_number(t.events.select("event_id", "user_id", "ts"), "user_id", ["ts", "event_id"]).select("event_id", "rn")
 
 
-@query("o09_dense_rank", "SELECT l_orderkey, l_linenumber, l_partkey, CAST(DENSE_RANK() OVER (PARTITION BY l_suppkey ORDER BY l_quantity) AS INTEGER) AS rank FROM lineitem")
+@query("o09_dense_rank", "SELECT l_orderkey, l_linenumber, l_partkey, DENSE_RANK() OVER (PARTITION BY l_suppkey ORDER BY l_quantity) AS rank FROM lineitem")
 def o09(t):
     return O.dense_rank(t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"), "l_suppkey", "l_quantity").select("l_orderkey", "l_linenumber", "l_partkey", "rank")
 
@@ -84,7 +84,7 @@ def o11(t):
 def o12(t):
     """Day-over-day change: ordered over the one-row-per-day aggregate only."""
     d = W.tumble(t.events, "ts", "1 day", None, {"n": ("count", "*")})
-    x = O.lag(d, [], "window_start", "n", "prev", "365 days")
+    x = O.lag(d, [], "window_start", "n", "prev")
     return x.select(F.col("window_start").alias("day"), "n", (F.col("n") - F.col("prev")).alias("change"))
 
 

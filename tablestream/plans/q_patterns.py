@@ -8,11 +8,16 @@ from ..operators.temporal import missing_followup
 from .registry import query
 
 
-@query("x01_match_runs")
+@query("x01_match_runs", """WITH RECURSIVE e AS (SELECT event_type, ts, value, ROW_NUMBER() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS rn FROM events),
+    r AS (SELECT DISTINCT event_type, 0::BIGINT AS rn, NULL::TIMESTAMP AS st, NULL::TIMESTAMP AS la, 0.0::DOUBLE AS s, 0::BIGINT AS n, NULL::TIMESTAMP AS o_st, NULL::TIMESTAMP AS o_la, NULL::DOUBLE AS o_avg, NULL::BIGINT AS o_n FROM events
+      UNION ALL SELECT e.event_type, e.rn, CASE WHEN (s + value) / (n + 1) < 35 THEN COALESCE(st, ts) END, CASE WHEN (s + value) / (n + 1) < 35 THEN ts END, CASE WHEN (s + value) / (n + 1) < 35 THEN s + value ELSE 0 END,
+        CASE WHEN (s + value) / (n + 1) < 35 THEN n + 1 ELSE 0 END, CASE WHEN (s + value) / (n + 1) >= 35 AND n > 0 THEN st END, CASE WHEN (s + value) / (n + 1) >= 35 AND n > 0 THEN la END,
+        CASE WHEN (s + value) / (n + 1) >= 35 AND n > 0 THEN s / n END, CASE WHEN (s + value) / (n + 1) >= 35 AND n > 0 THEN n END FROM r JOIN e ON r.event_type = e.event_type AND e.rn = r.rn + 1)
+    SELECT event_type, o_st AS start_ts, o_la AS last_ts, ROUND(o_avg * o_n, 2) AS total, o_n AS n FROM r WHERE o_n IS NOT NULL""")
 def x01(t):
     """Runs of events per type whose running average stays under 35, ended by the event that breaks it."""
-    d = X.match_runs(t.events, "event_type", "ts", "value", 35.0, tie="event_id", chunk="2 days")
-    return d.select("event_type", "start_ts", "last_ts", F.round("avg_value", 4).alias("avg_value"), "n")
+    d = X.match_runs(t.events, "event_type", "ts", "value", 35.0, tie="event_id")
+    return d.select("event_type", "start_ts", "last_ts", F.round(F.col("avg_value") * F.col("n"), 2).alias("total"), "n")
 
 
 @query("x02_sequence_strict", """WITH e AS (SELECT event_id, user_id, event_type, ts, LEAD(event_type) OVER w AS n1, LEAD(ts) OVER w AS t1, LEAD(event_id) OVER w AS i1 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
@@ -20,7 +25,7 @@ def x01(t):
 def x02a(t):
     """view directly followed by purchase within 12 hours."""
     is_kind = lambda k: F.col("event_type") == k
-    d = X.match_sequence(t.events, "user_id", "ts", [X.Stage("a", is_kind("view")), X.Stage("b", is_kind("purchase"), "next")], "12 hours", tie="event_id", id_col="event_id", chunk="1 day")
+    d = X.match_sequence(t.events, "user_id", "ts", [X.Stage("a", is_kind("view")), X.Stage("b", is_kind("purchase"), "next")], "12 hours", tie="event_id", id_col="event_id")
     return d.select("user_id", F.array_join("matched", ">").alias("matched"))
 
 
@@ -37,12 +42,12 @@ def x02b(t):
 
 @query("x03_repeat_purchase", """SELECT event_id, event_type FROM (SELECT *, LAG(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events) WHERE p = event_type""")
 def x03(t):
-    return X.repeat_purchase(t.events.select("event_id", "user_id", "ts", "event_type"), "user_id", ["ts", "event_id"], "event_type", "1 day").select("event_id", "event_type")
+    return X.repeat_purchase(t.events.select("event_id", "user_id", "ts", "event_type"), "user_id", ["ts", "event_id"], "event_type").select("event_id", "event_type")
 
 
 @query("x04_repeat_within", """SELECT event_id, prev_ts FROM (SELECT *, LAG(ts) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS prev_ts FROM events) WHERE ts - prev_ts <= INTERVAL '1 day'""")
 def x04(t):
-    return X.repeat_within(t.events.select("event_id", "user_id", "ts", "event_type"), "user_id", "event_type", "ts", "1 day", "event_id", "1 day").select("event_id", "prev_ts")
+    return X.repeat_within(t.events.select("event_id", "user_id", "ts", "event_type"), "user_id", "event_type", "ts", "1 day", "event_id").select("event_id", "prev_ts")
 
 
 @query("x05_burst", "SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, event_type, COUNT(*) AS n FROM events GROUP BY ALL HAVING COUNT(*) > 5")
@@ -135,5 +140,5 @@ def x14b(t):
 
 @query("x15_price_drop", """SELECT event_id, ROUND(p - value, 2) AS drop FROM (SELECT *, LAG(value) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS p FROM events) WHERE value < p""")
 def x15(t):
-    d = X.diff_alert(t.events.select("event_id", "user_id", "event_type", "ts", "value"), ["user_id", "event_type"], ["ts", "event_id"], "value", "1 day")
+    d = X.diff_alert(t.events.select("event_id", "user_id", "event_type", "ts", "value"), ["user_id", "event_type"], ["ts", "event_id"], "value")
     return d.select("event_id", F.round("drop", 2).alias("drop"))

@@ -52,7 +52,7 @@ def w07s(t):
 def w14(t):
     """Late rows by arrival order (ids shuffled by a fixed rule stand for arrival)."""
     a = (F.col("event_id") * 7919) % 10007 + F.col("event_id") * 10
-    return S.split_late_batch(t.events.select("event_id", "ts", a.alias("a")), "ts", "a", "2 days", 5000).select("event_id", "is_late")
+    return S.split_late_batch(t.events.select("event_id", "ts", a.alias("a")), "ts", "a", "2 days").select("event_id", "is_late")
 
 
 @query("o01_over_range_stream", same_sql("o01_over_range"))

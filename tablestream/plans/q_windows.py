@@ -123,7 +123,7 @@ def w15(t):
 @query("w18_count_window", """WITH p AS (SELECT *, (ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1) // 10 AS window_no FROM events)
     SELECT user_id, window_no, ROUND(SUM(value), 2) AS total FROM p GROUP BY ALL HAVING COUNT(*) = 10""")
 def w18(t):
-    return rounded(W.count_window(t.events.select("user_id", "ts", "event_id", "value"), "user_id", ["ts", "event_id"], 10, {"total": ("sum", "value")}, chunk="1 day"))
+    return rounded(W.count_window(t.events.select("user_id", "ts", "event_id", "value"), "user_id", ["ts", "event_id"], 10, {"total": ("sum", "value")}))
 
 
 @query("w19_apply_window", f"""SELECT {tb('1 day')} AS window_start, user_id, COUNT(*) AS n, ROUND(MAX(value) - MIN(value), 2) AS spread FROM events GROUP BY ALL""")
@@ -157,7 +157,7 @@ def w22(t):
     o = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
     l = t.lineitem.select("l_orderkey", "l_partkey", "l_quantity").join(o, "l_orderkey")
     pr = t.lineitem.groupBy("l_partkey", F.col("l_shipdate").alias("p_ts")).agg(F.max("l_extendedprice").alias("price"))
-    j = T.join_asof(l, pr, "l_partkey", "o_orderdate", "p_ts", chunk="90 days").withColumn("grp", (F.col("l_partkey") % 10).cast("int"))
+    j = T.join_asof(l, pr, "l_partkey", "o_orderdate", "p_ts").withColumn("grp", (F.col("l_partkey") % 10).cast("int"))
     d = W.tumble(j, "o_orderdate", "30 days", "grp", {"n": ("count", "*"), "priced": ("count", "price"), "qty": ("sum", "l_quantity")})
     return d.select("window_start", "grp", "n", "priced", (F.col("qty") / F.col("n")).alias("avg_qty"))
 

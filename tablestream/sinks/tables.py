@@ -105,8 +105,7 @@ def write_retract(df: DataFrame, target: str, keys: Keys, order_by: Keys, batch_
     n = batch_id if batch_id is not None else (last_batch(spark, target) or 0) + 1
     payload = [c for c in df.columns if c not in k]
     new = dedup_last(df, k, as_list(order_by)).select(*k, F.struct(*payload).alias("__new"))
-    seen = last_batch(spark, target)
-    if seen is None or seen == n == 1:
+    if last_batch(spark, target) is None:
         j = new.withColumn("__old", F.lit(None).cast(new.schema["__new"].dataType))
     else:
         old = read_retract(spark, target, k, before=n).select(*k, F.struct(*payload).alias("__old"))

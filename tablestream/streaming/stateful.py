@@ -3,6 +3,7 @@
 State stays small: a row buffer is cut at the look-back, a pair waits for its partner, a timer fires once.
 """
 
+from bisect import bisect_left
 from typing import Any, Iterator
 
 import pandas as pd
@@ -212,7 +213,8 @@ class FollowUp(StatefulProcessor):
         closed = sorted(c[0] for c in self.closed.get()) if self.closed.exists() else []
         due = [o for o in opened if o[0] + self.timeout_us <= mark]
         left = [o for o in opened if o[0] + self.timeout_us > mark]
-        out = [[*key, i, t] for t, i in due if not any(t <= c <= t + self.timeout_us for c in closed)]
+        nearest = [bisect_left(closed, t) for t, _ in due]
+        out = [[*key, i, t] for (t, i), at in zip(due, nearest) if at == len(closed) or closed[at] > t + self.timeout_us]
         if due:
             self.opened.put(left) if left else self.opened.clear()
             floor = left[0][0] if left else mark

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.core import Aggs, Keys, as_list, interval, seconds
+from ..operators.sequence import CHUNK, attach, carry_over, with_chunk
 from ..operators.windows import hop, session, tumble
 from ..session import scratch_dir
 from ..sinks.tables import write_upsert
@@ -134,16 +135,15 @@ def split_late(spark: SparkSession, stream: DataFrame, ts: str, delay: str, on_t
     stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def split_late_batch(df: DataFrame, ts: str, arrival: str, delay: str, chunk_rows: int = 100_000) -> DataFrame:
+def split_late_batch(df: DataFrame, ts: str, arrival: str, delay: str) -> DataFrame:
     """Batch form: ``is_late`` by the running maximum of event time over *earlier* arrivals (arrival = a number)."""
     from pyspark.sql import Window
-    d = df.withColumn("__c", F.floor(F.col(arrival) / chunk_rows).cast("long"))
-    before = Window.orderBy("__c").rowsBetween(Window.unboundedPreceding, -1)     # one row per chunk
-    carry = d.groupBy("__c").agg(F.max(ts).alias("__m")).select(F.col("__c").alias("__cc"), F.max("__m").over(before).alias("__before"))
-    local = F.max(ts).over(Window.partitionBy("__c").orderBy(arrival).rowsBetween(Window.unboundedPreceding, -1))
-    out = d.withColumn("__local", local).join(carry, F.col("__c") == F.col("__cc"))
-    high = F.greatest("__local", "__before")
-    return out.withColumn("is_late", F.coalesce(F.col(ts) < high - interval(seconds(delay)), F.lit(False))).select(*df.columns, "is_late")
+    d = with_chunk(df, [], arrival)
+    carry = carry_over(d, [], {"__m": F.max(ts)}, {"__before": ("max", "__m")})
+    local = F.max(ts).over(Window.partitionBy(CHUNK).orderBy(arrival).rowsBetween(Window.unboundedPreceding, -1))
+    out = attach(d.withColumn("__local", local), carry, [])
+    late = F.col(ts) < F.greatest("__local", "__before") - interval(seconds(delay))
+    return out.select(*df.columns, F.coalesce(late, F.lit(False)).alias("is_late"))
 
 
 # ---- joins and dedup -------------------------------------------------------------------------------

@@ -43,10 +43,14 @@ def main() -> int:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="0.01")
     ap.add_argument("--data", default="/root/testdata")
+    ap.add_argument("--hot-rows", help="rows from which a key counts as hot (small values force the chunked plans)")
+    ap.add_argument("--skip", default="", help="comma-separated name parts to leave out")
     ap.add_argument("names", nargs="*")
     a = ap.parse_args()
     folder = f"{a.data}/sf{a.sf}"
     spark = get_spark(master="local[8]", shuffle_partitions=8)
+    if a.hot_rows:
+        spark.conf.set("spark.tablestream.hotKeyRows", a.hot_rows)
     con = duckdb.connect()
     for f in glob.glob(f"{folder}/*.parquet"):
         con.sql(f"create view {os.path.basename(f)[:-8]} as select * from '{f}'")
@@ -54,6 +58,8 @@ def main() -> int:
     for name, q in load_all().items():
         if a.names and not any(name.startswith(p) for p in a.names):
             continue
+        if any(x and x in name for x in a.skip.split(",")):
+            continue
         t0 = time.time()
         try:
             df = q(spark, folder)

@@ -74,13 +74,13 @@ def decode_bytes(value: ColumnOrName) -> Column:
 def json_value(doc: ColumnOrName, path: str, returning: str = "string") -> Column:
     """Scalar at a path; a missing path or an uncastable value gives NULL. Objects and arrays are no scalars."""
     v = F.get_json_object(_c(doc), path)
-    return F.when(~v.rlike(r"^\s*[\[{]"), v).try_cast(returning)
+    return F.when(~F.substring(F.ltrim(v), 1, 1).isin("{", "["), v).try_cast(returning)
 
 
 def json_query(doc: ColumnOrName, path: str, wrap: bool = False) -> Column:
     """Object or array text at a path; ``wrap`` puts any found value in an array."""
     v = F.get_json_object(_c(doc), path)
-    return F.concat(F.lit("["), v, F.lit("]")) if wrap else F.when(v.rlike(r"^\s*[\[{]"), v)
+    return F.concat(F.lit("["), v, F.lit("]")) if wrap else F.when(F.substring(F.ltrim(v), 1, 1).isin("{", "["), v)
 
 
 def json_rows(doc: ColumnOrName, schema: str) -> Column:

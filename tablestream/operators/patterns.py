@@ -56,19 +56,22 @@ def fraud_alarms(tx: DataFrame, customer: str, card: str, city: str, order: Keys
     return union_all([a, b, c, d])
 
 
-def cutoff(events: DataFrame, triggers: DataFrame, keys: Keys, ts: str, expected: str, cutoff_ts: str, window: str = "12 hours",
-           event_type: str = "event_type") -> DataFrame:
-    """Per cutoff: rows received before it, and a proactive row for keys expected by it but silent.
+def cutoff(events: DataFrame, triggers: DataFrame, keys: Keys, ts: str, cutoff_ts: str, received: DataFrame | None = None,
+           far: str = "24 hours", near: str = "2 hours", event_type: str = "event_type", tie: Keys = ()) -> DataFrame:
+    """Per cutoff one proactive row for each key that was heard of within ``far`` but not within ``near`` of it.
 
-    ``events`` expected within ``window`` before a cutoff belong to it; the latest per (cutoff, key) is taken.
+    The row repeats the key's last event with the cutoff as its time and type ``proactive_no_event``.
+    ``received`` rows are unioned below.
     """
     from .dedup import dedup_last
+    from .relational import union_all
     from .temporal import join_range
     k = as_list(keys)
-    due = join_range(triggers.select(cutoff_ts), events, cutoff_ts, expected, f"-{window}", 0)
-    last = dedup_last(due, [cutoff_ts, *k], [ts])
-    received = F.col(ts) <= F.col(cutoff_ts)
-    return last.withColumn("outcome", F.when(received, "RECEIVED").otherwise("PROACTIVE"))
+    seen = join_range(triggers.select(cutoff_ts), events, cutoff_ts, ts, f"-{far}", 0)
+    last = dedup_last(seen, [cutoff_ts, *k], [ts, *as_list(tie)])
+    silent = last.filter(F.col(ts) <= F.col(cutoff_ts) - interval(seconds(near)))
+    out = silent.withColumn(ts, F.col(cutoff_ts)).withColumn(event_type, F.lit("proactive_no_event")).select(*events.columns)
+    return out if received is None else union_all([received.select(*events.columns), out])
 
 
 def eta_history(events: DataFrame, key: str, ts: str, fields: Keys, latest: Keys, status: str) -> DataFrame:

@@ -43,8 +43,9 @@ def grid_for(df: DataFrame, keys: Sequence[str], order: str, min_width: int = 1)
     limit = int(df.sparkSession.conf.get(HOT_ROWS_CONF, str(HOT_ROWS)))
     d = df.select(*keys, position_of(df, order).alias(POS))
     per = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"), F.min(POS).alias("__lo"), F.max(POS).alias("__hi"))
-    total = per.agg(F.sum("__rows").alias("t")).scalar()
-    d = per.withColumn("__total", total)
+    # all columns are used on purpose: the subquery then has the same exchange as the grid and shares it
+    total = per.agg(F.struct(F.sum("__rows").alias("t"), F.min("__lo"), F.max("__hi"))).scalar()
+    d = per.withColumn("__total", total.getField("t"))
     d = d.filter(F.col("__rows") > F.greatest(F.lit(limit).cast("double"), F.col("__total") / MAX_HOT_KEYS))
     n = F.least(F.ceil(F.col("__rows") * 10 / limit), F.ceil(F.col("__rows") / F.col("__total") * MAX_CHUNKS))
     width = F.greatest(F.ceil((F.col("__hi") - F.col("__lo") + 1) / n), F.lit(min_width)).cast("long")

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from ..operators import aggs as A, windows as W
 from .registry import query
 
-N = F.count(F.lit(1))
 
 
 @query("a01_count_by_key", "SELECT event_type, COUNT(*) AS n FROM events GROUP BY event_type")
@@ -43,10 +42,10 @@ def a05(t):
     return d.withColumn("spent", F.round("spent", 2))
 
 
-@query("a06_rate", """SELECT o_orderpriority, ROUND(COUNT(*) FILTER (WHERE o_orderstatus = 'F') * 100.0::DOUBLE / COUNT(*), 2) AS pct_done
+@query("a06_rate", """SELECT o_orderpriority, ROUND(COUNT(*) FILTER (WHERE o_orderstatus = 'F') * 100.0::DOUBLE / COUNT(*), 6) AS pct_done
     FROM orders GROUP BY o_orderpriority""")
 def a06(t):
-    return A.rate(t.orders, "o_orderpriority", F.col("o_orderstatus") == "F", "pct_done")
+    return A.rate(t.orders, "o_orderpriority", F.col("o_orderstatus") == "F", "pct_done", digits=6)
 
 
 @query("a07_array_agg", """SELECT l_orderkey, array_to_string(list_sort(list(l_partkey)), ',') AS parts FROM lineitem GROUP BY l_orderkey""")
@@ -105,11 +104,11 @@ def a13b(t):
 
 
 @query("a14_avg_by_key", """SELECT date_trunc('month', o_orderdate) AS month, ROUND(SUM(o_totalprice), 2) AS total, COUNT(o_totalprice) AS n,
-    ROUND(ROUND(SUM(o_totalprice), 2) / COUNT(o_totalprice), 3) AS avg_price FROM orders GROUP BY 1""")
+    ROUND(SUM(o_totalprice), 2) / COUNT(o_totalprice) AS avg_price FROM orders GROUP BY 1""")
 def a14(t):
     o = t.orders.select(F.make_timestamp_ntz(F.year("o_orderdate"), F.month("o_orderdate"), F.lit(1), F.lit(0), F.lit(0), F.lit(0)).alias("month"), "o_totalprice")
     d = A.avg_by(o, "month", "o_totalprice")
-    return d.select("month", F.round("total", 2).alias("total"), "n", F.round(F.round("total", 2) / F.col("n"), 3).alias("avg_price"))
+    return d.select("month", F.round("total", 2).alias("total"), "n", (F.round("total", 2) / F.col("n")).alias("avg_price"))
 
 
 @query("a15_argmax_group", """SELECT l_suppkey, SUM(l_quantity) AS total FROM lineitem GROUP BY l_suppkey ORDER BY total DESC, l_suppkey LIMIT 1""")
@@ -135,17 +134,17 @@ def a17b(t):
 
 
 @query("a17_fraud_rate_by_status", """SELECT o_orderstatus, COUNT(*) AS total_applications, COUNT(*) FILTER (WHERE o_totalprice > 450000) AS flagged,
-    ROUND(COUNT(*) FILTER (WHERE o_totalprice > 450000)::DOUBLE / COUNT(*) * 100, 2) AS rate_percent FROM orders GROUP BY o_orderstatus""")
+    ROUND(COUNT(*) FILTER (WHERE o_totalprice > 450000)::DOUBLE / COUNT(*) * 100, 6) AS rate_percent FROM orders GROUP BY o_orderstatus""")
 def a17c(t):
     d = A.agg(t.orders, "o_orderstatus", {"total_applications": ("count", "*"), "flagged": ("count_if", "o_totalprice > 450000")})
-    return d.withColumn("rate_percent", F.round(F.col("flagged") / F.col("total_applications") * 100, 2))
+    return d.withColumn("rate_percent", F.round(F.col("flagged") / F.col("total_applications") * 100, 6))
 
 
 @query("a17_fraud_amounts", """SELECT CASE WHEN o_totalprice > 450000 THEN 'Flagged' ELSE 'Normal' END AS kind, COUNT(*) AS n,
-    ROUND(ROUND(SUM(o_totalprice), 2) / COUNT(*), 3) AS avg_amount FROM orders GROUP BY 1""")
+    ROUND(SUM(o_totalprice), 2) / COUNT(*) AS avg_amount FROM orders GROUP BY 1""")
 def a17d(t):
     d = t.orders.withColumn("kind", F.when(F.col("o_totalprice") > 450000, "Flagged").otherwise("Normal"))
-    return d.groupBy("kind").agg(N.alias("n"), F.round(F.round(F.sum("o_totalprice"), 2) / N, 3).alias("avg_amount"))
+    return d.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), (F.round(F.sum("o_totalprice"), 2) / F.count(F.lit(1))).alias("avg_amount"))
 
 
 @query("a18_key_stats", """WITH k AS (SELECT user_id, COUNT(*) AS n FROM events GROUP BY user_id)

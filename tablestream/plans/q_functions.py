@@ -219,11 +219,11 @@ def d02(t):
     return d.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("length").alias("longest"))
 
 
-@query("d03_aggregate_function", "SELECT user_id, ROUND(SUM(value) / COUNT(*), 3) AS mean FROM (SELECT user_id, CAST(value * 100 AS INTEGER) AS value FROM events) GROUP BY user_id")
+@query("d03_aggregate_function", "SELECT user_id, SUM(value) / COUNT(*) AS mean FROM (SELECT user_id, CAST(value * 100 AS INTEGER) AS value FROM events) GROUP BY user_id")
 def d03(t):
     """Accumulator (sum, count) with a finishing step."""
     e = t.events.select("user_id", F.round(F.col("value") * 100).cast("int").alias("cents"))
-    return U.accumulate(e, "user_id", {"s": F.sum("cents"), "n": F.count("cents")}, F.round(F.col("s") / F.col("n"), 3), "mean")
+    return U.accumulate(e, "user_id", {"s": F.sum("cents"), "n": F.count("cents")}, F.col("s") / F.col("n"), "mean")
 
 
 @query("d04_table_aggregate", "SELECT user_id, event_id, value, CAST(rn AS INTEGER) AS rank FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY value DESC, event_id DESC) AS rn FROM events) WHERE rn <= 2")

@@ -5,20 +5,19 @@ from pyspark.sql import functions as F
 from ..operators import over as O, windows as W
 from .registry import query
 
-N = F.count(F.lit(1))
 
 
 @query("o01_over_range", """SELECT event_id, COUNT(*) OVER w AS n, ROUND(SUM(value) OVER w, 2) AS total FROM events
     WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL '1 day' PRECEDING AND CURRENT ROW)""")
 def o01(t):
-    d = O.over_range(t.events.select("event_id", "user_id", "ts", "value"), "user_id", "ts", "1 day", {"n": N, "total": F.sum("value")})
+    d = O.over_range(t.events.select("event_id", "user_id", "ts", "value"), "user_id", "ts", "1 day", {"n": F.count(F.lit(1)), "total": F.sum("value")})
     return d.select("event_id", "n", F.round("total", 2).alias("total"))
 
 
 @query("o02_over_rows", """SELECT event_id, COUNT(*) OVER w AS n, MAX(value) OVER w AS top FROM events
     WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 10 PRECEDING AND CURRENT ROW)""")
 def o02(t):
-    d = O.over_rows(t.events.select("event_id", "user_id", "ts", "value"), "user_id", ["ts", "event_id"], 10, {"n": N, "top": F.max("value")}, block=25)
+    d = O.over_rows(t.events.select("event_id", "user_id", "ts", "value"), "user_id", ["ts", "event_id"], 10, {"n": F.count(F.lit(1)), "top": F.max("value")}, block=25)
     return d.select("event_id", "n", "top")
 
 
@@ -100,5 +99,5 @@ def o13(t):
 @query("o14_named_window", """SELECT event_id, MIN(value) OVER w AS low, MAX(value) OVER w AS high, COUNT(*) OVER w AS n FROM events
     WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL '12 hours' PRECEDING AND CURRENT ROW)""")
 def o14(t):
-    aggs = {"low": F.min("value"), "high": F.max("value"), "n": N}
+    aggs = {"low": F.min("value"), "high": F.max("value"), "n": F.count(F.lit(1))}
     return O.over_range(t.events.select("event_id", "user_id", "ts", "value"), "user_id", "ts", "12 hours", aggs).select("event_id", *aggs)

@@ -84,14 +84,16 @@ def x08(t):
 
 
 @query("x09_cutoff", """WITH tr AS (SELECT DISTINCT time_bucket(INTERVAL '1 day', ts) + INTERVAL '11 hours 30 minutes' AS cutoff_ts FROM events),
-    e AS (SELECT event_id, user_id, ts, ts + INTERVAL '1 hour' * (event_id % 5) - INTERVAL '2 hours' AS expected_ts FROM events),
-    d AS (SELECT cutoff_ts, e.*, ROW_NUMBER() OVER (PARTITION BY cutoff_ts, user_id ORDER BY ts DESC) AS rn FROM tr JOIN e ON expected_ts BETWEEN cutoff_ts - INTERVAL '6 hours' AND cutoff_ts)
-    SELECT cutoff_ts, user_id, event_id, CASE WHEN ts <= cutoff_ts THEN 'RECEIVED' ELSE 'PROACTIVE' END AS outcome FROM d WHERE rn = 1""")
+    d AS (SELECT cutoff_ts, e.*, ROW_NUMBER() OVER (PARTITION BY cutoff_ts, user_id ORDER BY ts DESC) AS rn FROM tr JOIN events e ON ts BETWEEN cutoff_ts - INTERVAL '24 hours' AND cutoff_ts),
+    r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, event_type ORDER BY ts) AS rn FROM events)
+    SELECT user_id, event_id, ts, event_type FROM r WHERE rn = 1 UNION ALL
+    SELECT user_id, event_id, cutoff_ts, 'proactive_no_event' FROM d WHERE rn = 1 AND ts <= cutoff_ts - INTERVAL '2 hours'""")
 def x09(t):
-    """Users expected in the six hours before each daily cutoff: heard from, or flagged."""
-    tr = t.events.select((F.col("ts").cast("date").cast("timestamp_ntz") + interval(11.5 * 3600)).alias("cutoff_ts")).distinct()
-    e = t.events.withColumn("expected_ts", F.col("ts") + F.make_dt_interval(hours=(F.col("event_id") % 5 - 2).cast("int")))
-    return X.cutoff(e.select("event_id", "user_id", "ts", "expected_ts"), tr, "user_id", "ts", "expected_ts", "cutoff_ts", "6 hours").select("cutoff_ts", "user_id", "event_id", "outcome")
+    """Daily 11:30 cutoff: users heard of in the last day but silent for two hours, next to received first events."""
+    from ..operators.dedup import first_per_value
+    e = t.events.select("user_id", "event_id", "ts", "event_type")
+    tr = e.select((F.col("ts").cast("date").cast("timestamp_ntz") + interval(11.5 * 3600)).alias("cutoff_ts")).distinct()
+    return X.cutoff(e, tr, "user_id", "ts", "cutoff_ts", first_per_value(e, "user_id", "event_type", "ts"))
 
 
 @query("x12_eta_history", """SELECT l_orderkey, string_agg(strftime(l_shipdate, '%Y-%m-%d') || '/' || l_linestatus, ',' ORDER BY l_shipdate, l_linenumber, l_linestatus) AS history, MAX(l_shipdate) + INTERVAL '1 day' AS eta_window_start,

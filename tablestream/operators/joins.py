@@ -79,25 +79,23 @@ def expand_hierarchy(edges: DataFrame, parent: str, child: str, kind: str, group
     so a cycle ends. The loop runs once per *level*; each round's result is checkpointed.
     """
     e = edges.select(F.col(parent).alias("p"), F.col(child).alias("c"), (F.col(kind) == group_value).alias("g")).distinct()
-    e = cut_lineage(e) if depth is None or depth > 2 else e
-    seen = e.select(F.col("p").alias("root"), F.col("c").alias("member"), F.col("g").alias("is_group"))
-    front, level = seen.filter("is_group"), 1
-    limit = depth or max_depth
-    while level < limit:
-        nxt = (front.join(e, front["member"] == e["p"]).select("root", F.col("c").alias("member"), F.col("g").alias("is_group"))
-               .distinct().join(seen, ["root", "member", "is_group"], "left_anti"))
-        if limit > 2:
-            nxt = cut_lineage(nxt)
-            if nxt.isEmpty():
+    deep = depth is None or depth > 2
+    e = cut_lineage(e) if deep else e
+    levels = [e.select(F.col("p").alias("root"), F.col("c").alias("member"), F.col("g").alias("is_group"))]
+    while len(levels) < (depth or max_depth):
+        found = (levels[-1].filter("is_group").join(e, F.col("member") == F.col("p"))
+                 .select("root", F.col("c").alias("member"), F.col("g").alias("is_group")).distinct())
+        found = found.join(reduce(DataFrame.unionAll, levels), ["root", "member", "is_group"], "left_anti")
+        if deep:
+            found = cut_lineage(found)
+            if found.isEmpty():
                 break
-        seen = seen.unionByName(nxt)
-        if limit > 2:
-            seen = cut_lineage(seen)
-        front, level = nxt.filter("is_group"), level + 1
+        levels.append(found)
     else:
         if depth is None:
             raise RuntimeError(f"hierarchy deeper than {max_depth} levels")
-    return seen.filter(~F.col("is_group")).select(F.col("root").alias(parent), F.col("member").alias(child))
+    out = reduce(DataFrame.unionAll, levels).filter(~F.col("is_group"))
+    return out.select(F.col("root").alias(parent), F.col("member").alias(child))
 
 
 def join_lookup(l: DataFrame, dim: DataFrame, on: Keys, status: str = "lookup_status") -> tuple[DataFrame, DataFrame]:

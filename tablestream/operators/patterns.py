@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import cut_lineage
+from .batches import group_slices
 from .core import Keys, any_of, as_list, epoch_us, interval, join_null_safe, seconds
 from .sequence import CHUNK, HOT, chunk_no, grid_for, lag_in_order, mark_hot, position, running, with_chunk
 
@@ -131,21 +132,6 @@ def diff_alert(df: DataFrame, keys: Keys, order: Keys, col: str) -> DataFrame:
 
 # ---- sequential state machines over a key ---------------------------------------------------------
 
-def group_slices(batches: Iterator[pd.DataFrame], keys: Sequence[str]) -> Iterator[tuple[tuple, pd.DataFrame, bool]]:
-    """Cut sorted batches where the key changes: (key, rows, starts a new group). A group may span batches."""
-    last = object()
-    for pdf in batches:
-        if not len(pdf):
-            continue
-        cols = [pdf[c].astype(object).where(pdf[c].notna(), None).tolist() for c in keys]
-        ids = list(zip(*cols))
-        start = 0
-        for i in range(1, len(ids) + 1):
-            if i == len(ids) or ids[i] != ids[start]:
-                yield ids[start], pdf.iloc[start:i], ids[start] != last
-                last, start = ids[start], i
-
-
 def chunked_scan(df: DataFrame, keys: Keys, order: Keys, step: Callable[[dict | None, pd.DataFrame], tuple[list[dict], dict | None]],
                  out_schema: str) -> DataFrame:
     """Run a sequential ``step(state, rows) -> (outputs, state)`` over each key; the chunks of hot keys in parallel.

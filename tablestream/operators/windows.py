@@ -1,15 +1,17 @@
 """Time windows over rows: tumble, hop, cumulate, session, count windows and their combinations."""
 
-from collections.abc import Callable
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
 from math import gcd
-from typing import Any, Iterator, Tuple
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..session import cut_lineage
 from .core import (Aggs, Keys, as_list, epoch_us, finish_aggs, interval, join_null_safe, merge_aggs, partial_aggs,
                    partial_names, seconds)
+from .batches import group_slices
 from .sequence import CHUNK, HOT, chunk_window, with_chunk
 
 BOUNDS = ("window_start", "window_end")
@@ -176,19 +178,43 @@ def count_window(df: DataFrame, keys: Keys, order: Keys, n: int, aggs: Aggs, ful
     return g.select(*k, "window_no", *finish_aggs(aggs))
 
 
-def apply_window(df: DataFrame, ts: str, size: str, keys: Keys, fn: Callable[..., Iterator[pd.DataFrame]], schema: str) -> DataFrame:
-    """Call ``fn(key, batches)`` for each (window, key); it gets the rows as an iterator of pandas frames.
+def apply_window(df: DataFrame, ts: str, size: str, keys: Keys, fn: Callable[[tuple, Iterator[pd.DataFrame]], Iterator[tuple]],
+                 schema: str) -> DataFrame:
+    """Call ``fn(key, parts)`` for each (window, key), with ``key`` = (window_start, window_end, *keys).
 
-    For logic no aggregate can express. Rows arrive in batches, so a big window needs no big memory, as long
-    as ``fn`` keeps a running state instead of the rows. ``key`` is (window_start, window_end, *keys).
+    For logic no aggregate can express. ``parts`` are pandas frames in time order, ``fn`` yields result rows
+    as tuples. Rows stream in batches, so a big window needs no big memory as long as ``fn`` keeps a running
+    state instead of the rows.
     """
-    k = as_list(keys)
+    g = [*BOUNDS, *as_list(keys)]
     d = df.select("*", F.window(ts, size).alias("w")).select(*_bounds(), *df.columns)
-
-    def run(key: Tuple[Any, ...], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield from fn(key, batches)
-
-    return d.groupBy("window_start", "window_end", *k).applyInPandas(run, schema)
+    names = T._parse_datatype_string(schema).names
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        slices, out = group_slices(batches, g), []
+        held = next(slices, None)
+        while held is not None:
+            key, after = held[0], []
+
+            def parts() -> Iterator[pd.DataFrame]:
+                yield held[1]
+                for k, part, fresh in slices:
+                    if fresh:
+                        after.append((k, part, fresh))
+                        return
+                    yield part
+
+            mine = parts()
+            out += list(fn(key, mine))
+            for _ in mine:                               # what ``fn`` left unread
+                pass
+            if len(out) > 10_000:
+                yield pd.DataFrame(out, columns=names)
+                out = []
+            held = after[0] if after else None
+        yield pd.DataFrame(out, columns=names)
+
+    return d.repartition(*g).sortWithinPartitions(*g, ts).mapInPandas(run, schema)
 
 
 def evict(df: DataFrame, ts: str, size: str, keys: Keys, last_n: int | None = None, last_t: str | None = None,

@@ -22,10 +22,10 @@ def c01(t):
 
 
 @query("c02_unwrap_qlik", """SELECT user_id, value, event_id AS change_sequence, CASE WHEN event_type = 'error' THEN 'DELETE' WHEN event_type = 'signup' THEN 'INSERT' ELSE 'UPDATE' END AS operation, event_type = 'error' AS is_deleted
-    FROM events WHERE event_id % 9 <> 0""")
+    FROM events WHERE value >= 3""")
 def c02(t):
     gone = F.col("event_type") == "error"
-    row = F.when(F.col("event_id") % 9 != 0, F.struct("user_id", "value"))          # every ninth message is empty
+    row = F.when(F.col("value") >= 3, F.struct("user_id", "value"))          # messages of small value are empty
     op = F.when(gone, "DELETE").when(F.col("event_type") == "signup", "INSERT").otherwise("UPDATE")
     env = t.events.select(F.struct(op.alias("operation"), F.col("event_id").alias("changeSequence"), F.col("ts").alias("timestamp")).alias("headers"),
                           F.when(~gone, row).alias("data"), F.when(gone, row).alias("beforeData"))
@@ -56,8 +56,8 @@ def c06(t):
     return C.cdc_latest(flat, "user_id", ["ts", "event_id"]).select(*COLS)
 
 
-@query("c07_merge", """WITH tgt AS (SELECT * FROM (SELECT user_id, event_id, ts, value, event_type, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM events WHERE ts < TIMESTAMP '2024-01-10' AND user_id % 5 <> 0) WHERE rn = 1),
-    stg AS (SELECT * FROM (SELECT user_id, event_id, ts, value, event_type, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM events WHERE user_id % 3 <> 0) WHERE rn = 1)
+@query("c07_merge", """WITH tgt AS (SELECT * FROM (SELECT user_id, event_id, ts, value, event_type, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM events WHERE ts < TIMESTAMP '2024-01-10' AND value > 80) WHERE rn = 1),
+    stg AS (SELECT * FROM (SELECT user_id, event_id, ts, value, event_type, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM events WHERE value > 100) WHERE rn = 1)
     SELECT s.user_id, s.event_id, CASE WHEN s.event_type = 'error' THEN m.value ELSE s.value END AS value, s.event_type = 'error' AS deleted FROM stg s LEFT JOIN tgt m ON s.user_id = m.user_id
     WHERE m.user_id IS NULL OR (s.ts > m.ts AND s.event_id % 2 = 0)
     UNION ALL SELECT t.user_id, t.event_id, t.value, t.event_type = 'error' FROM tgt t LEFT JOIN stg s ON s.user_id = t.user_id WHERE s.user_id IS NULL OR NOT (s.ts > t.ts AND s.event_id % 2 = 0)""")
@@ -65,8 +65,8 @@ def c07(t):
     """Conditional merge: newer even ids win, a delete keeps the old value."""
     from ..operators.dedup import dedup_last
     e = t.events.select("user_id", "event_id", "ts", "value", (F.col("event_type") == "error").alias("deleted"))
-    tgt = dedup_last(e.filter("ts < timestamp_ntz'2024-01-10' and user_id % 5 <> 0"), "user_id", "ts")
-    stg = dedup_last(e.filter("user_id % 3 <> 0"), "user_id", "ts")
+    tgt = dedup_last(e.filter("ts < timestamp_ntz'2024-01-10' and value > 80"), "user_id", "ts")
+    stg = dedup_last(e.filter("value > 100"), "user_id", "ts")
     ch = C.merge_into(tgt, stg, "user_id", (F.col("s.ts") > F.col("m.ts")) & (F.col("s.event_id") % 2 == 0), "deleted", "value")
     return C.apply_merge(tgt, ch, "user_id").select("user_id", "event_id", "value", "deleted")
 
@@ -107,12 +107,12 @@ def c10(t):
     return d.select("row_kind", "user_id", "value", "change_event_id")
 
 
-@query("c11_tombstone_cascade", """WITH tomb AS (SELECT user_id % 30 AS g, MAX(ts) AS tomb FROM events WHERE event_type = 'signup' AND event_id % 5 = 0 GROUP BY 1)
+@query("c11_tombstone_cascade", """WITH tomb AS (SELECT user_id % 30 AS g, MAX(ts) AS tomb FROM events WHERE event_type = 'signup' AND value > 60 GROUP BY 1)
     SELECT user_id % 30 AS g, COUNT(*) AS members, COUNT(*) FILTER (WHERE ts < tomb) AS deleted FROM events LEFT JOIN tomb ON user_id % 30 = g WHERE event_type <> 'signup' GROUP BY 1""")
 def c11(t):
     from ..operators.joins import apply_group_tombstone
     signup = F.col("event_type") == "signup"
-    r = t.events.filter(~signup | (F.col("event_id") % 5 == 0)).select((F.col("user_id") % 30).alias("g"), F.when(signup, "").otherwise("m").alias("member"), "ts", signup.alias("is_deleted"))
+    r = t.events.filter(~signup | (F.col("value") > 60)).select((F.col("user_id") % 30).alias("g"), F.when(signup, "").otherwise("m").alias("member"), "ts", signup.alias("is_deleted"))
     return apply_group_tombstone(r, "g", "member", "ts", "is_deleted").groupBy("g").agg(F.count(F.lit(1)).alias("members"), F.count_if("is_deleted").alias("deleted"))
 
 
@@ -133,11 +133,11 @@ def c13(t):
     return d.withColumn("usage", F.round("usage", 2))
 
 
-@query("c14_mix", """WITH u AS (SELECT event_id % 3000 AS k, event_id, ts, 1 AS pr, 'hist' AS src FROM events WHERE event_id % 2 = 0 UNION ALL SELECT event_id % 3000, event_id, ts, 0, 'live' FROM events WHERE event_id % 2 = 1 AND ts >= TIMESTAMP '2024-01-15')
+@query("c14_mix", """WITH u AS (SELECT event_id % 3000 AS k, event_id, ts, 1 AS pr, 'hist' AS src FROM events WHERE ts < TIMESTAMP '2024-01-15' UNION ALL SELECT event_id % 3000, event_id, ts, 0, 'live' FROM events WHERE ts >= TIMESTAMP '2024-01-15')
     SELECT k, event_id, src FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY k ORDER BY pr, ts DESC) AS rn FROM u) WHERE rn = 1""")
 def c14(t):
     e = t.events.select((F.col("event_id") % 3000).alias("k"), "event_id", "ts")
-    return L.mix(e.filter("event_id % 2 = 0"), e.filter("event_id % 2 = 1 and ts >= timestamp_ntz'2024-01-15'"), "k", "ts").select("k", "event_id", "src")
+    return L.mix(e.filter("ts < timestamp_ntz'2024-01-15'"), e.filter("ts >= timestamp_ntz'2024-01-15'"), "k", "ts").select("k", "event_id", "src")
 
 
 @query("c15_scd2_history", """SELECT * FROM (SELECT user_id, event_type, value, ts AS valid_from, LEAD(ts) OVER w AS valid_to, LEAD(ts) OVER w IS NULL AS is_current FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)) WHERE event_type <> 'error'""")
@@ -146,15 +146,15 @@ def c15a(t):
     return d.select("user_id", "event_type", "value", "valid_from", "valid_to", "is_current")
 
 
-@query("c15_scd2_step", """WITH a AS (SELECT user_id, value, ts FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM events WHERE ts < TIMESTAMP '2024-01-15' AND user_id % 4 <> 0) WHERE rn = 1),
-    b AS (SELECT user_id, value, ts FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM events WHERE user_id % 5 <> 0) WHERE rn = 1)
+@query("c15_scd2_step", """WITH a AS (SELECT user_id, value, ts FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM events WHERE ts < TIMESTAMP '2024-01-15' AND value > 80) WHERE rn = 1),
+    b AS (SELECT user_id, value, ts FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM events WHERE value > 100) WHERE rn = 1)
     SELECT a.user_id, a.value, a.ts AS valid_from, CASE WHEN b.user_id IS NULL THEN TIMESTAMP '2024-02-01' WHEN b.ts > a.ts THEN b.ts END AS valid_to FROM a LEFT JOIN b USING (user_id)
     UNION ALL SELECT b.user_id, b.value, b.ts, NULL FROM b LEFT JOIN a USING (user_id) WHERE a.user_id IS NULL OR b.ts > a.ts""")
 def c15b(t):
     """One snapshot step: changed keys get a new version, vanished keys are closed."""
     from ..operators.dedup import dedup_last
     e = t.events.select("user_id", "value", "ts")
-    first = dedup_last(e.filter("ts < timestamp_ntz'2024-01-15' and user_id % 4 <> 0"), "user_id", "ts")
+    first = dedup_last(e.filter("ts < timestamp_ntz'2024-01-15' and value > 80"), "user_id", "ts")
     hist = first.select("*", F.col("ts").alias("valid_from"), F.lit(None).cast("timestamp_ntz").alias("valid_to"))
-    now = dedup_last(e.filter("user_id % 5 <> 0"), "user_id", "ts")
+    now = dedup_last(e.filter("value > 100"), "user_id", "ts")
     return C.scd2(hist, now, "user_id", "ts", "2024-02-01 00:00:00").select("user_id", "value", "valid_from", "valid_to")

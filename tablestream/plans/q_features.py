@@ -32,9 +32,9 @@ def m01b(t):
 
 @query("m02_mad", """WITH m AS (SELECT event_type, QUANTILE_CONT(value, 0.5) AS med FROM events GROUP BY 1),
     d AS (SELECT event_id, e.event_type, value, med, ABS(value - med) AS dev FROM events e JOIN m USING (event_type)), k AS (SELECT event_type, QUANTILE_CONT(dev, 0.5) AS mad FROM d GROUP BY 1)
-    SELECT event_id, ROUND(0.6745 * dev / mad, 4) AS robust_z FROM d JOIN k USING (event_type) WHERE mad > 0 AND 0.6745 * dev / mad > 3.5""")
+    SELECT event_id, ROUND(0.6745 * dev / mad, 8) AS robust_z FROM d JOIN k USING (event_type) WHERE mad > 0 AND 0.6745 * dev / mad > 3.5""")
 def m02(t):
-    return M.detect_anomalies_mad(t.events.select("event_id", "event_type", "value"), "event_type", "value").select("event_id", F.round("robust_z", 4).alias("robust_z"))
+    return M.detect_anomalies_mad(t.events.select("event_id", "event_type", "value"), "event_type", "value").select("event_id", F.round("robust_z", 8).alias("robust_z"))
 
 
 @query("m03_escalate", """WITH e AS (SELECT event_id, user_id, ts, CAST(ROUND(value * 100) AS BIGINT) AS v FROM events),

@@ -35,11 +35,11 @@ def j03(t):
 
 
 @query("j04_full", """SELECT COALESCE(a.k, b.k) AS k, COALESCE(a.name, 'NULL') AS name, COALESCE(b.pri, 'NULL') AS pri FROM
-    (SELECT c_custkey AS k, c_name AS name FROM customer WHERE c_custkey % 2 = 0) a FULL JOIN
-    (SELECT o_custkey AS k, MAX(o_orderpriority) AS pri FROM orders WHERE o_custkey % 3 = 0 GROUP BY o_custkey) b ON a.k = b.k""")
+    (SELECT c_custkey AS k, c_name AS name FROM customer WHERE c_acctbal > 4000) a FULL JOIN
+    (SELECT o_custkey AS k, MAX(o_orderpriority) AS pri FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 400000 GROUP BY o_custkey) b ON a.k = b.k""")
 def j04(t):
-    a = t.customer.filter("c_custkey % 2 = 0").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"))
-    b = t.orders.filter("o_custkey % 3 = 0").groupBy(F.col("o_custkey").alias("k")).agg(F.max("o_orderpriority").alias("pri"))
+    a = t.customer.filter("c_acctbal > 4000").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"))
+    b = t.orders.filter("o_orderstatus = 'F' and o_totalprice > 400000").groupBy(F.col("o_custkey").alias("k")).agg(F.max("o_orderpriority").alias("pri"))
     return J.join_full(a, b, "k", fill="NULL")
 
 

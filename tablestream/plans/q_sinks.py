@@ -13,8 +13,8 @@ SPLIT = "timestamp_ntz'2024-01-15 00:00:00'"
 @query("s11_append", "SELECT event_id, value FROM events")
 def s11(t):
     p = scratch_dir(t.spark, "append")
-    K.write_append(t.events.filter("event_id % 2 = 0").select("event_id", "value"), p)
-    K.write_append(t.events.filter("event_id % 2 = 1").select("event_id", "value"), p)
+    K.write_append(t.events.filter(f"ts < {SPLIT}").select("event_id", "value"), p)
+    K.write_append(t.events.filter(f"ts >= {SPLIT}").select("event_id", "value"), p)
     return t.spark.read.parquet(p)
 
 
@@ -100,7 +100,7 @@ def s21(t):
 def s23(t):
     """Second full refresh replaces the first."""
     p = scratch_dir(t.spark, "materialized")
-    K.materialize_full(lambda: A.agg(t.events.filter("event_id % 2 = 0"), "event_type", {"n": ("count", "*")}), p)
+    K.materialize_full(lambda: A.agg(t.events.filter(f"ts < {SPLIT}"), "event_type", {"n": ("count", "*")}), p)
     K.materialize_full(lambda: A.agg(t.events, "event_type", {"n": ("count", "*")}), p)
     return K.read_materialized(t.spark, p)
 

@@ -129,13 +129,12 @@ def w18(t):
 @query("w19_apply_window", f"""SELECT {tb('1 day')} AS window_start, user_id, COUNT(*) AS n, ROUND(MAX(value) - MIN(value), 2) AS spread FROM events GROUP BY ALL""")
 def w19(t):
     """A function called with all rows of each (day, user)."""
-    import pandas as pd
-
-    def spread(key, batches):
+    def spread(key, parts):
         n, low, high = 0, float("inf"), float("-inf")
-        for pdf in batches:
-            n, low, high = n + len(pdf), min(low, float(pdf["value"].min())), max(high, float(pdf["value"].max()))
-        yield pd.DataFrame([[key[0], key[2], n, round(high - low, 2)]], columns=["window_start", "user_id", "n", "spread"])
+        for p in parts:
+            v = p["value"].to_numpy()
+            n, low, high = n + len(v), min(low, float(v.min())), max(high, float(v.max()))
+        yield key[0], key[2], n, round(high - low, 2)
 
     e = t.events.select("ts", "user_id", "value")
     return W.apply_window(e, "ts", "1 day", "user_id", spread, "window_start timestamp_ntz, user_id bigint, n bigint, spread double")

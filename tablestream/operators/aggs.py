@@ -110,8 +110,8 @@ def word_count(df: DataFrame, col: str, pattern: str = r"\s+") -> DataFrame:
 def key_stats(counts: DataFrame, col: str = "n") -> DataFrame:
     """One row: mean, standard deviation and exact quartile / tail quantiles of a *per-key* column.
 
-    ``percentile`` keeps a value -> frequency map and counts per key repeat heavily, so the map stays
-    small however many keys there are.
+    ``percentile`` keeps a value -> frequency map. Counts per key that differ add up to at most the row
+    count, so a table of n rows has fewer than sqrt(2n) of them, whatever the number of keys.
     """
     p = F.percentile(col, F.array(F.lit(0.75), F.lit(0.95), F.lit(0.99)))
     return counts.agg(F.avg(col).alias("mean_count"), F.stddev(col).alias("stddev_count"), p.alias("p")).select(

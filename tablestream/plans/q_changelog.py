@@ -59,15 +59,15 @@ def c06(t):
 @query("c07_merge", """WITH tgt AS (SELECT * FROM (SELECT user_id, event_id, ts, value, event_type, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM events WHERE ts < TIMESTAMP '2024-01-10' AND value > 80) WHERE rn = 1),
     stg AS (SELECT * FROM (SELECT user_id, event_id, ts, value, event_type, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM events WHERE value > 100) WHERE rn = 1)
     SELECT s.user_id, s.event_id, CASE WHEN s.event_type = 'error' THEN m.value ELSE s.value END AS value, s.event_type = 'error' AS deleted FROM stg s LEFT JOIN tgt m ON s.user_id = m.user_id
-    WHERE m.user_id IS NULL OR (s.ts > m.ts AND s.event_id % 2 = 0)
-    UNION ALL SELECT t.user_id, t.event_id, t.value, t.event_type = 'error' FROM tgt t LEFT JOIN stg s ON s.user_id = t.user_id WHERE s.user_id IS NULL OR NOT (s.ts > t.ts AND s.event_id % 2 = 0)""")
+    WHERE m.user_id IS NULL OR (s.ts > m.ts AND s.value >= m.value)
+    UNION ALL SELECT t.user_id, t.event_id, t.value, t.event_type = 'error' FROM tgt t LEFT JOIN stg s ON s.user_id = t.user_id WHERE s.user_id IS NULL OR NOT (s.ts > t.ts AND s.value >= t.value)""")
 def c07(t):
-    """Conditional merge: newer even ids win, a delete keeps the old value."""
+    """Conditional merge: newer and not smaller wins, a delete keeps the old value."""
     from ..operators.dedup import dedup_last
     e = t.events.select("user_id", "event_id", "ts", "value", (F.col("event_type") == "error").alias("deleted"))
     tgt = dedup_last(e.filter("ts < timestamp_ntz'2024-01-10' and value > 80"), "user_id", "ts")
     stg = dedup_last(e.filter("value > 100"), "user_id", "ts")
-    ch = C.merge_into(tgt, stg, "user_id", (F.col("s.ts") > F.col("m.ts")) & (F.col("s.event_id") % 2 == 0), "deleted", "value")
+    ch = C.merge_into(tgt, stg, "user_id", (F.col("s.ts") > F.col("m.ts")) & (F.col("s.value") >= F.col("m.value")), "deleted", "value")
     return C.apply_merge(tgt, ch, "user_id").select("user_id", "event_id", "value", "deleted")
 
 

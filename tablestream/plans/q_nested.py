@@ -40,10 +40,10 @@ def c18(t):
     return d.select("o_orderkey", F.size("items").alias("n_items"), total.alias("qty"))
 
 
-@query("c19_json_to_dim", """SELECT CAST(c_custkey AS BIGINT) AS id, c_name AS name, CAST(c_nationkey AS INTEGER) AS nation, c_mktsegment AS segment FROM customer WHERE c_custkey % 10 <> 0""")
+@query("c19_json_to_dim", """SELECT CAST(c_custkey AS BIGINT) AS id, c_name AS name, CAST(c_nationkey AS INTEGER) AS nation, c_mktsegment AS segment FROM customer WHERE c_mktsegment <> 'FURNITURE'""")
 def c19(t):
     """Customer JSON messages to a dimension with a nested address row; delete messages are skipped."""
-    op = F.when(F.col("c_custkey") % 10 == 0, "DELETE").otherwise("UPDATE")
+    op = F.when(F.col("c_mktsegment") == "FURNITURE", "DELETE").otherwise("UPDATE")
     doc = F.to_json(F.struct(F.struct(op.alias("op")).alias("headers"),
                              F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation"), F.col("c_mktsegment").alias("segment")).alias("data")))
     d = C.json_to_dim(t.customer.select(doc.alias("msg")), "msg", {"id": ("$.data.id", "bigint"), "name": ("$.data.name", "string")},

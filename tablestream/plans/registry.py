@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import tune
+
 
 class Tables:
     """Lazy access to the parquet tables of one data folder: ``t.events``."""
@@ -31,7 +33,7 @@ class Query:
     doc: str
 
     def __call__(self, spark: SparkSession, folder: str) -> DataFrame:
-        return self.build(Tables(spark, folder))
+        return self.build(Tables(tune(spark), folder))
 
 
 QUERIES: dict[str, Query] = {}

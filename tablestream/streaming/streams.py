@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.core import Aggs, Keys, as_list, interval, seconds
+from ..operators.joins import plan_bytes
 from ..operators.sequence import CHUNK, attach, carry_over, with_chunk
 from ..operators.windows import hop, session, tumble
 from ..session import scratch_dir
@@ -58,16 +59,27 @@ def replay(spark: SparkSession, folder: str, table: str, ts: str, delay: str, bu
     beats, out, chk = f"{root}/beats", f"{root}/out", f"{root}/checkpoint"
     spark.createDataFrame([], schema).write.mode("append").parquet(beats)
 
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    need = max(spark.sparkContext.defaultParallelism, -(-plan_bytes(spark.read.parquet(f"{folder}/{table}.parquet")) // (128 << 20)))
+
     def once() -> None:
         real = read_table_stream(spark, folder, table, schema, files_per_trigger).withColumn(BEAT, F.lit(False))
         tick = spark.readStream.schema(schema).parquet(beats).withColumn(BEAT, F.lit(True))
         run_stream(build(with_watermark(real.unionByName(tick), ts, delay)), out, chk, mode, keys, order_by)
 
-    once()
-    # the heartbeat is the newest row moved on in time: a NULL key could be filtered out below the watermark
-    newest = spark.read.parquet(f"{folder}/{table}.parquet").orderBy(F.col(ts).desc()).limit(1)
-    newest.withColumn(ts, F.col(ts) + F.expr("INTERVAL 3650 DAYS")).write.mode("append").parquet(beats)
-    once()
+    def beat() -> None:
+        # the newest row moved on in time: a NULL key could be filtered out below the watermark
+        newest = spark.read.parquet(f"{folder}/{table}.parquet").orderBy(F.col(ts).desc()).limit(1)
+        newest.withColumn(ts, F.col(ts) + F.expr("INTERVAL 3650 DAYS")).write.mode("append").parquet(beats)
+
+    # state stores are one per shuffle partition: size them by the table, not by the session's default
+    spark.conf.set("spark.sql.shuffle.partitions", str(min(int(parts), need)))
+    try:
+        once()
+        beat()
+        once()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
     return spark.read.parquet(out)
 
 

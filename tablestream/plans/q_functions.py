@@ -201,6 +201,12 @@ def f32(t):
     return t.part.select("p_partkey", S.price_text(text).cast("double").alias("price"))
 
 
+@query("f33_now", "SELECT event_id, ts < CAST(now() AS TIMESTAMP) AS past, true AS same_day FROM events")
+def f33(t):
+    """Current time and date; both are one value per query."""
+    return t.events.select("event_id", (F.col("ts") < F.current_timestamp().cast("timestamp_ntz")).alias("past"), (F.current_date() == F.to_date(F.now())).alias("same_day"))
+
+
 @query("f34_by_position", "SELECT event_id, event_type AS a, CAST(value AS VARCHAR) AS b FROM events")
 def f34(t):
     arr = F.array(F.col("event_type"), F.col("value").cast("string"))

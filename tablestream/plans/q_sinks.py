@@ -64,6 +64,13 @@ def s16(t):
     return t.spark.read.option("header", True).schema("c_custkey bigint, c_name string, c_acctbal double").csv(p)
 
 
+@query("s17_discard_sink", "SELECT COUNT(*) AS n FROM orders")
+def s17(t):
+    """Whole rows computed and thrown away, next to their count."""
+    K.write_noop(t.orders)
+    return t.orders.agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("s18_fan_out", "SELECT 'all' AS sink, COUNT(*) AS n FROM events UNION ALL SELECT 'errors', COUNT(*) FROM events WHERE event_type = 'error'")
 def s18(t):
     """One read, two sinks."""

@@ -146,3 +146,72 @@ def j26s(t):
     k = F.col("event_type")
     d = events(t, lambda s: ST.stream_pair_once(S.without_beats(S.pick(s, k.isin("view", "purchase")), "ts"), "user_id", "ts", k == "view", k == "purchase", "event_id"))
     return d.select("user_id", F.col("left_id").cast("bigint").alias("event_id"), F.col("right_id").cast("bigint").alias("purchase_id"))
+
+
+@query("j17_lookup_refresh", "SELECT event_id, CASE WHEN s_suppkey IS NULL THEN 'FAILED' ELSE 'SUCCESS' END AS lookup_status, s_name FROM events LEFT JOIN (SELECT * FROM supplier WHERE s_acctbal > 0) ON user_id = s_suppkey")
+def j17(t):
+    """Reference rows loaded anew for every micro-batch, result split into found and missing tables."""
+    from ..operators.relational import union_all
+    from ..session import scratch_dir
+    from ..sources.files import read_table_stream
+    root = scratch_dir(t.spark, "lookup")
+    dim = lambda: t.supplier.filter("s_acctbal > 0").select(F.col("s_suppkey").alias("user_id"), "s_name")
+
+    def write(found, missing, i):
+        found.write.mode("overwrite").parquet(f"{root}/found/_batch={i}")
+        missing.write.mode("overwrite").parquet(f"{root}/missing/_batch={i}")
+
+    s = read_table_stream(t.spark, t.folder, "events", t.events.schema).select("event_id", "user_id")
+    S.lookup_each_batch(s, dim, "user_id", write, f"{root}/checkpoint")
+    return union_all([t.spark.read.parquet(f"{root}/{n}").select("event_id", "lookup_status", "s_name") for n in ("found", "missing")])
+
+
+@query("j31_heartbeat_window_join", """WITH w AS (SELECT time_bucket(INTERVAL '1 day', ts) AS window_start, user_id, COUNT(*) FILTER (WHERE event_type = 'view') AS views, COUNT(*) FILTER (WHERE event_type = 'purchase') AS purchases FROM events GROUP BY ALL)
+    SELECT window_start, user_id, views, purchases FROM w WHERE views > 0 AND purchases > 0""")
+def j31(t):
+    """Two windowed streams joined per (day, user); heartbeats move the time of both and leave no rows."""
+    def build(s):
+        count = lambda kind, name: S.stream_tumble(S.pick(s, F.col("event_type") == kind), "ts", "1 day", "user_id", {name: ("count_if", f"not {S.BEAT}")}).filter(F.col(name) > 0)
+        return count("view", "views").join(count("purchase", "purchases"), ["window_start", "window_end", "user_id"]).drop("window_end")
+    return back(events(t, build), "window_start")
+
+
+@query("w13_watermark", "SELECT event_id, ts FROM events WHERE event_type = 'signup'")
+def w13(t):
+    """Watermarked stream without a stateful step: nothing is late, nothing is dropped."""
+    d = events(t, lambda s: S.without_beats(S.pick(s, F.col("event_type") == "signup"), "ts").select("event_id", "ts"))
+    return back(d, "ts")
+
+
+@query("w16_idle_sources", """SELECT time_bucket(INTERVAL '1 day', ts) AS window_start, COUNT(*) AS n FROM events WHERE ts < TIMESTAMP '2024-01-15' OR event_type IN ('view', 'click') GROUP BY 1""")
+def w16(t):
+    """Sources (event types) that fall silent half-way do not hold back the windows of the others."""
+    alive = (F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz").cast("timestamp")) | F.col("event_type").isin("view", "click")
+    return back(events(t, lambda s: S.stream_tumble(S.pick(s, alive), "ts", "1 day", None, {"n": ("count", "*")})), "window_start").drop("window_end")
+
+
+@query("w17_processing_time", "SELECT event_type, COUNT(*) AS n FROM events GROUP BY event_type")
+def w17(t):
+    """Windows by processing time; their times are the run's own, so the counts are summed over them."""
+    build = lambda s: S.processing_time_tumble(S.without_beats(s, "ts"), "1 hour", "event_type", {"n": ("count", "*")})
+    d = events(t, build, mode="update", keys=["window_start", "event_type"])
+    from ..operators.dedup import dedup_last
+    last = dedup_last(d, ["window_start", "event_type"], "_batch")
+    return last.groupBy("event_type").agg(F.sum("n").alias("n"))
+
+
+@query("w21_allowed_lateness", "SELECT time_bucket(INTERVAL '1 day', ts) AS window_start, COUNT(*) AS n FROM events GROUP BY 1")
+def w21(t):
+    """Update mode: each firing of a window replaces the one before it."""
+    from ..operators.dedup import dedup_last
+    build = lambda s: S.stream_tumble(s, "ts", "1 day", None, {"n": ("count_if", f"not {S.BEAT}")})
+    out = S.replay(t.spark, t.folder, "events", "ts", S.lateness_delay("1 minute", "2 days"), build, mode="update", keys="window_start")
+    d = dedup_last(out, "window_start", "_batch").filter("n > 0")
+    return back(d.select("window_start", "n"), "window_start")
+
+
+@query("d06_process_function", """SELECT user_id, event_id, CAST(date_diff('microsecond', LAG(ts) OVER w, ts) > 36000000000 AS BOOLEAN) AS long_pause FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
+def d06(t):
+    """A user's own processor with state per key: flags rows that follow a pause of more than ten hours."""
+    build = lambda s: ST.stream_pauses(S.without_beats(s, "ts"), "user_id", "ts", "event_id", "10 hours")
+    return events(t, build).select("user_id", F.col("label").cast("bigint").alias("event_id"), "long_pause")

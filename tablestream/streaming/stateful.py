@@ -159,6 +159,30 @@ class CountWindow(OrderedRows):
         return out, line[full:]
 
 
+class Pauses(OrderedRows):
+    """Flag a row that comes more than ``gap`` microseconds after the row before it (NULL for the first)."""
+
+    def __init__(self, keys: list[str], ts: str, label: str, value: str, gap_us: int):
+        super().__init__(keys, ts, label, value)
+        self.gap_us = gap_us
+
+    def columns(self) -> list[str]:
+        return [*self.keys, "label", "long_pause"]
+
+    def process(self, key, rows, old):
+        out, before = [], old[-1][0] if old else None
+        for us, label, _ in rows:
+            out.append([*key, label, None if before is None else us - before > self.gap_us])
+            before = us
+        return out, rows[-1:] or old
+
+
+def stream_pauses(df: DataFrame, keys: Keys, ts: str, row_id: str, gap: str) -> DataFrame:
+    k = as_list(keys)
+    d = df.withColumn("row_label", F.col(row_id).cast("string")).withColumn("row_value", F.lit(0.0))
+    return with_state(d, k, Pauses(k, ts, "row_label", "row_value", round(seconds(gap) * 1_000_000)), _ddl(df, k) + ", label string, long_pause boolean", "append", "EventTime")
+
+
 def _micros(df: DataFrame, out: DataFrame, ts: str) -> DataFrame:
     return out.withColumn(ts, F.timestamp_micros("us")).drop("us")
 

@@ -117,9 +117,13 @@ def processing_time_tumble(df: DataFrame, size: str, keys: Keys | None, aggs: Ag
     return tumble(df.withColumn("__now", F.current_timestamp()), "__now", size, keys, aggs)
 
 
+def lateness_delay(out_of_order: str, lateness: str) -> str:
+    return f"{seconds(out_of_order) + seconds(lateness)} seconds"
+
+
 def allowed_lateness(df: DataFrame, ts: str, out_of_order: str, lateness: str) -> DataFrame:
     """Watermark that also waits ``lateness``: in update mode a late row fires its window again."""
-    return with_watermark(df, ts, f"{seconds(out_of_order) + seconds(lateness)} seconds")
+    return with_watermark(df, ts, lateness_delay(out_of_order, lateness))
 
 
 def split_late(spark: SparkSession, stream: DataFrame, ts: str, delay: str, on_time: str, late: str, marks: str, checkpoint: str) -> None:

@@ -194,7 +194,7 @@ def pair_once(l: DataFrame, r: DataFrame, k: Keys, order: Keys) -> DataFrame:
     return position(l, keys, order, "__n").join(position(r, keys, order, "__n").drop(*as_list(order)), [*keys, "__n"]).drop("__n")
 
 
-def match_broadcast(df: DataFrame, rules: DataFrame, on: Column | Keys, max_bytes: int = 64 << 20) -> DataFrame:
+def match_broadcast(df: DataFrame, rules: DataFrame, on: Column | Keys, max_bytes: int = 10 << 20) -> DataFrame:
     """Events matched to a rule list. The list is broadcast only after its size was measured."""
     cond = on if isinstance(on, Column) else as_list(on)
     small = plan_bytes(rules) <= max_bytes

@@ -291,7 +291,7 @@ def match_sequence(df: DataFrame, keys: Keys, ts: str, stages: Sequence[Stage],
 
     Conditions are evaluated by Spark as flag columns; a small automaton walks the flags of a key. A hot key
     is cut into chunks; each also gets the rows up to ``within`` after its end, and a match belongs to the
-    chunk of its first row, so the cut changes nothing. Output: start and end time (microseconds) and one
+    chunk of its first row, so the cut changes nothing. Memory holds the rows of one ``within``. Output: start and end time (microseconds) and one
     ``stage:id`` entry per matched row.
     """
     k, o, within_us = as_list(keys), as_list(tie), round(seconds(within) * 1_000_000)
@@ -314,26 +314,38 @@ def match_sequence(df: DataFrame, keys: Keys, ts: str, stages: Sequence[Stage],
     types = dict(df.dtypes)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def matches(key: tuple, parts: list[pd.DataFrame]) -> list[list]:
-            p = pd.concat(parts) if len(parts) > 1 else parts[0]
-            flags = [p[f"__c{i}"].tolist() for i in range(len(plan))]
-            stops = [p[f"__u{i}"].tolist() for i in range(len(plan))]
-            times, ids, mine = p["__us"].tolist(), p["__id"].tolist(), (p["__own"] == p[CHUNK]).tolist()
-            return [[*key[:-1], times[m[0][1]], times[m[-1][1]], [f"{names[s]}:{ids[r]}" for s, r in m]]
-                    for i in range(len(times)) if mine[i] for m in find_sequences(flags, stops, times, plan, i, within_us)]
-
-        key, parts, out = None, [], []
+        columns = [f"__c{i}" for i in range(len(plan))] + [f"__u{i}" for i in range(len(plan))] + ["__us", "__id", "__mine"]
+        held: dict[str, list] = {c: [] for c in columns}
+        key, nxt, out = None, 0, []
+
+        def settle(until: int | None) -> None:
+            """Evaluate the starts whose whole horizon has been seen, then forget the rows before them."""
+            nonlocal nxt
+            times = held["__us"]
+            flags, stops = [held[f"__c{i}"] for i in range(len(plan))], [held[f"__u{i}"] for i in range(len(plan))]
+            while nxt < len(times) and (until is None or times[nxt] + within_us < until):
+                if held["__mine"][nxt]:
+                    for m in find_sequences(flags, stops, times, plan, nxt, within_us):
+                        out.append([*key, times[m[0][1]], times[m[-1][1]], [f"{names[s]}:{held['__id'][r]}" for s, r in m]])
+                nxt += 1
+            if until is None or nxt > 10_000:
+                for c in columns:
+                    del held[c][:nxt]
+                nxt = 0
+
         for key_now, part, fresh in group_slices(batches, [*k, CHUNK]):
-            if fresh and parts:
-                out += matches(key, parts)
-                parts = []
-                if len(out) > 10_000:
-                    yield pd.DataFrame(out, columns=[*k, "start_us", "end_us", "matched"])
-                    out = []
-            key = key_now
-            parts.append(part)
-        if parts:
-            out += matches(key, parts)
+            if fresh and key is not None:
+                settle(None)
+            key = key_now[:-1]
+            part = part.assign(__mine=part["__own"] == part[CHUNK])
+            for c in columns:
+                held[c] += part[c].tolist()
+            settle(held["__us"][-1])
+            if len(out) > 10_000:
+                yield pd.DataFrame(out, columns=[*k, "start_us", "end_us", "matched"])
+                out = []
+        if key is not None:
+            settle(None)
         yield pd.DataFrame(out, columns=[*k, "start_us", "end_us", "matched"])
 
     ddl = ", ".join([f"`{c}` {types[c]}" for c in k] + ["start_us bigint", "end_us bigint", "matched array<string>"])

@@ -103,9 +103,20 @@ def carry_over(df: DataFrame, keys: Sequence[str], per_chunk: dict[str, Column],
     return per.select(*keys, CHUNK, *[how[h](src).over(before).alias(n) for n, (h, src) in carried.items()])
 
 
+def fixed_width(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(fixed_width(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.VariantType))
+
+
 def attach(df: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Bring the carried values to the rows of hot keys; other rows get NULL."""
-    return join_null_safe(df, F.broadcast(carry), [*keys, CHUNK], "left")
+    """Bring the carried values to the rows of hot keys; other rows get NULL.
+
+    The row count of ``carry`` is bounded; it is broadcast when its values are of fixed width too, and
+    otherwise left to AQE, which knows the size by then.
+    """
+    small = all(fixed_width(f.dataType) for f in carry.schema.fields if f.name not in keys)
+    return join_null_safe(df, F.broadcast(carry) if small else carry, [*keys, CHUNK], "left")
 
 
 def lag_in_order(df: DataFrame, keys: Keys, order: Keys, outputs: dict[str, str], base: DataFrame | None = None) -> DataFrame:

@@ -182,3 +182,23 @@ def test_grid_is_bounded(spark, cut):
 def test_top_n_is_cut_before_the_shuffle(spark):
     plan = DD.dedup_last(frame(spark, data(1)), "k", ["at", "id"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2 and plan.index("Final") < plan.index("hashpartitioning(k") < plan.index("Partial")
+
+
+def test_hot_key_is_spread_over_chunks(spark):
+    """A key with a third of 30,000 rows: no (key, chunk) group keeps more than a tenth of it."""
+    f = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), "id", (F.lit(T0) + F.make_dt_interval(secs=F.col("id").cast("int"))).alias("at"))
+    spark.conf.set("spark.tablestream.hotKeyRows", "1000")
+    try:
+        c = Q.with_chunk(f, ["k"], "at")
+        per = c.groupBy("k", Q.CHUNK).count()
+        assert per.agg(F.max("count")).first()[0] <= 200 and c.filter(Q.HOT).select("k").distinct().count() == 1
+        out = O.lag(f, "k", ["at", "id"], "id", "p").filter("k = 0")
+        assert out.filter("p is null").count() == 1 and out.filter("id - p = 3").count() == 9_999
+    finally:
+        spark.conf.unset("spark.tablestream.hotKeyRows")
+
+
+def test_wide_values_are_not_broadcast_by_hint(spark):
+    f = spark.createDataFrame([("a", T0, "x", 1)], "k string, at timestamp, text string, n int")
+    plan = lambda c: O.lag(f, "k", "at", c, "p")._jdf.queryExecution().logical().toString()
+    assert plan("n").count("strategy=broadcast") == plan("text").count("strategy=broadcast") + 1

@@ -26,7 +26,7 @@ def aggregate_function(df: DataFrame, keys: Keys, fn: Callable[[pd.Series], floa
     """N rows -> 1 value per key by a pandas function; the group's column must fit one task."""
     def agg(v: pd.Series) -> float:
         return fn(v)
-    return df.groupBy(*as_list(keys)).agg(F.pandas_udf(agg, returns, "grouped_agg")(col).alias(name))
+    return df.groupBy(*as_list(keys)).agg(F.pandas_udf(agg, returns)(col).alias(name))
 
 
 def accumulate(df: DataFrame, keys: Keys, parts: dict[str, Column], finish: Column, name: str) -> DataFrame:

@@ -57,6 +57,19 @@ def collect_rows(df: DataFrame, keys: Keys, fields: Keys, name: str = "items") -
     return df.groupBy(*as_list(keys)).agg(F.sort_array(F.collect_list(F.struct(*as_list(fields)))).alias(name))
 
 
+def collect_parts(df: DataFrame, keys: Keys, order: Keys, fields: Keys, part_rows: int, name: str = "items") -> DataFrame:
+    """ARRAY_AGG of rows in parts of at most ``part_rows``, in order: for groups that may be huge.
+
+    ``part`` counts from 0; a group that fits has one part. ``order``: time or number column, then tie breakers.
+    """
+    from .sequence import position
+    k, f = as_list(keys), as_list(fields)
+    d = position(df, k, order, "__pos")
+    d = d.withColumn("part", F.floor((F.col("__pos") - 1) / part_rows).cast("int"))
+    packed = F.sort_array(F.collect_list(F.struct("__pos", F.struct(*f).alias("r"))))
+    return d.groupBy(*k, "part").agg(F.transform(packed, lambda x: x["r"]).alias(name))
+
+
 def collect_multiset(df: DataFrame, keys: Keys, col: str, name: str = "items") -> DataFrame:
     """COLLECT: distinct values with their multiplicity, counted before they are gathered."""
     k = as_list(keys)

@@ -92,18 +92,21 @@ def session(df: DataFrame, ts: str, gap: str, keys: Keys, aggs: Aggs) -> DataFra
                     (F.col("__last") + interval(seconds(gap))).alias("window_end"), *k, *finish_aggs(aggs)))
 
 
-def session_collect(df: DataFrame, ts: str, gap: str, keys: Keys, col: str, name: str = "items") -> DataFrame:
+def session_collect(df: DataFrame, ts: str, gap: str, keys: Keys, col: str, order: Keys = (), part_rows: int = 10_000,
+                    name: str = "items") -> DataFrame:
     """Sessions with the ordered list of values, start, end and length in seconds.
 
-    The list is attached by an interval lookup: each row finds its session start by carry-forward.
+    Each row finds its session by an as-of join on session starts. A list longer than ``part_rows`` goes on
+    in the next ``part``, so one endless session does not end up in one row.
     """
+    from .aggs import collect_parts
     from .temporal import join_asof
-    k = as_list(keys)
+    k, o = as_list(keys), as_list(order)
     s = cut_lineage(session(df, ts, gap, k, {"n": ("count", "*"), "last_ts": ("max", ts)}))
-    rows = join_asof(df.select(*k, ts, col), s.select(*k, F.col("window_start").alias("session_start"), "last_ts"),
+    rows = join_asof(df.select(*k, ts, *o, col), s.select(*k, F.col("window_start").alias("session_start"), "last_ts"),
                      k, ts, "session_start", "inner")
-    items = F.transform(F.sort_array(F.collect_list(F.struct(F.col(ts).alias("t"), F.col(col).alias("v")))), lambda x: x["v"])
-    return (rows.groupBy(*k, "session_start", "last_ts").agg(items.alias(name))
+    c = collect_parts(rows, [*k, "session_start", "last_ts"], [ts, *o], col, part_rows, name)
+    return (c.withColumn(name, F.transform(name, lambda x: x[col]))
             .withColumn("session_seconds", F.timestamp_diff("SECOND", "session_start", "last_ts")))
 
 
@@ -134,10 +137,12 @@ def tumble_distinct(df: DataFrame, ts: str, size: str, keys: Keys | None, cols:
     return d.groupBy("w", *k).agg(F.count(F.struct(*c)).alias(name)).select(*_bounds(), *k, name)
 
 
-def tumble_collect_rows(df: DataFrame, ts: str, size: str, keys: Keys, fields: Keys, name: str = "items") -> DataFrame:
-    k = as_list(keys)
-    g = df.groupBy(F.window(ts, size).alias("w"), *k).agg(F.sort_array(F.collect_list(F.struct(*as_list(fields)))).alias(name))
-    return g.select(*_bounds(), *k, name)
+def tumble_collect_rows(df: DataFrame, ts: str, size: str, keys: Keys, fields: Keys, order: Keys = (), part_rows: int = 10_000,
+                        name: str = "items") -> DataFrame:
+    """Rows of each (window, key) as arrays in time order, a full array going on in the next ``part``."""
+    from .aggs import collect_parts
+    d = df.filter(F.col(ts).isNotNull()).select("*", F.window(ts, size).alias("w")).select(*_bounds(), *df.columns)
+    return collect_parts(d, [*BOUNDS, *as_list(keys)], [ts, *as_list(order)], fields, part_rows, name)
 
 
 def tumble_max(df: DataFrame, ts: str, size: str, keys: Keys | None, by: Keys) -> DataFrame:

@@ -57,9 +57,13 @@ def w04(t):
     return rounded(W.session(t.events, "ts", "8 hours", "user_id", N_SUM))
 
 
-@query("w05_session_collect", session_sql("8 hours", "", "MAX(ts) AS last_ts, date_diff('second', MIN(ts), MAX(ts)) AS x, string_agg(event_type, '>' ORDER BY ts) AS items").replace("date_diff('second', MIN(ts), MAX(ts)) AS x", "CAST(trunc(epoch(MAX(ts) - MIN(ts))) AS BIGINT) AS session_seconds").replace("AS window_start", "AS session_start"))
+@query("w05_session_collect", """WITH a AS (SELECT *, CASE WHEN ts - LAG(ts) OVER (PARTITION BY user_id ORDER BY ts) > INTERVAL '8 hours' THEN 1 ELSE 0 END AS fresh FROM events),
+    b AS (SELECT *, SUM(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM a),
+    c AS (SELECT *, MIN(ts) OVER s AS session_start, MAX(ts) OVER s AS last_ts, CAST((ROW_NUMBER() OVER (PARTITION BY user_id, sid ORDER BY ts, event_id) - 1) // 3 AS INTEGER) AS part FROM b WINDOW s AS (PARTITION BY user_id, sid))
+    SELECT user_id, session_start, last_ts, part, CAST(trunc(epoch(last_ts - session_start)) AS BIGINT) AS session_seconds, string_agg(event_type, '>' ORDER BY ts, event_id) AS items FROM c GROUP BY ALL""")
 def w05(t):
-    return W.session_collect(t.events, "ts", "8 hours", "user_id", "event_type").withColumn("items", F.array_join("items", ">"))
+    """Sessions with their event types in order, lists of three so that the continuation is exercised."""
+    return W.session_collect(t.events, "ts", "8 hours", "user_id", "event_type", "event_id", part_rows=3).withColumn("items", F.array_join("items", ">"))
 
 
 @query("w06_session_drop", "WITH s AS (" + session_sql("4 hours", "", "MAX(ts) + INTERVAL '4 hours' AS window_end, CAST(trunc(epoch(MAX(ts) - MIN(ts))) AS BIGINT) AS sec") + """),
@@ -79,10 +83,12 @@ def w07(t):
     return rounded(W.rolling_features(t.events, "ts", "user_id", "value", round_to=2), "amt_sum_6h", "amt_sum_12h")
 
 
-@query("w08_window_rows", f"""SELECT {tb('1 hour')} AS window_start, user_id, string_agg(event_type || '@' || event_id, ',' ORDER BY event_id) AS rows FROM events GROUP BY ALL""")
+@query("w08_window_rows", f"""WITH r AS (SELECT *, {tb('1 day')} AS window_start, CAST((ROW_NUMBER() OVER (PARTITION BY {tb('1 day')}, user_id ORDER BY ts, event_id) - 1) // 2 AS INTEGER) AS part FROM events)
+    SELECT window_start, user_id, part, string_agg(event_type || '@' || event_id, ',' ORDER BY ts, event_id) AS rows FROM r GROUP BY ALL""")
 def w08(t):
-    d = W.tumble_collect_rows(t.events, "ts", "1 hour", "user_id", ["event_id", "event_type"])
-    return d.select("window_start", "user_id", F.array_join(F.transform("items", lambda x: F.concat_ws("@", x["event_type"], x["event_id"])), ",").alias("rows"))
+    """Rows of each (day, user) as arrays of at most two."""
+    d = W.tumble_collect_rows(t.events.select("ts", "user_id", "event_id", "event_type"), "ts", "1 day", "user_id", ["event_id", "event_type"], "event_id", part_rows=2)
+    return d.select("window_start", "user_id", "part", F.array_join(F.transform("items", lambda x: F.concat_ws("@", x["event_type"], x["event_id"])), ",").alias("rows"))
 
 
 @query("w09_batch_messages", f"""WITH m AS (SELECT {tb('1 hour')} AS window_start, CAST(user_id % 5 AS INTEGER) AS bucket, event_id, ts, event_type || ':' || event_id AS val FROM events WHERE event_type <> 'error'),

@@ -40,8 +40,27 @@ def hop(df: DataFrame, ts: str, slide: str, size: str, keys: Keys | None, aggs:
         return g.select(*_bounds(), *k, *finish_aggs(aggs))
     pane = f"{gcd(s, z)} milliseconds"
     p = df.groupBy(F.window(ts, pane).alias("p"), *k).agg(*partial_aggs(aggs)).withColumn("__p", F.col("p.start"))
-    g = p.groupBy(F.window("__p", size, slide).alias("w"), *k).agg(*merge_aggs(aggs))
-    return g.select(*_bounds(), *k, *finish_aggs(aggs))
+    x = spread(p, "__p", slide, s / 1000, z / 1000, k)
+    g = x.groupBy("__blk", "window_start", *k).agg(*merge_aggs(aggs))
+    return g.select("window_start", (F.col("window_start") + interval(z / 1000)).alias("window_end"), *k, *finish_aggs(aggs))
+
+
+def spread(panes: DataFrame, at: str, slide: str, slide_s: float, size_s: float, keys: list[str]) -> DataFrame:
+    """Copy each pane into the windows over it.
+
+    Windows are grouped into blocks of eight sizes. A pane goes to the one or two blocks its windows lie in
+    and is hashed by (key, block); its copies are made there. So about one row per pane is shuffled, not
+    one per window, and a key with a long history is spread. Group by ``__blk`` too: it follows from the start.
+    """
+    back = round(-(-size_s // slide_s) - 1)
+    block_s = 8 * (back + 1) * slide_s                            # a multiple of the slide, so blocks hold whole windows
+    start_of = lambda d, col, size, name: d.select("*", F.window(col, size).alias("__w")).withColumn(name, F.col("__w.start")).drop("__w")
+    d = start_of(panes, at, slide, "__last").withColumn("__first", F.col("__last") - interval(back * slide_s))
+    d = start_of(start_of(d, "__first", f"{block_s} seconds", "__b0"), "__last", f"{block_s} seconds", "__b1")
+    d = d.withColumn("__blk", F.explode(F.array_distinct(F.array("__b0", "__b1")))).drop("__b0", "__b1")
+    starts = F.sequence(F.greatest("__first", "__blk"), F.least("__last", F.col("__blk") + interval(block_s - slide_s)), interval(slide_s))
+    x = d.repartition(*keys, "__blk").withColumn("window_start", F.explode(starts)).drop("__first", "__last")
+    return x if size_s % slide_s == 0 else x.filter(F.col("window_start") + interval(size_s) > F.col(at))
 
 
 def cumulate(df: DataFrame, ts: str, step: str, size: str, keys: Keys | None, aggs: Aggs) -> DataFrame:
@@ -52,10 +71,10 @@ def cumulate(df: DataFrame, ts: str, step: str, size: str, keys: Keys | None, ag
         raise ValueError("size must be a multiple of step")
     p = (df.groupBy(F.window(ts, step).alias("p"), *k).agg(*partial_aggs(aggs))
          .select("*", F.col("p.start").alias("__p"), F.col("p.end").alias("__pe")))
-    p = p.select("*", F.window("__p", size).alias("w"))
-    ends = F.expr(f"sequence(__pe, w.end, INTERVAL '{int(st)}' SECOND)")
-    x = p.select("*", F.explode(ends).alias("window_end"))
-    g = x.groupBy(F.col("w.start").alias("window_start"), "window_end", *k).agg(*merge_aggs(aggs))
+    p = p.select("*", F.window("__p", size).alias("w")).select("*", F.col("w.start").alias("window_start"), F.col("w.end").alias("__end"))
+    ends = F.sequence(F.col("__pe"), F.col("__end"), interval(st))
+    x = p.repartition("window_start", *k).withColumn("window_end", F.explode(ends))        # copies of a window meet here
+    g = x.groupBy("window_start", "window_end", *k).agg(*merge_aggs(aggs))
     return g.select(*BOUNDS, *k, *finish_aggs(aggs))
 
 
@@ -74,13 +93,12 @@ def session(df: DataFrame, ts: str, gap: str, keys: Keys, aggs: Aggs) -> DataFra
     started = lambda first, before: F.when(first - before > gap_us, 1).otherwise(0)
     d = with_chunk(df.filter(F.col(ts).isNotNull()), k, ts).withColumn("__us", epoch_us(df, ts))
     w = chunk_window(k, ["__us"])
-    d = (d.withColumn("__new", started(F.col("__us"), F.lag("__us").over(w)))
+    d = (d.select("*", started(F.col("__us"), F.lag("__us").over(w)).alias("__new"), F.lead("__us").over(w).isNull().alias("__end"))
          .withColumn("__lsid", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0))))
     loc = (d.groupBy(*k, CHUNK, "__lsid")
-           .agg(F.any_value(HOT).alias(HOT), F.min(ts).alias("__first"), F.max(ts).alias("__last"), F.min("__us").alias("__fus"),
+           .agg(F.any_value(HOT).alias(HOT), F.max("__end").alias("__end"), F.min(ts).alias("__first"), F.max(ts).alias("__last"), F.min("__us").alias("__fus"),
                 F.max("__us").alias("__lus"), *partial_aggs(aggs)))
-    edge = F.col(HOT) & ((F.col("__lsid") == 0) | (F.col("__lsid") == F.max("__lsid").over(Window.partitionBy(*k, CHUNK))))
-    loc = loc.withColumn("__edge", F.coalesce(edge, F.lit(False)))
+    loc = loc.withColumn("__edge", F.coalesce(F.col(HOT) & ((F.col("__lsid") == 0) | F.col("__end")), F.lit(False)))
     inner = loc.filter(~F.col("__edge")).select(*k, "__first", "__last", *names)
     w = Window.partitionBy(*k).orderBy("__fus")
     merged = (loc.filter("__edge").withColumn("__new", started(F.col("__fus"), F.lag("__lus").over(w)))
@@ -121,13 +139,15 @@ def rolling_features(df: DataFrame, ts: str, keys: Keys, value: str, bucket: str
     if round_to is not None:
         b = b.withColumn("amt_sum", F.round("amt_sum", round_to))
     b = b.withColumnsRenamed({"window_start": "bucket_start", "window_end": "bucket_end"})
-    recent = F.col("bucket_end") >= F.col("w.end") - interval(short_hours * 3600)
-    x = b.select("*", F.window("bucket_start", f"{long_hours} hours", bucket).alias("w"))
+    long_s = long_hours * 3600
+    x = spread(b, "bucket_start", bucket, seconds(bucket), long_s, k).withColumn("feature_time", F.col("window_start") + interval(long_s))
+    recent = F.col("bucket_end") >= F.col("feature_time") - interval(short_hours * 3600)
     s, l = f"{short_hours}h", f"{long_hours}h"
-    return (x.groupBy(*k, "w").agg(F.sum(F.when(recent, F.col("cnt"))).alias(f"cnt_{s}"), F.sum("cnt").alias(f"cnt_{l}"),
-                                   F.sum(F.when(recent, F.col("amt_sum"))).alias(f"amt_sum_{s}"),
-                                   F.sum("amt_sum").alias(f"amt_sum_{l}"))
-            .select(*k, F.col("w.end").alias("feature_time"), f"cnt_{s}", f"cnt_{l}", f"amt_sum_{s}", f"amt_sum_{l}"))
+    return (x.groupBy(*k, "__blk", "window_start").agg(
+                F.min("feature_time").alias("feature_time"),
+                F.sum(F.when(recent, F.col("cnt"))).alias(f"cnt_{s}"), F.sum("cnt").alias(f"cnt_{l}"),
+                F.sum(F.when(recent, F.col("amt_sum"))).alias(f"amt_sum_{s}"), F.sum("amt_sum").alias(f"amt_sum_{l}"))
+            .select(*k, "feature_time", f"cnt_{s}", f"cnt_{l}", f"amt_sum_{s}", f"amt_sum_{l}"))
 
 
 def tumble_distinct(df: DataFrame, ts: str, size: str, keys: Keys | None, cols: Keys, name: str = "n") -> DataFrame:

@@ -202,3 +202,17 @@ def test_wide_values_are_not_broadcast_by_hint(spark):
     f = spark.createDataFrame([("a", T0, "x", 1)], "k string, at timestamp, text string, n int")
     plan = lambda c: O.lag(f, "k", "at", c, "p")._jdf.queryExecution().logical().toString()
     assert plan("n").count("strategy=broadcast") == plan("text").count("strategy=broadcast") + 1
+
+
+def test_wall_clock_order_survives_a_clock_change(spark):
+    """Zone-less times keep their order and distance in a session zone that skips an hour."""
+    f = spark.createDataFrame([(i, "a", f"2024-03-31 0{i}:30:00") for i in range(1, 5)], "id int, k string, t string").withColumn("at", F.col("t").cast("timestamp_ntz"))
+    want = [(1, None), (2, 1), (3, 2), (4, 3)]
+    assert rows(O.lag(f, "k", "at", "id", "p"), "id", "p") == want
+    utc = rows(O.over_range(f, "k", "at", "1 hour", {"n": F.count(F.lit(1))}), "id", "n")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+    try:
+        assert rows(O.lag(f, "k", "at", "id", "p"), "id", "p") == want
+        assert rows(O.over_range(f, "k", "at", "1 hour", {"n": F.count(F.lit(1))}), "id", "n") == utc == [(1, 1), (2, 2), (3, 2), (4, 2)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

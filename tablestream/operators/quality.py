@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .core import Keys, all_of, as_list, join_null_safe
 
-# Fixed value: the e-mail shape the business rule accepts.
-EMAIL = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"
+# The e-mail shapes accepted by the routing rule and by the repair step.
+EMAIL_ROUTE = r"^[A-Za-z0-9+_.-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"
+EMAIL_REPAIR = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"
+INVALID_EMAIL = "email_invalid"
 
 
 def route_invalid(df: DataFrame, rules: dict[str, Column], reason: str = "reject_reason") -> tuple[DataFrame, DataFrame]:
@@ -17,10 +19,16 @@ def route_invalid(df: DataFrame, rules: dict[str, Column], reason: str = "reject
     return marked.filter(F.col(reason).isNull()).drop(reason), marked.filter(F.col(reason).isNotNull())
 
 
-def route_business(df: DataFrame, email: str, age: str, min_age: int = 0, max_age: int = 120) -> tuple[DataFrame, DataFrame]:
-    return route_invalid(df, {
-        "bad_email": ~F.coalesce(F.col(email).rlike(EMAIL), F.lit(False)),
-        "bad_age": ~F.coalesce(F.col(age).between(min_age, max_age), F.lit(False))})
+def envelope_rules(headers: str = "headers", data: str = "data", key: str = "id") -> dict[str, Column]:
+    """Structural rules of a headers/data envelope: no payload although it is no delete, or a payload without key."""
+    empty = F.col(data).isNull()
+    return {"missing_payload": empty & (F.col(f"{headers}.operation") != "DELETE"), "missing_key": ~empty & F.col(f"{data}.{key}").isNull()}
+
+
+def route_business(df: DataFrame, email: str, age: str, min_age: int = 0) -> tuple[DataFrame, DataFrame]:
+    """(good, bad) by business rules: an e-mail is needed and must be well formed; an age may be missing but not too low."""
+    return route_invalid(df, {"bad_email": ~F.coalesce(F.col(email).rlike(EMAIL_ROUTE), F.lit(False)),
+                              "bad_age": F.col(age).isNotNull() & (F.col(age) < min_age)})
 
 
 def repair(df: DataFrame, col: str, valid: Column, marker: object) -> DataFrame:

@@ -28,6 +28,14 @@ def o03(t):
     return d.select("event_id", F.col("running_total").cast("double").alias("running_total"), "over_threshold")
 
 
+@query("o03_rolling_flag", """SELECT event_id, ROUND(s, 2) AS total_value, CASE WHEN ROUND(s, 2) > 100 THEN 'YES' ELSE 'NO' END AS flag FROM (SELECT event_id, SUM(value) OVER
+    (PARTITION BY user_id, event_type ORDER BY ts RANGE BETWEEN INTERVAL '1 day' PRECEDING AND CURRENT ROW) AS s FROM events)""")
+def o03b(t):
+    d = O.over_range(t.events.select("event_id", "user_id", "event_type", "ts", "value"), ["user_id", "event_type"], "ts", "1 day", {"total_value": F.sum("value")})
+    total = F.round("total_value", 2)
+    return d.select("event_id", total.alias("total_value"), F.when(total > 100, "YES").otherwise("NO").alias("flag"))
+
+
 @query("o04_lag", "SELECT event_id, value, LAG(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS previous_value FROM events")
 def o04(t):
     return O.lag(t.events.select("event_id", "user_id", "ts", "value"), "user_id", ["ts", "event_id"], "value", "previous_value").select("event_id", "value", "previous_value")

@@ -12,11 +12,11 @@ def people(t):
     return t.customer.select(
         F.when(k % 11 != 0, k).alias("id"), "c_name",
         F.when(k % 4 == 0, F.concat(F.lit("bad"), k.cast("string"))).otherwise(F.concat(F.lit("u"), k.cast("string"), F.lit("@mail.example"))).alias("email"),
-        (k % 150).cast("int").alias("age"))
+        F.when(k % 13 != 0, (k % 150 - 10).cast("int")).alias("age"))
 
 
 PEOPLE = """(SELECT CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_custkey END AS id, c_name, CASE WHEN c_custkey % 4 = 0 THEN 'bad' || c_custkey ELSE 'u' || c_custkey || '@mail.example' END AS email,
-    CAST(c_custkey % 150 AS INTEGER) AS age FROM customer)"""
+    CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE CAST(c_custkey % 150 - 10 AS INTEGER) END AS age FROM customer)"""
 
 
 @query("q01_route_invalid", f"SELECT c_name, CASE WHEN id IS NULL THEN 'missing_id' WHEN age < 5 THEN 'too_young' END AS reject_reason FROM {PEOPLE}")
@@ -25,14 +25,22 @@ def q01(t):
     return good.withColumn("reject_reason", F.lit(None).cast("string")).unionByName(bad).select("c_name", "reject_reason")
 
 
-@query("q02_route_business", f"SELECT c_name, CASE WHEN email NOT LIKE '%@%' THEN 'bad_email' ELSE 'bad_age' END AS reject_reason FROM {PEOPLE} WHERE email NOT LIKE '%@%' OR age > 120")
+@query("q01_envelope", """SELECT event_id, CASE WHEN value < 3 THEN 'missing_payload' WHEN event_type = 'view' THEN 'missing_key' END AS reject_reason FROM events WHERE value < 3 OR event_type = 'view'""")
+def q01b(t):
+    """Messages without payload or key go to the dead-letter side."""
+    key = F.when(F.col("event_type") != "view", F.col("user_id"))
+    env = t.events.select("event_id", F.struct(F.lit("UPDATE").alias("operation")).alias("headers"), F.when(F.col("value") >= 3, F.struct(key.alias("id"), "value")).alias("data"))
+    return Q.route_invalid(env, Q.envelope_rules())[1].select("event_id", "reject_reason")
+
+
+@query("q02_route_business", f"SELECT c_name, CASE WHEN email NOT LIKE '%@%' THEN 'bad_email' ELSE 'bad_age' END AS reject_reason FROM {PEOPLE} WHERE email NOT LIKE '%@%' OR age < 0")
 def q02(t):
     return Q.route_business(people(t), "email", "age")[1].select("c_name", "reject_reason")
 
 
-@query("q03_repair", f"SELECT c_name, CASE WHEN email LIKE '%@%' THEN email ELSE 'invalid' END AS email FROM {PEOPLE}")
+@query("q03_repair", f"SELECT c_name, CASE WHEN email LIKE '%@%' THEN email ELSE 'email_invalid' END AS email FROM {PEOPLE}")
 def q03(t):
-    return Q.repair(people(t), "email", F.col("email").rlike(Q.EMAIL), "invalid").select("c_name", "email")
+    return Q.repair(people(t), "email", F.col("email").rlike(Q.EMAIL_REPAIR), Q.INVALID_EMAIL).select("c_name", "email")
 
 
 def checked(t):

@@ -139,7 +139,7 @@ def fan_out(df: DataFrame, sinks: dict[str, Callable[[DataFrame], None]]) -> Non
         kept.unpersist()
 
 
-def fan_out_stream(df: DataFrame, sinks: dict[str, Callable[[DataFrame, int], None]]) -> Callable[[DataFrame, int], None]:
+def fan_out_stream(sinks: dict[str, Callable[[DataFrame, int], None]]) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function that gives every sink the same micro-batch."""
     def each(batch: DataFrame, batch_id: int) -> None:
         fan_out(batch, {n: (lambda b, w=w: w(b, batch_id)) for n, w in sinks.items()})

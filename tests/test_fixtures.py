@@ -209,6 +209,7 @@ def test_qlik_envelope(spark):
     flat = C.unwrap_qlik(d, ["id", "email", "age"])
     assert flat.count() == 5
     good, bad = Q.route_invalid(flat, {"missing id": F.col("id").isNull()})
+    assert rows(Q.route_invalid(d, Q.envelope_rules())[1], "reject_reason") == [("missing_key",), ("missing_payload",)]
     assert (good.count(), rows(bad, "reject_reason")) == (4, [("missing id",)])
     fine, wrong = Q.route_business(good, "email", "age")
     assert {r.id for r in wrong.collect()} == {"2"} and fine.count() == 2

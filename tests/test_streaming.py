@@ -151,7 +151,7 @@ def test_lookup_sees_the_table_of_each_batch(spark, tmp_path):
 def test_one_stream_many_sinks(spark, tmp_path):
     p = str(tmp_path)
     write_files(spark, f"{p}/in", batches()[:2])
-    each = K.fan_out_stream(None, {"all": lambda b, i: b.write.mode("overwrite").parquet(f"{p}/all/_batch={i}"), "big": lambda b, i: b.filter("v > 5").write.mode("overwrite").parquet(f"{p}/big/_batch={i}")})
+    each = K.fan_out_stream({"all": lambda b, i: b.write.mode("overwrite").parquet(f"{p}/all/_batch={i}"), "big": lambda b, i: b.filter("v > 5").write.mode("overwrite").parquet(f"{p}/big/_batch={i}")})
     stream(spark, f"{p}/in").writeStream.foreachBatch(each).option("checkpointLocation", f"{p}/chk").trigger(availableNow=True).start().awaitTermination()
     assert (spark.read.parquet(f"{p}/all").count(), spark.read.parquet(f"{p}/big").filter("v <= 5").count()) == (40, 0)
 

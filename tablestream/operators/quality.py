@@ -118,7 +118,7 @@ def infer_types(df: DataFrame, cols: Keys | None = None) -> DataFrame:
             F.count_if(v.rlike(r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}(:\d{2}(\.\d+)?)?$")).alias("stamps"),
             F.count_if(v.rlike(r"^[+-]?\d+$") & v.try_cast("int").isNotNull()).alias("ints"),
             F.count_if(v.rlike(r"^[+-]?\d+$")).alias("longs"),
-            F.count_if(v.rlike(r"^[+-]?\d*\.\d*$") & v.try_cast("double").isNotNull()).alias("decimals")))
+            F.count_if(v.rlike(r"^[+-]?(\d+\.\d*|\.\d+)([eE][+-]?\d+)?$")).alias("decimals")))
     stats = df.agg(F.array(*per).alias("s")).select(F.explode("s").alias("s")).select("s.*")
     n = F.col("n")
     kind = (F.when(n == 0, "STRING").when(F.col("dates") == n, "DATE").when(F.col("stamps") == n, "TIMESTAMP")

@@ -72,7 +72,9 @@ class Network:
         p = 1 / (1 + np.exp(-np.clip(f @ self.p["out"] + self.p["base"], -40, 40)))
         slip = ((p - y) / len(y)).astype(np.float32)
         back = slip[:, None] * self.p["out"][None, :]
-        to_pooled = back[doc, :FILTERS] / n[doc, None] + back[doc, FILTERS:] * (pooled == f[doc, FILTERS:])
+        largest = (pooled == f[doc, FILTERS:]).astype(np.float32)            # chunks that share a maximum share its gradient
+        first = np.flatnonzero(np.diff(doc, prepend=-1))
+        to_pooled = back[doc, :FILTERS] / n[doc, None] + back[doc, FILTERS:] * largest / np.add.reduceat(largest, first, axis=0)[doc]
         # the stride that holds each chunk's maximum gets its gradient
         g = np.zeros_like(z)
         for c, (a, b) in enumerate(zip(start.tolist(), end.tolist())):

@@ -56,3 +56,21 @@ def parts_for(df: DataFrame, column: str, per_part: int = BYTES_PER_PART) -> int
     """Number of parts that keeps one part near ``per_part`` bytes of the column, and at least two per shuffle partition."""
     total = df.select(F.sum(F.octet_length(column))).first()[0] or 0
     return max(2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // per_part))
+
+
+FILTER_WORDS = 1 << 17
+
+
+def maybe_among(rows: DataFrame, ids: DataFrame, column: str = "doc_id", outside: bool = False) -> DataFrame:
+    """Rows whose ``column`` may be among ``ids`` (none that is gets lost), so that few texts enter the shuffle of the exact join;
+    with ``outside`` exactly the other rows, those with a null ``column`` included.
+
+    The ids set bits in a table of ``FILTER_WORDS`` words of 64 bits. Its size does not depend on the data, so it is broadcast; with more
+    ids than bits it only filters less.
+    """
+    h = F.xxhash64(F.col(column), F.lit(21))
+    word, bit = F.pmod(h, F.lit(FILTER_WORDS)).cast("int"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftright(h, 20), F.lit(64)).cast("int"))
+    bits = ids.select(word.alias("_word"), bit.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    met = rows.withColumns({"_word": word, "_bit": bit}).join(F.broadcast(bits), "_word", "left")
+    among = F.coalesce(F.col("_bits").bitwiseAND(F.col("_bit")) != 0, F.lit(False)) & F.col(column).isNotNull()
+    return met.where(~among if outside else among).select(*rows.columns)

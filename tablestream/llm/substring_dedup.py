@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .shared import parts_for, text_rows, written
+from .shared import maybe_among, parts_for, text_rows, written
 
 WINDOW, BLOCK = 50, 25
 BATCH_BYTES = 8 << 20
@@ -243,7 +243,7 @@ def repeat_spans(docs: DataFrame) -> DataFrame:
     # a long text or a repeated row has several rows of ranges: joined into one
     ranges = ranges.groupBy("doc_id", "tid").agg(F.array_join(F.collect_list(F.hex("spans")), "").alias("spans")).withColumn("spans", F.unhex("spans"))
     ranges = written(ranges, "ranges", free=True)
-    near = rows.join(ranges, ["doc_id", "tid"]).select("doc_id", "tid", "body", "spans")
+    near = maybe_among(rows, ranges).join(ranges, ["doc_id", "tid"]).select("doc_id", "tid", "body", "spans")
     same = near.mapInArrow(_sign_windows(parts), PARCEL).groupBy("part").applyInArrow(_first_document, PARCEL)
     spans = same.groupBy("batch").applyInArrow(_repeats, SPANS)
     return written(spans.groupBy("doc_id", "tid").agg(F.max("spans").alias("spans")), "repeats", free=True)
@@ -277,5 +277,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """
     spans = repeat_spans(docs)
     rows = text_rows(docs)
-    joined = rows.join(spans, ["doc_id", "tid"], "left").select("doc_id", "body", "spans")
+    # texts that can have spans meet them in a join; the others pass without a shuffle
+    hit = maybe_among(rows.where("doc_id is not null"), spans)
+    clear = maybe_among(rows, spans, outside=True)
+    joined = hit.join(spans, ["doc_id", "tid"], "left").select("doc_id", "body", "spans").unionByName(clear.select("doc_id", "body", F.lit(None).cast("binary").alias("spans")))
     return joined.mapInArrow(_keep, "doc_id long, n_words long, n_removed long, spans array<struct<first:long,end:long>>, kept_text string")

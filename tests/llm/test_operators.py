@@ -262,7 +262,10 @@ def test_quality_classifier(spark, empty):
     assert {x.score for x in quality_cnn.score(d, neutral).collect()} == {0.5} and quality_cnn.score(empty, net).count() == 0
 
 
-LEVELS = {"domain": F.when(F.col("source") == "src0", "web").otherwise("books"), "lang": F.col("lang"), "source": F.col("source")}
+def levels():
+    return {"domain": F.when(F.col("source") == "src0", "web").otherwise("books"), "lang": F.col("lang"), "source": F.col("source")}
+
+
 WEIGHTS = {"domain": {"web": 3, "books": 1}, "lang": {"en": 2, "*": 1}}
 
 
@@ -298,7 +301,7 @@ def test_mixing_budgets_follow_the_tree(spark):
 
 def test_mix(spark, docs, empty):
     rows, d = docs
-    got = mixing.mix(d, LEVELS, WEIGHTS, 1.2, 3, 5).collect()
+    got = mixing.mix(d, levels(), WEIGHTS, 1.2, 3, 5).collect()
     n = {i: len(brute.words(t)) for i, t, *_ in rows}
     total = sum(n.values())
     assert abs(sum(r.taken for r in got) - int(1.2 * total)) <= 20 and all(0 < r.taken <= r.n_tokens == n[r.doc_id] for r in got)
@@ -309,5 +312,5 @@ def test_mix(spark, docs, empty):
         leaf = [i for i, t, a, b, _ in rows if (a or "", b or "") == (lang, s) and n[i]]
         order = sorted(leaf, key=lambda i: (hashlib.md5(f"5:{e}:{i}".encode()).hexdigest(), i))
         assert {r.doc_id for r in mine} == set(order[:len(mine)]) and sum(r.taken < r.n_tokens for r in mine) <= 1
-    assert mixing.mix(empty, LEVELS, WEIGHTS, 0.5).count() == 0
-    assert mixing.mix(with_repeats(spark, rows), LEVELS, WEIGHTS, 1.0).count() > 0
+    assert mixing.mix(empty, levels(), WEIGHTS, 0.5).count() == 0
+    assert mixing.mix(with_repeats(spark, rows), levels(), WEIGHTS, 1.0).count() > 0

@@ -35,7 +35,7 @@ def epoch_to_timestamp(c: ColumnOrName, precision: int = 3) -> Column:
 
 def price_text(c: ColumnOrName) -> Column:
     """'$1,234.50' -> 1234.50"""
-    return F.regexp_replace(_c(c), r"[$,]", "").try_cast("decimal(10,2)")
+    return F.regexp_replace(_c(c), r"[$,]", "").try_cast("decimal(20,2)")
 
 
 def seconds_of_day(c: ColumnOrName) -> Column:
@@ -71,16 +71,49 @@ def decode_bytes(value: ColumnOrName) -> Column:
 
 # ---- JSON --------------------------------------------------------------------------------------
 
-def json_value(doc: ColumnOrName, path: str, returning: str = "string") -> Column:
-    """Scalar at a path; a missing path or an uncastable value gives NULL. Objects and arrays are no scalars."""
-    v = F.get_json_object(_c(doc), path)
-    return F.when(~F.substring(F.ltrim(v), 1, 1).isin("{", "["), v).try_cast(returning)
-
-
-def json_query(doc: ColumnOrName, path: str, wrap: bool = False) -> Column:
-    """Object or array text at a path; ``wrap`` puts any found value in an array."""
-    v = F.get_json_object(_c(doc), path)
-    return F.concat(F.lit("["), v, F.lit("]")) if wrap else F.when(F.substring(F.ltrim(v), 1, 1).isin("{", "["), v)
+def _at(doc: ColumnOrName, path: str) -> tuple[bool, Column, Column, Column]:
+    """Strict mode, text at the path, its JSON kind (NULL: nothing there) and the value as JSON text."""
+    mode, _, bare = path.strip().partition(" ")
+    strict = mode == "strict"
+    bare = bare.strip() if mode in ("strict", "lax") else path
+    text, inner = F.get_json_object(_c(doc), bare), F.try_variant_get(F.try_parse_json(_c(doc)), bare, "variant")
+    return strict, text, F.schema_of_variant(inner), F.to_json(inner)
+
+
+def _nested(kind: Column) -> Column:
+    return F.coalesce(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.lit(False))
+
+
+def json_value(doc: ColumnOrName, path: str, returning: str = "string", on_empty: object = None, on_error: object = None) -> Column:
+    """Scalar at a path; objects and arrays are no scalars, whatever a text at the path starts with.
+
+    ``path`` may start with ``lax`` (the default) or ``strict``. Nothing at the path gives ``on_empty`` in lax mode and
+    ``on_error`` in strict mode; an object, an array or a value that does not cast gives ``on_error``. A JSON null is NULL.
+    """
+    strict, text, kind, _ = _at(doc, path)
+    value = F.when(~_nested(kind), text).try_cast(returning)
+    if on_empty is None and on_error is None:
+        return value
+    as_value = lambda x: F.lit(x).cast(returning)
+    nothing = kind.isNull() & text.isNull()
+    return (F.when(_c(doc).isNull() | (kind == "VOID"), as_value(None)).when(nothing, as_value(on_error if strict else on_empty))
+            .otherwise(F.coalesce(value, as_value(on_error))))
+
+
+def json_query(doc: ColumnOrName, path: str, wrap: bool | str = False) -> Column:
+    """Object or array text at a path, by its JSON kind. ``wrap``: False (scalars give NULL), ``"conditional"`` (scalars become an array
+    of one) or True (any found value is put in an array)."""
+    _, text, kind, as_json = _at(doc, path)
+    inner = F.when(_nested(kind), text).otherwise(as_json)
+    if wrap == "conditional":
+        return F.when(_nested(kind), text).otherwise(F.concat(F.lit("["), as_json, F.lit("]")))
+    return F.concat(F.lit("["), inner, F.lit("]")) if wrap else F.when(_nested(kind), text)
+
+
+def json_query_array(doc: ColumnOrName, path: str) -> Column:
+    """Array at a path RETURNING ARRAY<STRING>: scalars as plain text, nested values as JSON text; no array gives NULL."""
+    _, text, kind, _ = _at(doc, path)
+    return F.when(kind.startswith("ARRAY"), F.from_json(text, "array<string>"))
 
 
 def json_rows(doc: ColumnOrName, schema: str) -> Column:

@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .core import Aggs, Keys, as_list, finish_aggs, join_null_safe, merge_aggs, partial_aggs
 
+# Bands of hot keys, hottest first (over the 99th and 95th percentile, over 1.5 times the third quartile, the rest).
+BANDS = ("EXTREME_HOT", "VERY_HOT", "HOT", "NORMAL")
+
 
 def agg(df: DataFrame, keys: Keys | None, aggs: Aggs) -> DataFrame:
     """``{"n": ("count", "*"), "total": ("sum", "amount")}`` by key, or over all rows without keys."""
@@ -138,9 +141,9 @@ def hot_keys(df: DataFrame, keys: Keys) -> DataFrame:
     stats = key_stats(counts, "record_count")
     d = with_stats(counts, stats)
     z = F.when(F.col("stddev_count") > 0, (F.col("record_count") - F.col("mean_count")) / F.col("stddev_count")).otherwise(0.0)
-    band = (F.when(F.col("record_count") > F.col("p99"), "EXTREME_HOT")
-            .when(F.col("record_count") > F.col("p95"), "VERY_HOT")
-            .when(F.col("record_count") > F.col("q3") * 1.5, "HOT").otherwise("NORMAL"))
+    band = (F.when(F.col("record_count") > F.col("p99"), BANDS[0])
+            .when(F.col("record_count") > F.col("p95"), BANDS[1])
+            .when(F.col("record_count") > F.col("q3") * 1.5, BANDS[2]).otherwise(BANDS[3]))
     return (d.filter(F.col("record_count") > F.col("mean_count"))
             .withColumn("z_score", z).withColumn("hot_key_category", band)
             .select(*k, "record_count", "mean_count", "stddev_count", "z_score", "hot_key_category"))

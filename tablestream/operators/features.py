@@ -14,9 +14,20 @@ from .over import over_rows
 from .sequence import running
 
 # Two-sided normal quantiles of the usual confidence levels (percent).
+# Score, category and level of the risk rules, strongest first.
+RISK = (("0.7", "AMOUNT_ANOMALY", "HIGH"), ("0.5", "ONLINE_HIGH_VALUE", "MEDIUM"), ("0.3", "HIGH_VALUE", "MEDIUM"), ("0.1", "NORMAL", "LOW"))
 Z_OF_CONFIDENCE = {90.0: 1.6449, 95.0: 1.9600, 96.0: 2.0537, 98.0: 2.3263, 99.0: 2.5758, 99.9: 3.2905}
 
 
+def centred(df: DataFrame, keys: Keys, value: str) -> DataFrame:
+    """Rows with their key's mean (``__centre``) and their distance from it (``__x``): sums of squares of these keep their digits
+    however large the values are. A centre is any constant near a key's values, so its own rounding does not matter."""
+    k = as_list(keys)
+    v = F.col(value).cast("double")
+    d = join_null_safe(df, df.groupBy(*k).agg(F.avg(v).alias("__centre")), k)
+    return d.withColumn("__x", v - F.col("__centre"))
+
+
 def detect_anomalies(df: DataFrame, keys: Keys, order: Keys, value: str, confidence: float = 95.0, min_train: int = 50,
                      name: str = "anomaly") -> DataFrame:
     """Flag values outside mean +- z * stddev of the key's *earlier* values.
@@ -25,15 +36,15 @@ def detect_anomalies(df: DataFrame, keys: Keys, order: Keys, value: str, confide
     is chunked like every ordered computation here. No ARIMA model is fitted: the forecast is the mean.
     """
     z = Z_OF_CONFIDENCE[float(confidence)]
-    v = F.col(value).cast("double")
-    d = running(df, keys, order, {"__n": F.when(v.isNotNull(), 1).otherwise(0).cast("long"), "__s": F.coalesce(v, F.lit(0.0)),
-                                  "__q": F.coalesce(v * v, F.lit(0.0))})
+    v = F.col("__x")
     own = F.coalesce(v, F.lit(0.0))
+    d = running(centred(df, keys, value), keys, order, {"__n": F.when(v.isNotNull(), 1).otherwise(0).cast("long"), "__s": own, "__q": own * own})
     n = F.col("__n") - F.when(v.isNotNull(), 1).otherwise(0)
     s, q = F.col("__s") - own, F.col("__q") - own * own
     mean = s / F.nullif(n, F.lit(0))
     var = F.greatest((q - s * mean) / F.nullif(n - 1, F.lit(0)), F.lit(0.0))
-    d = d.withColumn("__m", mean).withColumn("__sd", F.sqrt(var)).withColumn("__cnt", n)
+    d = d.withColumn("__m", mean + F.col("__centre")).withColumn("__sd", F.sqrt(var)).withColumn("__cnt", n)
+    v = F.col(value).cast("double")
     lo, hi = F.col("__m") - F.col("__sd") * z, F.col("__m") + F.col("__sd") * z
     trained = F.col("__cnt") >= min_train
     out = F.struct(F.when(trained, F.col("__m")).alias("forecast_value"), F.when(trained, lo).alias("lower_bound"),
@@ -45,11 +56,13 @@ def detect_anomalies(df: DataFrame, keys: Keys, order: Keys, value: str, confide
 def detect_anomalies_rolling(df: DataFrame, keys: Keys, order: Keys, value: str, last_n: int = 100, confidence: float = 95.0,
                              min_train: int = 50, name: str = "anomaly") -> DataFrame:
     """As ``detect_anomalies``, trained on the last ``last_n`` values only."""
-    z, v = Z_OF_CONFIDENCE[float(confidence)], F.col(value).cast("double")
-    d = over_rows(df, keys, order, last_n, {"__n": F.count(value), "__s": F.sum(v), "__q": F.sum(v * v)})
-    n, s, q = F.col("__n") - 1, F.col("__s") - v, F.col("__q") - v * v
+    z, v = Z_OF_CONFIDENCE[float(confidence)], F.col("__x")
+    own = F.coalesce(v, F.lit(0.0))
+    d = over_rows(centred(df, keys, value), keys, order, last_n, {"__n": F.count("__x"), "__s": F.sum(own), "__q": F.sum(own * own)})
+    n, s, q = F.col("__n") - F.when(v.isNotNull(), 1).otherwise(0), F.col("__s") - own, F.col("__q") - own * own
     mean = s / F.nullif(n, F.lit(0))
     sd = F.sqrt(F.greatest((q - s * mean) / F.nullif(n - 1, F.lit(0)), F.lit(0.0)))
+    mean, v = mean + F.col("__centre"), F.col(value).cast("double")
     ok = n >= min_train
     out = F.struct(F.when(ok, mean).alias("forecast_value"), F.when(ok, mean - z * sd).alias("lower_bound"),
                    F.when(ok, mean + z * sd).alias("upper_bound"),
@@ -83,11 +96,8 @@ def burst_injection(value: str, ts: str, extra: float = 20.0) -> Column:
 def risk_score(df: DataFrame, amount: str, online: Column, high: float = 1000, medium: float = 500) -> DataFrame:
     """Rule-based risk: score, category and level of a transaction."""
     a = F.col(amount)
-    row = lambda score, cat, level: F.struct(F.lit(score).alias("fraud_score"), F.lit(cat).alias("fraud_category"), F.lit(level).alias("risk_level"))
-    r = (F.when(a > high, row(0.7, "AMOUNT_ANOMALY", "HIGH"))
-         .when((a > medium) & online, row(0.5, "ONLINE_HIGH_VALUE", "MEDIUM"))
-         .when(a > medium, row(0.3, "HIGH_VALUE", "MEDIUM"))
-         .otherwise(row(0.1, "NORMAL", "LOW")))
+    row = [F.struct(F.lit(float(score)).alias("fraud_score"), F.lit(cat).alias("fraud_category"), F.lit(level).alias("risk_level")) for score, cat, level in RISK]
+    r = F.when(a > high, row[0]).when((a > medium) & online, row[1]).when(a > medium, row[2]).otherwise(row[3])
     return df.withColumn("__r", r).select(*df.columns, "__r.*")
 
 

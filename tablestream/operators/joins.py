@@ -71,30 +71,28 @@ def join_any(l: DataFrame, r: DataFrame, conds: Sequence[Column], how: str = "in
     return reduce(DataFrame.unionAll, parts)
 
 
-def expand_hierarchy(edges: DataFrame, parent: str, child: str, kind: str, group_value: str = "GROUP",
-                     depth: int | None = 2, max_depth: int = 64) -> DataFrame:
-    """(root, member) pairs reached from each parent in ``depth`` levels, or in all levels.
+def expand_hierarchy(edges: DataFrame, parent: str, child: str, kind: str, group_value: str = "GROUP", depth: int | None = 2) -> DataFrame:
+    """(root, member) pairs reached from each parent in ``depth`` levels, or in all levels (None).
 
-    Level by level: the groups found last are joined to the edges again, pairs seen before are dropped,
-    so a cycle ends. The loop runs once per *level*; each round's result is checkpointed.
+    A fixed depth goes level by level. All levels are found by doubling: the pairs known so far are joined with themselves, so each
+    round reaches twice as far and a chain of any length ends after the logarithm of its length. Pairs are distinct, so a
+    cycle ends too; every round starts from a checkpoint.
     """
-    e = edges.select(F.col(parent).alias("p"), F.col(child).alias("c"), (F.col(kind) == group_value).alias("g")).distinct()
-    deep = depth is None or depth > 2
-    e = cut_lineage(e) if deep else e
-    levels = [e.select(F.col("p").alias("root"), F.col("c").alias("member"), F.col("g").alias("is_group"))]
-    while len(levels) < (depth or max_depth):
-        found = (levels[-1].filter("is_group").join(e, F.col("member") == F.col("p"))
-                 .select("root", F.col("c").alias("member"), F.col("g").alias("is_group")).distinct())
-        found = found.join(reduce(DataFrame.unionAll, levels), ["root", "member", "is_group"], "left_anti")
-        if deep:
-            found = cut_lineage(found)
-            if found.isEmpty():
-                break
-        levels.append(found)
+    e = edges.select(F.col(parent).alias("root"), F.col(child).alias("member"), (F.col(kind) == group_value).alias("is_group")).distinct()
+    step = lambda a, b: (a.filter("is_group").select("root", F.col("member").alias("via"))
+                         .join(b.select(F.col("root").alias("via"), "member", "is_group"), "via").select("root", "member", "is_group"))
+    if depth is not None:
+        levels = [e]
+        for _ in range(depth - 1):
+            found = step(levels[-1], e).distinct().join(reduce(DataFrame.unionAll, levels), ["root", "member", "is_group"], "left_anti")
+            levels.append(cut_lineage(found) if depth > 2 else found)
+        reached = reduce(DataFrame.unionAll, levels)
     else:
-        if depth is None:
-            raise RuntimeError(f"hierarchy deeper than {max_depth} levels")
-    out = reduce(DataFrame.unionAll, levels).filter(~F.col("is_group"))
+        reached, known = cut_lineage(e), -1
+        while (n := reached.count()) != known:
+            known = n
+            reached = cut_lineage(reached.unionByName(step(reached, reached)).distinct())
+    out = reached.filter(~F.col("is_group"))
     return out.select(F.col("root").alias(parent), F.col("member").alias(child))
 
 
@@ -144,13 +142,14 @@ def join_salted(l: DataFrame, r: DataFrame, on: Keys, n: int = 16, how: str = "i
     """Equi join that spreads hot left keys over ``n`` salts.
 
     Only hot keys are salted and only their right rows are repeated ``n`` times. The hot-key list has
-    fewer than ``share`` rows whatever the data, so it may be broadcast. Left keys salt by row content.
+    fewer than ``share`` rows whatever the data, so it may be broadcast. Left rows salt by content and by the
+    partition they were read in: a task that runs again gives the same salts, and equal rows are spread too.
     """
     if how not in ("inner", "left"):
         raise ValueError("inner or left")
     k = as_list(on)
     hot = F.broadcast(heavy_keys(l, k, share).withColumn("__hot", F.lit(True)))
-    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*l.columns), F.lit(n))).otherwise(0).cast("int")
+    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*l.columns, F.spark_partition_id()), F.lit(n))).otherwise(0).cast("int")
     ls = l.join(hot, k, "left").withColumn("__salt", salt).drop("__hot")
     copies = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
     rs = r.join(hot, k, "left").withColumn("__salt", F.explode(copies)).drop("__hot")
@@ -194,16 +193,9 @@ def pair_once(l: DataFrame, r: DataFrame, k: Keys, order: Keys) -> DataFrame:
     return position(l, keys, order, "__n").join(position(r, keys, order, "__n").drop(*as_list(order)), [*keys, "__n"]).drop("__n")
 
 
-def match_broadcast(df: DataFrame, rules: DataFrame, on: Column | Keys, max_bytes: int = 10 << 20) -> DataFrame:
-    """Events matched to a rule list. The list is broadcast only after its size was measured."""
-    cond = on if isinstance(on, Column) else as_list(on)
-    small = plan_bytes(rules) <= max_bytes
-    return df.join(F.broadcast(rules) if small else rules, cond, "inner")
-
-
-def plan_bytes(df: DataFrame) -> int:
-    """Spark's own size estimate of a plan (file sizes for scans, products for unknown joins)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def match_broadcast(df: DataFrame, rules: DataFrame, on: Column | Keys) -> DataFrame:
+    """Events matched to a rule list. Whether the list is broadcast is AQE's choice, by the size it measures at run time."""
+    return df.join(rules, on if isinstance(on, Column) else as_list(on), "inner")
 
 
 def build_fact(fact: DataFrame, dim: DataFrame, on: Keys, fact_ts: str, dim_ts: str, name: str = "updated_at") -> DataFrame:

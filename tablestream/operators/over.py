@@ -4,17 +4,56 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .core import Keys, as_list, join_null_safe, seconds
-from .sequence import CHUNK, lag_in_order, last_known, position, running, with_context
-
-
-def over_range(df: DataFrame, keys: Keys, ts: str, back: str, aggs: dict[str, Column]) -> DataFrame:
-    """Aggregates over RANGE BETWEEN ``back`` PRECEDING AND CURRENT ROW (rows of equal time included)."""
-    k, back_us = as_list(keys), round(seconds(back) * 1_000_000)
-    d = with_context(df, k, ts, back_us)
-    w = Window.partitionBy(*k, CHUNK).orderBy("__us").rangeBetween(-back_us, 0)
-    return (d.select("*", *[c.over(w).alias(n) for n, c in aggs.items()])
-            .filter("__own").select(*df.columns, *aggs))
+from .core import Aggs, Keys, as_list, epoch_us, finish_aggs, join_null_safe, seconds
+from .sequence import CHUNK, attach, carry_over, combine, grid_for, lag_in_order, last_known, on_grid, position, range_parts, running
+
+
+def _inputs(aggs: Aggs) -> dict[str, tuple[str, Column]]:
+    """What each aggregate needs of a row, as (sum, min or max; value)."""
+    out: dict[str, tuple[str, Column]] = {}
+    for name, (fn, c) in aggs.items():
+        src = F.lit(1) if c == "*" else F.expr(c)
+        there = F.when(src.isNotNull(), F.lit(1)).otherwise(0).cast("long")
+        if fn == "avg":
+            out |= {f"{name}__s": ("sum", src.cast("double")), f"{name}__n": ("sum", there)}
+        else:
+            out[name] = {"count": ("sum", there), "count_if": ("sum", F.when(src, F.lit(1)).otherwise(0).cast("long"))}.get(fn, (fn, src))
+    return out
+
+
+def over_range(df: DataFrame, keys: Keys, ts: str, back: str, aggs: Aggs) -> DataFrame:
+    """Aggregates over RANGE BETWEEN ``back`` PRECEDING AND CURRENT ROW (rows of equal time included).
+
+    ``aggs``: name -> (count, count_if, sum, avg, min or max; column). Time is cut into panes as long as the look-back, so a
+    range is the end of one pane and the start of the next: a running aggregate forwards within the row's pane, and a backwards one
+    of the pane before, looked up at ``ts - back`` on the same time line. Each row is touched a fixed number of times,
+    nothing is subtracted (floats do not drift), and a pane too big for one task is cut like any hot key.
+    """
+    k, back_us = as_list(keys), max(1, round(seconds(back) * 1_000_000))
+    us, ins, g = epoch_us(df, ts), _inputs(aggs), [*k, "__pane"]
+    d = df.withColumns({"__us": us, "__pane": F.floor(us / back_us).cast("long")}).withColumns({f"__v_{n}": c for n, (_, c) in ins.items()})
+    grid = grid_for(d.select(*g, "__us"), g, "__us")
+    values = {n: (op, F.col(f"__v_{n}")) for n, (op, _) in ins.items()}
+    per, carried = range_parts(values)
+    fn = {"sum": F.sum, "min": F.min, "max": F.max}
+
+    def upto(rows: DataFrame, carry: DataFrame, order: Column, name: str) -> DataFrame:
+        w = Window.partitionBy(*g, CHUNK).orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        local = rows.select("*", *[fn[op](c).over(w).alias(f"__l_{n}") for n, (op, c) in values.items()])
+        return attach(local, carry, g).withColumns({f"{name}{n}": combine(op, F.col(f"__l_{n}"), F.col(f"__b_{n}")) for n, (op, _) in ins.items()})
+
+    own = on_grid(d, g, "__us", grid)
+    here = upto(own, carry_over(own, g, per, carried), F.col("__us").asc(), "__p_")
+    rows = d.select(*g, "__us", *[f"__v_{n}" for n in ins])
+    # rows without time are each other's range and have no pane before theirs
+    probes = here.select(*k, F.coalesce(F.col("__pane") - 1, F.lit(-2**62)).alias("__pane"), (F.col("__us") - back_us).alias("__us"),
+                         F.struct(*df.columns, *[f"__p_{n}" for n in ins]).alias("__row"))
+    line = on_grid(rows.unionByName(probes, allowMissingColumns=True), g, "__us", grid)
+    before = carry_over(on_grid(rows, g, "__us", grid), g, per, carried, backwards=True, grid=grid)
+    line = upto(line, before, F.col("__us").desc(), "__s_")
+    out = line.filter(F.col("__row").isNotNull()).select("__row.*", *[f"__s_{n}" for n in ins])
+    out = out.select(*df.columns, *[combine(op, F.col(f"__p_{n}"), F.col(f"__s_{n}")).alias(n) for n, (op, _) in ins.items()])
+    return out.select(*df.columns, *finish_aggs(aggs))
 
 
 def over_rows(df: DataFrame, keys: Keys, order: Keys, n: int, aggs: dict[str, Column], block: int = 1_000_000) -> DataFrame:
@@ -100,7 +139,7 @@ def crossing_alerts(df: DataFrame, keys: Keys, order: Keys, back: str, value: st
     """BLOCK when a rolling total or count rises over its limit, UNBLOCK when it falls back."""
     k, o = as_list(keys), as_list(order)
     roll = over_range(df.select(*k, *o, value), k, o[0], back,
-                      {"total": F.sum(value), "n": F.count(F.lit(1))}).withColumn("total", F.round("total", 2))
+                      {"total": ("sum", value), "n": ("count", "*")}).withColumn("total", F.round("total", 2))
     d = lag_in_order(roll, k, o, {"total_lag": "total", "n_lag": "n"}, base=df)
     t, tl, n, nl = (F.col(c) for c in ("total", "total_lag", "n", "n_lag"))
     up = ((t > max_total) & (tl <= max_total)) | ((n > max_count) & (nl <= max_count))

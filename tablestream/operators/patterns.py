@@ -12,7 +12,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..session import cut_lineage
 from .batches import group_slices
 from .core import Keys, any_of, as_list, epoch_us, interval, join_null_safe, seconds
-from .sequence import CHUNK, HOT, chunk_no, grid_for, lag_in_order, mark_hot, position, running, with_chunk
+from .sequence import CHUNK, CUTS, HOT, chunk_no, grid_for, lag_in_order, mark_hot, position, running, with_chunk
+
+# Fixed value: type of the row that stands for a key silent at the cutoff.
+NO_EVENT = "proactive_no_event"
 
 
 def repeat_purchase(df: DataFrame, keys: Keys, order: Keys, item: str) -> DataFrame:
@@ -71,7 +74,7 @@ def cutoff(events: DataFrame, triggers: DataFrame, keys: Keys, ts: str, cutoff_t
     seen = join_range(triggers.select(cutoff_ts), events, cutoff_ts, ts, f"-{far}", 0)
     last = dedup_last(seen, [cutoff_ts, *k], [ts, *as_list(tie)])
     silent = last.filter(F.col(ts) <= F.col(cutoff_ts) - interval(seconds(near)))
-    out = silent.withColumn(ts, F.col(cutoff_ts)).withColumn(event_type, F.lit("proactive_no_event")).select(*events.columns)
+    out = silent.withColumn(ts, F.col(cutoff_ts)).withColumn(event_type, F.lit(NO_EVENT)).select(*events.columns)
     return out if received is None else union_all([received.select(*events.columns), out])
 
 
@@ -241,47 +244,56 @@ def find_sequences(flags: list[list[bool]], stops: list[list[bool]], times: list
     while end < len(times) and times[end] - times[start] <= within_us:
         end += 1
     found: list[list[tuple[int, int]]] = []
-
-    def later(stage: int, count: int, row: int, picked: list[tuple[int, int]]) -> None:
-        # stage has been taken ``count`` times, last at ``row``
-        _, lo, hi, _, greedy = stages[stage]
-        loop_rows: list[int] = []
-        if hi is None or count < hi:
-            for r in range(row + 1, end):
-                if stops[stage][r]:
+    # open partial matches, newest first: (stage taken, times, last row, matched rows as a linked list); a stack instead of calls, so a
+    # loop may repeat as often as it likes
+    todo: list[tuple[int, int, int, tuple]] = []
+
+    def leave(stage: int, row: int, picked: tuple, held: int | None) -> None:
+        """Go on to ``stage`` after ``row``; a greedy loop before it keeps the row ``held`` and what follows."""
+        while True:
+            if stage == len(stages):
+                if held is None:
+                    match, at = [], picked
+                    while at:
+                        at, pair = at
+                        match.append(pair)
+                    found.append(match[::-1])
+                return
+            how, _, _, optional, _ = stages[stage]
+            last = row + 2 if how == "next" else end
+            for r in range(row + 1, min(last, end)):
+                if held is not None and r >= held:              # a greedy loop takes this row itself
                     break
                 if flags[stage][r]:
-                    loop_rows.append(r)
-                    break                                   # inside a loop the next fitting row is taken
-        if count >= lo:
-            leave(stage + 1, row, picked, loop_rows[0] if greedy and loop_rows else None)
-        if loop_rows:
-            later(stage, count + 1, loop_rows[0], [*picked, (stage, loop_rows[0])])
-
-    def leave(stage: int, row: int, picked: list[tuple[int, int]], held: int | None) -> None:
-        if stage == len(stages):
-            if held is None:
-                found.append(picked)
-            return
-        how, _, _, optional, _ = stages[stage]
-        if optional:
-            leave(stage + 1, row, picked, held)
-        last = row + 2 if how == "next" else end
-        for r in range(row + 1, min(last, end)):
-            if held is not None and r >= held:              # a greedy loop takes this row itself
-                break
-            if flags[stage][r]:
-                later(stage, 1, r, [*picked, (stage, r)])
-                if how != "followed_by_any":
-                    break
+                    todo.append((stage, 1, r, (picked, (stage, r))))
+                    if how != "followed_by_any":
+                        break
+            if not optional:
+                return
+            stage += 1
 
     first = 0
     while first < len(stages):
         if flags[first][start]:
-            later(first, 1, start, [(first, start)])
+            todo.append((first, 1, start, ((), (first, start))))
         if not stages[first][3]:                            # an optional head may be left out
             break
         first += 1
+    while todo:
+        stage, count, row, picked = todo.pop()
+        _, lo, hi, _, greedy = stages[stage]
+        again = None
+        if hi is None or count < hi:
+            for r in range(row + 1, end):
+                if stops[stage][r]:
+                    break
+                if flags[stage][r]:
+                    again = r
+                    break                                   # inside a loop the next fitting row is taken
+        if count >= lo:
+            leave(stage + 1, row, picked, again if greedy else None)
+        if again is not None:
+            todo.append((stage, count + 1, again, (picked, (stage, again))))
     return found
 
 
@@ -308,7 +320,7 @@ def match_sequence(df: DataFrame, keys: Keys, ts: str, stages: Sequence[Stage],
     own, first = chunk_no(F.col("__us")), F.greatest(chunk_no(F.col("__us") - within_us), F.lit(0).cast("long"))
     spread = F.when(F.col(HOT), F.sequence(first, own)).otherwise(F.array(F.lit(0).cast("long")))
     d = (d.withColumn("__own", F.when(F.col(HOT), own).otherwise(0)).withColumn(CHUNK, F.explode(spread))
-         .drop("__lo", "__width", HOT))
+         .drop(CUTS, HOT))
     plan = [(s.contiguity, s.at_least, s.at_most, s.optional, s.greedy) for s in stages]
     names, ties = [s.name for s in stages], [f"__tie_{c}" for c in o]
     types = dict(df.dtypes)

@@ -6,9 +6,13 @@ Keys a task can hold are windowed the plain way. The time line of a bigger key i
 are windowed per (key, chunk), and what a chunk needs from earlier chunks (last row, last non-null value,
 total so far) comes from a table with one row per hot (key, chunk). Results are exact either way.
 
-Both side tables have a bound that does not depend on the data: a hot key holds more than
-1/``MAX_HOT_KEYS`` of the rows, so there are fewer than that many, and all hot keys together get at most
-``MAX_CHUNKS`` chunks plus one each. That is why they may be broadcast, and rows are shuffled only once.
+Chunks hold about equal numbers of rows: the cuts are quantiles of the hot key's positions, taken from a sample by
+row hash (the same rows whenever it is computed) that only hot keys pay for. One early outlier or a burst therefore does not leave a whole key in one chunk; rows of
+equal position stay together.
+
+The side table has a bound that does not depend on the data: a hot key holds more than 1/``MAX_HOT_KEYS`` of the rows, so
+there are fewer than that many, all hot keys together get at most ``MAX_CHUNKS`` cuts, and keys travel as two hashes
+whatever their length. That is why it may be broadcast, and rows are shuffled only once.
 """
 
 from __future__ import annotations
@@ -19,8 +23,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from .core import Keys, as_list, epoch_us, join_null_safe
 
-CHUNK, HOT, POS = "__chunk", "__hot", "__pos_us"
-MAX_HOT_KEYS, MAX_CHUNKS = 5_000, 100_000
+CHUNK, HOT, POS, CUTS = "__chunk", "__hot", "__pos_us", "__cuts"
+MAX_HOT_KEYS, MAX_CHUNKS = 200_000, 1_000_000
+MOST_CUTS, SAMPLED = 4096, 20               # chunks of one key at most; rows sampled for each
 HOT_ROWS_CONF, HOT_ROWS = "spark.tablestream.hotKeyRows", 1_000_000
 
 
@@ -35,41 +40,53 @@ def position_of(df: DataFrame, order: str) -> Column:
     return epoch_us(df, order)
 
 
+def key_hashes(keys: Sequence[str]) -> dict[str, Column]:
+    """Two hashes that stand for a key (NULL parts included)."""
+    parts = [x for k in keys for x in (F.col(k), F.col(k).isNull())]
+    return {"__h1": F.xxhash64(F.lit(0), *parts), "__h2": F.xxhash64(F.lit(1), *parts)}
+
+
 def grid_for(df: DataFrame, keys: Sequence[str], order: str, min_width: int = 1) -> DataFrame:
-    """Keys too big for one task: first position, chunk width and last chunk of each.
+    """Keys too big for one task, with the positions at which their time line is cut.
 
     ``min_width`` keeps chunks at least that long (a look-back must not span many chunks).
     """
     limit = int(df.sparkSession.conf.get(HOT_ROWS_CONF, str(HOT_ROWS)))
-    d = df.select(*keys, position_of(df, order).alias(POS))
-    per = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"), F.min(POS).alias("__lo"), F.max(POS).alias("__hi"))
-    # all columns are used on purpose: the subquery then has the same exchange as the grid and shares it
-    total = per.agg(F.struct(F.sum("__rows").alias("t"), F.min("__lo"), F.max("__hi"))).scalar()
-    d = per.withColumn("__total", total.getField("t"))
-    d = d.filter(F.col("__rows") > F.greatest(F.lit(limit).cast("double"), F.col("__total") / MAX_HOT_KEYS))
-    n = F.least(F.ceil(F.col("__rows") * 10 / limit), F.ceil(F.col("__rows") / F.col("__total") * MAX_CHUNKS))
-    width = F.greatest(F.ceil((F.col("__hi") - F.col("__lo") + 1) / n), F.lit(min_width)).cast("long")
-    d = d.select(*keys, "__lo", "__hi", width.alias("__width"), F.lit(True).alias(HOT))
-    return d.select(*keys, "__lo", "__width", F.floor((F.col("__hi") - F.col("__lo")) / F.col("__width")).cast("long").alias("__top"), HOT)
+    d = df.select(*keys, position_of(df, order).alias(POS), F.pmod(F.xxhash64(*df.columns), F.lit(1 << 30)).alias("__luck"))
+    per = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+    total = per.agg(F.sum("__rows")).scalar()
+    hot = per.withColumn("__total", total).filter(F.col("__rows") > F.greatest(F.lit(limit).cast("double"), F.col("__total") / MAX_HOT_KEYS))
+    n = F.least(F.ceil(F.col("__rows") * 10 / limit), F.ceil(F.col("__rows") / F.col("__total") * MAX_CHUNKS), F.lit(MOST_CUTS)).cast("int")
+    share = F.lit(float(SAMPLED << 30)) * n / F.col("__rows")
+    hot = hot.select(*keys, n.alias("__n"), share.alias("__share")).withColumns(key_hashes(keys))
+    # only rows of hot keys reach the sample; without any the join is empty and nothing is read again
+    sample = d.filter(F.col(POS).isNotNull()).withColumns(key_hashes(keys)).join(F.broadcast(hot.drop(*keys)), ["__h1", "__h2"]).filter("__luck < __share")
+    d = sample.groupBy(*keys, "__h1", "__h2", "__n").agg(F.array_sort(F.collect_set(POS)).alias("__at"))        # at most MOST_CUTS * SAMPLED, give or take
+    nth = lambda i: F.get("__at", F.floor(i * F.size("__at") / F.col("__n")).cast("int"))
+    d = d.withColumn(CUTS, F.when(F.col("__n") > 1, F.array_distinct(F.transform(F.sequence(F.lit(1), F.col("__n") - 1), nth))).otherwise(F.array().cast("array<bigint>")))
+    if min_width > 1:
+        far = lambda kept, c: (F.size(kept) == 0) | (c - F.coalesce(F.element_at(kept, -1), c) >= min_width)
+        d = d.withColumn(CUTS, F.aggregate(CUTS, F.array().cast("array<bigint>"), lambda kept, c: F.when(far(kept, c), F.concat(kept, F.array(c))).otherwise(kept)))
+    return d.select(*keys, "__h1", "__h2", CUTS, F.lit(True).alias(HOT))
 
 
 def mark_hot(df: DataFrame, keys: Sequence[str], grid: DataFrame) -> DataFrame:
-    """Rows with the hot key's grid (NULL for all other keys)."""
-    g = grid.drop("__top")
-    if not keys:
-        cell = g.select(F.struct("__lo", "__width", HOT)).scalar()
-        return df.select("*", cell.alias("__g")).select(*df.columns, "__g.*")
-    return join_null_safe(df, F.broadcast(g), keys, "left")
+    """Rows with the cuts of their hot key (NULL for all other keys)."""
+    g = grid.select("__h1", "__h2", CUTS, HOT)
+    return df.withColumns(key_hashes(keys)).join(F.broadcast(g), ["__h1", "__h2"], "left").drop("__h1", "__h2")
 
 
 def chunk_no(pos: Column) -> Column:
-    """Chunk of a position on its hot key's grid; no position comes first."""
-    return F.coalesce(F.floor((pos - F.col("__lo")) / F.col("__width")).cast("long"), F.lit(-1).cast("long"))
+    """Chunk of a position: how many cuts lie at or before it (binary search); no position comes first."""
+    cuts = F.col(CUTS)
+    steps = F.array(*[F.lit(MOST_CUTS >> i) for i in range(MOST_CUTS.bit_length())])
+    at = F.aggregate(steps, F.lit(0), lambda a, s: F.when((a + s <= F.size(cuts)) & (F.get(cuts, a + s - 1) <= pos), a + s).otherwise(a))
+    return F.when(pos.isNull(), F.lit(-1)).otherwise(at).cast("long")
 
 
 def on_grid(df: DataFrame, keys: Sequence[str], order: str, grid: DataFrame) -> DataFrame:
     d = mark_hot(df.withColumn(POS, position_of(df, order)), keys, grid)
-    return d.withColumn(CHUNK, F.when(F.col(HOT), chunk_no(F.col(POS))).otherwise(0)).drop("__lo", "__width", POS)
+    return d.withColumn(CHUNK, F.when(F.col(HOT), chunk_no(F.col(POS))).otherwise(0)).drop(CUTS, POS)
 
 
 def with_chunk(df: DataFrame, keys: Sequence[str], order: str, base: DataFrame | None = None) -> DataFrame:
@@ -90,16 +107,16 @@ def carry_over(df: DataFrame, keys: Sequence[str], per_chunk: dict[str, Column],
     """One row per hot (key, chunk) with values taken from the key's *earlier* chunks (later ones if ``backwards``).
 
     ``per_chunk``: aggregates of one chunk; ``carried``: output name -> (how, per-chunk name) with how in
-    ``last`` (nearest non-null), ``sum`` and ``max`` (so far). With ``grid`` every chunk gets a row, also
+    ``last`` (nearest non-null), ``sum``, ``min`` and ``max`` (so far). With ``grid`` every chunk gets a row, also
     those ``df`` has no rows in.
     """
     per = df.filter(HOT).groupBy(*keys, CHUNK).agg(*[c.alias(n) for n, c in per_chunk.items()])
     if grid is not None:
-        cells = grid.select(*keys, F.explode(F.sequence(F.lit(-1).cast("long"), F.col("__top"))).alias(CHUNK))
+        cells = grid.select(*keys, F.explode(F.sequence(F.lit(-1).cast("long"), F.size(CUTS).cast("long"))).alias(CHUNK))
         per = join_null_safe(cells, per, [*keys, CHUNK], "left")
     line = F.col(CHUNK).desc() if backwards else F.col(CHUNK).asc()
     before = Window.partitionBy(*keys).orderBy(line).rowsBetween(Window.unboundedPreceding, -1)
-    how = {"last": lambda c: F.last(c, ignorenulls=True), "sum": F.sum, "max": F.max}
+    how = {"last": lambda c: F.last(c, ignorenulls=True), "sum": F.sum, "max": F.max, "min": F.min}
     return per.select(*keys, CHUNK, *[how[h](src).over(before).alias(n) for n, (h, src) in carried.items()])
 
 
@@ -112,10 +129,10 @@ def fixed_width(kind: T.DataType) -> bool:
 def attach(df: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Bring the carried values to the rows of hot keys; other rows get NULL.
 
-    The row count of ``carry`` is bounded; it is broadcast when its values are of fixed width too, and
-    otherwise left to AQE, which knows the size by then.
+    The row count of ``carry`` is bounded; it is broadcast when keys and values are of fixed width too, and
+    otherwise left to AQE, which knows the size by then (rows are already dealt out by key and chunk).
     """
-    small = all(fixed_width(f.dataType) for f in carry.schema.fields if f.name not in keys)
+    small = all(fixed_width(f.dataType) for f in carry.schema.fields)
     return join_null_safe(df, F.broadcast(carry) if small else carry, [*keys, CHUNK], "left")
 
 
@@ -172,13 +189,11 @@ def position(df: DataFrame, keys: Keys, order: Keys, name: str = "pos") -> DataF
     return running(df, keys, order, {name: F.lit(1).cast("long")})
 
 
-def with_context(df: DataFrame, keys: Sequence[str], ts: str, back_us: int) -> DataFrame:
-    """Rows of a hot key copied into the chunk their look-back reaches (``__own`` marks the original).
+def range_parts(aggs: dict[str, tuple[str, Column]]) -> tuple[dict[str, Column], dict[str, tuple[str, str]]]:
+    """Per-chunk aggregates and what is carried of them, for ``name -> (sum, min or max; value column)``."""
+    fn = {"sum": F.sum, "min": F.min, "max": F.max}
+    return {f"__c_{n}": fn[op](c) for n, (op, c) in aggs.items()}, {f"__b_{n}": (op, f"__c_{n}") for n, (op, _) in aggs.items()}
 
-    Chunks are at least the look-back long, so such a row is held twice at most; other keys are not copied.
-    """
-    d = mark_hot(df.withColumn("__us", epoch_us(df, ts)), keys, grid_for(df, keys, ts, max(back_us, 1)))
-    first, last = chunk_no(F.col("__us")), chunk_no(F.col("__us") + back_us)
-    spread = F.when(F.col(HOT), F.sequence(first, last)).otherwise(F.array(F.lit(0).cast("long")))
-    d = d.withColumn("__first", F.when(F.col(HOT), first).otherwise(0)).withColumn(CHUNK, F.explode(spread))
-    return d.withColumn("__own", F.col(CHUNK) == F.col("__first")).drop("__first", "__lo", "__width", HOT)
+
+def combine(op: str, a: Column, b: Column) -> Column:
+    return {"sum": lambda: F.coalesce(a + b, a, b), "min": lambda: F.least(a, b), "max": lambda: F.greatest(a, b)}[op]()

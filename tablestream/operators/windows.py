@@ -151,10 +151,10 @@ def rolling_features(df: DataFrame, ts: str, keys: Keys, value: str, bucket: str
 
 
 def tumble_distinct(df: DataFrame, ts: str, size: str, keys: Keys | None, cols: Keys, name: str = "n") -> DataFrame:
-    """COUNT DISTINCT per window: distinct (window, key, id) first, then a plain count."""
+    """COUNT DISTINCT per window: distinct (window, key, id) first, then a plain count; ids with a NULL part do not count."""
     k, c = as_list(keys), as_list(cols)
     d = df.select(F.window(ts, size).alias("w"), *k, *[x for x in c if x not in k]).distinct()
-    return d.groupBy("w", *k).agg(F.count(F.struct(*c)).alias(name)).select(*_bounds(), *k, name)
+    return d.groupBy("w", *k).agg(F.count_if(all_of([F.col(x).isNotNull() for x in c])).alias(name)).select(*_bounds(), *k, name)
 
 
 def tumble_collect_rows(df: DataFrame, ts: str, size: str, keys: Keys, fields: Keys, order: Keys = (), part_rows: int = 10_000,
@@ -277,8 +277,8 @@ def session_drop_alert(df: DataFrame, ts: str, gap: str, keys: Keys, short: str
     k = as_list(keys)
     s = session(df, ts, gap, k, {"n": ("count", "*"), "last_ts": ("max", ts)})
     s = cut_lineage(s.withColumn("session_seconds", F.timestamp_diff("SECOND", "window_start", "last_ts")))
-    a = over_range(s, k, "window_end", long, {"long_sum": F.sum("session_seconds"), "long_n": F.count("session_seconds")})
-    b = over_range(a, k, "window_end", short, {"short_sum": F.sum("session_seconds"), "short_n": F.count("session_seconds")})
+    a = over_range(s, k, "window_end", long, {"long_sum": ("sum", "session_seconds"), "long_n": ("count", "session_seconds")})
+    b = over_range(a, k, "window_end", short, {"short_sum": ("sum", "session_seconds"), "short_n": ("count", "session_seconds")})
     b = b.withColumn("short_avg", F.col("short_sum") / F.col("short_n")).withColumn("long_avg", F.col("long_sum") / F.col("long_n"))
     return b.filter(F.col("short_avg") < F.col("long_avg") * ratio).select(*k, "window_end", "short_avg", "long_avg")
 

@@ -56,8 +56,8 @@ def c06(t):
     return C.cdc_latest(flat, "user_id", ["ts", "event_id"]).select(*COLS)
 
 
-@query("c07_merge", """WITH tgt AS (SELECT * FROM (SELECT user_id, event_id, ts, value, event_type, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM events WHERE ts < TIMESTAMP '2024-01-10' AND value > 80) WHERE rn = 1),
-    stg AS (SELECT * FROM (SELECT user_id, event_id, ts, value, event_type, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM events WHERE value > 100) WHERE rn = 1)
+@query("c07_merge", """WITH tgt AS (SELECT * FROM (SELECT user_id, event_id, ts, value, event_type, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM events WHERE ts < TIMESTAMP '2024-01-10') WHERE rn = 1),
+    stg AS (SELECT * FROM (SELECT user_id, event_id, ts, value, event_type, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM events) WHERE rn = 1)
     SELECT s.user_id, s.event_id, CASE WHEN s.event_type = 'error' THEN m.value ELSE s.value END AS value, s.event_type = 'error' AS deleted FROM stg s LEFT JOIN tgt m ON s.user_id = m.user_id
     WHERE m.user_id IS NULL OR (s.ts > m.ts AND s.value >= m.value)
     UNION ALL SELECT t.user_id, t.event_id, t.value, t.event_type = 'error' FROM tgt t LEFT JOIN stg s ON s.user_id = t.user_id WHERE s.user_id IS NULL OR NOT (s.ts > t.ts AND s.value >= t.value)""")
@@ -65,8 +65,8 @@ def c07(t):
     """Conditional merge: newer and not smaller wins, a delete keeps the old value."""
     from ..operators.dedup import dedup_last
     e = t.events.select("user_id", "event_id", "ts", "value", (F.col("event_type") == "error").alias("deleted"))
-    tgt = dedup_last(e.filter("ts < timestamp_ntz'2024-01-10' and value > 80"), "user_id", "ts")
-    stg = dedup_last(e.filter("value > 100"), "user_id", "ts")
+    tgt = dedup_last(e.filter("ts < timestamp_ntz'2024-01-10'"), "user_id", "ts")
+    stg = dedup_last(e, "user_id", "ts")
     ch = C.merge_into(tgt, stg, "user_id", (F.col("s.ts") > F.col("m.ts")) & (F.col("s.value") >= F.col("m.value")), "deleted", "value")
     return C.apply_merge(tgt, ch, "user_id").select("user_id", "event_id", "value", "deleted")
 
@@ -146,15 +146,15 @@ def c15a(t):
     return d.select("user_id", "event_type", "value", "valid_from", "valid_to", "is_current")
 
 
-@query("c15_scd2_step", """WITH a AS (SELECT user_id, value, ts FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM events WHERE ts < TIMESTAMP '2024-01-15' AND value > 80) WHERE rn = 1),
-    b AS (SELECT user_id, value, ts FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM events WHERE value > 100) WHERE rn = 1)
+@query("c15_scd2_step", """WITH a AS (SELECT user_id, value, ts FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM events WHERE ts < TIMESTAMP '2024-01-15') WHERE rn = 1),
+    b AS (SELECT user_id, value, ts FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM events WHERE ts >= TIMESTAMP '2024-01-20') WHERE rn = 1)
     SELECT a.user_id, a.value, a.ts AS valid_from, CASE WHEN b.user_id IS NULL THEN TIMESTAMP '2024-02-01' WHEN b.ts > a.ts THEN b.ts END AS valid_to FROM a LEFT JOIN b USING (user_id)
     UNION ALL SELECT b.user_id, b.value, b.ts, NULL FROM b LEFT JOIN a USING (user_id) WHERE a.user_id IS NULL OR b.ts > a.ts""")
 def c15b(t):
     """One snapshot step: changed keys get a new version, vanished keys are closed."""
     from ..operators.dedup import dedup_last
     e = t.events.select("user_id", "value", "ts")
-    first = dedup_last(e.filter("ts < timestamp_ntz'2024-01-15' and value > 80"), "user_id", "ts")
+    first = dedup_last(e.filter("ts < timestamp_ntz'2024-01-15'"), "user_id", "ts")
     hist = first.select("*", F.col("ts").alias("valid_from"), F.lit(None).cast("timestamp_ntz").alias("valid_to"))
-    now = dedup_last(e.filter("value > 100"), "user_id", "ts")
+    now = dedup_last(e.filter("ts >= timestamp_ntz'2024-01-20'"), "user_id", "ts")
     return C.scd2(hist, now, "user_id", "ts", "2024-02-01 00:00:00").select("user_id", "value", "valid_from", "valid_to")

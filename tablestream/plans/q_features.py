@@ -6,27 +6,25 @@ from ..operators import features as M
 from .registry import query
 
 
-def cents(t):
-    """Values as whole cents, so that running sums of squares are exact in any order."""
-    return t.events.select("event_id", "user_id", "event_type", "ts", F.round(F.col("value") * 100).cast("bigint").alias("v"))
+def values(t):
+    return t.events.select("event_id", "user_id", "event_type", "ts", F.col("value").alias("v"))
 
 
-
-@query("m01_anomalies", """WITH e AS (SELECT event_id, user_id, ts, CAST(ROUND(value * 100) AS BIGINT) AS v FROM events),
+@query("m01_anomalies", """WITH e AS (SELECT event_id, user_id, ts, value AS v FROM events),
     p AS (SELECT event_id, v, COUNT(*) OVER w AS n, AVG(v) OVER w AS m, STDDEV(v) OVER w AS sd FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
     SELECT event_id, CASE WHEN n >= 20 THEN ROUND(m, 6) END AS forecast_value, CASE WHEN n >= 20 THEN ROUND(m + 2.0537 * sd, 2) END AS upper_bound,
       n >= 20 AND (v < m - 2.0537 * sd OR v > m + 2.0537 * sd) AS is_anomaly FROM p""")
 def m01(t):
     """Values outside the confidence band of the user's earlier values (at least 20 of them)."""
-    d = M.detect_anomalies(cents(t), "user_id", ["ts", "event_id"], "v", 96.0, 20)
+    d = M.detect_anomalies(values(t), "user_id", ["ts", "event_id"], "v", 96.0, 20)
     return d.select("event_id", F.round("anomaly.forecast_value", 6).alias("forecast_value"), F.round("anomaly.upper_bound", 2).alias("upper_bound"), "anomaly.is_anomaly")
 
 
-@query("m01_anomalies_rolling", """WITH e AS (SELECT event_id, user_id, ts, CAST(ROUND(value * 100) AS BIGINT) AS v FROM events),
+@query("m01_anomalies_rolling", """WITH e AS (SELECT event_id, user_id, ts, value AS v FROM events),
     p AS (SELECT event_id, v, COUNT(*) OVER w AS n, AVG(v) OVER w AS m, STDDEV(v) OVER w AS sd FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING))
     SELECT event_id, n >= 10 AND (v < m - 1.96 * sd OR v > m + 1.96 * sd) AS is_anomaly FROM p""")
 def m01b(t):
-    d = M.detect_anomalies_rolling(cents(t), "user_id", ["ts", "event_id"], "v", 30, 95.0, 10)
+    d = M.detect_anomalies_rolling(values(t), "user_id", ["ts", "event_id"], "v", 30, 95.0, 10)
     return d.select("event_id", "anomaly.is_anomaly")
 
 
@@ -37,11 +35,11 @@ def m02(t):
     return M.detect_anomalies_mad(t.events.select("event_id", "event_type", "value"), "event_type", "value").select("event_id", F.round("robust_z", 8).alias("robust_z"))
 
 
-@query("m03_escalate", """WITH e AS (SELECT event_id, user_id, ts, CAST(ROUND(value * 100) AS BIGINT) AS v FROM events),
+@query("m03_escalate", """WITH e AS (SELECT event_id, user_id, ts, value AS v FROM events),
     p AS (SELECT event_id, v, COUNT(*) OVER w AS n, AVG(v) OVER w AS m, STDDEV(v) OVER w AS sd FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
     SELECT event_id, v FROM p WHERE n >= 20 AND (v < m - 2.5758 * sd OR v > m + 2.5758 * sd)""")
 def m03(t):
-    return M.escalate(M.detect_anomalies(cents(t), "user_id", ["ts", "event_id"], "v", 99.0, 20)).select("event_id", "v")
+    return M.escalate(M.detect_anomalies(values(t), "user_id", ["ts", "event_id"], "v", 99.0, 20)).select("event_id", "v")
 
 
 @query("m04_burst_injection", "SELECT event_id, ROUND(CASE WHEN CAST(EXTRACT(SECOND FROM ts) AS INTEGER) % 30 <= 5 THEN value + 20 ELSE value END, 2) AS temp FROM events")

@@ -22,24 +22,24 @@ def j01(t):
     return J.join_inner(t.orders.select(F.col("o_custkey").alias("k"), "o_orderkey", "o_totalprice"), c, "k").drop("k")
 
 
-@query("j02_left", """SELECT c_custkey, o_orderkey FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > 450000) ON c_custkey = o_custkey""")
+@query("j02_left", """SELECT c_custkey, o_orderkey FROM customer LEFT JOIN orders ON c_custkey = o_custkey""")
 def j02(t):
-    o = t.orders.filter("o_totalprice > 450000").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey")
+    o = t.orders.select(F.col("o_custkey").alias("c_custkey"), "o_orderkey")
     return J.join_left(t.customer.select("c_custkey"), o, "c_custkey")
 
 
-@query("j03_right", """SELECT c_custkey, o_orderkey FROM (SELECT * FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 400000) RIGHT JOIN customer ON c_custkey = o_custkey""")
+@query("j03_right", """SELECT c_custkey, o_orderkey FROM orders RIGHT JOIN customer ON c_custkey = o_custkey""")
 def j03(t):
-    o = t.orders.filter("o_orderstatus = 'F' and o_totalprice > 400000").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey")
+    o = t.orders.select(F.col("o_custkey").alias("c_custkey"), "o_orderkey")
     return J.join_right(o, t.customer.select("c_custkey"), "c_custkey")
 
 
 @query("j04_full", """SELECT COALESCE(a.k, b.k) AS k, COALESCE(a.name, 'NULL') AS name, COALESCE(b.pri, 'NULL') AS pri FROM
-    (SELECT c_custkey AS k, c_name AS name FROM customer WHERE c_acctbal > 4000) a FULL JOIN
-    (SELECT o_custkey AS k, MAX(o_orderpriority) AS pri FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 400000 GROUP BY o_custkey) b ON a.k = b.k""")
+    (SELECT c_custkey AS k, c_name AS name FROM customer) a FULL JOIN
+    (SELECT o_custkey AS k, MAX(o_orderpriority) AS pri FROM orders GROUP BY o_custkey) b ON a.k = b.k""")
 def j04(t):
-    a = t.customer.filter("c_acctbal > 4000").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"))
-    b = t.orders.filter("o_orderstatus = 'F' and o_totalprice > 400000").groupBy(F.col("o_custkey").alias("k")).agg(F.max("o_orderpriority").alias("pri"))
+    a = t.customer.select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"))
+    b = t.orders.groupBy(F.col("o_custkey").alias("k")).agg(F.max("o_orderpriority").alias("pri"))
     return J.join_full(a, b, "k", fill="NULL")
 
 

@@ -10,7 +10,7 @@ from .registry import query
 @query("o01_over_range", """SELECT event_id, COUNT(*) OVER w AS n, ROUND(SUM(value) OVER w, 2) AS total FROM events
     WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL '1 day' PRECEDING AND CURRENT ROW)""")
 def o01(t):
-    d = O.over_range(t.events.select("event_id", "user_id", "ts", "value"), "user_id", "ts", "1 day", {"n": F.count(F.lit(1)), "total": F.sum("value")})
+    d = O.over_range(t.events.select("event_id", "user_id", "ts", "value"), "user_id", "ts", "1 day", {"n": ("count", "*"), "total": ("sum", "value")})
     return d.select("event_id", "n", F.round("total", 2).alias("total"))
 
 
@@ -31,7 +31,7 @@ def o03(t):
 @query("o03_rolling_flag", """SELECT event_id, ROUND(s, 2) AS total_value, CASE WHEN ROUND(s, 2) > 100 THEN 'YES' ELSE 'NO' END AS flag FROM (SELECT event_id, SUM(value) OVER
     (PARTITION BY user_id, event_type ORDER BY ts RANGE BETWEEN INTERVAL '1 day' PRECEDING AND CURRENT ROW) AS s FROM events)""")
 def o03b(t):
-    d = O.over_range(t.events.select("event_id", "user_id", "event_type", "ts", "value"), ["user_id", "event_type"], "ts", "1 day", {"total_value": F.sum("value")})
+    d = O.over_range(t.events.select("event_id", "user_id", "event_type", "ts", "value"), ["user_id", "event_type"], "ts", "1 day", {"total_value": ("sum", "value")})
     total = F.round("total_value", 2)
     return d.select("event_id", total.alias("total_value"), F.when(total > 100, "YES").otherwise("NO").alias("flag"))
 
@@ -107,5 +107,5 @@ def o13(t):
 @query("o14_named_window", """SELECT event_id, MIN(value) OVER w AS low, MAX(value) OVER w AS high, COUNT(*) OVER w AS n FROM events
     WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL '12 hours' PRECEDING AND CURRENT ROW)""")
 def o14(t):
-    aggs = {"low": F.min("value"), "high": F.max("value"), "n": F.count(F.lit(1))}
+    aggs = {"low": ("min", "value"), "high": ("max", "value"), "n": ("count", "*")}
     return O.over_range(t.events.select("event_id", "user_id", "ts", "value"), "user_id", "ts", "12 hours", aggs).select("event_id", *aggs)

@@ -61,6 +61,96 @@ def o01s(t):
     return d.select(F.col("label").cast("bigint").alias("event_id"), "n", F.round("total", 2).alias("total"))
 
 
+@query("o03_running_total_stream", same_sql("o03_running_total"))
+def o03s(t):
+    d = events(t, lambda s: ST.stream_running_total(S.without_beats(s, "ts"), "user_id", "ts", "value", "event_id"))
+    total = F.round("total", 2)
+    return d.select(F.col("id").cast("bigint").alias("event_id"), total.alias("running_total"), (total > 500).alias("over_threshold"))
+
+
+@query("o04_lag_stream", same_sql("o04_lag"))
+def o04s(t):
+    d = events(t, lambda s: ST.stream_lag(S.without_beats(s, "ts"), "user_id", "ts", "value", "event_id"))
+    return d.select(F.col("id").cast("bigint").alias("event_id"), "value", F.col("prev_value").alias("previous_value"))
+
+
+@query("o06_locf_stream", """SELECT event_id, LAST_VALUE(CASE WHEN event_id % 3 = 0 THEN value END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS value FROM events""")
+def o06s(t):
+    """Two of three values are taken away and filled by the last one before."""
+    seen = F.when(F.col("event_id") % 3 == 0, F.col("value"))
+    d = events(t, lambda s: ST.stream_locf(S.without_beats(s, "ts"), "user_id", "ts", seen, "event_id"))
+    return d.select(F.col("id").cast("bigint").alias("event_id"), "value")
+
+
+@query("o13_crossing_alerts_stream", same_sql("o13_crossing_alerts"))
+def o13s(t):
+    d = events(t, lambda s: ST.stream_crossing_alerts(S.without_beats(s, "ts"), "user_id", "ts", "1 day", "value", 300, 5, "event_id"))
+    return back(d.select("user_id", "action", F.col("ts").alias("updated_at")), "updated_at")
+
+
+@query("w03_cumulate_stream", """WITH b AS (SELECT time_bucket(INTERVAL '6 hours', ts) AS pane, event_type, COUNT(*) AS n FROM events GROUP BY ALL),
+    s AS (SELECT time_bucket(INTERVAL '1 day', pane) AS window_start, pane, event_type, n FROM b)
+    SELECT window_start, pane + INTERVAL '6 hours' AS window_end, event_type, SUM(n) OVER (PARTITION BY window_start, event_type ORDER BY pane)::BIGINT AS n FROM s""")
+def w03s(t):
+    """Growing windows: six-hour panes, each counted once, feed every step of their day that ends at or after them; steps without a new row stay out."""
+    def build(s):
+        pane = s.groupBy(F.window("ts", "6 hours").alias("w"), "event_type").agg(F.count_if(f"not {S.BEAT}").alias("n"))
+        return pane.select(F.col("w.start").alias("pane"), "event_type", "n").filter("n > 0")
+    panes = back(events(t, build), "pane")
+    from ..operators.over import running_total
+    d = panes.withColumn("window_start", F.date_trunc("day", F.col("pane").cast("timestamp")).cast(NTZ))
+    d = running_total(d, ["window_start", "event_type"], "pane", "n", "total")
+    return d.select("window_start", (F.col("pane") + F.expr("INTERVAL 6 HOURS")).alias("window_end"), "event_type", F.col("total").cast("bigint").alias("n"))
+
+
+@query("w11_distinct_stream", same_sql("w11_tumble_distinct"))
+def w11s(t):
+    """Distinct users per window: first arrival of each (window, key, user) in state, then counted by window."""
+    def build(s):
+        d = S.without_beats(s, "ts").withColumn("w", F.window("ts", "6 hours")).select("ts", "event_type", "user_id", F.col("w.start").alias("window_start"))
+        return d.dropDuplicatesWithinWatermark(["window_start", "event_type", "user_id"])
+    d = back(S.replay(t.spark, t.folder, "events", "ts", "6 hours", build), "window_start")
+    return d.filter("user_id is not null").groupBy("window_start", "event_type").agg(F.count("user_id").alias("users"))
+
+
+@query("w14_split_late_stream", """WITH s AS (SELECT event_id, ts, event_id % 7 = 0 AS held FROM events) SELECT event_id FROM s""")
+def w14s(t):
+    """On-time and late tables of a stream whose rows with ids divisible by seven come a micro-batch late: together they hold every row once."""
+    from ..operators.relational import union_all
+    from ..session import scratch_dir
+    root = scratch_dir(t.spark, "late")
+    source = S.in_slices(t.spark, t.folder, "events", "ts", 6, F.col("event_id") % 7 == 0)
+    stream = t.spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    S.split_late(t.spark, stream, "ts", "1 day", f"{root}/ok", f"{root}/late", f"{root}/marks", f"{root}/checkpoint")
+    return union_all([t.spark.read.parquet(f"{root}/{n}").select("event_id") for n in ("ok", "late")])
+
+
+@query("j11_asof_stream", """SELECT p.event_id, v.ts AS v_ts, v.value AS rate FROM (SELECT * FROM events WHERE event_type = 'purchase') p
+    ASOF LEFT JOIN (SELECT user_id, ts, MAX(value) AS value FROM events WHERE event_type = 'view' GROUP BY ALL) v ON p.user_id = v.user_id AND p.ts >= v.ts""")
+def j11s(t):
+    """Purchases with the user's latest view at or before them, both from one stream, each out once the watermark has passed it."""
+    k = F.col("event_type")
+    payload = F.format_string("%024.6f", "value")
+    build = lambda s: ST.stream_join_asof(S.without_beats(S.pick(s, k.isin("view", "purchase")), "ts"), "user_id", "ts", k == "purchase", k == "view", "event_id", payload)
+    d = events(t, build)
+    return back(d.select(F.col("id").cast("bigint").alias("event_id"), F.timestamp_micros("version_us").alias("v_ts"), F.col("version").cast("double").alias("rate")), "v_ts")
+
+
+@query("j12_rules_stream", """WITH r AS (SELECT user_id, event_type, ts, MAX(value) AS max_value FROM events WHERE event_id % 10 = 0 GROUP BY ALL),
+    e AS (SELECT * FROM events WHERE event_id % 10 <> 0)
+    SELECT e.event_id, r.max_value FROM e ASOF JOIN r ON e.user_id = r.user_id AND e.event_type = r.event_type AND e.ts >= r.ts WHERE e.value > r.max_value""")
+def j12s(t):
+    """Events over the limit of the rule version valid at their time, by a composite key; every tenth row is a new rule version."""
+    rule = F.col("event_id") % 10 == 0
+    build = lambda s: ST.stream_join_asof(S.without_beats(s, "ts").withColumn("p", F.format_string("%024.6f", "value")), ["user_id", "event_type"], "ts", ~rule, rule,
+                                          "event_key", F.col("p"))
+    keyed = lambda s: s.withColumn("event_key", F.concat_ws(":", "event_id", "value"))
+    d = events(t, lambda s: build(keyed(s))).filter("version is not null")
+    part = F.split("id", ":")
+    return (d.select(part[0].cast("bigint").alias("event_id"), part[1].cast("double").alias("v"), F.col("version").cast("double").alias("max_value"))
+            .filter("v > max_value").select("event_id", "max_value"))
+
+
 @query("o05_on_change_stream", same_sql("o05_on_change"))
 def o05s(t):
     d = events(t, lambda s: ST.stream_on_change(S.without_beats(s, "ts"), "user_id", "ts", "event_type", "event_id"))
@@ -88,12 +178,12 @@ def x10(t):
     return dedup_last(d, "user_id", "_batch").select("user_id", "n")
 
 
-@query("x11_dedup_ttl", "SELECT user_id, event_type, COUNT(*) AS n FROM (SELECT DISTINCT user_id, event_type FROM events) GROUP BY ALL")
+@query("x11_dedup_ttl", """SELECT event_id FROM (SELECT event_id, ts, LAG(ts) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS before FROM events)
+    WHERE before IS NULL OR ts - before > INTERVAL '2 days'""")
 def x11(t):
-    """First arrival per key; the watermark delay (60 days) spans the whole table, so each key comes once."""
-    build = lambda s: S.dedup_ttl(S.without_beats(s, "ts"), ["user_id", "event_type"]).select("user_id", "event_type")
-    d = S.replay(t.spark, t.folder, "events", "ts", "60 days", build)
-    return d.groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
+    """First row per key; a key that was silent for more than two days counts as new."""
+    build = lambda s: ST.stream_dedup_ttl(S.without_beats(s, "ts"), ["user_id", "event_type"], "ts", "event_id", "2 days")
+    return events(t, build).select(F.col("id").cast("bigint").alias("event_id"))
 
 
 @query("a20_upsert_sum_stream", same_sql("a20_upsert_sum"))
@@ -123,13 +213,13 @@ def j10ls(t):
     return back(events(t, build), "v_ts")
 
 
-@query("j16_lookup_stream", "SELECT event_id, CASE WHEN c_custkey IS NULL THEN 'FAILED' ELSE 'SUCCESS' END AS lookup_status, c_name FROM events LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON user_id = c_custkey")
+@query("j16_lookup_stream", "SELECT event_id, CASE WHEN c_custkey IS NULL THEN 'FAILED' ELSE 'SUCCESS' END AS lookup_status, c_name FROM events LEFT JOIN customer ON user_id = c_custkey")
 def j16s(t):
     """Lookup against a table that is read again for every micro-batch."""
     from ..session import scratch_dir
     from ..sources.files import read_table_stream
     root = scratch_dir(t.spark, "lookup")
-    dim = lambda: t.customer.filter("c_acctbal > 0").select(F.col("c_custkey").alias("user_id"), "c_name")
+    dim = lambda: t.customer.select(F.col("c_custkey").alias("user_id"), "c_name")
 
     def write(found, missing, i):
         found.unionByName(missing).write.mode("overwrite").parquet(f"{root}/out/_batch={i}")
@@ -139,8 +229,8 @@ def j16s(t):
     return t.spark.read.parquet(f"{root}/out").select("event_id", "lookup_status", "c_name")
 
 
-@query("j26_pair_once_stream", """WITH a AS (SELECT user_id, event_id, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts) AS n FROM events WHERE event_type = 'view'),
-    b AS (SELECT user_id, event_id AS purchase_id, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts) AS n FROM events WHERE event_type = 'purchase')
+@query("j26_pair_once_stream", """WITH a AS (SELECT user_id, event_id, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events WHERE event_type = 'view'),
+    b AS (SELECT user_id, event_id AS purchase_id, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events WHERE event_type = 'purchase')
     SELECT a.user_id, a.event_id, purchase_id FROM a JOIN b USING (user_id, n)""")
 def j26s(t):
     k = F.col("event_type")
@@ -148,14 +238,14 @@ def j26s(t):
     return d.select("user_id", F.col("left_id").cast("bigint").alias("event_id"), F.col("right_id").cast("bigint").alias("purchase_id"))
 
 
-@query("j17_lookup_refresh", "SELECT event_id, CASE WHEN s_suppkey IS NULL THEN 'FAILED' ELSE 'SUCCESS' END AS lookup_status, s_name FROM events LEFT JOIN (SELECT * FROM supplier WHERE s_acctbal > 0) ON user_id = s_suppkey")
+@query("j17_lookup_refresh", "SELECT event_id, CASE WHEN s_suppkey IS NULL THEN 'FAILED' ELSE 'SUCCESS' END AS lookup_status, s_name FROM events LEFT JOIN supplier ON user_id = s_suppkey")
 def j17(t):
     """Reference rows loaded anew for every micro-batch, result split into found and missing tables."""
     from ..operators.relational import union_all
     from ..session import scratch_dir
     from ..sources.files import read_table_stream
     root = scratch_dir(t.spark, "lookup")
-    dim = lambda: t.supplier.filter("s_acctbal > 0").select(F.col("s_suppkey").alias("user_id"), "s_name")
+    dim = lambda: t.supplier.select(F.col("s_suppkey").alias("user_id"), "s_name")
 
     def write(found, missing, i):
         found.write.mode("overwrite").parquet(f"{root}/found/_batch={i}")
@@ -176,10 +266,10 @@ def j31(t):
     return back(events(t, build), "window_start")
 
 
-@query("w13_watermark", "SELECT event_id, ts FROM events WHERE event_type = 'signup'")
+@query("w13_watermark", "SELECT event_id, ts FROM events")
 def w13(t):
-    """Watermarked stream without a stateful step: nothing is late, nothing is dropped."""
-    d = events(t, lambda s: S.without_beats(S.pick(s, F.col("event_type") == "signup"), "ts").select("event_id", "ts"))
+    """Watermarked stream without a stateful step: late rows (every fifth row comes a micro-batch late) are not dropped."""
+    d = events(t, lambda s: S.without_beats(s, "ts").select("event_id", "ts"), late=F.col("event_id") % 5 == 0)
     return back(d, "ts")
 
 
@@ -202,10 +292,10 @@ def w17(t):
 
 @query("w21_allowed_lateness", "SELECT time_bucket(INTERVAL '1 day', ts) AS window_start, COUNT(*) AS n FROM events GROUP BY 1")
 def w21(t):
-    """Update mode: each firing of a window replaces the one before it."""
+    """Update mode: every third row comes a micro-batch late and makes its window fire again; each firing replaces the one before it."""
     from ..operators.dedup import dedup_last
     build = lambda s: S.stream_tumble(s, "ts", "1 day", None, {"n": ("count_if", f"not {S.BEAT}")})
-    out = S.replay(t.spark, t.folder, "events", "ts", S.lateness_delay("1 minute", "2 days"), build, mode="update", keys="window_start")
+    out = S.replay(t.spark, t.folder, "events", "ts", S.lateness_delay("1 minute", "20 days"), build, mode="update", keys="window_start", late=F.col("event_id") % 3 == 0)
     d = dedup_last(out, "window_start", "_batch").filter("n > 0")
     return back(d.select("window_start", "n"), "window_start")
 

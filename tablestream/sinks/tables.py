@@ -15,6 +15,7 @@ from pyspark.errors import AnalysisException
 from ..operators.changelog import KIND, apply_changelog
 from ..operators.core import Keys, as_list, join_null_safe
 from ..operators.dedup import dedup_last
+from ..session import scratch_dir
 
 BATCH, DELETED, COMMITTED = "_batch", "_deleted", "_committed_at"
 
@@ -129,14 +130,12 @@ def read_retract(spark: SparkSession, target: str, keys: Keys, before: int | Non
 # ---- several sinks, refresh ------------------------------------------------------------------------
 
 def fan_out(df: DataFrame, sinks: dict[str, Callable[[DataFrame], None]]) -> None:
-    """One read, many sinks: the input is kept (spilling to disk) while every sink writes from it."""
-    from pyspark import StorageLevel
-    kept = df.persist(StorageLevel.DISK_ONLY)
-    try:
-        for write in sinks.values():
-            write(kept)
-    finally:
-        kept.unpersist()
+    """One read, many sinks: the input is computed once, written to the shared folder, and every sink reads it there."""
+    path = scratch_dir(df.sparkSession, "fan-out")
+    df.write.parquet(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    for write in sinks.values():
+        write(kept)
 
 
 def fan_out_stream(sinks: dict[str, Callable[[DataFrame, int], None]]) -> Callable[[DataFrame, int], None]:

@@ -1,9 +1,11 @@
 """Per-key state: buffers, counters and timers for what the built-in streaming operators cannot express.
 
-State stays small: a row buffer is cut at the look-back, a pair waits for its partner, a timer fires once.
+State stays small: rows wait only until the watermark passes them, and what is carried on is cut at the look-back or TTL.
+Row ids, labels and values keep their NULLs.
 """
 
 from bisect import bisect_left
+from collections import deque
 from typing import Any, Iterator
 
 import pandas as pd
@@ -46,167 +48,389 @@ def stream_counter(df: DataFrame, keys: Keys) -> DataFrame:
     return with_state(df, k, Counter(k), _ddl(df, k) + ", n bigint", "update")
 
 
+ROW = "us bigint, id string, label string, v double"
+
+
+def in_order(row: tuple) -> tuple:
+    """Time, then id (numbers by size), NULL first."""
+    us, i = row[0], row[1]
+    return (us, i is not None, len(i or ""), i or "")
+
+
 class OrderedRows(StatefulProcessor):
-    """Base: rows are held until the watermark passes them, then handed on in time order.
+    """Base: rows are held until the watermark passes them, then handed on in order of time and id.
 
-    ``process(key, rows, state)`` gets (microseconds, payload...) tuples in order and a small carried tuple.
+    ``process(key, rows, carried)`` gets (microseconds, id, label, value) tuples in order and returns output rows and what to
+    carry on (tuples of the same shape). The input has the columns of ``ordered_input``.
     """
-    buffer_schema = "us bigint, a string, v double"
-    carry_schema = "us bigint, a string, v double"
+    out_columns: list[str] = []
 
-    def __init__(self, keys: list[str], ts: str, label: str, value: str):
-        self.keys, self.ts, self.label, self.value = keys, ts, label, value
+    def __init__(self, keys: list[str]):
+        self.keys = keys
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", self.buffer_schema)
-        self.carry = handle.getListState("carry", self.carry_schema)
+        self.waiting = handle.getListState("waiting", ROW)
+        self.carry = handle.getListState("carry", ROW)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         new = []
         for r in rows:
-            us = r[self.ts].astype("datetime64[us]").astype("int64").tolist()
-            new += list(zip(us, r[self.label].astype(str).tolist(), r[self.value].astype(float).tolist()))
+            parts = [r[c].astype(object).where(r[c].notna(), None).tolist() for c in ("row_us", "row_id", "row_label", "row_value")]
+            new += [(int(us), i, label, v) for us, i, label, v in zip(*parts) if us is not None]
         if new:
             self.waiting.appendList(new)
-            for due in sorted({us // 1000 + 1 for us, _, _ in new}):
-                self.handle.registerTimer(due)
-                break                                        # the earliest one; it sets the next when it fires
+            self.handle.registerTimer(min(new)[0] // 1000 + 1)       # the earliest one; it sets the next when it fires
         yield from ()
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
         mark = timerValues.getCurrentWatermarkInMs() * 1000
-        held = sorted(self.waiting.get()) if self.waiting.exists() else []
+        held = sorted((tuple(r) for r in self.waiting.get()), key=in_order) if self.waiting.exists() else []
         ready, later = [r for r in held if r[0] <= mark], [r for r in held if r[0] > mark]
         if later:
             self.waiting.put(later)
             self.handle.registerTimer(later[0][0] // 1000 + 1)
         else:
             self.waiting.clear()
-        old = sorted(self.carry.get()) if self.carry.exists() else []
+        old = [tuple(r) for r in self.carry.get()] if self.carry.exists() else []
         out, keep = self.process(key, ready, old)
         if keep:
             self.carry.put(keep)
         elif old:
             self.carry.clear()
         if out:
-            yield pd.DataFrame(out, columns=self.columns())
+            yield pd.DataFrame([[*key, *o] for o in out], columns=[*self.keys, *self.out_columns])
 
-    def columns(self) -> list[str]:
-        raise NotImplementedError
-
-    def process(self, key: tuple, rows: list[tuple], old: list[tuple]) -> tuple[list[list], list[tuple]]:
+    def process(self, key: tuple, rows: list[tuple], old: list[tuple]) -> tuple[list[tuple], list[tuple]]:
         raise NotImplementedError
 
     def close(self) -> None:
         pass
 
 
+def ordered_input(df: DataFrame, keys: list[str], ts: str, row_id: Column | str, label: Column | None = None, value: Column | None = None) -> DataFrame:
+    """Keys, watermarked time and the four columns ``OrderedRows`` reads."""
+    i = F.col(row_id) if isinstance(row_id, str) else row_id
+    return df.select(*keys, ts, F.unix_micros(ts).alias("row_us"), i.cast("string").alias("row_id"),
+                     (label if label is not None else F.lit(None)).cast("string").alias("row_label"),
+                     (value if value is not None else F.lit(None)).cast("double").alias("row_value"))
+
+
+def run_ordered(df: DataFrame, keys: Keys, processor: OrderedRows, out: str) -> DataFrame:
+    return with_state(df, keys, processor, _ddl(df, as_list(keys)) + ", " + out, "append", "EventTime")
+
+
+class SlidingSum:
+    """Sum and number of the values of a queue; nothing is subtracted, so floats do not drift and NULLs do no harm."""
+
+    def __init__(self) -> None:
+        self.front: list[tuple[tuple, float, int]] = []       # oldest last, each with the sum and number from it on
+        self.back: deque[tuple] = deque()
+        self.total, self.values = 0.0, 0
+
+    def push(self, row: tuple) -> None:
+        self.back.append(row)
+        if row[3] is not None:
+            self.total, self.values = self.total + row[3], self.values + 1
+
+    def drop_before(self, us: int) -> None:
+        while len(self):
+            if not self.front:
+                total, n = 0.0, 0
+                while self.back:
+                    row = self.back.pop()
+                    if row[3] is not None:
+                        total, n = total + row[3], n + 1
+                    self.front.append((row, total, n))
+                self.total, self.values = 0.0, 0
+            if self.front[-1][0][0] >= us:
+                return
+            self.front.pop()
+
+    def __len__(self) -> int:
+        return len(self.front) + len(self.back)
+
+    def sum(self) -> float | None:
+        if self.front:
+            total, n = self.front[-1][1] + self.total, self.front[-1][2] + self.values
+        else:
+            total, n = self.total, self.values
+        return total if n else None
+
+    def rows(self) -> list[tuple]:
+        return [r for r, _, _ in reversed(self.front)] + list(self.back)
+
+
 class RangeOver(OrderedRows):
-    """Count and sum over the rows of the last ``back`` microseconds, equal times included."""
+    """Count of rows and sum of values over the last ``back`` microseconds, equal times included."""
+    out_columns = ["label", "us", "n", "total"]
 
-    def __init__(self, keys: list[str], ts: str, label: str, value: str, back_us: int):
-        super().__init__(keys, ts, label, value)
+    def __init__(self, keys: list[str], back_us: int):
+        super().__init__(keys)
         self.back_us = back_us
 
-    def columns(self) -> list[str]:
-        return [*self.keys, "label", "us", "n", "total"]
+    def process(self, key, rows, old):
+        line, out, i = SlidingSum(), [], 0
+        for r in old:
+            line.push(r)
+        while i < len(rows):
+            j = i
+            while j < len(rows) and rows[j][0] == rows[i][0]:          # rows of equal time see one another
+                line.push(rows[j])
+                j += 1
+            line.drop_before(rows[i][0] - self.back_us)
+            out += [(r[1], r[0], len(line), line.sum()) for r in rows[i:j]]
+            i = j
+        return out, line.rows()
+
+
+class Crossing(RangeOver):
+    """BLOCK when the rolling total or count rises over its limit, UNBLOCK when it falls back."""
+    out_columns = ["action", "us", "row_id"]
+
+    def __init__(self, keys: list[str], back_us: int, max_total: float, max_count: int):
+        super().__init__(keys, back_us)
+        self.max_total, self.max_count = max_total, max_count
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.last = handle.getValueState("last", "total double, n bigint")
 
     def process(self, key, rows, old):
-        line = old + rows
-        out, lo, hi, total = [], 0, 0, 0.0
-        for us, label, _ in rows:
-            while hi < len(line) and line[hi][0] <= us:
-                total += line[hi][2]
-                hi += 1
-            while line[lo][0] < us - self.back_us:
-                total -= line[lo][2]
-                lo += 1
-            out.append([*key, label, us, hi - lo, total])
-        last = line[-1][0] if line else 0
-        return out, [r for r in line if r[0] >= last - self.back_us]
+        rolled, keep = super().process(key, rows, old)
+        total0, n0 = self.last.get() if self.last.exists() else (None, None)
+        out = []
+        for i, us, n, total in rolled:
+            total = None if total is None else round(total, 2)
+            both = total is not None and total0 is not None
+            if (both and total > self.max_total >= total0) or (n0 is not None and n > self.max_count >= n0):
+                out.append(("BLOCK", us, i))
+            if (both and total <= self.max_total < total0) or (n0 is not None and n <= self.max_count < n0):
+                out.append(("UNBLOCK", us, i))
+            total0, n0 = total, n
+        if rolled:
+            self.last.update((total0, n0))
+        return out, keep
 
 
 class OnChange(OrderedRows):
-    """Emit a row when its label differs from the previous row's."""
+    """Rows whose label differs from the row before: the one before is NULL, or both are there and differ."""
+    out_columns = ["id", "label", "us"]
+
+    def process(self, key, rows, old):
+        out, prev = [], old[-1][2] if old else None
+        for us, i, label, _ in rows:
+            if prev is None or (label is not None and label != prev):
+                out.append((i, label, us))
+            prev = label
+        return out, rows[-1:] or old
+
+
+class Lag(OrderedRows):
+    """Each row with the value of the row before it."""
+    out_columns = ["id", "us", "value", "prev_value"]
+
+    def process(self, key, rows, old):
+        out, prev = [], old[-1][3] if old else None
+        for us, i, _, v in rows:
+            out.append((i, us, v, prev))
+            prev = v
+        return out, rows[-1:] or old
 
-    def columns(self) -> list[str]:
-        return [*self.keys, "label", "us", "value"]
+
+class CarryForward(OrderedRows):
+    """Each row with the last value that was not NULL, its own included."""
+    out_columns = ["id", "us", "value"]
 
     def process(self, key, rows, old):
-        out, prev = [], old[-1][1] if old else None
-        for us, label, v in rows:
-            if prev is None or label.split("|", 1)[1] != prev:
-                out.append([*key, label, us, v])
-            prev = label.split("|", 1)[1]
-        return out, [(rows[-1][0], prev, 0.0)] if rows else old
+        out, last = [], old[-1] if old else None
+        for r in rows:
+            last = r if r[3] is not None else last
+            out.append((r[1], r[0], last[3] if last else None))
+        return out, [last] if last else []
+
+
+class RunningTotal(OrderedRows):
+    """Each row with the total of its key so far (NULL before the first value)."""
+    out_columns = ["id", "us", "total"]
+
+    def process(self, key, rows, old):
+        total, out = old[-1][3] if old else None, []
+        for us, i, _, v in rows:
+            total = v if total is None else total + (v or 0.0)
+            out.append((i, us, total))
+        return out, [(rows[-1][0], None, None, total)] if rows else old
 
 
 class CountWindow(OrderedRows):
     """Sum of every ``n`` consecutive rows."""
+    out_columns = ["total", "last_us"]
 
-    def __init__(self, keys: list[str], ts: str, label: str, value: str, n: int):
-        super().__init__(keys, ts, label, value)
+    def __init__(self, keys: list[str], n: int):
+        super().__init__(keys)
         self.n = n
 
-    def columns(self) -> list[str]:
-        return [*self.keys, "total", "last_us"]
-
     def process(self, key, rows, old):
         line = old + rows
         full = len(line) // self.n * self.n
-        out = [[*key, sum(r[2] for r in line[i:i + self.n]), line[i + self.n - 1][0]] for i in range(0, full, self.n)]
-        return out, line[full:]
+        parts = [line[i:i + self.n] for i in range(0, full, self.n)]
+        values = [[r[3] for r in p if r[3] is not None] for p in parts]
+        return [(sum(v) if v else None, p[-1][0]) for p, v in zip(parts, values)], line[full:]
 
 
 class Pauses(OrderedRows):
     """Flag a row that comes more than ``gap`` microseconds after the row before it (NULL for the first)."""
+    out_columns = ["label", "long_pause"]
 
-    def __init__(self, keys: list[str], ts: str, label: str, value: str, gap_us: int):
-        super().__init__(keys, ts, label, value)
+    def __init__(self, keys: list[str], gap_us: int):
+        super().__init__(keys)
         self.gap_us = gap_us
 
-    def columns(self) -> list[str]:
-        return [*self.keys, "label", "long_pause"]
+    def process(self, key, rows, old):
+        out, before = [], old[-1][0] if old else None
+        for us, i, _, _ in rows:
+            out.append((i, None if before is None else us - before > self.gap_us))
+            before = us
+        return out, rows[-1:] or old
+
+
+class ForgetfulDedup(OrderedRows):
+    """First row of a key, and again after the key was silent for longer than the TTL (each row renews it)."""
+    out_columns = ["id", "us"]
+
+    def __init__(self, keys: list[str], ttl_us: int):
+        super().__init__(keys)
+        self.ttl_us = ttl_us
 
     def process(self, key, rows, old):
         out, before = [], old[-1][0] if old else None
-        for us, label, _ in rows:
-            out.append([*key, label, None if before is None else us - before > self.gap_us])
+        for us, i, _, _ in rows:
+            if before is None or us - before > self.ttl_us:
+                out.append((i, us))
             before = us
         return out, rows[-1:] or old
 
 
-def stream_pauses(df: DataFrame, keys: Keys, ts: str, row_id: str, gap: str) -> DataFrame:
-    k = as_list(keys)
-    d = df.withColumn("row_label", F.col(row_id).cast("string")).withColumn("row_value", F.lit(0.0))
-    return with_state(d, k, Pauses(k, ts, "row_label", "row_value", round(seconds(gap) * 1_000_000)), _ddl(df, k) + ", label string, long_pause boolean", "append", "EventTime")
+class PairOnce(OrderedRows):
+    """First unmatched left row with first unmatched right row, in order of time; each row is used once.
+
+    Labels ``l`` and ``r`` name the sides. Rows that found no partner within the TTL are forgotten.
+    """
+    out_columns = ["left_id", "right_id"]
+
+    def __init__(self, keys: list[str], ttl_us: int | None):
+        super().__init__(keys)
+        self.ttl_us = ttl_us
+
+    def process(self, key, rows, old):
+        waiting, out = deque(old), []              # one side only: the other one has met its partners
+        for r in rows:
+            while waiting and self.ttl_us is not None and r[0] - waiting[0][0] > self.ttl_us:
+                waiting.popleft()
+            if waiting and waiting[0][2] != r[2]:
+                other = waiting.popleft()
+                out.append((other[1], r[1]) if r[2] == "r" else (r[1], other[1]))
+            else:
+                waiting.append(r)
+        return out, list(waiting)
+
+
+class AsOf(OrderedRows):
+    """Facts with the version of their key valid at their time. A version is forgotten once a newer one is behind the watermark.
+
+    Labels: ``f`` facts (id = row id), ``v`` versions (id = payload). A version of the fact's own time counts; of versions of equal
+    time the one with the largest payload does.
+    """
+    out_columns = ["id", "us", "version", "version_us"]
+
+    def process(self, key, rows, old):
+        out, now = [], old[-1] if old else None
+        for r in sorted(rows, key=lambda r: (r[0], r[2] == "f", in_order(r) if r[2] == "f" else (r[1] or "",))):
+            if r[2] == "v":
+                now = r
+            else:
+                out.append((r[1], r[0], now[1] if now else None, now[0] if now else None))
+        return out, [now] if now else []
 
 
-def _micros(df: DataFrame, out: DataFrame, ts: str) -> DataFrame:
+def _time(out: DataFrame, ts: str) -> DataFrame:
     return out.withColumn(ts, F.timestamp_micros("us")).drop("us")
 
 
+def _us(span: str) -> int:
+    return round(seconds(span) * 1_000_000)
+
+
+def stream_pauses(df: DataFrame, keys: Keys, ts: str, row_id: str, gap: str) -> DataFrame:
+    k = as_list(keys)
+    return run_ordered(ordered_input(df, k, ts, row_id), k, Pauses(k, _us(gap)), "label string, long_pause boolean")
+
+
 def stream_over_range(df: DataFrame, keys: Keys, ts: str, back: str, label: str, value: str) -> DataFrame:
     """OVER (RANGE ``back`` PRECEDING) on a watermarked stream: each row once, when the watermark passes it."""
     k = as_list(keys)
-    p = RangeOver(k, ts, label, value, round(seconds(back) * 1_000_000))
-    return _micros(df, with_state(df, k, p, _ddl(df, k) + ", label string, us bigint, n bigint, total double", "append", "EventTime"), ts)
+    return _time(run_ordered(ordered_input(df, k, ts, label, None, F.col(value)), k, RangeOver(k, _us(back)), "label string, us bigint, n bigint, total double"), ts)
+
+
+def stream_crossing_alerts(df: DataFrame, keys: Keys, ts: str, back: str, value: str, max_total: float, max_count: int, row_id: str) -> DataFrame:
+    """BLOCK / UNBLOCK alerts of a rolling total and count (see ``over.crossing_alerts``)."""
+    k = as_list(keys)
+    p = Crossing(k, _us(back), max_total, max_count)
+    return _time(run_ordered(ordered_input(df, k, ts, row_id, None, F.col(value)), k, p, "action string, us bigint, row_id string"), ts)
 
 
 def stream_on_change(df: DataFrame, keys: Keys, ts: str, col: str, row_id: str) -> DataFrame:
     k = as_list(keys)
-    d = df.withColumn("row_label", F.concat_ws("|", F.col(row_id).cast("string"), F.col(col).cast("string"))).withColumn("row_value", F.lit(0.0))
-    out = with_state(d, k, OnChange(k, ts, "row_label", "row_value"), _ddl(df, k) + ", label string, us bigint, value double", "append", "EventTime")
-    parts = F.split("label", r"\|", 2)
-    return _micros(df, out.select(*k, parts[0].alias(row_id), parts[1].alias(col), "us"), ts)
+    out = run_ordered(ordered_input(df, k, ts, row_id, F.col(col)), k, OnChange(k), "id string, label string, us bigint")
+    return _time(out.select(*k, F.col("id").alias(row_id), F.col("label").alias(col), "us"), ts)
+
+
+def stream_lag(df: DataFrame, keys: Keys, ts: str, value: str, row_id: str) -> DataFrame:
+    k = as_list(keys)
+    return _time(run_ordered(ordered_input(df, k, ts, row_id, None, F.col(value)), k, Lag(k), "id string, us bigint, value double, prev_value double"), ts)
+
+
+def stream_locf(df: DataFrame, keys: Keys, ts: str, value: Column, row_id: str) -> DataFrame:
+    k = as_list(keys)
+    return _time(run_ordered(ordered_input(df, k, ts, row_id, None, value), k, CarryForward(k), "id string, us bigint, value double"), ts)
+
+
+def stream_running_total(df: DataFrame, keys: Keys, ts: str, value: str, row_id: str) -> DataFrame:
+    k = as_list(keys)
+    return _time(run_ordered(ordered_input(df, k, ts, row_id, None, F.col(value)), k, RunningTotal(k), "id string, us bigint, total double"), ts)
 
 
 def stream_count_window(df: DataFrame, keys: Keys, ts: str, n: int, value: str, row_id: str) -> DataFrame:
     k = as_list(keys)
-    d = df.withColumn("row_label", F.col(row_id).cast("string"))
-    out = with_state(d, k, CountWindow(k, ts, "row_label", value, n), _ddl(df, k) + ", total double, last_us bigint", "append", "EventTime")
-    return out
+    return run_ordered(ordered_input(df, k, ts, row_id, None, F.col(value)), k, CountWindow(k, n), "total double, last_us bigint")
+
+
+def stream_dedup_ttl(df: DataFrame, keys: Keys, ts: str, row_id: str, ttl: str) -> DataFrame:
+    """First row per key; a key that was silent for longer than ``ttl`` counts as new."""
+    k = as_list(keys)
+    return _time(run_ordered(ordered_input(df, k, ts, row_id), k, ForgetfulDedup(k, _us(ttl)), "id string, us bigint"), ts)
+
+
+def stream_pair_once(df: DataFrame, keys: Keys, ts: str, is_left: Column, is_right: Column, row_id: str, ttl: str | None = None) -> DataFrame:
+    """Pair left and right rows of a key one to one in order of event time, whatever order they arrive in.
+
+    Rows of other kinds move the watermark; leave them out before it with ``streams.pick``. ``ttl``: how long a row may wait.
+    """
+    k = as_list(keys)
+    d = ordered_input(df, k, ts, row_id, F.when(is_left, "l").when(is_right, "r")).filter("row_label is not null or row_us is null")
+    return run_ordered(d, k, PairOnce(k, _us(ttl) if ttl else None), "left_id string, right_id string")
+
+
+def stream_join_asof(df: DataFrame, keys: Keys, ts: str, is_fact: Column, is_version: Column, row_id: str, payload: Column) -> DataFrame:
+    """As-of join of facts and versions that arrive in one stream: ``<keys>, id, version, <ts>, version_us`` of every fact.
+
+    ``payload`` is what a version brings (text); unmatched facts have NULL. Each fact comes out once the watermark has passed it.
+    """
+    k = as_list(keys)
+    kind = F.when(is_fact, "f").when(is_version, "v")
+    d = ordered_input(df.withColumn("__kind", kind), k, ts, F.when(F.col("__kind") == "v", payload.cast("string")).otherwise(F.col(row_id).cast("string")), F.col("__kind"))
+    d = d.filter("row_label is not null or row_us is null")
+    return _time(run_ordered(d, k, AsOf(k), "id string, us bigint, version string, version_us bigint"), ts)
 
 
 class FollowUp(StatefulProcessor):
@@ -227,13 +451,14 @@ class FollowUp(StatefulProcessor):
                 if o:
                     self.opened.appendValue((t, i))
                     self.handle.registerTimer((t + self.timeout_us) // 1000 + 1)
-                if c:
+                if c:                                       # an own timer, so that it goes even if nothing was opened
                     self.closed.appendValue((t,))
+                    self.handle.registerTimer(t // 1000 + 1)
         yield from ()
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
         mark = timerValues.getCurrentWatermarkInMs() * 1000
-        opened = sorted(self.opened.get()) if self.opened.exists() else []
+        opened = sorted(tuple(o) for o in self.opened.get()) if self.opened.exists() else []
         closed = sorted(c[0] for c in self.closed.get()) if self.closed.exists() else []
         due = [o for o in opened if o[0] + self.timeout_us <= mark]
         left = [o for o in opened if o[0] + self.timeout_us > mark]
@@ -241,8 +466,10 @@ class FollowUp(StatefulProcessor):
         out = [[*key, i, t] for (t, i), at in zip(due, nearest) if at == len(closed) or closed[at] > t + self.timeout_us]
         if due:
             self.opened.put(left) if left else self.opened.clear()
-            floor = left[0][0] if left else mark
-            still = [(c,) for c in closed if c >= floor]
+        # no opening row at or before the watermark can still come: closings before it serve only those that wait
+        floor = min(left[0][0], mark) if left else mark
+        still = [(c,) for c in closed if c >= floor]
+        if len(still) < len(closed):
             self.closed.put(still) if still else self.closed.clear()
         if out:
             yield pd.DataFrame(out, columns=[*self.keys, "id", "us"])
@@ -260,39 +487,4 @@ def stream_missing_followup(df: DataFrame, keys: Keys, ts: str, is_open: Column,
     d = df.select(*k, ts, F.col(row_id).cast("string").alias("row_id_"), F.coalesce(is_open, F.lit(False)).alias("row_open"),
                   F.coalesce(is_close, F.lit(False)).alias("row_close"))
     out = with_state(d, k, FollowUp(k, ts, round(seconds(timeout) * 1_000_000)), _ddl(df, k) + ", id string, us bigint", "append", "EventTime")
-    return _micros(df, out, ts)
-
-
-class PairOnce(StatefulProcessor):
-    """Queue of unmatched rows per side; a row that finds a partner leaves with it."""
-
-    def __init__(self, keys: list[str]):
-        self.keys = keys
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.left = handle.getListState("left", "us bigint, id string")
-        self.right = handle.getListState("right", "us bigint, id string")
-
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        l = list(self.left.get()) if self.left.exists() else []
-        r = list(self.right.get()) if self.right.exists() else []
-        for pdf in rows:
-            for side, us, i in zip(pdf["side"].tolist(), pdf["us"].tolist(), pdf["id"].tolist()):
-                (l if side == "l" else r).append((us, i))
-        l, r = sorted(l), sorted(r)
-        n = min(len(l), len(r))
-        for state, rest in ((self.left, l[n:]), (self.right, r[n:])):
-            state.put(rest) if rest else state.clear()
-        if n:
-            yield pd.DataFrame([[*key, a[1], b[1]] for a, b in zip(l[:n], r[:n])], columns=[*self.keys, "left_id", "right_id"])
-
-    def close(self) -> None:
-        pass
-
-
-def stream_pair_once(df: DataFrame, keys: Keys, ts: str, is_left: Column, is_right: Column, row_id: str) -> DataFrame:
-    """Pair left and right rows of a key one to one, in order of time within what has arrived."""
-    k = as_list(keys)
-    side = F.when(is_left, "l").when(is_right, "r")
-    d = df.select(*k, side.alias("side"), F.unix_micros(F.col(ts)).alias("us"), F.col(row_id).cast("string").alias("id")).filter("side is not null")
-    return with_state(d, k, PairOnce(k), _ddl(df, k) + ", left_id string, right_id string")
+    return _time(out, ts)

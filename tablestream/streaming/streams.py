@@ -7,12 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.core import Aggs, Keys, as_list, interval, seconds
-from ..operators.joins import plan_bytes
 from ..operators.sequence import CHUNK, attach, carry_over, with_chunk
 from ..operators.windows import hop, session, tumble
-from ..session import scratch_dir
+from ..session import scratch_dir, tune
 from ..sinks.tables import write_upsert
-from ..sources.files import read_table_stream
 
 BEAT = "__beat"
 
@@ -47,39 +45,57 @@ def run_stream(df: DataFrame, out: str, checkpoint: str, mode: str = "append", k
     q.awaitTermination()
 
 
+_slices: dict[tuple, str] = {}
+
+
+def in_slices(spark: SparkSession, folder: str, table: str, ts: str, slices: int, late: Column | None = None, files: int = 1) -> str:
+    """The whole table as ``slices`` groups of ``files`` files in order of time (rows without time first), oldest modification first.
+
+    Rows for which ``late`` holds come one slice later than their time. A copy is made once for each session and set of arguments.
+    """
+    key = (spark.sparkContext.applicationId, folder, table, ts, slices, str(late), files)
+    if key not in _slices:
+        df = spark.read.parquet(f"{folder}/{table}.parquet")
+        us = F.unix_micros(F.col(ts).cast("timestamp"))
+        cuts = df.select(us.cast("double").alias("us")).approxQuantile("us", [i / slices for i in range(1, slices)], 0.001)
+        nth = sum((F.when(us >= c, 1).otherwise(0) for c in cuts), F.lit(0))
+        if late is not None:
+            nth = F.least(nth + F.when(late, 1).otherwise(0), F.lit(slices - 1))
+        path = scratch_dir(spark, f"slices-{table}")
+        for i in range(slices):                              # one job after the other: the stream takes files by age
+            df.where(nth == i).repartition(files).write.mode("append").parquet(path)
+        _slices[key] = path
+    return _slices[key]
+
+
 def replay(spark: SparkSession, folder: str, table: str, ts: str, delay: str, build: Callable[[DataFrame], DataFrame], mode: str = "append",
-           keys: Keys = (), order_by: Keys = (), files_per_trigger: int | None = None) -> DataFrame:
+           keys: Keys = (), order_by: Keys = (), slices: int = 5, late: Column | None = None, files: int = 1, state_partitions: int = 4) -> DataFrame:
     """Run ``build`` over a table as a stream until everything is out, and return what it wrote.
 
-    A second run from the same checkpoint brings one heartbeat row far in the future, so the watermark
+    The table comes in ``slices`` micro-batches in order of time, so watermarks move, state is kept and dropped, and timers fire
+    on the way. A second run from the same checkpoint brings one heartbeat row far in the future, so the watermark
     passes the last windows and timers. ``build`` gets the watermarked stream with a ``__beat`` column.
+    ``state_partitions`` is the number of state stores and stays what it is for the life of a checkpoint: choose it by the state the
+    stream will hold, not by today's input. The stream runs in a session of its own; the caller's settings are not touched.
     """
+    own = tune(spark.newSession())
+    own.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     schema = spark.read.parquet(f"{folder}/{table}.parquet").schema
+    source = in_slices(spark, folder, table, ts, slices, late, files)
     root = scratch_dir(spark, f"replay-{table}")
     beats, out, chk = f"{root}/beats", f"{root}/out", f"{root}/checkpoint"
     spark.createDataFrame([], schema).write.mode("append").parquet(beats)
 
-    parts = spark.conf.get("spark.sql.shuffle.partitions")
-    need = max(spark.sparkContext.defaultParallelism, -(-plan_bytes(spark.read.parquet(f"{folder}/{table}.parquet")) // (128 << 20)))
-
     def once() -> None:
-        real = read_table_stream(spark, folder, table, schema, files_per_trigger).withColumn(BEAT, F.lit(False))
-        tick = spark.readStream.schema(schema).parquet(beats).withColumn(BEAT, F.lit(True))
+        real = own.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(source).withColumn(BEAT, F.lit(False))
+        tick = own.readStream.schema(schema).parquet(beats).withColumn(BEAT, F.lit(True))
         run_stream(build(with_watermark(real.unionByName(tick), ts, delay)), out, chk, mode, keys, order_by)
 
-    def beat() -> None:
-        # the newest row moved on in time: a NULL key could be filtered out below the watermark
-        newest = spark.read.parquet(f"{folder}/{table}.parquet").orderBy(F.col(ts).desc()).limit(1)
-        newest.withColumn(ts, F.col(ts) + F.expr("INTERVAL 3650 DAYS")).write.mode("append").parquet(beats)
-
-    # state stores are one per shuffle partition: size them by the table, not by the session's default
-    spark.conf.set("spark.sql.shuffle.partitions", str(min(int(parts), need)))
-    try:
-        once()
-        beat()
-        once()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    once()
+    # the newest row moved on in time: a NULL key could be filtered out below the watermark
+    newest = spark.read.parquet(f"{folder}/{table}.parquet").orderBy(F.col(ts).desc_nulls_last()).limit(1)
+    newest.withColumn(ts, F.col(ts) + F.expr("INTERVAL 3650 DAYS")).write.mode("append").parquet(beats)
+    once()
     return spark.read.parquet(out)
 
 
@@ -129,22 +145,17 @@ def allowed_lateness(df: DataFrame, ts: str, out_of_order: str, lateness: str) -
 def split_late(spark: SparkSession, stream: DataFrame, ts: str, delay: str, on_time: str, late: str, marks: str, checkpoint: str) -> None:
     """Route late rows to their own table before any window drops them.
 
-    Per micro-batch the highest event time of all *earlier* batches is read from a small table of marks; rows
-    older than that less ``delay`` are late. Each batch writes its own folders, so a retry repeats the result.
+    Each micro-batch leaves a mark, the highest event time up to its end; rows older than the mark of the batch before
+    less ``delay`` are late. Each batch writes its own folders, so a retry repeats the result.
     """
     def each(batch: DataFrame, i: int) -> None:
-        try:
-            high = spark.read.parquet(marks).filter(F.col("_batch") < i).agg(F.max("high")).first()[0]
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-            high = None
+        high = spark.read.parquet(f"{marks}/_batch={i - 1}").first()[0] if i else None
         is_late = F.lit(False) if high is None else F.col(ts) < F.lit(high).cast(batch.schema[ts].dataType) - interval(seconds(delay))
         b = batch.withColumn("__late", F.coalesce(is_late, F.lit(False))).persist()
         try:
             b.filter("not __late").drop("__late").write.mode("overwrite").parquet(f"{on_time}/_batch={i}")
             b.filter("__late").drop("__late").write.mode("overwrite").parquet(f"{late}/_batch={i}")
-            b.agg(F.max(ts).alias("high")).write.mode("overwrite").parquet(f"{marks}/_batch={i}")
+            b.agg(F.greatest(F.max(ts), F.lit(high).cast(batch.schema[ts].dataType)).alias("high")).write.mode("overwrite").parquet(f"{marks}/_batch={i}")
         finally:
             b.unpersist()
 

@@ -54,7 +54,7 @@ def over_orders(spark):
 
 
 def test_count_over_sixty_seconds(over_orders):
-    d = O.over_range(over_orders, "customer_id", "order_ts", "60 seconds", {"n": F.count(F.lit(1))})
+    d = O.over_range(over_orders, "customer_id", "order_ts", "60 seconds", {"n": ("count", "*")})
     assert rows(d, "order_id", "n") == [(1, 1), (2, 2), (3, 3), (4, 4), (5, 2), (6, 1)]
 
 

@@ -72,7 +72,7 @@ def test_tumble_and_session_parity(spark, source):
 def test_over_range_on_change_count_window_parity(spark, source):
     s, real, path = source
     got = go(spark, ST.stream_over_range(s.withColumn("label", F.col("id").cast("string")), "k", "at", "1 minute", "label", "v"), f"{path}/a").filter("k is not null")
-    want = O.over_range(real, "k", "at", "1 minute", {"n": F.count(F.lit(1)), "t": F.sum("v")})
+    want = O.over_range(real, "k", "at", "1 minute", {"n": ("count", "*"), "t": ("sum", "v")})
     assert rows(got.select(F.col("label").cast("int").alias("id"), "n", "total")) == rows(want.select("id", "n", "t"))
     got = go(spark, ST.stream_on_change(s.withColumn("c", (F.col("v") > 5).cast("string")), "k", "at", "c", "id"), f"{path}/b").filter("k is not null")
     want = O.on_change(real.withColumn("c", (F.col("v") > 5).cast("string")), "k", ["at"], "c")

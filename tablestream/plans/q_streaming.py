@@ -94,7 +94,7 @@ def o13s(t):
 def w03s(t):
     """Growing windows: six-hour panes, each counted once, feed every step of their day that ends at or after them; steps without a new row stay out."""
     def build(s):
-        pane = s.groupBy(F.window("ts", "6 hours").alias("w"), "event_type").agg(F.count_if(f"not {S.BEAT}").alias("n"))
+        pane = s.groupBy(F.window("ts", "6 hours").alias("w"), "event_type").agg(F.count_if(~F.col(S.BEAT)).alias("n"))
         return pane.select(F.col("w.start").alias("pane"), "event_type", "n").filter("n > 0")
     panes = back(events(t, build), "pane")
     from ..operators.over import running_total

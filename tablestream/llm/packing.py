@@ -23,7 +23,8 @@ CAPACITY = 2048
 END_ID = 1
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024        # cost of a piece of n tokens: LINEAR * n + QUADRATIC * n * n
 GROUP_BYTES = 2 << 20                      # text bytes of a group of pieces
-CACHED_WORDS, CACHED_BYTES = 300_000, 64   # words a worker remembers, and the longest of them
+KNOWN_WORDS, KNOWN_STEMS, LONGEST = 250_000, 450_000, 64          # words and stems a worker remembers, bytes of the longest
+MARKS = b".,;:!?#$%&*|\""
 
 PIECE = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("doc_tokens", pa.int64()), ("ids", pa.binary())])
 PACKED = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()),
@@ -32,28 +33,66 @@ _tokenizers: dict[str, tuple] = {}
 
 
 class WordTokenizer:
-    """Ids of whole texts from ids of their words: this tokenizer never joins across white space, so words can be remembered."""
+    """Ids of whole texts from ids of their words: this tokenizer never joins across white space, so words can be remembered.
+
+    A new word is put together from its stem (A-Z lower-cased, as the tokenizer does) and the marks after it, which are remembered too.
+    Stems of letters only are encoded many at a time; tokens that close a word tell where each ends.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"         # tasks already use every core
         from tokenizers import Tokenizer
-        self.model, self.known = Tokenizer.from_file(path), {}
+        self.model = Tokenizer.from_file(path)
+        self.known: dict[bytes, bytes] = {}
+        self.stems: dict[bytes, bytes] = {b"": b""}
+        self.closes = np.zeros(1 << 16, bool)
+        self.closes[[i for token, i in self.model.get_vocab().items() if token.endswith("</w>")]] = True
+
+    @staticmethod
+    def parts(word: bytes) -> tuple[bytes, bytes]:
+        """Stem and trailing marks, where a cut between them changes no id."""
+        if b"<" in word:                                       # may spell a special token
+            return word, b""
+        stem = word.rstrip(MARKS)
+        return (stem.lower(), word[len(stem):]) if stem and stem[-1:].isalnum() else (word.lower(), b"")
+
+    def _one_by_one(self, new: list[bytes]) -> None:
+        for w, e in zip(new, self.model.encode_batch_fast([x.decode() for x in new], add_special_tokens=False)):
+            self.stems[w] = np.array(e.ids, "<u2").tobytes()
+
+    def _learn(self, new: list[bytes]) -> None:
+        letters = [w for w in new if w.decode().isalpha()]
+        self._one_by_one([w for w in new if not w.decode().isalpha()])
+        for i in range(0, len(letters), 10_000):
+            part = letters[i:i + 10_000]
+            ids = np.array(self.model.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, "<u2")
+            end = (np.flatnonzero(self.closes[ids]) + 1) * 2
+            if len(end) != len(part):
+                self._one_by_one(part)
+                continue
+            raw, at = ids.tobytes(), 0
+            for w, z in zip(part, end.tolist()):
+                self.stems[w] = raw[at:z]
+                at = z
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text, 16 bits an id."""
         split = [t.split() for t in texts]
-        new = list(set().union(*split).difference(self.known))
-        if len(self.known) + len(new) > CACHED_WORDS:
-            self.known = {}
-            new = list(set().union(*split))
-        for i in range(0, len(new), 10_000):
-            part = new[i:i + 10_000]
-            for w, e in zip(part, self.model.encode_batch_fast([x.decode() for x in part], add_special_tokens=False)):
-                self.known[w] = np.array(e.ids, "<u2").tobytes()
+        known = self.known
+        new = list({w for words in split for w in words if w not in known})
+        if len(known) + len(new) > KNOWN_WORDS:
+            self.known, new = {}, list(set().union(*split))
+        cut = [self.parts(w) for w in new]
+        fresh = {x for c in cut for x in c}.difference(self.stems)
+        if len(self.stems) + len(fresh) > KNOWN_STEMS:
+            self.stems, fresh = {b"": b""}, {x for c in cut for x in c if x}
+        self._learn(list(fresh))
+        for w, (stem, marks) in zip(new, cut):
+            self.known[w] = self.stems[stem] + self.stems[marks]
         out = [b"".join(map(self.known.__getitem__, words)) for words in split]
-        for w in new:
-            if len(w) > CACHED_BYTES:
-                del self.known[w]
+        for kept in (self.known, self.stems):
+            for w in [w for w in (new if kept is self.known else fresh) if len(w) > LONGEST]:
+                del kept[w]
         return out
 
 

@@ -17,8 +17,9 @@ def components(links: DataFrame) -> DataFrame:
     """
     a, b = links.columns
     edges = written(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "edges")
-    seen = None
-    while True:
+    state = lambda e: tuple(e.agg(F.count("*"), F.sum(F.hash("u", "v").cast("decimal(20,0)"))).first())
+    seen = state(edges)
+    while seen[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -26,8 +27,8 @@ def components(links: DataFrame) -> DataFrame:
         met = large.join(least, "u")
         small = met.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
         edges = written(small.distinct(), "edges")
-        now = edges.agg(F.count("*"), F.sum(F.hash("u", "v").cast("decimal(20,0)"))).first()
+        now = state(edges)
         if now == seen:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
-                edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+            break
         seen = now
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

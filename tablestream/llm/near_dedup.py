@@ -2,17 +2,20 @@
 
 1. Every text becomes its set of distinct five-word shingles, 336 MinHash codes of one byte and a digest of the set. Documents
    with equal sets are one class, handled by its smallest member from here on.
-2. 56 bands of six codes give buckets. The members of a bucket are first compared with its smallest member only.
+2. 56 bands of six codes give buckets. A document's first candidates are the smallest members of its buckets, one a round: the one
+   it shares most buckets with and is not yet in a component with. A large group of near copies thus takes a pair or two a document.
 3. A pair is compared code batch by code batch. After each batch the posterior of its similarity (uniform prior) decides: a pair
    whose chance of reaching the threshold is below ``MISS`` goes. Survivors are confirmed on their full shingle sets.
-4. Links make components. Buckets that then still hold several components are compared in full across components, so that a
-   link that does not touch a bucket's smallest member is found too; pairs within a component need no comparison.
+4. Links make components. Buckets that then still hold several components are compared in full across components, so that every
+   candidate pair that could join two components is decided; pairs within a component need no comparison. This happens in blocks
+   of a bucket, on longer signatures that only these documents get: near misses are many there, and only pairs that pass become rows.
 
 At a similarity of exactly 0.75 a pair shares no band with probability (1 - 0.75**6)**56 < 0.00002, and less above it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -22,12 +25,15 @@ from pyspark.sql import functions as F
 
 from . import words as W
 from .components import components
-from .shared import text_rows, written
+from .shared import maybe_among, text_rows, written
 
 SHINGLE = 5
 BANDS, ROWS = 56, 6
 HASHES = BANDS * ROWS
-STEP = 48                   # codes compared at a time
+ROUNDS = 2                  # of one candidate a document, before buckets are compared in full
+LONG = 4 * HASHES           # codes of documents whose buckets are compared in full
+BLOCK = 1000                # members of a bucket compared in one piece
+STEPS = (*range(48, HASHES + 1, 48), 2 * HASHES, 3 * HASHES, LONG)          # codes compared when a pair is judged
 MISS = 1e-5                 # chance, after each step, of dropping a pair that reaches the threshold
 PERCENT = 75
 SIGN_BYTES = 512 << 10
@@ -35,8 +41,8 @@ SIGN_BYTES = 512 << 10
 SIGNED = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("codes", pa.binary())])
 
 
-def _multipliers() -> np.ndarray:
-    return (W.mix(np.arange(1, HASHES + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+def _multipliers(n: int) -> np.ndarray:
+    return (W.mix(np.arange(1, n + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
 
 def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
@@ -53,12 +59,12 @@ def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     return out
 
 
-def signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """MinHash codes (one byte each) of non-empty sets, one row a set."""
+def signatures(sets: list[np.ndarray], n: int = HASHES) -> np.ndarray:
+    """``n`` MinHash codes (one byte each) of non-empty sets, one row a set."""
     start = np.cumsum([0] + [len(s) for s in sets[:-1]])
     values = (np.concatenate(sets) >> np.uint64(32)).astype(np.uint32)
-    out = np.empty((len(sets), HASHES), np.uint8)
-    for k, m in enumerate(_multipliers()):
+    out = np.empty((len(sets), n), np.uint8)
+    for k, m in enumerate(_multipliers(n)):
         least = np.minimum.reduceat(values * m, start)
         out[:, k] = (least * np.uint32(0x9E3779B1)) >> np.uint32(24)
     return out
@@ -99,7 +105,7 @@ def fewest_matches(miss: float = MISS, percent: int = PERCENT) -> tuple[tuple[in
     grid = (np.arange(4000) + 0.5) / 4000
     p = grid + (1 - grid) / 256                      # two codes of one byte also agree by chance
     out = []
-    for m in range(STEP, HASHES + 1, STEP):
+    for m in STEPS:
         x = np.arange(m + 1)[:, None]
         log = x * np.log(p) + (m - x) * np.log1p(-np.minimum(p, 1 - 1e-12))
         weight = np.exp(log - log.max(axis=1, keepdims=True))
@@ -110,7 +116,7 @@ def fewest_matches(miss: float = MISS, percent: int = PERCENT) -> tuple[tuple[in
 
 def _sequential(batches):
     """Drop pairs as soon as the posterior says so."""
-    steps = fewest_matches()
+    steps = [x for x in fewest_matches() if x[0] <= HASHES]
     for b in batches:
         n = b.num_rows
         if not n:
@@ -125,33 +131,139 @@ def _sequential(batches):
         yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(alive)), b.column(1).take(pa.array(alive))], names=["a", "b"])
 
 
+def _sign_long(batches):
+    for rows in W.gather(batches, SIGN_BYTES, 4000):
+        sets = [(r[0], x) for r, x in zip(rows, shingle_sets([r[1] for r in rows])) if len(x)]
+        codes = signatures([x for _, x in sets], LONG) if sets else []
+        yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in sets], pa.int64()), pa.array([c.tobytes() for c in codes], pa.binary())], names=["id", "codes"])
+
+
+def _cells(batches) -> Iterator[list[tuple]]:
+    """Rows of one cell after another; they come sorted by the first three columns."""
+    now, out = None, []
+    for b in batches:
+        for row in zip(*(c.to_pylist() for c in b.columns)):
+            if row[:3] != now:
+                if out:
+                    yield out
+                now, out = row[:3], []
+            out.append(row)
+    if out:
+        yield out
+
+
+def _compare(batches):
+    """Within a cell of a bucket: likely pairs of a member of a minor component with members of others.
+
+    A pair that meets in several buckets is reported by the first band it agrees in.
+    """
+    steps = fewest_matches()
+    a, b = [], []
+    for rows in _cells(batches):
+        band = (rows[0][0] >> 48) & 0xFF
+        left, right = [r for r in rows if r[3]], [r for r in rows if not r[3]]
+        if not left or not right:
+            continue
+        codes = np.frombuffer(b"".join(r[7] for r in right), np.uint8).reshape(len(right), LONG)
+        ids, roots, minor = (np.array([r[i] for r in right]) for i in (4, 5, 6))
+        for _, _, _, _, x, root, _, mine in left:
+            own = np.frombuffer(mine, np.uint8)
+            alive = np.flatnonzero((roots != root) & (~minor | (ids > x)))
+            equal, done = np.zeros(len(alive), np.int64), 0
+            for m, least in steps:
+                if not len(alive):
+                    break
+                same = codes[alive, done:m] == own[done:m]
+                equal = equal + same.sum(axis=1)
+                done, stay = m, equal >= least
+                alive, equal = alive[stay], equal[stay]
+            if len(alive):
+                agree = (codes[alive, :HASHES] == own[:HASHES]).reshape(-1, BANDS, ROWS).all(axis=2)
+                for y in ids[alive[agree.argmax(axis=1) == band]].tolist():
+                    a.append(min(x, y))
+                    b.append(max(x, y))
+        if len(a) > 10_000:
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            a, b = [], []
+    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+REMEMBERED = 4 << 20        # shingles that a task remembers
+
+
 def _confirm(batches):
-    """Pairs whose full shingle sets overlap enough. Rows come sorted by ``a``, so its set is made once."""
-    last, mine = None, None
+    """Pairs whose full shingle sets overlap enough. Sets of documents that come again are remembered, up to a bound."""
+    known: dict[bytes, np.ndarray] = {}
+    size = 0
+
+    def shingles(text: bytes) -> np.ndarray:
+        nonlocal size
+        if text not in known:
+            if size > REMEMBERED:
+                known.clear()
+                size = 0
+            known[text] = shingle_sets([text])[0]
+            size += len(known[text]) + len(text) // 8
+        return known[text]
+
     for batch in batches:
         keep = []
         for i, (a, b, left, right) in enumerate(zip(*(c.to_pylist() for c in batch.columns))):
-            if left != last:
-                last, mine = left, shingle_sets([left])[0]
-            other = shingle_sets([right])[0]
-            common = len(np.intersect1d(mine, other, assume_unique=True))
+            mine, other = shingles(left), shingles(right)
+            if len(mine) > len(other):
+                mine, other = other, mine
+            if not len(mine):
+                continue
+            common = int((other[np.minimum(np.searchsorted(other, mine), len(other) - 1)] == mine).sum())
             if 100 * common >= PERCENT * (len(mine) + len(other) - common):
                 keep.append(i)
         yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep, pa.int64())), batch.column(1).take(pa.array(keep, pa.int64()))], names=["a", "b"])
 
 
-def _linked(pairs: DataFrame, codes: DataFrame, rows: DataFrame, label: str) -> DataFrame:
-    """Those of the pairs (a, b) that are links."""
+def _texts(rows: DataFrame, ids: DataFrame, label: str) -> DataFrame:
+    """The different texts of the given documents."""
+    return written(maybe_among(rows, ids).join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id", "tid"]).select("doc_id", "body"), f"{label}-texts", free=True)
+
+
+def _likely(pairs: DataFrame, codes: DataFrame, label: str) -> DataFrame:
+    """Those of the pairs (a, b) that their codes do not rule out."""
     side = lambda x: codes.select(F.col("doc_id").alias(x), F.col("n").alias(f"n{x}"), F.col("codes").alias(f"c{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").where(f"100 * least(na, nb) >= {PERCENT} * greatest(na, nb)")
-    likely = written(both.select("a", "b", "ca", "cb").mapInArrow(_sequential, "a long, b long").distinct(), f"{label}-likely")
-    ids = likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = written(rows.join(ids, "doc_id", "left_semi").select("doc_id", "body").distinct(), f"{label}-texts", free=True)
+    return written(both.select("a", "b", "ca", "cb").mapInArrow(_sequential, "a long, b long").distinct(), f"{label}-likely")
+
+
+def _links(likely: DataFrame, texts: DataFrame, label: str) -> DataFrame:
+    """Those of the pairs that are links by their full sets."""
     text = lambda x: texts.select(F.col("doc_id").alias(x), F.col("body").alias(f"t{x}"))
     full = likely.join(text("b"), "b").join(text("a"), "a").select("a", "b", "ta", "tb")
     return written(full.mapInArrow(_confirm, "a long, b long").distinct(), f"{label}-links")
 
 
+def _ids(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+
+
+def _likely_across(placed: DataFrame, long: DataFrame) -> DataFrame:
+    """Likely pairs between components, for buckets that hold several. ``placed``: key, id, root, main (the largest component).
+
+    Members of minor components (left) meet all members (right) in cells of at most BLOCK by BLOCK, so no bucket lands in one task.
+    """
+    minor = F.col("root") != F.col("main")
+    sizes = placed.groupBy("key").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"), F.ceil(F.count_if(minor) / F.lit(BLOCK)).cast("int").alias("lefts"))
+    rows = placed.join(sizes, "key").join(long, "id").withColumn("minor", minor)
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda n, seed: F.pmod(F.xxhash64("id", F.lit(seed)), F.col(n)).cast("int")
+    left = rows.where("minor").withColumn("i", own("lefts", 1)).withColumn("j", every("blocks")).withColumn("side", F.lit(True))
+    right = rows.withColumn("j", own("blocks", 2)).withColumn("i", every("lefts")).withColumn("side", F.lit(False))
+    cells = left.unionByName(right).select("key", "i", "j", "side", "id", "root", "minor", "codes")
+    return cells.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_compare, "a long, b long")
+
+
+def _tree(roots: DataFrame) -> DataFrame:
+    """Components so far as links."""
+    return roots.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``; only ``doc_id`` and ``text`` are read.
 
@@ -169,29 +281,37 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     banded = codes.select("doc_id", "codes").mapInArrow(_bands, "key long, id long")
     shared = banded.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
     buckets = written(banded.join(shared.select("key", "low"), "key"), "buckets", free=True)
-    first = buckets.where("id <> low").select(F.col("low").alias("a"), F.col("id").alias("b")).distinct()
-    first = written(first, "pairs")
-    links = _linked(first, codes, rows, "first")
+    votes = buckets.where("id <> low").groupBy(F.col("low").alias("a"), F.col("id").alias("b")).agg(F.count("*").alias("n"))
+    votes = written(votes, "votes")
 
     # a doc_id with several texts ties their classes together
     members = some.join(classes, ["n", "d1", "d2"]).select("doc_id", "rep")
     tied = members.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b").select("a", "doc_id")
     tied = tied.join(members, "doc_id").where("a <> rep").select("a", F.col("rep").alias("b"))
-    links = written(links.unionByName(tied).distinct(), "links")
+    links, tested = written(tied.distinct(), "tied"), None
     roots = components(links)
+    for r in range(ROUNDS):
+        side = lambda x: roots.select(F.col("node").alias(x), F.col("root").alias(f"r{x}"))
+        apart = votes.join(side("a"), "a", "left").join(side("b"), "b", "left").where("coalesce(ra, a) <> coalesce(rb, b)")
+        if tested is not None:
+            apart = apart.join(tested, ["a", "b"], "left_anti")
+        best = written(apart.groupBy("b").agg(F.max(F.struct("n", (-F.col("a")).alias("a"))).alias("m")).select((-F.col("m.a")).alias("a"), "b"), f"best-{r}")
+        if best.isEmpty():
+            break
+        tested = best if tested is None else tested.unionByName(best)
+        likely = _likely(best, codes, f"round-{r}")
+        more = _links(likely, _texts(rows, _ids(likely), f"round-{r}"), f"round-{r}")
+        roots = components(_tree(roots).unionByName(more))
 
     placed = buckets.join(roots.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("root", "id").alias("root"))
     sizes = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
     mixed = sizes.groupBy("key").agg(F.max_by("root", F.struct("n", -F.col("root"))).alias("main"), F.count("*").alias("roots")).where("roots > 1")
     placed = written(placed.join(mixed.select("key", "main"), "key"), "placed")
-    fewer = placed.where("root <> main").select("key", F.col("id").alias("x"), F.col("root").alias("rx"))
-    across = fewer.join(placed.select("key", F.col("id").alias("y"), F.col("root").alias("ry")), "key").where("rx <> ry")
-    across = across.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    across = written(across, "across-pairs")
-    if not across.isEmpty():
-        more = _linked(across, codes, rows, "across")
-        tree = roots.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))
-        roots = components(tree.unionByName(more))
+    if not placed.isEmpty():
+        texts = _texts(rows, placed.select(F.col("id").alias("doc_id")).distinct(), "last")
+        long = written(texts.mapInArrow(_sign_long, "id long, codes binary"), "long")
+        likely = written(_likely_across(placed, long).distinct(), "last-likely", free=True)
+        roots = components(_tree(roots).unionByName(_links(likely, texts, "last")))
 
     found = members.join(roots.withColumnRenamed("node", "rep"), "rep", "left").groupBy("doc_id").agg(F.min(F.coalesce("root", "rep")).alias("root"))
     out = signed.select("doc_id", "n").join(found, "doc_id", "left")

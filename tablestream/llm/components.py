@@ -16,7 +16,7 @@ def components(links: DataFrame) -> DataFrame:
     minimum before the shuffle, and the joins with that minimum may be split by AQE where one node has very many links.
     """
     a, b = links.columns
-    edges = written(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "edges")
+    edges = written(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "edges", few=True)
     state = lambda e: tuple(e.agg(F.count("*"), F.sum(F.hash("u", "v").cast("decimal(20,0)"))).first())
     seen = state(edges)
     while seen[0]:
@@ -26,7 +26,7 @@ def components(links: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         met = large.join(least, "u")
         small = met.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        edges = written(small.distinct(), "edges")
+        edges = written(small.distinct(), "edges", few=True)
         now = state(edges)
         if now == seen:
             break

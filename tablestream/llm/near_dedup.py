@@ -229,14 +229,14 @@ def _likely(pairs: DataFrame, codes: DataFrame, label: str) -> DataFrame:
     """Those of the pairs (a, b) that their codes do not rule out."""
     side = lambda x: codes.select(F.col("doc_id").alias(x), F.col("n").alias(f"n{x}"), F.col("codes").alias(f"c{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").where(f"100 * least(na, nb) >= {PERCENT} * greatest(na, nb)")
-    return written(both.select("a", "b", "ca", "cb").mapInArrow(_sequential, "a long, b long").distinct(), f"{label}-likely")
+    return written(both.select("a", "b", "ca", "cb").mapInArrow(_sequential, "a long, b long").distinct(), f"{label}-likely", few=True)
 
 
 def _links(likely: DataFrame, texts: DataFrame, label: str) -> DataFrame:
     """Those of the pairs that are links by their full sets."""
     text = lambda x: texts.select(F.col("doc_id").alias(x), F.col("body").alias(f"t{x}"))
     full = likely.join(text("b"), "b").join(text("a"), "a").select("a", "b", "ta", "tb")
-    return written(full.mapInArrow(_confirm, "a long, b long").distinct(), f"{label}-links")
+    return written(full.mapInArrow(_confirm, "a long, b long").distinct(), f"{label}-links", few=True)
 
 
 def _ids(pairs: DataFrame) -> DataFrame:
@@ -274,7 +274,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = text_rows(docs)
     signed = written(rows.select("doc_id", "tid", "body").mapInArrow(_sign, "doc_id long, n long, d1 long, d2 long, codes binary"), "signed")
     some = signed.where("n > 0 and doc_id is not null")
-    classes = written(some.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep")), "classes")
+    classes = written(some.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep")), "classes", few=True)
     codes = some.join(classes.withColumnRenamed("rep", "doc_id"), ["doc_id", "n", "d1", "d2"], "left_semi").select("doc_id", "n", "codes").distinct()
     codes = written(codes, "codes")
 
@@ -282,20 +282,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     shared = banded.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
     buckets = written(banded.join(shared.select("key", "low"), "key"), "buckets", free=True)
     votes = buckets.where("id <> low").groupBy(F.col("low").alias("a"), F.col("id").alias("b")).agg(F.count("*").alias("n"))
-    votes = written(votes, "votes")
+    votes = written(votes, "votes", few=True)
 
     # a doc_id with several texts ties their classes together
     members = some.join(classes, ["n", "d1", "d2"]).select("doc_id", "rep")
     tied = members.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b").select("a", "doc_id")
     tied = tied.join(members, "doc_id").where("a <> rep").select("a", F.col("rep").alias("b"))
-    links, tested = written(tied.distinct(), "tied"), None
+    links, tested = written(tied.distinct(), "tied", few=True), None
     roots = components(links)
     for r in range(ROUNDS):
         side = lambda x: roots.select(F.col("node").alias(x), F.col("root").alias(f"r{x}"))
         apart = votes.join(side("a"), "a", "left").join(side("b"), "b", "left").where("coalesce(ra, a) <> coalesce(rb, b)")
         if tested is not None:
             apart = apart.join(tested, ["a", "b"], "left_anti")
-        best = written(apart.groupBy("b").agg(F.max(F.struct("n", (-F.col("a")).alias("a"))).alias("m")).select((-F.col("m.a")).alias("a"), "b"), f"best-{r}")
+        best = written(apart.groupBy("b").agg(F.max(F.struct("n", (-F.col("a")).alias("a"))).alias("m")).select((-F.col("m.a")).alias("a"), "b"), f"best-{r}", few=True)
         if best.isEmpty():
             break
         tested = best if tested is None else tested.unionByName(best)
@@ -306,7 +306,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     placed = buckets.join(roots.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("root", "id").alias("root"))
     sizes = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
     mixed = sizes.groupBy("key").agg(F.max_by("root", F.struct("n", -F.col("root"))).alias("main"), F.count("*").alias("roots")).where("roots > 1")
-    placed = written(placed.join(mixed.select("key", "main"), "key"), "placed")
+    placed = written(placed.join(mixed.select("key", "main"), "key"), "placed", few=True)
     if not placed.isEmpty():
         texts = _texts(rows, placed.select(F.col("id").alias("doc_id")).distinct(), "last")
         long = written(texts.mapInArrow(_sign_long, "id long, codes binary"), "long")

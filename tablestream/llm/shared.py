@@ -32,12 +32,18 @@ def text_rows(docs: DataFrame, text: str = "text") -> DataFrame:
                        body(text).alias("body"))
 
 
-def written(df: DataFrame, label: str, free: bool = False) -> DataFrame:
+FEW = 8
+
+
+def written(df: DataFrame, label: str, free: bool = False, few: bool = False) -> DataFrame:
     """Write to the shared folder and read again: later steps start from files, not from lost executors' shuffles.
 
-    With ``free`` the shuffle files of the step are dropped at once (for steps that move texts).
+    With ``free`` the shuffle files of the step are dropped at once (for steps that move texts). With ``few`` a narrow table (ids and
+    counts) is written by one in ``FEW`` as many tasks as there are shuffle partitions: the fixed cost of a task is most of its work.
     """
     spark = df.sparkSession
+    if few:
+        df = df.coalesce(max(8, int(spark.conf.get("spark.sql.shuffle.partitions")) // FEW))
     path = scratch_dir(spark, label)
     df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)

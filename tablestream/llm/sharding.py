@@ -1,10 +1,11 @@
 """Balanced label propagation: documents move towards the shards of the documents they are linked with, under quotas.
 
 Links join documents with equal texts. As all members of a group are neighbours of one another, the neighbours' labels of a document are
-the label counts of its group, so one aggregation by (group, shard) replaces the edges. Each round a group's documents ask for
-the shard that holds most of their neighbours; a shard admits as many as its quota has room for. Groups larger than a part of
-a shard are cut into pieces by a hash of doc_id first, so no group outgrows a task or a shard. At the end, documents
-without links even out the shards to counts at most one apart; linked ones move only where nothing else is left.
+the label counts of its group, so one aggregation by (group, shard) replaces the edges. Groups larger than a part of a shard are few: they
+choose first, from the largest on, and each takes the fewest shards that hold it. The other documents start at random in the room that is left.
+Each round a group's documents ask for the shard that holds most of their neighbours; a shard admits as many as its quota has
+room for. At the end, documents without links even out the shards to counts at most one apart; linked ones move only where
+nothing else is left, groups as a whole.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from .shared import body, session, written
 
 ROUNDS = 5
-PIECE = 4                     # a piece of a group is at most 1/PIECE of a shard
+PART = 4                      # a group of more than 1/PART of a shard chooses its shards first: at most PART groups a shard
 PER_BUCKET = 50_000           # documents that are numbered in one task
 
 
@@ -31,6 +32,21 @@ def _ranked(rows: DataFrame, within: list[str], order: Column, buckets: int, nam
         name, F.col("_before") + F.col("_at") - 1).drop("_bucket", "_before", "_at")
 
 
+def _choose(groups: list[int], quota: list[int]) -> list[list[tuple[int, int]]]:
+    """(shard, rows) of each group: the fullest shard that has room for all of it, or else the emptiest ones and then such a shard."""
+    room = list(quota)
+    out: list[list[tuple[int, int]]] = [[] for _ in groups]
+    for i in sorted(range(len(groups)), key=lambda i: -groups[i]):
+        left = groups[i]
+        while left:
+            s = min(range(len(room)), key=lambda s: (room[s] < left, room[s] if room[s] >= left else -room[s], s))
+            n = min(left, room[s])
+            out[i].append((s, n))
+            room[s] -= n
+            left -= n
+    return out
+
+
 def balanced_shards(docs: DataFrame, shards: int = 8, rounds: int = ROUNDS) -> DataFrame:
     """``doc_id, size, text_crc32, shard, slot`` for every row; only ``doc_id`` and ``text`` are read.
 
@@ -41,19 +57,34 @@ def balanced_shards(docs: DataFrame, shards: int = 8, rounds: int = ROUNDS) -> D
     text = body()
     nodes = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("crc"),
                         F.xxhash64(text).alias("h"))
-    nodes = written(nodes.withColumn("shard", F.pmod(F.xxhash64("doc_id", "h", F.lit(1)), F.lit(shards)).cast("int")), "nodes")
+    nodes = written(nodes.withColumn("luck", F.xxhash64("doc_id", "h")), "nodes")
     total = nodes.count()
-    quota = spark.range(shards).select(F.col("id").cast("int").alias("shard"),
-                                       (F.lit(total // shards) + (F.col("id") < total % shards).cast("long")).alias("quota"))
+    quotas = [total // shards + (s < total % shards) for s in range(shards)]
+    quota = spark.createDataFrame(list(enumerate(quotas)), "shard int, quota long")
     group = ["h", "crc", "size"]
     sizes = nodes.groupBy(*group).agg(F.count("*").alias("n")).where("n > 1")
-    most = max(1, total // (shards * PIECE))
-    pieces = F.ceil(F.col("n") / F.lit(most)).cast("int")
-    linked = nodes.join(sizes, group).withColumn("piece", F.pmod(F.xxhash64("doc_id", F.lit(2)), pieces).cast("int")).drop("n")
-    linked = written(linked, "linked")
-    unit = [*group, "piece"]
+    most = max(1, total // (shards * PART))
+    nodes = written(nodes.join(sizes, group, "left"), "grouped")                    # n: null for documents without links
+    # large groups: at most PART a shard, so their plan is a small table
+    large = nodes.where(F.col("n") > most).groupBy(*group).agg(F.first("n").alias("n")).orderBy(F.desc("n"), *group).collect()
+    chosen, left = [], list(quotas)
+    for g, parts in zip(large, _choose([g.n for g in large], quotas)):
+        at = 0
+        for s, n in parts:
+            chosen.append((g.h, g.crc, g.size, at, at + n, s))
+            at, left[s] = at + n, left[s] - n
+    chosen = spark.createDataFrame(chosen, "h long, crc long, size long, lo long, hi long, shard int")
+    held = _ranked(nodes.where(F.col("n") > most), group, F.xxhash64("luck", F.lit(2)), max(1, total // PER_BUCKET), "nth")
+    held = held.join(F.broadcast(chosen), group).where((F.col("nth") >= F.col("lo")) & (F.col("nth") < F.col("hi")))
+    # the others start at random in the room that is left
+    ends = F.array(*[F.lit(sum(left[:s + 1])).cast("double") for s in range(shards)])
+    spot = F.shiftrightunsigned(F.xxhash64("luck", F.lit(1)), 11) / F.lit(float(2**53)) * F.lit(float(sum(left)))
+    start = F.least(F.size(F.filter(ends, lambda e: e <= spot)), F.lit(max([s for s in range(shards) if left[s]], default=0))).cast("int")
+    taken = quota.join(spark.createDataFrame(list(enumerate(left)), "shard int, open long"), "shard").select("shard", F.col("open").alias("quota"))
+    linked = written(nodes.where((F.col("n") > 1) & (F.col("n") <= most)).withColumn("shard", start), "linked")
+    unit = group
     for r in range(rounds):
-        load = quota.join(F.broadcast(linked.groupBy("shard").agg(F.count("*").alias("load"))), "shard", "left")       # one row a shard
+        load = taken.join(F.broadcast(linked.groupBy("shard").agg(F.count("*").alias("load"))), "shard", "left")       # one row a shard
         room = load.select("shard", F.greatest(F.col("quota") - F.coalesce("load", F.lit(0)), F.lit(0)).alias("room"))
         votes = linked.groupBy(*unit, "shard").agg(F.count("*").alias("n"))
         # a full shard can keep its own but is no goal; ties fall by a hash of the group and the shard
@@ -70,24 +101,27 @@ def balanced_shards(docs: DataFrame, shards: int = 8, rounds: int = ROUNDS) -> D
         linked = linked.join(admitted, unit, "left").withColumn("shard", F.coalesce("goal", "shard")).drop("goal")
         linked = written(linked, "linked")
 
-    free = nodes.join(sizes, group, "left_anti")
-    placed = linked.select("doc_id", "size", "crc", "h", "shard", F.lit(1).alias("tied"))
-    placed = written(placed.unionByName(free.select("doc_id", "size", "crc", "h", "shard", F.lit(0).alias("tied"))), "placed")
+    # tied: 0 without links, 1 in a group that one task can order, 2 in a larger one
+    columns = ["doc_id", "size", "crc", "h", "luck", "shard"]
+    tied = F.when(F.col("n") > F.least(F.lit(most), F.lit(PER_BUCKET)), F.lit(2)).otherwise(F.lit(1)).alias("tied")
+    placed = held.select(*columns, tied).unionByName(linked.select(*columns, tied))
+    placed = written(placed.unionByName(nodes.where("n is null").withColumn("shard", start).select(*columns, F.lit(0).alias("tied"))), "placed")
     buckets = max(1, -(-total // (shards * PER_BUCKET)))
-    tied = F.lit(1) - F.col("tied")
-    counts = placed.groupBy("shard").agg(F.count("*").alias("load"), F.sum(tied).alias("loose"))
-    counts = quota.join(F.broadcast(counts), "shard", "left").na.fill(0, ["load", "loose"])
+    count = lambda k: F.count(F.when(F.col("tied") == k, 1))
+    counts = placed.groupBy("shard").agg(F.count("*").alias("load"), count(0).alias("loose"), count(1).alias("small"))
+    counts = quota.join(F.broadcast(counts), "shard", "left").na.fill(0, ["load", "loose", "small"])
     by_shard = Win.orderBy("shard").rowsBetween(Win.unboundedPreceding, -1)            # a table of one row a shard
     over, under = F.greatest(F.col("load") - F.col("quota"), F.lit(0)), F.greatest(F.col("quota") - F.col("load"), F.lit(0))
-    plan = counts.select("shard", "loose", over.alias("over"), under.alias("under"), F.coalesce(F.sum(over).over(by_shard), F.lit(0)).alias("over_before"),
+    plan = counts.select("shard", "loose", "small", over.alias("over"), under.alias("under"), F.coalesce(F.sum(over).over(by_shard), F.lit(0)).alias("over_before"),
                          F.coalesce(F.sum(under).over(by_shard), F.lit(0)).alias("under_before"))
     plan = written(plan, "plan")
-    # surplus rows of a shard: first those without links, then linked ones
-    ranked = _ranked(placed, ["shard", "tied"], F.xxhash64("doc_id", "h", F.lit(3)), buckets, "nth").join(F.broadcast(plan), "shard")
-    nth = F.col("nth") + F.when(F.col("tied") == 1, F.col("loose")).otherwise(0)
+    # surplus rows of a shard: first those without links, then linked ones, group by group
+    order = F.when(F.col("tied") == 1, F.xxhash64("h", "crc", "size")).otherwise(F.xxhash64("luck", F.lit(3)))
+    ranked = _ranked(placed, ["shard", "tied"], order, buckets, "nth").join(F.broadcast(plan), "shard")
+    nth = F.col("nth") + F.when(F.col("tied") > 0, F.col("loose")).otherwise(0) + F.when(F.col("tied") > 1, F.col("small")).otherwise(0)
     ranked = ranked.withColumn("leaves", F.when(nth < F.col("over"), F.col("over_before") + nth))
     goals = plan.where("under > 0").select(F.col("shard").alias("goal"), F.col("under_before").alias("lo"), (F.col("under_before") + F.col("under")).alias("hi"))
     moved = ranked.join(F.broadcast(goals), (F.col("leaves") >= F.col("lo")) & (F.col("leaves") < F.col("hi")), "left")
-    final = written(moved.select("doc_id", "size", "crc", "h", F.coalesce("goal", "shard").alias("shard")), "sharded")
-    final = _ranked(final, ["shard"], F.xxhash64("doc_id", "h", F.lit(4)), buckets, "slot")
+    final = written(moved.select("doc_id", "size", "crc", "luck", F.coalesce("goal", "shard").alias("shard")), "sharded")
+    final = _ranked(final, ["shard"], F.xxhash64("luck", F.lit(4)), buckets, "slot")
     return final.select("doc_id", "size", F.col("crc").alias("text_crc32"), "shard", F.col("slot").cast("long").alias("slot"))

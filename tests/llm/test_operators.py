@@ -146,6 +146,23 @@ def test_balanced_shards(spark, docs, empty):
     shard_checks(hot, sharding.balanced_shards(spark.createDataFrame(hot, SCHEMA), 8).collect())
 
 
+def pairs_kept(got, group):
+    """Share of the pairs of a group that are in one shard."""
+    n = Counter(r.shard for r in got if group(r.doc_id))
+    return sum(x * (x - 1) for x in n.values()) / (sum(n.values()) * (sum(n.values()) - 1))
+
+
+def test_large_groups_take_the_fewest_shards(spark):
+    """33 % of the rows fill three of eight shards and 10 % fit one; ordinary groups around them stay together."""
+    rows = [(i, "third" if i < 660 else "tenth" if i < 860 else f"copy {i // 4}" if i < 1660 else f"single {i}", None, None, None) for i in range(2000)]
+    got = sharding.balanced_shards(spark.createDataFrame(rows, SCHEMA), 8).collect()
+    shard_checks(rows, got)
+    best = (250 * 249 * 2 + 160 * 159) / (660 * 659)
+    assert pairs_kept(got, lambda i: i < 660) == best and pairs_kept(got, lambda i: 660 <= i < 860) == 1
+    at = {r.doc_id: r.shard for r in got}
+    assert sum(len({at[i] for i in range(g, g + 4)}) > 1 for g in range(860, 1660, 4)) <= 10          # of 200 groups
+
+
 def test_packing(spark, docs, empty):
     public_tokenizers = pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer

@@ -3,20 +3,23 @@
 Links join documents with equal texts. As all members of a group are neighbours of one another, the neighbours' labels of a document are
 the label counts of its group, so one aggregation by (group, shard) replaces the edges. Groups larger than a part of a shard are few: they
 choose first, from the largest on, and each takes the fewest shards that hold it. The other documents start at random in the room that is left.
-Each round a group's documents ask for the shard that holds most of their neighbours; a shard admits as many as its quota has
-room for. At the end, documents without links even out the shards to counts at most one apart; linked ones move only where
+Each round a group's documents ask for a shard that holds neighbours of theirs, and the flows between the shards are balanced: a full
+shard admits as many as leave it, so full shards exchange documents. Rounds go on until one moves less than a stated part of the
+documents with links. At the end, documents without links even out the shards to counts at most one apart; linked ones move only where
 nothing else is left, groups as a whole.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as Win
 from pyspark.sql import functions as F
 
 from .shared import body, session, written
 
-ROUNDS = 5
+GAIN = 0.0005                 # rounds end when two of them move no more than this part of the documents with links
+STRETCHES = 4096              # of a hash, for running totals
 PART = 4                      # a group of more than 1/PART of a shard chooses its shards first: at most PART groups a shard
 PER_BUCKET = 50_000           # documents that are numbered in one task
 
@@ -47,11 +50,89 @@ def _choose(groups: list[int], quota: list[int]) -> list[list[tuple[int, int]]]:
     return out
 
 
-def balanced_shards(docs: DataFrame, shards: int = 8, rounds: int = ROUNDS) -> DataFrame:
+def _circle(way: np.ndarray) -> list[int]:
+    """Shards of a circle of ways, or none."""
+    live = np.ones(len(way), bool)
+    while True:
+        keep = live & way[:, live].any(1) & way[live].any(0)
+        if (keep == live).all():
+            break
+        live = keep
+    if not live.any():
+        return []
+    walk = [int(live.argmax())]
+    while (to := int((way[walk[-1]] & live).argmax())) not in walk:
+        walk.append(to)
+    return walk[walk.index(to):]
+
+
+def _flows(asked: np.ndarray, room: np.ndarray) -> np.ndarray:
+    """Rows that may move from shard to shard, of those that ask: no shard gets more than leave it and it has room for.
+
+    First what two shards exchange, then circles of more, then moves into free room; each gives room to those that want to its place.
+    """
+    flow = np.minimum(asked, asked.T)
+    left, room = asked - flow, room.copy()
+    while circle := _circle(left > 0):
+        edges = tuple(circle), tuple(circle[1:] + circle[:1])
+        n = left[edges].min()
+        left[edges] -= n
+        flow[edges] += n
+    while (into := np.argwhere((left > 0) & (room > 0))).size:         # no circles are left: room only goes back along the ways
+        s, g = into[0]
+        n = min(left[s, g], room[g])
+        left[s, g] -= n
+        flow[s, g] += n
+        room[g] -= n
+        room[s] += n
+    return flow
+
+
+def _propagate(blocks: DataFrame, room: list[int], rounds: int | None) -> DataFrame:
+    """``h, crc, size, start, shard``: where the documents of each group that started in shard ``start`` end; ``blocks`` has their number n."""
+    spark, shards, group = blocks.sparkSession, len(room), ["h", "crc", "size"]
+    blocks = written(blocks.withColumn("shard", F.col("start")), "blocks")
+    linked = blocks.agg(F.sum("n")).first()[0] or 0
+    quiet = r = 0
+    while quiet < 2 and (rounds is None or r < rounds):
+        here = blocks.groupBy(*group, "shard").agg(F.sum("n").alias("n"))
+        # in turn the shard with most neighbours (ties by a hash), and any that has some: the first may stay full
+        luck = F.xxhash64(*group, "shard", F.lit(100 + r))
+        score = F.struct("n", luck) if r % 2 == 0 else F.struct(luck)
+        goal = here.groupBy(*group).agg(F.max_by("shard", score).alias("goal"), F.collect_list(F.struct("shard", "n")).alias("parts")).where(F.size("parts") > 1)
+        moves = written(goal.select(*group, "goal", F.inline("parts")).where("shard <> goal"), "moves")          # at most one part a shard
+        asked, free = np.zeros((shards, shards), np.int64), np.array(room, np.int64)
+        for s, g, n in moves.groupBy("shard", "goal").agg(F.sum("n")).collect():
+            asked[s, g] = n
+        if not asked.any():
+            break
+        for s, n in blocks.groupBy("shard").agg(F.sum("n")).collect():
+            free[s] -= n
+        flow = _flows(asked, free)
+        table = spark.createDataFrame([(s, g, int(flow[s, g])) for s in range(shards) for g in range(shards)], "shard int, goal int, flow long")
+        order = F.xxhash64(*group, F.lit(200 + r))
+        moves = moves.withColumns({"order": order, "stretch": F.pmod(order, F.lit(STRETCHES))})
+        sums = moves.groupBy("shard", "goal", "stretch").agg(F.sum("n").alias("t"))
+        way = Win.partitionBy("shard", "goal").orderBy("stretch")                      # at most STRETCHES rows
+        sums = sums.withColumn("before", F.sum("t").over(way) - F.col("t")).join(F.broadcast(table), ["shard", "goal"]).where("before < flow").drop("t")
+        inner = Win.partitionBy("shard", "goal", "stretch").orderBy("order", *group).rowsBetween(Win.unboundedPreceding, 0)
+        upto = F.col("before") + F.sum("n").over(inner)
+        admitted = moves.join(sums, ["shard", "goal", "stretch"]).withColumn("upto", upto).where("upto <= flow")
+        admitted = written(admitted.select(*group, "shard", "goal", "n"), "admitted")
+        moved = admitted.agg(F.sum("n")).first()[0] or 0
+        if moved:
+            blocks = blocks.join(admitted.drop("n"), [*group, "shard"], "left").withColumn("shard", F.coalesce("goal", "shard")).drop("goal")
+            blocks = written(blocks, "blocks")
+        quiet = quiet + 1 if moved <= GAIN * linked else 0
+        r += 1
+    return blocks.drop("n")
+
+
+def balanced_shards(docs: DataFrame, shards: int = 8, rounds: int | None = None) -> DataFrame:
     """``doc_id, size, text_crc32, shard, slot`` for every row; only ``doc_id`` and ``text`` are read.
 
     ``size`` is the bytes of the text (null: none) plus one; ``slot`` numbers the rows of a shard from 0. Shard counts differ by one
-    at most. Empty and null texts are equal. Rows without doc_id and rows that repeat another take part like any other.
+    at most. ``rounds`` limits the rounds (none: see ``GAIN``). Empty and null texts are equal. Rows without doc_id and rows that repeat another take part like any other.
     """
     spark = session(docs.sparkSession)
     text = body()
@@ -77,29 +158,12 @@ def balanced_shards(docs: DataFrame, shards: int = 8, rounds: int = ROUNDS) -> D
     held = _ranked(nodes.where(F.col("n") > most), group, F.xxhash64("luck", F.lit(2)), max(1, total // PER_BUCKET), "nth")
     held = held.join(F.broadcast(chosen), group).where((F.col("nth") >= F.col("lo")) & (F.col("nth") < F.col("hi")))
     # the others start at random in the room that is left
-    ends = F.array(*[F.lit(sum(left[:s + 1])).cast("double") for s in range(shards)])
+    upto = F.array(*[F.lit(sum(left[:s + 1])).cast("double") for s in range(shards)])
     spot = F.shiftrightunsigned(F.xxhash64("luck", F.lit(1)), 11) / F.lit(float(2**53)) * F.lit(float(sum(left)))
-    start = F.least(F.size(F.filter(ends, lambda e: e <= spot)), F.lit(max([s for s in range(shards) if left[s]], default=0))).cast("int")
-    taken = quota.join(spark.createDataFrame(list(enumerate(left)), "shard int, open long"), "shard").select("shard", F.col("open").alias("quota"))
-    linked = written(nodes.where((F.col("n") > 1) & (F.col("n") <= most)).withColumn("shard", start), "linked")
-    unit = group
-    for r in range(rounds):
-        load = taken.join(F.broadcast(linked.groupBy("shard").agg(F.count("*").alias("load"))), "shard", "left")       # one row a shard
-        room = load.select("shard", F.greatest(F.col("quota") - F.coalesce("load", F.lit(0)), F.lit(0)).alias("room"))
-        votes = linked.groupBy(*unit, "shard").agg(F.count("*").alias("n"))
-        # a full shard can keep its own but is no goal; ties fall by a hash of the group and the shard
-        scored = votes.join(F.broadcast(room), "shard").withColumn("score", F.struct(F.col("room") > 0, F.col("n"), F.xxhash64(*unit, "shard")))
-        goal = scored.groupBy(*unit).agg(F.max_by("shard", "score").alias("goal"), F.sum("n").alias("all"),
-                                         F.max_by("n", "score").alias("there"), F.max_by("room", "score").alias("room"))
-        goal = written(goal.where("all > there and room > 0").withColumn("moves", F.col("all") - F.col("there")).drop("room"), "goals")
-        if goal.isEmpty():
-            break
-        asked = goal.groupBy("goal").agg(F.sum("moves").alias("asked"))
-        share = asked.join(F.broadcast(room.withColumnRenamed("shard", "goal")), "goal").select("goal", F.least(F.lit(1.0), F.col("room") / F.col("asked")).alias("share"))
-        luck = F.pmod(F.xxhash64(*unit, F.lit(100 + r)), F.lit(1 << 20)) / F.lit(float(1 << 20))
-        admitted = goal.join(F.broadcast(share), "goal").where(luck < F.col("share")).select(*unit, "goal")
-        linked = linked.join(admitted, unit, "left").withColumn("shard", F.coalesce("goal", "shard")).drop("goal")
-        linked = written(linked, "linked")
+    start = F.least(F.size(F.filter(upto, lambda e: e <= spot)), F.lit(max([s for s in range(shards) if left[s]], default=0))).cast("int")
+    linked = nodes.where((F.col("n") > 1) & (F.col("n") <= most)).withColumn("start", start)
+    ends = _propagate(linked.groupBy(*group, "start").agg(F.count("*").alias("n")), left, rounds)
+    linked = linked.join(ends, [*group, "start"])
 
     # tied: 0 without links, 1 in a group that one task can order, 2 in a larger one
     columns = ["doc_id", "size", "crc", "h", "luck", "shard"]

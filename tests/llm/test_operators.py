@@ -163,6 +163,27 @@ def test_large_groups_take_the_fewest_shards(spark):
     assert sum(len({at[i] for i in range(g, g + 4)}) > 1 for g in range(860, 1660, 4)) <= 10          # of 200 groups
 
 
+def test_full_shards_exchange_documents(spark):
+    """Every document has one copy, so no shard has free room; pairs meet all the same."""
+    rows = [(i, f"pair {i // 2}", None, None, None) for i in range(2000)]
+    got = sharding.balanced_shards(spark.createDataFrame(rows, SCHEMA), 8).collect()
+    shard_checks(rows, got)
+    at = {r.doc_id: r.shard for r in got}
+    assert sum(at[i] != at[i + 1] for i in range(0, 2000, 2)) <= 50          # of 1,000 pairs
+
+
+def test_flows_keep_to_the_room():
+    r = np.random.default_rng(2)
+    for _ in range(200):
+        k = int(r.integers(1, 7))
+        asked, room = r.integers(0, 9, (k, k)) * (r.random((k, k)) < 0.6), r.integers(-4, 6, k)
+        np.fill_diagonal(asked, 0)
+        flow = sharding._flows(asked, room)
+        net = flow.sum(0) - flow.sum(1)
+        assert (flow >= 0).all() and (flow <= asked).all() and (net <= np.maximum(room, 0)).all()
+        assert not ((asked > flow) & (room - net > 0)).any() and not sharding._circle(asked > flow)
+
+
 def test_packing(spark, docs, empty):
     public_tokenizers = pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer

@@ -12,7 +12,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tablestream.llm import exact_dedup, mixing, near_dedup, packing, quality_cnn  # noqa: E402
 from tablestream.llm.queries import mix_levels  # noqa: E402
-from tablestream.llm.shared import written  # noqa: E402
+from tablestream.llm.shared import maybe_among, written  # noqa: E402
 
 # The mix keeps most of the corpus and evens out domains and languages where they crowd the rest out.
 MIX_WEIGHTS = {"domain": {"web": 5, "books": 3, "code": 2}, "lang": {"en": 6, "*": 2}}
@@ -38,8 +38,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
-    return _matching(docs, exact_dedup.exact_duplicates(docs).where("kept"), ["doc_id", "tid"])
+    """One row of each group of equal texts: of rows that repeat doc_id and text, or have no doc_id, the least by its columns."""
+    kept = written(exact_dedup.exact_duplicates(docs).where("kept").select("doc_id", "tid"), "kept", few=True)
+    again = kept.groupBy("doc_id", "tid").count().where("count > 1").select(F.xxhash64("doc_id", "tid").alias("_row"))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    keyed = docs.withColumn("_row", F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64(text)))
+    once = _matching(maybe_among(keyed, again, "_row", outside=True).drop("_row"), kept, ["doc_id", "tid"])
+    more = _matching(maybe_among(keyed, again, "_row").drop("_row"), kept, ["doc_id", "tid"])
+    more = more.groupBy("doc_id", text.alias("_text")).agg(F.min(F.struct(*docs.columns)).alias("_least")).select("_least.*")
+    return once.unionByName(more)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

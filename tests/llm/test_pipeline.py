@@ -41,6 +41,15 @@ def test_stages(spark, tmp_path):
     assert {r.doc_id for r in pieces} == set(mixed)
 
 
+def test_exact_keeps_one_row_a_text(spark):
+    rows = [(None, "no id"), (None, "no id"), (None, "no id"), (1, "twice"), (1, "twice"), (1, "other"), (2, "mixed"), (None, "mixed"), (3, None), (3, ""), (4, "alone")]
+    docs = spark.createDataFrame([(i, t, None, f"src{k}", k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.exact(spark, docs, FOLDER)
+    assert out.schema == docs.schema
+    got = sorted(((r.doc_id, r.text, r.source) for r in out.collect()), key=str)
+    assert got == sorted([(None, "no id", "src0"), (1, "twice", "src3"), (1, "other", "src5"), (2, "mixed", "src6"), (3, None, "src8"), (4, "alone", "src10")], key=str)
+
+
 def test_run_holds_every_stage(spark):
     a = corpus_pipeline.run(spark, FOLDER)
     assert a.columns[:3] == ["doc_id", "start", "length"] and a.count() > 0

@@ -183,7 +183,12 @@ def find(text: str, automata: tuple[Automaton, Automaton], limit: float = LIMIT)
     known = sorted((a, b) for _, a, b, _ in out)
     good, plain = automata
     for m in CANDIDATE.finditer(text):
-        if any(a < m.end() and m.start() < b for a, b in known):
+        at = m.start()
+        for a, b in known:
+            if a > at:
+                break
+            at = max(at, b)
+        if at >= m.end():                                      # wholly in fixed patterns
             continue
         ratio = good.score(m.group()) - plain.score(m.group())
         if ratio >= limit:
@@ -206,7 +211,8 @@ def _scan(automata, limit):
 def scan(docs: DataFrame, automata: tuple[Automaton, Automaton] | None = None, limit: float = LIMIT) -> DataFrame:
     """``doc_id, spans`` for every row: array of (kind, start, end, score) by start, then kind; code points, end exclusive.
 
-    Kinds ``assign``, ``access`` and ``hex`` are the fixed patterns; ``format`` are tokens outside them that the automata call credentials.
+    Kinds ``assign``, ``access`` and ``hex`` are the fixed patterns; ``format`` are tokens that the automata call credentials and that are not
+    wholly covered by them.
     Null and empty texts have no spans. Repeated rows and null ids are scanned each by itself. Only ``doc_id`` and ``text`` are read.
     """
     session(docs.sparkSession)

@@ -110,6 +110,13 @@ def test_automata_tell_credentials_from_words():
     assert not [p for p in plain if C.find(f"x {p} y", automata)]
 
 
+def test_tokens_that_hold_a_fixed_pattern_are_reported_whole():
+    automata, run = C.default_automata(), "0123456789abcdef01234567"
+    assert [x[:3] for x in C.find(f"x sk_live_{run} y", automata)] == [("format", 2, 34), ("hex", 10, 34)]
+    assert [x[:3] for x in C.find(f"x {run} y", automata)] == [("hex", 2, 26)]
+    assert [x[:3] for x in C.find(f"password=sk_live_{run} y", automata)] == [("assign", 0, 41), ("hex", 17, 41)]
+
+
 def test_network_gradients_are_right():
     r = np.random.default_rng(1)
     net = Q.Network()

@@ -1,7 +1,7 @@
 """Cost-balanced packing of token ids into sequences.
 
 Every document is tokenized once and ends with id 1. Stretches of a full sequence leave a long document where it is cut into pieces;
-pieces meet in groups of bounded size (by a hash of document and position). Within a group the pieces are taken in descending
+pieces meet in groups of bounded size (by a hash of document, position and a salt that differs between equal rows). Within a group the pieces are taken in descending
 order of estimated attention cost (linear plus quadratic in length) and each goes to the lowest-cost sequence that has room for
 it; when none has, it is cut and fills the lowest-cost sequences that are not full. A group opens as many sequences as its tokens need, so
 less than one sequence a group is padding.
@@ -13,6 +13,7 @@ import os
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +27,7 @@ GROUP_BYTES = 2 << 20                      # text bytes of a group of pieces
 KNOWN_WORDS, KNOWN_STEMS, LONGEST = 250_000, 450_000, 64          # words and stems a worker remembers, bytes of the longest
 MARKS = b".,;:!?#$%&*|\""
 
-PIECE = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("doc_tokens", pa.int64()), ("ids", pa.binary())])
+PIECE = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("doc_tokens", pa.int64()), ("ids", pa.binary()), ("salt", pa.int64())])
 PACKED = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()),
                     ("offset", pa.int64()), ("sequence_tokens", pa.int64()), ("ids", pa.binary())])
 _tokenizers: dict[str, tuple] = {}
@@ -105,12 +106,15 @@ def tokenizer(path: str) -> WordTokenizer:
 def _pieces(path: str, capacity: int):
     def run(batches):
         encode, end = tokenizer(path), np.array([END_ID], "<u2").tobytes()
+        # equal rows get salts of their own: the partition and how many the same came before, whatever the order of a retry
+        place, seen = TaskContext.get().partitionId() << 32, {}
         for rows in W.gather(batches, 1 << 20):
             out = []
-            for (doc, _, _), ids in zip(rows, encode([r[2] for r in rows])):
+            for (doc, tid, _), ids in zip(rows, encode([r[2] for r in rows])):
                 ids += end
                 n = len(ids) // 2
-                out += [(doc, a, n, ids[2 * a:2 * (a + capacity)]) for a in range(0, n, capacity)]
+                salt = seen[doc, tid] = seen.get((doc, tid), place - 1) + 1
+                out += [(doc, a, n, ids[2 * a:2 * (a + capacity)], salt) for a in range(0, n, capacity)]
             for i in range(0, len(out), 2000):
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out[i:i + 2000]), PIECE)], schema=PIECE)
     return run
@@ -170,6 +174,6 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAP
     rows = text_rows(docs)
     total = rows.select(F.sum(F.octet_length("body") + 1)).first()[0] or 0
     groups = max(1, -(-total // GROUP_BYTES))
-    cut = rows.mapInArrow(_pieces(tokenizer_path, capacity), "doc_id long, start long, doc_tokens long, ids binary")
-    cut = cut.select(F.pmod(F.xxhash64("doc_id", "start", F.crc32("ids")), F.lit(groups)).cast("long").alias("part"), "*")
+    cut = rows.mapInArrow(_pieces(tokenizer_path, capacity), "doc_id long, start long, doc_tokens long, ids binary, salt long")
+    cut = cut.select(F.pmod(F.xxhash64("doc_id", "start", F.crc32("ids"), "salt"), F.lit(groups)).cast("long").alias("part"), "doc_id", "start", "doc_tokens", "ids")
     return cut.groupBy("part").applyInArrow(_pack(capacity), "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, sequence_tokens long, ids binary")

@@ -138,7 +138,9 @@ def balanced_shards(docs: DataFrame, shards: int = 8, rounds: int | None = None)
     text = body()
     nodes = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("crc"),
                         F.xxhash64(text).alias("h"))
-    nodes = written(nodes.withColumn("luck", F.xxhash64("doc_id", "h")), "nodes")
+    # rows without doc_id differ by their place in the input; a null adds nothing to the hash of the others
+    place = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
+    nodes = written(nodes.withColumn("luck", F.xxhash64("doc_id", "h", place)), "nodes")
     total = nodes.count()
     quotas = [total // shards + (s < total % shards) for s in range(shards)]
     quota = spark.createDataFrame(list(enumerate(quotas)), "shard int, quota long")

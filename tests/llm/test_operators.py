@@ -207,6 +207,18 @@ def test_packing(spark, docs, empty):
     assert packing.pack(with_repeats(spark, rows)).select(F.sum("length")).first()[0] > sum(r.length for r in got)
 
 
+def test_equal_rows_without_ids_are_dealt_out(spark, monkeypatch):
+    pytest.importorskip("public_tokenizers")
+    same = spark.createDataFrame([(None, "the same words again", None, None, None)] * 600, SCHEMA).repartition(3)
+    monkeypatch.setattr(packing, "GROUP_BYTES", 1000)                    # 13 groups
+    got = packing.pack(same, capacity=16).collect()
+    groups = Counter()
+    for r in got:
+        groups[r.sequence_id >> 32] += r.length
+    assert len(groups) == 13 and max(groups.values()) < 0.2 * sum(groups.values())
+    shard_checks(range(600), sharding.balanced_shards(same, 8).collect())
+
+
 def test_url_verdicts(spark):
     urls = ["https://a.example.com/en/1", "http://WWW.Example.COM/en/x?q#f", "example.com/en/", None, "", "http://net", "ftp://x.net/fr/", "http://net/es/", "http://notnet/es/", "x://anet/fr/1",
             "https://b.com", "https://b.com/", "https://example.org/en/", "http://www.example.com/EN/", "http://u@b.com:80/p", "a://b://c.net/fr/", "https://free-casino-bets.example.org/win"]

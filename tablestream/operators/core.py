@@ -55,6 +55,17 @@ def all_of(conds: Iterable[Column]) -> Column:
     return reduce(lambda a, b: a & b, conds)
 
 
+def hashable(df: DataFrame) -> list[str]:
+    """Columns Spark can hash: not those that hold a MAP or a VARIANT."""
+    def ok(kind: T.DataType) -> bool:
+        if isinstance(kind, T.StructType):
+            return all(ok(f.dataType) for f in kind.fields)
+        if isinstance(kind, T.ArrayType):
+            return ok(kind.elementType)
+        return not isinstance(kind, (T.MapType, T.VariantType))
+    return [f.name for f in df.schema.fields if ok(f.dataType)]
+
+
 def any_of(conds: Iterable[Column]) -> Column:
     return reduce(lambda a, b: a | b, conds)
 

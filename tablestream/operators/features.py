@@ -11,63 +11,41 @@ from .aggs import exact_quantile
 from .core import Keys, as_list, join_null_safe
 from .dedup import top_n
 from .over import over_rows
-from .sequence import running
+from .sequence import earlier_moments
 
-# Two-sided normal quantiles of the usual confidence levels (percent).
-# Score, category and level of the risk rules, strongest first.
+# Score, category and level of the risk rules, strongest first.
 RISK = (("0.7", "AMOUNT_ANOMALY", "HIGH"), ("0.5", "ONLINE_HIGH_VALUE", "MEDIUM"), ("0.3", "HIGH_VALUE", "MEDIUM"), ("0.1", "NORMAL", "LOW"))
+# Two-sided normal quantiles of the usual confidence levels (percent).
 Z_OF_CONFIDENCE = {90.0: 1.6449, 95.0: 1.9600, 96.0: 2.0537, 98.0: 2.3263, 99.0: 2.5758, 99.9: 3.2905}
 
 
-def centred(df: DataFrame, keys: Keys, value: str) -> DataFrame:
-    """Rows with their key's mean (``__centre``) and their distance from it (``__x``): sums of squares of these keep their digits
-    however large the values are. A centre is any constant near a key's values, so its own rounding does not matter."""
-    k = as_list(keys)
-    v = F.col(value).cast("double")
-    d = join_null_safe(df, df.groupBy(*k).agg(F.avg(v).alias("__centre")), k)
-    return d.withColumn("__x", v - F.col("__centre"))
+def band(value: Column, n: Column, mean: Column, m2: Column, z: float, min_train: int) -> Column:
+    """Forecast, bounds and verdict from the moments of earlier values (no verdict before ``min_train`` of them)."""
+    v, sd = value.cast("double"), F.sqrt(m2 / F.nullif(n - 1, F.lit(0)))
+    ok, lo, hi = n >= min_train, mean - sd * z, mean + sd * z
+    return F.struct(F.when(ok, mean).alias("forecast_value"), F.when(ok, lo).alias("lower_bound"), F.when(ok, hi).alias("upper_bound"),
+                    F.coalesce(ok & ((v < lo) | (v > hi)), F.lit(False)).alias("is_anomaly"))
 
 
 def detect_anomalies(df: DataFrame, keys: Keys, order: Keys, value: str, confidence: float = 95.0, min_train: int = 50,
                      name: str = "anomaly") -> DataFrame:
     """Flag values outside mean +- z * stddev of the key's *earlier* values.
 
-    Expanding statistics come from running count, sum and sum of squares less the row itself, so the scan
-    is chunked like every ordered computation here. No ARIMA model is fitted: the forecast is the mean.
+    Count, mean and squared distances grow row by row and are merged from chunk to chunk, so a band never knows a later value, however
+    large. A NULL or NaN value is never flagged; NULLs do not train. No ARIMA model is fitted: the forecast is the mean.
     """
     z = Z_OF_CONFIDENCE[float(confidence)]
-    v = F.col("__x")
-    own = F.coalesce(v, F.lit(0.0))
-    d = running(centred(df, keys, value), keys, order, {"__n": F.when(v.isNotNull(), 1).otherwise(0).cast("long"), "__s": own, "__q": own * own})
-    n = F.col("__n") - F.when(v.isNotNull(), 1).otherwise(0)
-    s, q = F.col("__s") - own, F.col("__q") - own * own
-    mean = s / F.nullif(n, F.lit(0))
-    var = F.greatest((q - s * mean) / F.nullif(n - 1, F.lit(0)), F.lit(0.0))
-    d = d.withColumn("__m", mean + F.col("__centre")).withColumn("__sd", F.sqrt(var)).withColumn("__cnt", n)
-    v = F.col(value).cast("double")
-    lo, hi = F.col("__m") - F.col("__sd") * z, F.col("__m") + F.col("__sd") * z
-    trained = F.col("__cnt") >= min_train
-    out = F.struct(F.when(trained, F.col("__m")).alias("forecast_value"), F.when(trained, lo).alias("lower_bound"),
-                   F.when(trained, hi).alias("upper_bound"),
-                   (trained & v.isNotNull() & ((v < lo) | (v > hi))).alias("is_anomaly"))
-    return d.select(*df.columns, out.alias(name))
+    d = earlier_moments(df, keys, order, F.col(value))
+    return d.select(*df.columns, band(F.col(value), F.col("__n"), F.col("__mean"), F.col("__m2"), z, min_train).alias(name))
 
 
 def detect_anomalies_rolling(df: DataFrame, keys: Keys, order: Keys, value: str, last_n: int = 100, confidence: float = 95.0,
                              min_train: int = 50, name: str = "anomaly") -> DataFrame:
-    """As ``detect_anomalies``, trained on the last ``last_n`` values only."""
-    z, v = Z_OF_CONFIDENCE[float(confidence)], F.col("__x")
-    own = F.coalesce(v, F.lit(0.0))
-    d = over_rows(centred(df, keys, value), keys, order, last_n, {"__n": F.count("__x"), "__s": F.sum(own), "__q": F.sum(own * own)})
-    n, s, q = F.col("__n") - F.when(v.isNotNull(), 1).otherwise(0), F.col("__s") - own, F.col("__q") - own * own
-    mean = s / F.nullif(n, F.lit(0))
-    sd = F.sqrt(F.greatest((q - s * mean) / F.nullif(n - 1, F.lit(0)), F.lit(0.0)))
-    mean, v = mean + F.col("__centre"), F.col(value).cast("double")
-    ok = n >= min_train
-    out = F.struct(F.when(ok, mean).alias("forecast_value"), F.when(ok, mean - z * sd).alias("lower_bound"),
-                   F.when(ok, mean + z * sd).alias("upper_bound"),
-                   F.coalesce(ok & ((v < mean - z * sd) | (v > mean + z * sd)), F.lit(False)).alias("is_anomaly"))
-    return d.select(*df.columns, out.alias(name))
+    """As ``detect_anomalies``, trained on the last ``last_n`` rows before the row only."""
+    z, v = Z_OF_CONFIDENCE[float(confidence)], F.col("__v")
+    aggs = {"__n": F.count(v), "__mean": F.avg(v), "__var": F.var_pop(v)}
+    d = over_rows(df.withColumn("__v", F.col(value).cast("double")), keys, order, last_n, aggs, upto=-1)
+    return d.select(*df.columns, band(v, F.col("__n"), F.col("__mean"), F.col("__var") * F.col("__n"), z, min_train).alias(name))
 
 
 def detect_anomalies_mad(df: DataFrame, keys: Keys, value: str, threshold: float = 3.5) -> DataFrame:

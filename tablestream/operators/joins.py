@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import cut_lineage
-from .core import Keys, all_of, as_list
+from .core import Keys, all_of, as_list, hashable
 from .dedup import dedup_last
 
 
@@ -149,7 +149,7 @@ def join_salted(l: DataFrame, r: DataFrame, on: Keys, n: int = 16, how: str = "i
         raise ValueError("inner or left")
     k = as_list(on)
     hot = F.broadcast(heavy_keys(l, k, share).withColumn("__hot", F.lit(True)))
-    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*l.columns, F.spark_partition_id()), F.lit(n))).otherwise(0).cast("int")
+    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*hashable(l), F.spark_partition_id()), F.lit(n))).otherwise(0).cast("int")
     ls = l.join(hot, k, "left").withColumn("__salt", salt).drop("__hot")
     copies = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
     rs = r.join(hot, k, "left").withColumn("__salt", F.explode(copies)).drop("__hot")

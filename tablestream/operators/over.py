@@ -56,8 +56,8 @@ def over_range(df: DataFrame, keys: Keys, ts: str, back: str, aggs: Aggs) -> Dat
     return out.select(*df.columns, *finish_aggs(aggs))
 
 
-def over_rows(df: DataFrame, keys: Keys, order: Keys, n: int, aggs: dict[str, Column], block: int = 1_000_000) -> DataFrame:
-    """Aggregates over the current row and the ``n`` rows before it.
+def over_rows(df: DataFrame, keys: Keys, order: Keys, n: int, aggs: dict[str, Column], block: int = 1_000_000, upto: int = 0) -> DataFrame:
+    """Aggregates over the current row and the ``n`` rows before it; ``upto=-1`` leaves the current row out.
 
     The key's rows are numbered, then cut into blocks by number; the last ``n`` rows of a block are copied
     into the next one, so no task holds more than a block plus ``n`` rows of a key.
@@ -66,9 +66,9 @@ def over_rows(df: DataFrame, keys: Keys, order: Keys, n: int, aggs: dict[str, Co
     block = max(block, n)
     p = position(df, k, o, "__pos")
     own = F.floor((F.col("__pos") - 1) / block).cast("long")
-    upto = F.floor((F.col("__pos") - 1 + n) / block).cast("long")
-    d = p.withColumn("__first", own).withColumn("__blk", F.explode(F.sequence(own, upto)))
-    w = Window.partitionBy(*k, "__blk").orderBy("__pos").rowsBetween(-n, 0)
+    last = F.floor((F.col("__pos") - 1 + n) / block).cast("long")
+    d = p.withColumn("__first", own).withColumn("__blk", F.explode(F.sequence(own, last)))
+    w = Window.partitionBy(*k, "__blk").orderBy("__pos").rowsBetween(-n, upto)
     return (d.select("*", *[c.over(w).alias(a) for a, c in aggs.items()])
             .filter(F.col("__blk") == F.col("__first")).select(*df.columns, *aggs))
 

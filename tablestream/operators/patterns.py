@@ -147,7 +147,7 @@ def chunked_scan(df: DataFrame, keys: Keys, order: Keys, step: Callable[[dict |
     """
     k, o = as_list(keys), as_list(order)
     g = [*k, CHUNK]
-    rows = with_chunk(df, k, o[0]).drop(HOT)
+    rows = with_chunk(df, k, o).drop(HOT)
     types = dict(rows.dtypes)
     schema = ", ".join(f"`{c}` {types[c]}" for c in g) + ", in_state string, out_state string, is_end boolean, outputs array<string>"
 

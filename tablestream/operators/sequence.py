@@ -46,13 +46,16 @@ def key_hashes(keys: Sequence[str]) -> dict[str, Column]:
     return {"__h1": F.xxhash64(F.lit(0), *parts), "__h2": F.xxhash64(F.lit(1), *parts)}
 
 
-def grid_for(df: DataFrame, keys: Sequence[str], order: str, min_width: int = 1) -> DataFrame:
+def grid_for(df: DataFrame, keys: Sequence[str], order: Keys, min_width: int = 1) -> DataFrame:
     """Keys too big for one task, with the positions at which their time line is cut.
 
-    ``min_width`` keeps chunks at least that long (a look-back must not span many chunks).
+    ``order``: time or number column, then tie breakers; only these and the keys are read. ``min_width`` keeps chunks at least
+    that long (a look-back must not span many chunks).
     """
+    order, *ties = as_list(order)
+    luck = [F.col(c) for c in dict.fromkeys([*keys, order, *ties]) if c in df.columns]
     limit = int(df.sparkSession.conf.get(HOT_ROWS_CONF, str(HOT_ROWS)))
-    d = df.select(*keys, position_of(df, order).alias(POS), F.pmod(F.xxhash64(*df.columns), F.lit(1 << 30)).alias("__luck"))
+    d = df.select(*keys, position_of(df, order).alias(POS), F.pmod(F.xxhash64(*luck), F.lit(1 << 30)).alias("__luck"))
     per = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
     total = per.agg(F.sum("__rows")).scalar()
     hot = per.withColumn("__total", total).filter(F.col("__rows") > F.greatest(F.lit(limit).cast("double"), F.col("__total") / MAX_HOT_KEYS))
@@ -89,13 +92,13 @@ def on_grid(df: DataFrame, keys: Sequence[str], order: str, grid: DataFrame) ->
     return d.withColumn(CHUNK, F.when(F.col(HOT), chunk_no(F.col(POS))).otherwise(0)).drop(CUTS, POS)
 
 
-def with_chunk(df: DataFrame, keys: Sequence[str], order: str, base: DataFrame | None = None) -> DataFrame:
-    """Add chunk number and hot flag. ``order``: time or number column the key is ordered by.
+def with_chunk(df: DataFrame, keys: Sequence[str], order: Keys, base: DataFrame | None = None) -> DataFrame:
+    """Add chunk number and hot flag. ``order``: time or number column the key is ordered by, then tie breakers.
 
     ``base``: a frame with the same keys and about the same rows per key that is cheaper to count. The grid
     only decides how the work is cut, never the result.
     """
-    return on_grid(df, keys, order, grid_for(base if base is not None else df, keys, order))
+    return on_grid(df, keys, as_list(order)[0], grid_for(base if base is not None else df, keys, order))
 
 
 def chunk_window(keys: Sequence[str], order: Sequence[str | Column]):
@@ -139,7 +142,7 @@ def attach(df: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
 def lag_in_order(df: DataFrame, keys: Keys, order: Keys, outputs: dict[str, str], base: DataFrame | None = None) -> DataFrame:
     """Previous row's values per key. ``order``: time column first, then tie breakers; outputs: new -> source."""
     k, o = as_list(keys), as_list(order)
-    d = with_chunk(df, k, o[0], base)
+    d = with_chunk(df, k, o, base)
     prev = F.struct(*[F.col(src).alias(n) for n, src in outputs.items()])
     carry = carry_over(d, k, {"__last": F.max_by(prev, F.struct(*o))}, {"__prev": ("last", "__last")})
     local = d.withColumn("__lag", F.lag(prev).over(chunk_window(k, o)))
@@ -151,7 +154,7 @@ def lag_in_order(df: DataFrame, keys: Keys, order: Keys, outputs: dict[str, str]
 def running(df: DataFrame, keys: Keys, order: Keys, sums: dict[str, Column]) -> DataFrame:
     """Running totals per key, row by row (a running count is the total of ``lit(1)``)."""
     k, o = as_list(keys), as_list(order)
-    d = with_chunk(df.withColumns({f"__in_{n}": c for n, c in sums.items()}), k, o[0])
+    d = with_chunk(df.withColumns({f"__in_{n}": c for n, c in sums.items()}), k, o)
     carry = carry_over(d, k, {f"__c_{n}": F.sum(f"__in_{n}") for n in sums},
                        {f"__b_{n}": ("sum", f"__c_{n}") for n in sums})
     w = chunk_window(k, o).rowsBetween(Window.unboundedPreceding, 0)
@@ -160,10 +163,43 @@ def running(df: DataFrame, keys: Keys, order: Keys, sums: dict[str, Column]) ->
     return attach(local, carry, k).select(*df.columns, *total)
 
 
+def merged_moments(n: Column, mean: Column, m2: Column, n2: Column, mean2: Column, m2_2: Column) -> tuple[Column, Column, Column]:
+    """Count, mean and sum of squared distances from it of two sets of values taken together (nothing is subtracted from a total)."""
+    both, apart = n + n2, mean2 - mean
+    return (both, F.when(n2 == 0, mean).when(n == 0, mean2).otherwise(mean + apart * n2 / both),
+            F.when(n2 == 0, m2).when(n == 0, m2_2).otherwise(m2 + m2_2 + apart * apart * n * n2 / both))
+
+
+def earlier_moments(df: DataFrame, keys: Keys, order: Keys, value: Column) -> DataFrame:
+    """Rows with count, mean and sum of squared distances (``__n, __mean, __m2``) of their key's *earlier* values, NULLs left out.
+
+    The frame ends one row before the row, so no later value and not the row itself can touch them. What hot keys carry from chunk to
+    chunk are merged moments, one narrow row a chunk.
+    """
+    k, o = as_list(keys), as_list(order)
+    d = with_chunk(df.withColumn("__v", value.cast("double")), k, o)
+    of = lambda w=None: [(c.over(w) if w is not None else c).alias(n) for n, c in
+                         {"__n": F.count("__v"), "__mean": F.avg("__v"), "__var": F.var_pop("__v")}.items()]
+    per = d.filter(HOT).groupBy(*k, CHUNK).agg(*of()).select(*k, CHUNK, "__n", F.coalesce("__mean", F.lit(0.0)).alias("__mean"),
+                                                             F.coalesce(F.col("__var") * F.col("__n"), F.lit(0.0)).alias("__m2"))
+    before = Window.partitionBy(*k).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    per = per.withColumn("__bn", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    per = per.withColumn("__bmean", F.coalesce(F.sum(F.col("__n") * F.col("__mean")).over(before) / F.nullif("__bn", F.lit(0)), F.lit(0.0)))
+    # what a chunk adds to the squared distances of all chunks up to it
+    added = F.when(F.col("__bn") + F.col("__n") == 0, 0.0).otherwise(
+        F.col("__m2") + (F.col("__mean") - F.col("__bmean")) ** 2 * F.col("__bn") * F.col("__n") / F.nullif(F.col("__bn") + F.col("__n"), F.lit(0)))
+    carry = per.select(*k, CHUNK, "__bn", "__bmean", F.coalesce(F.sum(added).over(before), F.lit(0.0)).alias("__bm2"))
+    local = d.select("*", *of(chunk_window(k, o).rowsBetween(Window.unboundedPreceding, -1)))
+    d = attach(local, carry, k)
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    moments = merged_moments(F.coalesce("__bn", F.lit(0)), zero("__bmean"), zero("__bm2"), F.col("__n"), zero("__mean"), zero(F.col("__var") * F.col("__n")))
+    return d.select(*df.columns, *[c.alias(n) for n, c in zip(("__n", "__mean", "__m2"), moments)])
+
+
 def last_known(df: DataFrame, keys: Keys, order: Keys, outputs: dict[str, str]) -> DataFrame:
     """Latest non-null value up to and including the row. ``outputs``: new name -> source column."""
     k, o = as_list(keys), as_list(order)
-    d = with_chunk(df, k, o[0])
+    d = with_chunk(df, k, o)
     stamp = F.struct(*o)
     per = {f"__c_{n}": F.max_by(F.col(src), F.when(F.col(src).isNotNull(), stamp)) for n, src in outputs.items()}
     carry = carry_over(d, k, per, {f"__b_{n}": ("last", f"__c_{n}") for n in outputs})
@@ -176,7 +212,7 @@ def last_known(df: DataFrame, keys: Keys, order: Keys, outputs: dict[str, str])
 def next_known(df: DataFrame, keys: Keys, order: Keys, src: str, name: str) -> DataFrame:
     """First non-null ``src`` at or after the row (order: position first, then tie breakers, all descending)."""
     k, o = as_list(keys), as_list(order)
-    d = with_chunk(df, k, o[0])
+    d = with_chunk(df, k, o)
     first = F.min_by(F.col(src), F.when(F.col(src).isNotNull(), F.struct(*o)))
     carry = carry_over(d, k, {"__m": first}, {"__later": ("last", "__m")}, backwards=True)
     w = Window.partitionBy(*k, CHUNK).orderBy(*[F.col(c).desc() for c in o]).rowsBetween(Window.unboundedPreceding, 0)

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..session import cut_lineage
-from .core import (Aggs, Keys, as_list, epoch_us, finish_aggs, interval, join_null_safe, merge_aggs, partial_aggs,
+from .core import (Aggs, Keys, all_of, as_list, epoch_us, finish_aggs, interval, join_null_safe, merge_aggs, partial_aggs,
                    partial_names, seconds)
 from .batches import group_slices
 from .sequence import CHUNK, HOT, chunk_window, with_chunk

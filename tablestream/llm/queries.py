@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import credential_scan, exact_dedup, line_quality, mixing, near_dedup, packing, quality_cnn, sharding, substring_dedup, url_filter
+from . import (bpe, credential_scan, exact_dedup, line_quality, mixing, near_dedup, packing, quality_cnn, sharding, spelling,
+               substring_dedup, url_filter, whitening)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -171,3 +172,25 @@ select {columns}, full_epochs, n_tokens, least(n_tokens, rest - start) from last
 def op10(spark, folder):
     """Documents chosen for a mix of 70 % of the corpus by domain, language and source."""
     return mixing.mix(table(spark, folder, "documents"), mix_levels(), MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED)
+
+
+@query("op11_spelling_variants")
+def op11(spark, folder):
+    """Words of the corpus with their near words, the form each is a variant of, and the last form on the way."""
+    words = spelling.corpus_words(table(spark, folder, "documents"))
+    return spelling.spelling_variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@query("op12_embedding_whitening")
+def op12(spark, folder):
+    """Whitened components of every embedding."""
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+@query("op13_bpe_round_trip")
+def op13(spark, folder):
+    """Digests of every document's ids and of the bytes these decode to."""
+    ids = bpe.encode(table(spark, folder, "documents"))
+    told = F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256)
+    back = bpe.decode(ids.select("doc_id", "n_tokens", told.alias("ids_sha256"), "ids"))
+    return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("body", 256).alias("decoded_sha256"))

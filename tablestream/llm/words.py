@@ -44,19 +44,47 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def span_hashes(a: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of every span ``a[start:end]`` of bytes."""
+    power, back = _power_tables(_BYTE_BASE, len(a) + 1)
+    total = np.zeros(len(a) + 1, np.uint64)
+    np.cumsum((a.astype(np.uint64) + np.uint64(1)) * power[:-1], out=total[1:])
+    h = (total[end] - total[start]) * back[start]
+    return mix(h + (end - start).astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
+
+
+def word_edges(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a block of bytes start and end."""
+    edge = np.flatnonzero(np.diff((~_SPACE[a]).view(np.int8), prepend=0, append=0))
+    return edge[::2], edge[1::2]
+
+
 def _hash_block(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Hash and first byte position of every word of one block."""
     a = np.frombuffer(data, np.uint8)
     if not len(a):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    inside = ~_SPACE[a]
-    edge = np.flatnonzero(np.diff(inside.view(np.int8), prepend=0, append=0))
-    start, end = edge[::2], edge[1::2]
-    power, back = _power_tables(_BYTE_BASE, len(a) + 1)
-    total = np.zeros(len(a) + 1, np.uint64)
-    np.cumsum((a.astype(np.uint64) + np.uint64(1)) * power[:-1], out=total[1:])
-    h = (total[end] - total[start]) * back[start]
-    return mix(h + (end - start).astype(np.uint64) * np.uint64(0xA24BAED4963EE407)), start
+    start, end = word_edges(a)
+    return span_hashes(a, start, end), start
+
+
+def word_spans(texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts in one piece, and hash, start and end of every word in it, with the number of words of each text."""
+    data = b"\n".join(texts)
+    hashes, starts, ends = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    at = 0
+    while at < len(data):
+        gap = _GAP.search(data, min(at + BLOCK, len(data)))
+        to = gap.end() if gap else len(data)
+        a = np.frombuffer(data, np.uint8, to - at, at)
+        start, end = word_edges(a)
+        hashes.append(span_hashes(a, start, end))
+        starts.append(start + at)
+        ends.append(end + at)
+        at = to
+    start = np.concatenate(starts)
+    first = np.cumsum([0] + [len(t) + 1 for t in texts])
+    return data, np.concatenate(hashes), start, np.concatenate(ends), np.diff(np.searchsorted(start, first))
 
 
 def hash_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:

@@ -9,7 +9,9 @@ less than one sequence a group is padding.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -18,14 +20,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
+from .merges import MARK, SHIFT, Merges
+from .ragged import Remembered, starts_of, take_runs
 from .shared import text_rows
 
 CAPACITY = 2048
 END_ID = 1
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024        # cost of a piece of n tokens: LINEAR * n + QUADRATIC * n * n
 GROUP_BYTES = 2 << 20                      # text bytes of a group of pieces
-KNOWN_WORDS, KNOWN_STEMS, LONGEST = 250_000, 450_000, 64          # words and stems a worker remembers, bytes of the longest
+# words (by hash) and stems that a generation of a worker's memory holds, and bytes of the longest stem; text looked up together
+KNOWN_WORDS, KNOWN_STEMS, LONGEST, BLOCK = 1_000_000, 250_000, 64, 4 << 20
 MARKS = b".,;:!?#$%&*|\""
+# letters that lower-case to one letter each whatever stands around them: A-Z and those of Latin-1
+LETTERS = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 
 PIECE = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("doc_tokens", pa.int64()), ("ids", pa.binary()), ("salt", pa.int64())])
 PACKED = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()),
@@ -36,65 +43,100 @@ _tokenizers: dict[str, tuple] = {}
 class WordTokenizer:
     """Ids of whole texts from ids of their words: this tokenizer never joins across white space, so words can be remembered.
 
-    A new word is put together from its stem (A-Z lower-cased, as the tokenizer does) and the marks after it, which are remembered too.
-    Stems of letters only are encoded many at a time; tokens that close a word tell where each ends.
+    Words go by a 64-bit hash; a block's different words are looked up together. A new word is put together from its stem (lower-cased,
+    as the tokenizer does) and the marks after it, which are remembered too. Stems of plain letters get their ids by merge replay, many
+    at once; all others from the tokenizer itself.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"         # tasks already use every core
         from tokenizers import Tokenizer
         self.model = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-        self.stems: dict[bytes, bytes] = {b"": b""}
-        self.closes = np.zeros(1 << 16, bool)
-        self.closes[[i for token, i in self.model.get_vocab().items() if token.endswith("</w>")]] = True
+        self.words = Remembered(KNOWN_WORDS, np.uint16)
+        self.young: dict[bytes, bytes] = {b"": b""}
+        self.old: dict[bytes, bytes] = {}
+        self.merges, self.inner, self.last = self._letters(path)
 
     @staticmethod
-    def parts(word: bytes) -> tuple[bytes, bytes]:
-        """Stem and trailing marks, where a cut between them changes no id."""
-        if b"<" in word:                                       # may spell a special token
-            return word, b""
+    def _letters(path: str) -> tuple[Merges | None, np.ndarray, np.ndarray]:
+        """Merges, and the symbol of each byte inside a word and at its end (none if the file holds no merges in rank order)."""
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        ids, none = model["vocab"], (None, np.zeros(0, np.int64), np.zeros(0, np.int64))
+        if model.get("type") != "BPE" or model.get("end_of_word_suffix") != "</w>":
+            return none
+        # byte-level vocabularies write a printable byte as itself and the n-th other one as the character 256 + n
+        plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        spelt = dict(zip([*plain, *[b for b in range(256) if b not in plain]], [*map(chr, plain), *[chr(256 + i) for i in range(256 - len(plain))]]))
+        pairs, before = {}, -1
+        for m in model["merges"]:
+            left, right = m.split(" ") if isinstance(m, str) else m
+            new = ids.get(left + right)
+            if new is None or new <= before or new >= MARK:
+                return none
+            before = new
+            pairs[ids[left] << SHIFT | ids[right]] = new
+        if any(c not in ids or c + "</w>" not in ids for c in spelt.values()):
+            return none
+        return Merges(pairs), np.array([ids[spelt[b]] for b in range(256)]), np.array([ids[spelt[b] + "</w>"] for b in range(256)])
+
+    @staticmethod
+    def parts(word: bytes) -> tuple[bytes, bytes, bool]:
+        """Stem and trailing marks, where a cut between them changes no id, and whether the stem is plain letters."""
         stem = word.rstrip(MARKS)
-        return (stem.lower(), word[len(stem):]) if stem and stem[-1:].isalnum() else (word.lower(), b"")
-
-    def _one_by_one(self, new: list[bytes]) -> None:
-        for w, e in zip(new, self.model.encode_batch_fast([x.decode() for x in new], add_special_tokens=False)):
-            self.stems[w] = np.array(e.ids, "<u2").tobytes()
-
-    def _learn(self, new: list[bytes]) -> None:
-        letters = [w for w in new if w.decode().isalpha()]
-        self._one_by_one([w for w in new if not w.decode().isalpha()])
-        for i in range(0, len(letters), 10_000):
-            part = letters[i:i + 10_000]
-            ids = np.array(self.model.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, "<u2")
-            end = (np.flatnonzero(self.closes[ids]) + 1) * 2
-            if len(end) != len(part):
-                self._one_by_one(part)
-                continue
-            raw, at = ids.tobytes(), 0
-            for w, z in zip(part, end.tolist()):
-                self.stems[w] = raw[at:z]
-                at = z
+        if LETTERS.fullmatch(stem):
+            return stem.decode().lower().encode(), word[len(stem):], True
+        if b"<" in word:                                       # may spell a special token
+            return word, b"", False
+        return (stem.lower(), word[len(stem):], False) if stem and stem[-1:].isalnum() else (word.lower(), b"", False)
+
+    def _learn(self, plain: list[bytes], others: list[bytes]) -> None:
+        """Ids of new stems, into the young generation."""
+        if self.merges is None:
+            plain, others = [], plain + others
+        for w, e in zip(others, self.model.encode_batch_fast([x.decode("utf-8", "replace") for x in others], add_special_tokens=False)):
+            self.young[w] = np.array(e.ids, "<u2").tobytes()
+        if not plain:
+            return
+        size = np.array([len(w) for w in plain])
+        data = np.frombuffer(b"".join(plain), np.uint8)
+        symbols, end = self.inner[data], np.cumsum(size) - 1
+        symbols[end] = self.last[data[end]]
+        flat, n = self.merges.replay(symbols, size)
+        raw, at = flat.astype("<u2").tobytes(), 0
+        for w, z in zip(plain, (np.cumsum(n) * 2).tolist()):
+            self.young[w] = raw[at:z]
+            at = z
+
+    def _words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each new word, and all ids."""
+        cut = [self.parts(w) for w in words]
+        young, old = self.young, self.old
+        plain, others = set(), set()
+        for stem, marks, letters in cut:
+            for x, to in ((stem, plain if letters else others), (marks, others)):
+                if x not in young:
+                    if x in old:
+                        young[x] = old[x]
+                    else:
+                        to.add(x)
+        self._learn(list(plain), list(others - plain))
+        ids = [young[stem] + young[marks] if marks else young[stem] for stem, marks, _ in cut]
+        for w in [w for w in plain | others if len(w) > LONGEST]:
+            del young[w]
+        if len(young) > KNOWN_STEMS:
+            self.old, self.young = young, {b"": b""}
+        return np.array([len(x) // 2 for x in ids], np.int64), np.frombuffer(b"".join(ids), "<u2")
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text, 16 bits an id."""
-        split = [t.split() for t in texts]
-        known = self.known
-        new = list({w for words in split for w in words if w not in known})
-        if len(known) + len(new) > KNOWN_WORDS:
-            self.known, new = {}, list(set().union(*split))
-        cut = [self.parts(w) for w in new]
-        fresh = {x for c in cut for x in c}.difference(self.stems)
-        if len(self.stems) + len(fresh) > KNOWN_STEMS:
-            self.stems, fresh = {b"": b""}, {x for c in cut for x in c if x}
-        self._learn(list(fresh))
-        for w, (stem, marks) in zip(new, cut):
-            self.known[w] = self.stems[stem] + self.stems[marks]
-        out = [b"".join(map(self.known.__getitem__, words)) for words in split]
-        for kept in (self.known, self.stems):
-            for w in [w for w in (new if kept is self.known else fresh) if len(w) > LONGEST]:
-                del kept[w]
-        return out
+        data, hashes, start, end, counts = W.word_spans(texts)
+        keys, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        size, flat = self.words.rows(keys, lambda new: self._words([data[a:z] for a, z in zip(start[first[new]].tolist(), end[first[new]].tolist())]))
+        each, begin = size[which], starts_of(size)[which]
+        raw = b"".join(take_runs(flat, begin[i:i + (1 << 20)], each[i:i + (1 << 20)]).astype("<u2").tobytes() for i in range(0, len(each), 1 << 20))
+        cut = (np.concatenate([[0], np.cumsum(each)])[np.concatenate([[0], np.cumsum(counts)])] * 2).tolist()
+        return [raw[a:z] for a, z in zip(cut, cut[1:])]
 
 
 def tokenizer(path: str) -> WordTokenizer:
@@ -108,7 +150,7 @@ def _pieces(path: str, capacity: int):
         encode, end = tokenizer(path), np.array([END_ID], "<u2").tobytes()
         # equal rows get salts of their own: the partition and how many the same came before, whatever the order of a retry
         place, seen = TaskContext.get().partitionId() << 32, {}
-        for rows in W.gather(batches, 1 << 20):
+        for rows in W.gather(batches, BLOCK):
             out = []
             for (doc, tid, _), ids in zip(rows, encode([r[2] for r in rows])):
                 ids += end

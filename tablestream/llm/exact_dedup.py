@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import text_rows, written
+from ..operators.core import hashable
+from .shared import maybe_among, text_rows, written
 
 FIRST, SECOND, GROWTH = 32, 512, 16
 END = 2**31 - 1
@@ -59,3 +60,22 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     keep = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
     return out.select("doc_id", "tid", keep.alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
                       F.col("doc_id").eqNullSafe(keep).alias("kept"), "text_sha256")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One row of each different text, with all its columns: of equal texts the row with the largest doc_id, of rows that repeat doc_id
+    and text (or have no doc_id) the least by its columns. Columns that cannot be ordered (MAP) do not take part in that choice.
+
+    Null counts as empty. Columns of any name stay as they are.
+    """
+    kept = written(exact_duplicates(docs).where("kept").select("doc_id", "tid"), "kept", few=True)
+    again = kept.groupBy("doc_id", "tid").count().where("count > 1").select(F.xxhash64("doc_id", "tid").alias("_row"))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select(F.struct(*docs.columns).alias("_doc"), F.col("doc_id").cast("long").alias("_id"), F.xxhash64(text).alias("_tid"), text.alias("_text"))
+    rows = rows.withColumn("_row", F.xxhash64("_id", "_tid"))
+    named = kept.distinct()
+    here = lambda r: r.join(named, r["_id"].eqNullSafe(named["doc_id"]) & (r["_tid"] == named["tid"]), "left_semi")
+    once = here(maybe_among(rows.drop("_text"), again, "_row", outside=True)).select("_doc")
+    by = F.struct(*[F.col("_doc")[c] for c in hashable(docs)])
+    more = here(maybe_among(rows, again, "_row")).groupBy("_id", "_text").agg(F.min_by("_doc", by).alias("_doc")).select("_doc")
+    return once.unionByName(more).select("_doc.*")

@@ -8,7 +8,9 @@
    whose chance of reaching the threshold is below ``MISS`` goes. Survivors are confirmed on their full shingle sets.
 4. Links make components. Buckets that then still hold several components are compared in full across components, so that every
    candidate pair that could join two components is decided; pairs within a component need no comparison. This happens in blocks
-   of a bucket, on longer signatures that only these documents get: near misses are many there, and only pairs that pass become rows.
+   of a bucket, on longer signatures that only these documents get (near misses are many there), and in two passes: the first names the
+   members with a likely partner, a row each; the second gets their texts and confirms likely pairs inside the block, best match first,
+   until no two of its components are left that a likely pair joins. So at most one link a member leaves a block, never its pairs.
 
 At a similarity of exactly 0.75 a pair shares no band with probability (1 - 0.75**6)**56 < 0.00002, and less above it.
 """
@@ -33,6 +35,8 @@ HASHES = BANDS * ROWS
 ROUNDS = 2                  # of one candidate a document, before buckets are compared in full
 LONG = 4 * HASHES           # codes of documents whose buckets are compared in full
 BLOCK = 1000                # members of a bucket compared in one piece
+FEW_MINOR, SMALL_BLOCK = 100, 200          # with at most so many minor members: members of a piece
+BLOCK_BYTES = 8 << 20       # text of a piece
 STEPS = (*range(48, HASHES + 1, 48), 2 * HASHES, 3 * HASHES, LONG)          # codes compared when a pair is judged
 MISS = 1e-5                 # chance, after each step, of dropping a pair that reaches the threshold
 PERCENT = 75
@@ -131,11 +135,15 @@ def _sequential(batches):
         yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(alive)), b.column(1).take(pa.array(alive))], names=["a", "b"])
 
 
-def _sign_long(batches):
-    for rows in W.gather(batches, SIGN_BYTES, 4000):
-        sets = [(r[0], x) for r, x in zip(rows, shingle_sets([r[1] for r in rows])) if len(x)]
-        codes = signatures([x for _, x in sets], LONG) if sets else []
-        yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in sets], pa.int64()), pa.array([c.tobytes() for c in codes], pa.binary())], names=["id", "codes"])
+def _sign_long(with_body: bool):
+    """Long signatures of (doc_id, body) rows, with the text itself if asked for."""
+    def run(batches):
+        for rows in W.gather(batches, SIGN_BYTES, 4000):
+            some = [(r, x) for r, x in zip(rows, shingle_sets([r[1] for r in rows])) if len(x)]
+            codes = signatures([x for _, x in some], LONG) if some else []
+            columns = [pa.array([r[0] for r, _ in some], pa.int64()), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array([r[1] for r, _ in some], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns[:2 + with_body], names=["id", "codes", "body"][:2 + with_body])
+    return run
 
 
 def _cells(batches) -> Iterator[list[tuple]]:
@@ -152,40 +160,98 @@ def _cells(batches) -> Iterator[list[tuple]]:
         yield out
 
 
-def _compare(batches):
-    """Within a cell of a bucket: likely pairs of a member of a minor component with members of others.
+def _likely_in(rows: list[tuple]) -> Iterator[tuple[int, np.ndarray]]:
+    """For each member of a minor component (left) of a cell the members (right, best match first) it is likely linked with.
 
-    A pair that meets in several buckets is reported by the first band it agrees in.
+    A pair that meets in several buckets is seen by the first band it agrees in, two minor members from one side only.
     """
     steps = fewest_matches()
-    a, b = [], []
-    for rows in _cells(batches):
-        band = (rows[0][0] >> 48) & 0xFF
-        left, right = [r for r in rows if r[3]], [r for r in rows if not r[3]]
-        if not left or not right:
+    band = (rows[0][0] >> 48) & 0xFF
+    right = [r for r in rows if not r[3]]
+    if not right or len(right) == len(rows):
+        return
+    codes = np.frombuffer(b"".join(r[7] for r in right), np.uint8).reshape(len(right), LONG)
+    ids, roots, minor = (np.array([r[i] for r in right]) for i in (4, 5, 6))
+    for at, row in enumerate(rows):
+        if not row[3]:
             continue
-        codes = np.frombuffer(b"".join(r[7] for r in right), np.uint8).reshape(len(right), LONG)
-        ids, roots, minor = (np.array([r[i] for r in right]) for i in (4, 5, 6))
-        for _, _, _, _, x, root, _, mine in left:
-            own = np.frombuffer(mine, np.uint8)
-            alive = np.flatnonzero((roots != root) & (~minor | (ids > x)))
-            equal, done = np.zeros(len(alive), np.int64), 0
-            for m, least in steps:
-                if not len(alive):
-                    break
-                same = codes[alive, done:m] == own[done:m]
-                equal = equal + same.sum(axis=1)
-                done, stay = m, equal >= least
-                alive, equal = alive[stay], equal[stay]
+        own = np.frombuffer(row[7], np.uint8)
+        alive = np.flatnonzero((roots != row[5]) & (~minor | (ids > row[4])))
+        equal, done = np.zeros(len(alive), np.int64), 0
+        for m, least in steps:
+            if not len(alive):
+                break
+            equal = equal + (codes[alive, done:m] == own[done:m]).sum(axis=1)
+            done, stay = m, equal >= least
+            alive, equal = alive[stay], equal[stay]
+        if len(alive):
+            agree = (codes[alive, :HASHES] == own[:HASHES]).reshape(-1, BANDS, ROWS).all(axis=2)
+            mine = agree.argmax(axis=1) == band
+            alive, equal = alive[mine], equal[mine]
             if len(alive):
-                agree = (codes[alive, :HASHES] == own[:HASHES]).reshape(-1, BANDS, ROWS).all(axis=2)
-                for y in ids[alive[agree.argmax(axis=1) == band]].tolist():
-                    a.append(min(x, y))
-                    b.append(max(x, y))
-        if len(a) > 10_000:
+                yield at, alive[np.argsort(-equal, kind="stable")]
+
+
+def _meeting(batches):
+    """Members of each cell with a likely partner: a row a member, whatever the number of its partners."""
+    key, member = [], []
+    for rows in _cells(batches):
+        right = [r[4] for r in rows if not r[3]]
+        found: set[int] = set()
+        for at, partners in _likely_in(rows):
+            found.add(rows[at][4])
+            found.update(right[i] for i in partners.tolist())
+        key += [rows[0][0]] * len(found)
+        member += found
+        if len(key) > 10_000:
+            yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(member, pa.int64())], names=["key", "id"])
+            key, member = [], []
+    yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(member, pa.int64())], names=["key", "id"])
+
+
+AT_ONCE = 32                # likely partners of a member confirmed together
+
+
+def _decide(batches):
+    """Links of each cell that join its components: likely pairs, best first, are confirmed on their full sets until no two
+    components are left that a likely pair joins. Fewer rows than members leave a cell; pairs that its links join already need no check.
+    """
+    for rows in _cells(batches):
+        right = [r for r in rows if not r[3]]
+        sets: dict[bytes, np.ndarray] = {}
+        above: dict[int, int] = {}
+
+        def shingles(text: bytes) -> np.ndarray:
+            if text not in sets:
+                sets[text] = shingle_sets([text])[0]
+            return sets[text]
+
+        def root(x: int) -> int:
+            while above.get(x, x) != x:
+                above[x] = x = above.get(above[x], above[x])
+            return x
+
+        a, b = [], []
+        for at, partners in _likely_in(rows):
+            row, left = rows[at], partners.tolist()
+            mine = shingles(row[8])
+            while left:
+                left = [i for i in left if root(right[i][5]) != root(row[5])]
+                now, left = left[:AT_ONCE], left[AT_ONCE:]
+                if not now:
+                    break
+                others = [shingles(right[i][8]) for i in now]
+                flat, size = np.concatenate(others), np.array([len(o) for o in others])
+                hit = np.concatenate([[0], np.cumsum(mine[np.minimum(np.searchsorted(mine, flat), len(mine) - 1)] == flat)]) if len(mine) else np.zeros(len(flat) + 1)
+                common = np.diff(hit[np.concatenate([[0], np.cumsum(size)])])
+                for i in np.flatnonzero(100 * common >= PERCENT * (len(mine) + size - common)).tolist():
+                    other = right[now[i]]
+                    if len(mine) and root(other[5]) != root(row[5]):
+                        above[root(other[5])] = root(row[5])
+                        a.append(min(row[4], other[4]))
+                        b.append(max(row[4], other[4]))
+        if a:
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-            a, b = [], []
-    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
 REMEMBERED = 4 << 20        # shingles that a task remembers
@@ -243,20 +309,37 @@ def _ids(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
 
 
-def _likely_across(placed: DataFrame, long: DataFrame) -> DataFrame:
-    """Likely pairs between components, for buckets that hold several. ``placed``: key, id, root, main (the largest component).
+def _in_cells(placed: DataFrame, members: DataFrame) -> DataFrame:
+    """Cells of the buckets of ``placed`` (key, id, root, main: the largest component) with the columns of ``members`` (id, codes, ...).
 
-    Members of minor components (left) meet all members (right) in cells of at most BLOCK by BLOCK, so no bucket lands in one task.
+    Members of minor components (left) meet all members (right) in cells of at most BLOCK by BLOCK (or BLOCK_BYTES of text), so no bucket
+    lands in one task. Where few are minor, cells are small: only the few are repeated.
     """
     minor = F.col("root") != F.col("main")
-    sizes = placed.groupBy("key").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"), F.ceil(F.count_if(minor) / F.lit(BLOCK)).cast("int").alias("lefts"))
-    rows = placed.join(sizes, "key").join(long, "id").withColumn("minor", minor)
+    weight = F.octet_length("body") if "body" in members.columns else F.lit(0)
+    rows = placed.join(members, "id").withColumn("minor", minor)
+    parts = lambda n, size: F.greatest(F.lit(1), F.ceil(n), F.ceil(size / F.lit(BLOCK_BYTES))).cast("int")
+    sizes = rows.groupBy("key").agg(F.count("*").alias("n"), F.sum(weight).alias("size"), F.count_if("minor").alias("few"), F.sum(F.when(F.col("minor"), weight)).alias("less"))
+    sizes = sizes.where("few > 0").select("key", parts(F.col("n") / F.when(F.col("few") <= FEW_MINOR, SMALL_BLOCK).otherwise(BLOCK), F.col("size")).alias("blocks"),
+                                          parts(F.col("few") / BLOCK, F.coalesce("less", F.lit(0))).alias("lefts"))
+    rows = rows.join(sizes, "key")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     own = lambda n, seed: F.pmod(F.xxhash64("id", F.lit(seed)), F.col(n)).cast("int")
     left = rows.where("minor").withColumn("i", own("lefts", 1)).withColumn("j", every("blocks")).withColumn("side", F.lit(True))
     right = rows.withColumn("j", own("blocks", 2)).withColumn("i", every("lefts")).withColumn("side", F.lit(False))
-    cells = left.unionByName(right).select("key", "i", "j", "side", "id", "root", "minor", "codes")
-    return cells.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_compare, "a long, b long")
+    more = [c for c in members.columns if c != "id"]
+    cells = left.unionByName(right).select("key", "i", "j", "side", "id", "root", "minor", *more)
+    return cells.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+
+def _links_across(placed: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between components, for buckets that hold several: enough of them to join all that any likely pair joins."""
+    long = written(texts.mapInArrow(_sign_long(False), "id long, codes binary"), "long")
+    meeting = written(_in_cells(placed, long).mapInArrow(_meeting, "key long, id long").distinct(), "meeting", few=True)
+    some = texts.join(meeting.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    full = written(some.mapInArrow(_sign_long(True), "id long, codes binary, body binary"), "full")
+    found = _in_cells(placed.join(meeting, ["key", "id"], "left_semi"), full).mapInArrow(_decide, "a long, b long")
+    return written(found.distinct(), "last-links", free=True)
 
 
 def _tree(roots: DataFrame) -> DataFrame:
@@ -309,9 +392,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     placed = written(placed.join(mixed.select("key", "main"), "key"), "placed", few=True)
     if not placed.isEmpty():
         texts = _texts(rows, placed.select(F.col("id").alias("doc_id")).distinct(), "last")
-        long = written(texts.mapInArrow(_sign_long, "id long, codes binary"), "long")
-        likely = written(_likely_across(placed, long).distinct(), "last-likely", free=True)
-        roots = components(_tree(roots).unionByName(_links(likely, texts, "last")))
+        roots = components(_tree(roots).unionByName(_links_across(placed, texts)))
 
     found = members.join(roots.withColumnRenamed("node", "rep"), "rep", "left").groupBy("doc_id").agg(F.min(F.coalesce("root", "rep")).alias("root"))
     out = signed.select("doc_id", "n").join(found, "doc_id", "left")

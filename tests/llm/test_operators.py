@@ -381,3 +381,34 @@ def test_mix(spark, docs, empty):
         assert {r.doc_id for r in mine} == set(order[:len(mine)]) and sum(r.taken < r.n_tokens for r in mine) <= 1
     assert mixing.mix(empty, levels(), WEIGHTS, 0.5).count() == 0
     assert mixing.mix(with_repeats(spark, rows), levels(), WEIGHTS, 1.0).count() > 0
+
+
+def test_near_copies_that_meet_through_one_another(spark, monkeypatch):
+    """A large group in which most pairs are links but its smallest member is not one of them: all found, and at most a link a member leaves a block."""
+    r = random.Random(8)
+    base = [f"b{i}" for i in range(200)]
+    texts = []
+    for _ in range(150):
+        w = list(base)
+        for _ in range(r.choice([1, 3, 5])):
+            w[r.randrange(len(w))] = f"n{r.randrange(10**6)}"
+        texts.append(" ".join(w))
+    first = list(base)                                        # shares shingles with all, linked with none
+    for i in range(0, 200, 25):
+        first[i:i + 3] = [f"m{i}", f"o{i}", f"p{i}"]
+    rows = [(i, t) for i, t in enumerate([" ".join(first), *texts, prose(r, 150), prose(r, 150)])]
+    monkeypatch.setattr(near_dedup, "ROUNDS", 0)              # everything is left to the blocks
+    sizes = {}
+    plain = near_dedup.written
+
+    def watched(df, label, **k):
+        out = plain(df, label, **k)
+        sizes[label] = out.count()
+        return out
+    monkeypatch.setattr(near_dedup, "written", watched)
+    for block in (1000, 40):
+        monkeypatch.setattr(near_dedup, "BLOCK", block)
+        monkeypatch.setattr(near_dedup, "SMALL_BLOCK", block)
+        got = {x.doc_id: (x.n_shingles, x.component_id) for x in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert got == brute.near_duplicates(rows)
+        assert 0 < sizes["last-links"] < 12 * len(rows)

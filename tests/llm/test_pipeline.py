@@ -50,6 +50,33 @@ def test_exact_keeps_one_row_a_text(spark):
     assert got == sorted([(None, "no id", "src0"), (1, "twice", "src3"), (1, "other", "src5"), (2, "mixed", "src6"), (3, None, "src8"), (4, "alone", "src10")], key=str)
 
 
+CLASHING = ["_word", "_bit", "_row", "_doc", "_key0", "_kept0", "tid", "body", "n", "domain", "key"]
+
+
+def test_stages_on_odd_tables(spark):
+    """No rows; null ids, texts and sources, rows that repeat, and columns called what the stages call theirs, one of them a MAP."""
+    from pyspark.sql import functions as F
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    words = lambda i: " ".join(f"w{i}x{k}" for k in range(30))
+    rows = [(None, words(i), "en", f"src{i % 5}", 1) for i in range(200)] + [(None, words(0), "en", "src0", 1), (1, None, None, None, None), (2, "", "de", "src1", 0),
+            (3, words(900), "fr", None, 2), (3, words(900), "fr", None, 2), (4, words(901), "en", "src3", 1), (4, words(902), "en", "src3", 1)]
+    for data, most in (([], 0), (rows, 204)):
+        docs = spark.createDataFrame(data, schema).select("*", F.create_map(F.lit("a"), F.lit(1)).alias("extra"), *[F.lit(i).alias(c) for i, c in enumerate(CLASHING)])
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, FOLDER)
+            got = out.collect()
+            if name == "packing":
+                assert {r.doc_id for r in got} == {r[0] for r in data}
+                continue
+            assert [(f.name, f.dataType) for f in out.schema] == [(f.name, f.dataType) for f in docs.schema] and len(got) <= len(data)
+            assert all([r[c] for c in CLASHING] == list(range(len(CLASHING))) and r.extra == {"a": 1} for r in got)
+            if name == "exact_dedup":
+                assert len(got) == most and len({r.text or "" for r in got}) == most
+            if name == "mixing" and data:                    # rows without doc_id are chosen one by one: about nine tenths of the words
+                taken = sum(len((r.text or "").split()) for r in got)
+                assert 0.8 * 30 * len(rows) < taken < 30 * (len(rows) - 3) and len({r.text for r in got}) > 150
+
+
 def test_run_holds_every_stage(spark):
     a = corpus_pipeline.run(spark, FOLDER)
     assert a.columns[:3] == ["doc_id", "start", "length"] and a.count() > 0

@@ -88,10 +88,11 @@ def expand_hierarchy(edges: DataFrame, parent: str, child: str, kind: str, group
             levels.append(cut_lineage(found) if depth > 2 else found)
         reached = reduce(DataFrame.unionAll, levels)
     else:
-        reached, known = cut_lineage(e), -1
-        while (n := reached.count()) != known:
-            known = n
-            reached = cut_lineage(reached.unionByName(step(reached, reached)).distinct())
+        reached = new = cut_lineage(e)
+        while not new.isEmpty():                             # a new pair is joined with all, old pairs have met already
+            met = step(new, reached).unionByName(step(reached, new)).distinct()
+            new = cut_lineage(met.join(reached, ["root", "member", "is_group"], "left_anti"))
+            reached = cut_lineage(reached.unionByName(new))
     out = reached.filter(~F.col("is_group"))
     return out.select(F.col("root").alias(parent), F.col("member").alias(child))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import operator
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -139,11 +140,11 @@ def chunked_scan(df: DataFrame, keys: Keys, order: Keys, step: Callable[[dict |
                  out_schema: str) -> DataFrame:
     """Run a sequential ``step(state, rows) -> (outputs, state)`` over each key; the chunks of hot keys in parallel.
 
-    Every chunk is first run from the empty state; then each chunk whose true start state (the end state of
-    the chunk before it) differs from the one it was run with is run again, until none differs. The first
-    chunk is always right, so this ends with the sequential result; a machine that resets now and then
-    needs two or three rounds. States are small dicts (JSON); only changed chunks are recomputed. Rows
-    stream through ``step`` in batches, none are gathered.
+    Every chunk is first run from the empty state, all at once. From the first chunk of a key whose true start state (the end state
+    of the chunk before it) is another, one walk goes on in order: it carries the true state, runs the chunks that start from one and
+    passes by those that start from the empty state, whose first run was right. So there are two runs, whatever the machine does; one
+    that resets now and then walks over few chunks. States are small dicts (JSON), empty ones None. Rows stream through ``step`` in
+    batches, none are gathered.
     """
     k, o = as_list(keys), as_list(order)
     g = [*k, CHUNK]
@@ -179,15 +180,45 @@ def chunked_scan(df: DataFrame, keys: Keys, order: Keys, step: Callable[[dict |
     def scan(part: DataFrame) -> DataFrame:
         return cut_lineage(part.repartition(*g).sortWithinPartitions(*g, *o).mapInPandas(run, schema))
 
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Chunks of a key in order, from the true state before the first of them; a chunk that starts from the empty state was right."""
+        last, now, state, out, done, skip = None, None, None, [], [], False
+
+        def flush(end: bool) -> None:
+            if now is not None and not skip:
+                done.append([*now, "", json.dumps(state, sort_keys=True) if end and state else None, end, list(out)])
+            out.clear()
+
+        for key_now, part, fresh in group_slices(batches, g):
+            if fresh:
+                flush(True)
+                if key_now[:-1] != last:
+                    first = part["__before"].iloc[0]
+                    state, last = json.loads(first) if first else None, key_now[:-1]
+                now, skip = key_now, not state
+                if skip:
+                    after = part["__after"].iloc[0]
+                    state = json.loads(after) if after else None
+            if skip:
+                continue
+            got, state = step(state, part)
+            out += [json.dumps(x, default=str) for x in got]
+            if len(out) > 10_000:
+                flush(False)
+            if len(done) > 1_000:
+                yield pd.DataFrame(done, columns=[*g, "in_state", "out_state", "is_end", "outputs"])
+                done.clear()
+        flush(True)
+        yield pd.DataFrame(done, columns=[*g, "in_state", "out_state", "is_end", "outputs"])
+
     done = scan(rows.withColumn("__in_state", F.lit(None).cast("string")))
-    while True:
-        want = F.lag("out_state").over(Window.partitionBy(*k).orderBy(CHUNK))
-        todo = cut_lineage(done.filter("is_end").select(*g, "in_state", want.alias("__in_state"))
-                           .filter(~F.col("__in_state").eqNullSafe(F.col("in_state"))).drop("in_state"))
-        if todo.isEmpty():
-            break
-        got = scan(join_null_safe(rows, todo, g))
-        done = cut_lineage(join_null_safe(done, todo, g, "left_anti").unionByName(got))
+    ends = done.filter("is_end").select(*g, F.col("out_state").alias("__after"), F.lag("out_state").over(Window.partitionBy(*k).orderBy(CHUNK)).alias("__before"))
+    wrong = ends.filter("__before is not null").groupBy(*k).agg(F.min(CHUNK).alias("__from"))          # few rows: one a hot key at most
+    ends = cut_lineage(join_null_safe(ends, wrong, k).filter(F.col(CHUNK) >= F.col("__from")).drop("__from"))
+    if not ends.isEmpty():
+        again = join_null_safe(rows, ends, g).repartition(*k).sortWithinPartitions(*g, *o)
+        fixed = cut_lineage(again.mapInPandas(walk, schema))
+        done = join_null_safe(done, fixed.select(*g).distinct(), g, "left_anti").unionByName(fixed)
     out = F.from_json("x", out_schema)
     return done.select(*k, F.explode("outputs").alias("x")).select(*k, out.alias("x")).select(*k, "x.*")
 
@@ -226,6 +257,8 @@ class Stage:
     ``contiguity`` to the stage before: next (strict), followed_by (first later match) or followed_by_any
     (every later match). ``at_least`` / ``at_most`` repeat the stage (None = no upper limit), rows between
     repeats are skipped; ``greedy`` leaves the loop only with rows the loop itself refuses; ``until`` ends it.
+    ``relative`` (operator, stage, first or last) compares the row's value with that of a matched row: (">", "a", "first") takes rows
+    dearer than the first row of stage a, (">", <own name>, "last") makes a loop rise from row to row.
     """
     name: str
     where: Column
@@ -235,11 +268,45 @@ class Stage:
     optional: bool = False
     greedy: bool = False
     until: Column | None = None
+    relative: tuple[str, str, str] | None = None
+
+
+COMPARE = {">": operator.gt, ">=": operator.ge, "<": operator.lt, "<=": operator.le, "=": operator.eq, "<>": operator.ne}
+
+
+def relations(stages: Sequence[Stage]) -> list[tuple[str, int, str] | None]:
+    """``Stage.relative`` with the number of the named stage."""
+    names = [s.name for s in stages]
+    return [None if s.relative is None else (s.relative[0], names.index(s.relative[1]), s.relative[2]) for s in stages]
+
+
+def holds(relation: tuple[str, int, str] | None, value: float | None, taken: Iterator[tuple[int, float | None]]) -> bool:
+    """Whether a row's value stands in ``relation`` to the value of the first or last matched row of the named stage (``taken``: stage
+    and value of the matched rows, newest first). NULL stands in none; a stage that was left out sets no condition."""
+    if relation is None:
+        return True
+    op, stage, which = relation
+    other, met = None, False
+    for at, v in taken:
+        if at == stage:
+            other, met = v, True
+            if which == "last":
+                break
+    return not met or (value is not None and other is not None and COMPARE[op](value, other))
 
 
 def find_sequences(flags: list[list[bool]], stops: list[list[bool]], times: list[int], stages: Sequence[tuple], start: int,
-                   within_us: int) -> list[list[tuple[int, int]]]:
+                   within_us: int, values: list[float | None] | None = None, relative: Sequence[tuple | None] = ()) -> list[list[tuple[int, int]]]:
     """All matches that begin at row ``start``: lists of (stage, row). ``stages``: plain tuples of Stage settings."""
+
+    def chain(picked: tuple) -> Iterator[tuple[int, float | None]]:
+        while picked:
+            picked, (s, r) = picked
+            yield s, values[r]
+
+    def fits(stage: int, r: int, picked: tuple) -> bool:
+        return flags[stage][r] and (values is None or holds(relative[stage], values[r], chain(picked)))
+
     end = start
     while end < len(times) and times[end] - times[start] <= within_us:
         end += 1
@@ -264,7 +331,7 @@ def find_sequences(flags: list[list[bool]], stops: list[list[bool]], times: list
             for r in range(row + 1, min(last, end)):
                 if held is not None and r >= held:              # a greedy loop takes this row itself
                     break
-                if flags[stage][r]:
+                if fits(stage, r, picked):
                     todo.append((stage, 1, r, (picked, (stage, r))))
                     if how != "followed_by_any":
                         break
@@ -287,7 +354,7 @@ def find_sequences(flags: list[list[bool]], stops: list[list[bool]], times: list
             for r in range(row + 1, end):
                 if stops[stage][r]:
                     break
-                if flags[stage][r]:
+                if fits(stage, r, picked):
                     again = r
                     break                                   # inside a loop the next fitting row is taken
         if count >= lo:
@@ -298,7 +365,7 @@ def find_sequences(flags: list[list[bool]], stops: list[list[bool]], times: list
 
 
 def match_sequence(df: DataFrame, keys: Keys, ts: str, stages: Sequence[Stage], within: str, tie: Keys = (),
-                   id_col: str | None = None) -> DataFrame:
+                   id_col: str | None = None, value: str | None = None) -> DataFrame:
     """Sequence pattern per key, every match reported (no skip), all rows of a match at most ``within`` apart.
 
     Conditions are evaluated by Spark as flag columns; a small automaton walks the flags of a key. A hot key
@@ -311,7 +378,7 @@ def match_sequence(df: DataFrame, keys: Keys, ts: str, stages: Sequence[Stage],
     us = epoch_us(df, ts)
     ident = F.col(id_col).cast("string") if id_col else us.cast("string")
     d = df.filter(F.col(ts).isNotNull()).select(
-        *k, *[F.col(c).alias(f"__tie_{c}") for c in o], us.alias("__us"), ident.alias("__id"),
+        *k, *[F.col(c).alias(f"__tie_{c}") for c in o], us.alias("__us"), ident.alias("__id"), (F.col(value) if value else F.lit(None)).cast("double").alias("__v"),
         *[F.coalesce(s.where, no).alias(f"__c{i}") for i, s in enumerate(stages)],
         *[F.coalesce(s.until, no).alias(f"__u{i}") if s.until is not None else no.alias(f"__u{i}") for i, s in enumerate(stages)])
     if all(s.contiguity != "next" for s in stages):              # rows no stage looks at cannot matter
@@ -322,11 +389,11 @@ def match_sequence(df: DataFrame, keys: Keys, ts: str, stages: Sequence[Stage],
     d = (d.withColumn("__own", F.when(F.col(HOT), own).otherwise(0)).withColumn(CHUNK, F.explode(spread))
          .drop(CUTS, HOT))
     plan = [(s.contiguity, s.at_least, s.at_most, s.optional, s.greedy) for s in stages]
-    names, ties = [s.name for s in stages], [f"__tie_{c}" for c in o]
+    names, ties, relative = [s.name for s in stages], [f"__tie_{c}" for c in o], relations(stages)
     types = dict(df.dtypes)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = [f"__c{i}" for i in range(len(plan))] + [f"__u{i}" for i in range(len(plan))] + ["__us", "__id", "__mine"]
+        columns = [f"__c{i}" for i in range(len(plan))] + [f"__u{i}" for i in range(len(plan))] + ["__us", "__id", "__mine"] + ["__v"] * bool(value)
         held: dict[str, list] = {c: [] for c in columns}
         key, nxt, out = None, 0, []
 
@@ -337,7 +404,7 @@ def match_sequence(df: DataFrame, keys: Keys, ts: str, stages: Sequence[Stage],
             flags, stops = [held[f"__c{i}"] for i in range(len(plan))], [held[f"__u{i}"] for i in range(len(plan))]
             while nxt < len(times) and (until is None or times[nxt] + within_us < until):
                 if held["__mine"][nxt]:
-                    for m in find_sequences(flags, stops, times, plan, nxt, within_us):
+                    for m in find_sequences(flags, stops, times, plan, nxt, within_us, held.get("__v"), relative):
                         out.append([*key, times[m[0][1]], times[m[-1][1]], [f"{names[s]}:{held['__id'][r]}" for s, r in m]])
                 nxt += 1
             if until is None or nxt > 10_000:
@@ -351,7 +418,7 @@ def match_sequence(df: DataFrame, keys: Keys, ts: str, stages: Sequence[Stage],
             key = key_now[:-1]
             part = part.assign(__mine=part["__own"] == part[CHUNK])
             for c in columns:
-                held[c] += part[c].tolist()
+                held[c] += part[c].astype(object).where(part[c].notna(), None).tolist() if c == "__v" else part[c].tolist()
             settle(held["__us"][-1])
             if len(out) > 10_000:
                 yield pd.DataFrame(out, columns=[*k, "start_us", "end_us", "matched"])

@@ -84,14 +84,17 @@ def c22(t):
 
 
 @query("j24_expand_party", """WITH n AS (SELECT event_id, ts, event_type, 'a' || user_id AS account FROM events WHERE event_type = 'signup'),
-    p AS (SELECT DISTINCT 'p' || (user_id // 3) AS party_id, 'a' || user_id AS account FROM events)
-    SELECT n.event_id, p.party_id, m.account AS related_account_id FROM n LEFT JOIN p ON n.account = p.account LEFT JOIN p m ON p.party_id = m.party_id""")
+    p AS (SELECT DISTINCT 'p' || (user_id // 3) AS party_id, 'a' || user_id AS account, 'c' || (user_id % 7) AS city FROM events),
+    plan AS (SELECT 'a' || user_id AS account, 'plan ' || event_id AS plan_name FROM events WHERE event_type = 'purchase')
+    SELECT n.event_id, p.party_id, m.account AS related_account_id, plan_name, p.city AS addr_city FROM n LEFT JOIN p ON n.account = p.account LEFT JOIN p m ON p.party_id = m.party_id LEFT JOIN plan ON plan.account = m.account""")
 def j24(t):
-    """Sign-ups spread to the three accounts of the user's party."""
+    """Sign-ups spread to the three accounts of the user's party, with the plans each account bought and the address of the party."""
     from ..operators.joins import expand_party
     acc = F.concat(F.lit("a"), F.col("user_id").cast("string"))
+    detail = F.struct(acc.alias("account_number"), F.concat(F.lit("plan "), F.col("event_id").cast("string")).alias("plan_name"))
     ev = t.events.select("event_id", F.col("event_id").cast("string").alias("event_time"), F.to_json(F.struct(F.col("event_type").alias("eventType"))).alias("context_data"),
-                         F.array(F.to_json(F.struct(acc.alias("account_number")))).alias("event_details"))
-    info = t.events.select(F.concat(F.lit("p"), F.floor(F.col("user_id") / 3).cast("string")).alias("party_id"), acc.alias("account_number")).distinct()
-    d = expand_party(ev, info, "signup", "none", keep=())
-    return d.select(F.col("event_time").cast("bigint").alias("event_id"), "party_id", "related_account_id")
+                         F.array(F.to_json(detail)).alias("event_details"))
+    info = t.events.select(F.concat(F.lit("p"), F.floor(F.col("user_id") / 3).cast("string")).alias("party_id"), acc.alias("account_number"),
+                           F.concat(F.lit("c"), (F.col("user_id") % 7).cast("string")).alias("addr_city")).distinct()
+    d = expand_party(ev, info, "signup", "purchase", keep="addr_city")
+    return d.select(F.col("event_time").cast("bigint").alias("event_id"), "party_id", "related_account_id", "plan_name", "addr_city")

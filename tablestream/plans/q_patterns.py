@@ -40,6 +40,18 @@ def x02b(t):
     return d.select("user_id", F.array_join("matched", ">").alias("matched"))
 
 
+@query("x02_sequence_dearer", """WITH a AS (SELECT * FROM events WHERE event_type = 'view'), b AS (SELECT * FROM events WHERE event_type = 'purchase')
+    SELECT a.user_id, 'a:' || a.event_id || '>b:' || arg_min(b.event_id, b.ts) AS matched FROM a JOIN b ON a.user_id = b.user_id AND b.ts > a.ts AND b.ts <= a.ts + INTERVAL '2 days' AND b.value > a.value GROUP BY a.user_id, a.event_id""")
+def x02c(t):
+    """view, then the first later purchase dearer than it within 2 days: a condition on a matched row."""
+    return X.match_sequence(t.events, "user_id", "ts", dearer(), "2 days", tie="event_id", id_col="event_id", value="value").select("user_id", F.array_join("matched", ">").alias("matched"))
+
+
+def dearer():
+    is_kind = lambda k: F.col("event_type") == k
+    return [X.Stage("a", is_kind("view")), X.Stage("b", is_kind("purchase"), relative=(">", "a", "first"))]
+
+
 @query("x03_repeat_purchase", """SELECT event_id, event_type FROM (SELECT *, LAG(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events) WHERE p = event_type""")
 def x03(t):
     return X.repeat_purchase(t.events.select("event_id", "user_id", "ts", "event_type"), "user_id", ["ts", "event_id"], "event_type").select("event_id", "event_type")

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..streaming import stateful as ST, streams as S
+from ..streaming import sequences as SQ, stateful as ST, streams as S
 from .registry import QUERIES, query
 
 DELAY = "1 minute"
@@ -10,7 +10,7 @@ NTZ = "timestamp_ntz"
 
 
 def same_sql(name):
-    from . import q_aggregates, q_dedup, q_joins, q_over, q_patterns, q_windows  # noqa: F401
+    from . import q_aggregates, q_changelog, q_dedup, q_features, q_joins, q_over, q_patterns, q_windows  # noqa: F401
     return QUERIES[name].sql
 
 
@@ -88,41 +88,136 @@ def o13s(t):
     return back(d.select("user_id", "action", F.col("ts").alias("updated_at")), "updated_at")
 
 
-@query("w03_cumulate_stream", """WITH b AS (SELECT time_bucket(INTERVAL '6 hours', ts) AS pane, event_type, COUNT(*) AS n FROM events GROUP BY ALL),
-    s AS (SELECT time_bucket(INTERVAL '1 day', pane) AS window_start, pane, event_type, n FROM b)
-    SELECT window_start, pane + INTERVAL '6 hours' AS window_end, event_type, SUM(n) OVER (PARTITION BY window_start, event_type ORDER BY pane)::BIGINT AS n FROM s""")
+@query("w03_cumulate_stream", same_sql("w03_cumulate"))
 def w03s(t):
-    """Growing windows: six-hour panes, each counted once, feed every step of their day that ends at or after them; steps without a new row stay out."""
-    def build(s):
-        pane = s.groupBy(F.window("ts", "6 hours").alias("w"), "event_type").agg(F.count_if(~F.col(S.BEAT)).alias("n"))
-        return pane.select(F.col("w.start").alias("pane"), "event_type", "n").filter("n > 0")
-    panes = back(events(t, build), "pane")
-    from ..operators.over import running_total
-    d = panes.withColumn("window_start", F.date_trunc("day", F.col("pane").cast("timestamp")).cast(NTZ))
-    d = running_total(d, ["window_start", "event_type"], "pane", "n", "total")
-    return d.select("window_start", (F.col("pane") + F.expr("INTERVAL 6 HOURS")).alias("window_end"), "event_type", F.col("total").cast("bigint").alias("n"))
+    """Growing windows, whole in the stream: every step of a day comes out when the watermark passes it."""
+    d = events(t, lambda s: SQ.stream_cumulate(S.without_beats(s, "ts"), "event_type", "ts", "4 hours", "1 day", F.col("value")))
+    return back(d, "window_start", "window_end").withColumn("total", F.round("total", 2))
 
 
 @query("w11_distinct_stream", same_sql("w11_tumble_distinct"))
 def w11s(t):
-    """Distinct users per window: first arrival of each (window, key, user) in state, then counted by window."""
-    def build(s):
-        d = S.without_beats(s, "ts").withColumn("w", F.window("ts", "6 hours")).select("ts", "event_type", "user_id", F.col("w.start").alias("window_start"))
-        return d.dropDuplicatesWithinWatermark(["window_start", "event_type", "user_id"])
-    d = back(S.replay(t.spark, t.folder, "events", "ts", "6 hours", build), "window_start")
-    return d.filter("user_id is not null").groupBy("window_start", "event_type").agg(F.count("user_id").alias("users"))
+    """Distinct users per window, whole in the stream: distinct ids in one state, their count in the next."""
+    d = events(t, lambda s: SQ.stream_tumble_distinct(S.without_beats(s, "ts"), "ts", "6 hours", "event_type", "user_id", "users"))
+    return back(d, "window_start").select("window_start", "event_type", "users")
 
 
-@query("w14_split_late_stream", """WITH s AS (SELECT event_id, ts, event_id % 7 = 0 AS held FROM events) SELECT event_id FROM s""")
+LATE_CUTS = ("2024-01-06", "2024-01-11", "2024-01-16", "2024-01-21", "2024-01-26")
+
+
+@query("w14_split_late_stream", f"""WITH c AS (SELECT event_id, ts, LEAST({' + '.join(f"(ts >= TIMESTAMP '{c}')::INT" for c in LATE_CUTS)} + (event_id % 7 = 0)::INT, 5) AS arrival FROM events),
+    h AS (SELECT arrival, MAX(ts) AS high FROM c GROUP BY 1)
+    SELECT event_id, COALESCE(ts < (SELECT MAX(high) FROM h WHERE h.arrival < c.arrival) - INTERVAL '1 day', false) AS is_late FROM c""")
 def w14s(t):
-    """On-time and late tables of a stream whose rows with ids divisible by seven come a micro-batch late: together they hold every row once."""
+    """On-time and late tables of a stream whose rows with ids divisible by seven come a micro-batch late: which table each row went to."""
     from ..operators.relational import union_all
     from ..session import scratch_dir
     root = scratch_dir(t.spark, "late")
-    source = S.in_slices(t.spark, t.folder, "events", "ts", 6, F.col("event_id") % 7 == 0)
+    source = S.in_slices(t.spark, t.folder, "events", "ts", 6, F.col("event_id") % 7 == 0, at=LATE_CUTS)
     stream = t.spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 1).parquet(source)
     S.split_late(t.spark, stream, "ts", "1 day", f"{root}/ok", f"{root}/late", f"{root}/marks", f"{root}/checkpoint")
-    return union_all([t.spark.read.parquet(f"{root}/{n}").select("event_id") for n in ("ok", "late")])
+    return union_all([t.spark.read.parquet(f"{root}/{n}").select("event_id", F.lit(n == "late").alias("is_late")) for n in ("ok", "late")])
+
+
+def stages(kinds):
+    from ..operators.patterns import Stage
+    return [Stage(name, F.col("event_type") == kind, how) for name, kind, how in kinds]
+
+
+@query("x02_sequence_stream", same_sql("x02_sequence_relaxed"))
+def x02s(t):
+    """view, the first purchase after it, any later error, within 2 days, from a stream."""
+    pattern = stages([("a", "view", "followed_by"), ("b", "purchase", "followed_by"), ("c", "error", "followed_by_any")])
+    return events(t, lambda s: SQ.stream_match_sequence(S.without_beats(s, "ts"), "user_id", "ts", pattern, "2 days", "event_id")).select("user_id", "matched")
+
+
+@query("x02_sequence_dearer_stream", same_sql("x02_sequence_dearer"))
+def x02ds(t):
+    from .q_patterns import dearer
+    return events(t, lambda s: SQ.stream_match_sequence(S.without_beats(s, "ts"), "user_id", "ts", dearer(), "2 days", "event_id", "value")).select("user_id", "matched")
+
+
+@query("x01_match_runs_stream", same_sql("x01_match_runs"))
+def x01s(t):
+    d = events(t, lambda s: SQ.stream_match_runs(S.without_beats(s, "ts"), "event_type", "ts", "value", 35.0, "event_id"))
+    stamp = lambda c: F.timestamp_micros(c).cast(NTZ)
+    return d.select("event_type", stamp("start_us").alias("start_ts"), stamp("last_us").alias("last_ts"), F.round(F.col("avg_value") * F.col("n"), 2).alias("total"), "n")
+
+
+@query("m01_anomalies_stream", same_sql("m01_anomalies"))
+def m01s(t):
+    """Bands from the user's earlier values, row by row (1e-9: see m01_anomalies)."""
+    d = events(t, lambda s: SQ.stream_anomalies(S.without_beats(s, "ts"), "user_id", "ts", "value", "event_id", 96.0, 20))
+    return d.select(F.col("id").cast("bigint").alias("event_id"), F.round(F.col("forecast_value") + 1e-9, 6).alias("forecast_value"), F.round("upper_bound", 2).alias("upper_bound"), "is_anomaly")
+
+
+def folded(d, *cols):
+    """Rows a changelog of +I and -D leaves."""
+    sign = F.when(F.col("row_kind") == "-D", -1).otherwise(1)
+    return d.groupBy(*cols).agg(F.sum(sign).alias("__n")).filter("__n > 0").drop("__n")
+
+
+@query("j14_join_ttl_stream", """SELECT p.event_id, v.event_id AS view_id FROM (SELECT * FROM events WHERE event_type = 'purchase') p
+    LEFT JOIN (SELECT * FROM events WHERE event_type = 'view') v ON p.user_id = v.user_id AND v.ts BETWEEN p.ts - INTERVAL '3 hours' AND p.ts + INTERVAL '1 hour'""")
+def j14s(t):
+    """Purchases wait an hour for views, views three hours for purchases; NULL rows are taken back when a match comes."""
+    k = F.col("event_type")
+    build = lambda s: SQ.stream_join_ttl(S.without_beats(S.pick(s, k.isin("view", "purchase")), "ts"), "user_id", "ts", k == "purchase", k == "view", "event_id", "1 hour", "3 hours", "left")
+    d = folded(events(t, build), "left_id", "right_id")
+    return d.select(F.col("left_id").cast("bigint").alias("event_id"), F.col("right_id").cast("bigint").alias("view_id"))
+
+
+@query("j15_upsert_join_stream", """WITH f AS (SELECT user_id, event_type, arg_max(event_id, ts) AS event_id FROM events WHERE event_type <> 'view' GROUP BY ALL),
+    d AS (SELECT user_id, arg_max(value, ts) AS price FROM events WHERE event_type = 'view' GROUP BY ALL)
+    SELECT f.user_id, f.event_type, f.event_id, d.price FROM f LEFT JOIN d USING (user_id)""")
+def j15s(t):
+    """Newest event of each type with the user's newest view value; every new value re-prices the user's rows only."""
+    from ..operators.changelog import apply_changelog
+    k = F.col("event_type")
+    payload = F.when(k == "view", F.col("value").cast("string")).otherwise(F.col("event_id").cast("string"))
+    d = events(t, lambda s: SQ.stream_join_upsert(S.without_beats(s, "ts"), "user_id", "ts", k != "view", k == "view", k, payload))
+    d = apply_changelog(d.select("user_id", "row_kind", "fact_key", "fact", "dim", "seq"), ["user_id", "fact_key"], "seq")
+    return d.select("user_id", F.col("fact_key").alias("event_type"), F.col("fact").cast("bigint").alias("event_id"), F.col("dim").cast("double").alias("price"))
+
+
+@query("d04_top_n_stream", "SELECT user_id, event_id, value FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY value DESC, event_id DESC) AS rn FROM events WHERE value IS NOT NULL) WHERE rn <= 3")
+def d04s(t):
+    """Running top 3 of each user; displaced rows are taken back."""
+    d = events(t, lambda s: SQ.stream_top_n(S.without_beats(s, "ts"), "user_id", "ts", "value", "event_id", 3))
+    return folded(d, "user_id", "id", "value").select("user_id", F.col("id").cast("bigint").alias("event_id"), "value")
+
+
+@query("c08_apply_changelog_stream", same_sql("c08_apply_changelog"))
+def c08s(t):
+    """The current row of each user from a log in which every fifth row comes a micro-batch late."""
+    from ..operators.changelog import apply_changelog
+    kind = F.when(F.col("event_type") == "signup", "-U").when(F.col("event_type") == "error", "-D").otherwise("+U")
+    build = lambda s: SQ.stream_apply_changelog(S.without_beats(s, "ts"), "user_id", "ts", F.col("event_id"), kind, F.col("value").cast("string"))
+    d = S.replay(t.spark, t.folder, "events", "ts", "40 days", build, late=F.col("event_id") % 5 == 0)
+    d = apply_changelog(d, "user_id", "seq")
+    return d.select("user_id", F.col("seq").alias("event_id"), F.col("payload").cast("double").alias("value"))
+
+
+@query("c14_mix_stream", same_sql("c14_mix"))
+def c14s(t):
+    """History first, then the live log, which beats it whatever the times: live rows are numbered above all of history."""
+    from ..operators.changelog import apply_changelog
+    live = F.col("ts") >= F.lit("2024-01-15").cast("timestamp")
+    seq = F.unix_micros("ts") + F.when(live, F.lit(4 * 10**15)).otherwise(F.lit(0))
+    payload = F.concat_ws(":", F.col("event_id").cast("string"), F.when(live, "live").otherwise("hist"))
+    build = lambda s: SQ.stream_apply_changelog(S.without_beats(s, "ts").withColumn("k", F.col("event_id") % 3000), "k", "ts", seq, F.lit("+U"), payload)
+    d = apply_changelog(events(t, build), "k", "seq")
+    part = F.split("payload", ":")
+    return d.select("k", part[0].cast("bigint").alias("event_id"), part[1].alias("src"))
+
+
+@query("x09_cutoff_stream", """WITH b AS (SELECT DISTINCT time_bucket(INTERVAL '1 day', ts) AS day FROM events), tr AS (SELECT day + INTERVAL '11 hours 30 minutes' AS cutoff_ts FROM b UNION SELECT day + INTERVAL '35 hours 30 minutes' FROM b),
+    d AS (SELECT cutoff_ts, e.*, ROW_NUMBER() OVER (PARTITION BY cutoff_ts, user_id ORDER BY ts DESC, event_id DESC) AS rn FROM tr JOIN events e ON ts BETWEEN cutoff_ts - INTERVAL '24 hours' AND cutoff_ts)
+    SELECT user_id, event_id, cutoff_ts AS ts FROM d WHERE rn = 1 AND ts <= cutoff_ts - INTERVAL '2 hours'""")
+def x09s(t):
+    """Daily 11:30 cutoff on a stream: users heard of in the last day but silent for two hours, by a timer for those who stay silent."""
+    d = events(t, lambda s: SQ.stream_cutoff(S.without_beats(s, "ts"), "user_id", "ts", "event_id", "1 day", "690 minutes"))
+    return back(d.select("user_id", F.col("id").cast("bigint").alias("event_id"), "ts"), "ts")
 
 
 @query("j11_asof_stream", """SELECT p.event_id, v.ts AS v_ts, v.value AS rate FROM (SELECT * FROM events WHERE event_type = 'purchase') p

@@ -157,15 +157,25 @@ def incremental_append(src: DataFrame, target: str, ts: str) -> DataFrame:
 
 
 def materialize_full(fn: Callable[[], DataFrame], target: str, version: int | None = None) -> int:
-    """Full refresh: a new complete version beside the old one; readers switch when it is there."""
+    """Full refresh: a new complete version beside the old one. A version counts once it is noted in ``_committed``, which is written
+    after it: a refresh that breaks off leaves readers where they were, and the next one writes over what it left."""
     df = fn()
-    n = version if version is not None else (last_batch(df.sparkSession, target, "_version") or 0) + 1
+    n = version if version is not None else (last_committed(df.sparkSession, target) or 0) + 1
     df.write.mode("overwrite").parquet(f"{target}/_version={n}")
+    df.sparkSession.range(1).select(F.lit(n).cast("long").alias("version")).write.mode("append").parquet(f"{target}/_committed")
     return n
 
 
+def last_committed(spark: SparkSession, target: str) -> int | None:
+    """Newest complete version of a materialized table."""
+    try:
+        return spark.read.parquet(f"{target}/_committed").agg(F.max("version")).first()[0]
+    except AnalysisException:
+        return None
+
+
 def read_materialized(spark: SparkSession, target: str) -> DataFrame:
-    n = last_batch(spark, target, "_version")
+    n = last_committed(spark, target)
     if n is None:
         raise ValueError(f"{target} holds no version yet")
     return spark.read.parquet(f"{target}/_version={n}")

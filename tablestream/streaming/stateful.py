@@ -61,9 +61,12 @@ class OrderedRows(StatefulProcessor):
     """Base: rows are held until the watermark passes them, then handed on in order of time and id.
 
     ``process(key, rows, carried)`` gets (microseconds, id, label, value) tuples in order and returns output rows and what to
-    carry on (tuples of the same shape). The input has the columns of ``ordered_input``.
+    carry on (tuples of the same shape). The input has the columns of ``ordered_input``. With ``keep_us`` the state of a key goes that
+    long after its last carried row; ``wake`` names a time at which the key is to be looked at again even if it stays silent.
     """
     out_columns: list[str] = []
+    keep_us: int | None = None
+    mark = 0                                                 # the watermark (microseconds) while ``process`` runs
 
     def __init__(self, keys: list[str]):
         self.keys = keys
@@ -84,7 +87,7 @@ class OrderedRows(StatefulProcessor):
         yield from ()
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        mark = timerValues.getCurrentWatermarkInMs() * 1000
+        mark = self.mark = timerValues.getCurrentWatermarkInMs() * 1000
         held = sorted((tuple(r) for r in self.waiting.get()), key=in_order) if self.waiting.exists() else []
         ready, later = [r for r in held if r[0] <= mark], [r for r in held if r[0] > mark]
         if later:
@@ -94,6 +97,11 @@ class OrderedRows(StatefulProcessor):
             self.waiting.clear()
         old = [tuple(r) for r in self.carry.get()] if self.carry.exists() else []
         out, keep = self.process(key, ready, old)
+        if keep and self.keep_us is not None and keep[-1][0] + self.keep_us < mark:
+            keep = []                                        # no row that can still come is near enough to meet it
+        wake = self.wake(keep)
+        if wake is not None:
+            self.handle.registerTimer(wake // 1000 + 1)
         if keep:
             self.carry.put(keep)
         elif old:
@@ -104,6 +112,9 @@ class OrderedRows(StatefulProcessor):
     def process(self, key: tuple, rows: list[tuple], old: list[tuple]) -> tuple[list[tuple], list[tuple]]:
         raise NotImplementedError
 
+    def wake(self, keep: list[tuple]) -> int | None:
+        return keep[-1][0] + self.keep_us if keep and self.keep_us is not None else None
+
     def close(self) -> None:
         pass
 
@@ -300,7 +311,7 @@ class ForgetfulDedup(OrderedRows):
 
     def __init__(self, keys: list[str], ttl_us: int):
         super().__init__(keys)
-        self.ttl_us = ttl_us
+        self.ttl_us = self.keep_us = ttl_us
 
     def process(self, key, rows, old):
         out, before = [], old[-1][0] if old else None
@@ -320,7 +331,7 @@ class PairOnce(OrderedRows):
 
     def __init__(self, keys: list[str], ttl_us: int | None):
         super().__init__(keys)
-        self.ttl_us = ttl_us
+        self.ttl_us = self.keep_us = ttl_us
 
     def process(self, key, rows, old):
         waiting, out = deque(old), []              # one side only: the other one has met its partners

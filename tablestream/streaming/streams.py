@@ -48,16 +48,20 @@ def run_stream(df: DataFrame, out: str, checkpoint: str, mode: str = "append", k
 _slices: dict[tuple, str] = {}
 
 
-def in_slices(spark: SparkSession, folder: str, table: str, ts: str, slices: int, late: Column | None = None, files: int = 1) -> str:
+def in_slices(spark: SparkSession, folder: str, table: str, ts: str, slices: int, late: Column | None = None, files: int = 1,
+              at: tuple[str, ...] | None = None) -> str:
     """The whole table as ``slices`` groups of ``files`` files in order of time (rows without time first), oldest modification first.
 
-    Rows for which ``late`` holds come one slice later than their time. A copy is made once for each session and set of arguments.
+    Slices hold about equal numbers of rows, or begin at the times ``at`` (one less than slices). Rows for which ``late`` holds come one slice later than their time. A copy is made once for each session and set of arguments.
     """
-    key = (spark.sparkContext.applicationId, folder, table, ts, slices, str(late), files)
+    key = (spark.sparkContext.applicationId, folder, table, ts, slices, str(late), files, at)
     if key not in _slices:
         df = spark.read.parquet(f"{folder}/{table}.parquet")
         us = F.unix_micros(F.col(ts).cast("timestamp"))
-        cuts = df.select(us.cast("double").alias("us")).approxQuantile("us", [i / slices for i in range(1, slices)], 0.001)
+        if at is not None:
+            cuts = [F.unix_micros(F.lit(x).cast("timestamp")) for x in at]
+        else:
+            cuts = df.select(us.cast("double").alias("us")).approxQuantile("us", [i / slices for i in range(1, slices)], 0.001)
         nth = sum((F.when(us >= c, 1).otherwise(0) for c in cuts), F.lit(0))
         if late is not None:
             nth = F.least(nth + F.when(late, 1).otherwise(0), F.lit(slices - 1))

@@ -84,34 +84,82 @@ def derive_features(df: DataFrame, features: dict[str, Column]) -> DataFrame:
     return df.withColumns(features)
 
 
+CELL_ROWS, CELL_QUERIES = 12_500, 1_000           # of one matrix product: 100 MB of scores
+
+
+def _unit(col: pd.Series) -> np.ndarray:
+    m = np.asarray(col.tolist(), dtype="float64")
+    return m / np.linalg.norm(m, axis=1, keepdims=True)
+
+
+def fit_centroids(base: DataFrame, bid: str, vec: str, n: int = 64, sample: int = 64, rounds: int = 10) -> np.ndarray:
+    """``n`` directions around which the vectors lie, by spherical k-means on at most ``n * sample`` rows (the same rows each time)."""
+    rows = base.filter(F.col(vec).isNotNull()).orderBy(F.xxhash64(bid), bid).limit(n * sample).select(vec).toPandas()
+    if not len(rows):
+        return np.zeros((0, 0))
+    points = _unit(rows[vec])
+    centres = points[np.random.default_rng(0).permutation(len(points))[:n]]
+    for _ in range(rounds):
+        near = (points @ centres.T).argmax(axis=1)
+        sums = np.stack([points[near == i].sum(axis=0) if (near == i).any() else centres[i] for i in range(len(centres))])
+        centres = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
+    return centres
+
+
+def _nearest(df: DataFrame, vec: str, centroids: np.ndarray, n: int) -> DataFrame:
+    """Rows with ``__near``: the ``n`` centroids nearest to their vector."""
+    n = min(n, len(centroids))
+
+    def run(batches):
+        for pdf in batches:
+            score = _unit(pdf[vec]) @ centroids.T if len(pdf) else np.zeros((0, len(centroids)))
+            yield pdf.assign(__near=list(np.argsort(-score, axis=1, kind="stable")[:, :n].astype("int32")))
+    ddl = ", ".join(f"`{c}` {t}" for c, t in df.dtypes)
+    return df.mapInPandas(run, f"{ddl}, __near array<int>")
+
+
 def vector_topk(queries: DataFrame, base: DataFrame, k: int, qid: str, bid: str, vec: str, qvec: str,
-                block_rows: int = 50_000, slice_rows: int = 5_000) -> DataFrame:
-    """Exact cosine top-k of each query vector.
+                block_rows: int = CELL_ROWS, slice_rows: int = CELL_QUERIES, centroids: np.ndarray | None = None, probes: int = 8) -> DataFrame:
+    """Cosine top-k of each query vector: exact, or pruned by ``centroids``.
 
     Base rows are cut into blocks and queries into slices of bounded size; one matrix product per (block,
     slice) cell gives all scores of the cell and only the best ``k`` per query leave it, so no pair table
-    is built. The final top-k runs over k rows per query and block. Scores are rounded to 12 digits.
+    is built. The final top-k runs over k rows per query and block. Scores are rounded to 12 digits; ties go by id.
+    With ``centroids`` (see ``fit_centroids``) every base row is filed under the nearest one, and a query meets the rows of its ``probes``
+    nearest only; what it meets is scored exactly. How many cells there are is worked out inside the query, not on the driver.
     """
-    blocks, slices = -(-base.count() // block_rows) or 1, -(-queries.count() // slice_rows) or 1
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    b = base.select(F.col(bid).alias("bid"), F.col(vec).alias("v"), F.pmod(F.xxhash64(bid), F.lit(blocks)).cast("int").alias("blk"), every(slices).alias("sl"))
-    q = queries.select(F.col(qid).alias("qid"), F.col(qvec).alias("v"), every(blocks).alias("blk"), F.pmod(F.xxhash64(qid), F.lit(slices)).cast("int").alias("sl"))
-
-    def unit(col: pd.Series) -> np.ndarray:
-        m = np.asarray(col.tolist(), dtype="float64")
-        return m / np.linalg.norm(m, axis=1, keepdims=True)
+    size = lambda df, rows: df.agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / rows)).cast("int")).scalar()
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    b = base.select(F.col(bid).alias("bid"), F.col(vec).alias("v")).filter("v is not null")
+    q = queries.select(F.col(qid).alias("qid"), F.col(qvec).alias("v")).filter("v is not null").withColumn("slices", size(queries, slice_rows))
+    if centroids is None:
+        b = b.withColumn("blocks", size(base, block_rows)).withColumn("part", F.lit(0))
+        q = q.withColumn("blocks", size(base, block_rows)).withColumn("part", F.lit(0))
+    else:
+        b = _nearest(b, "v", centroids, 1).withColumn("part", F.get("__near", F.lit(0))).drop("__near")
+        q = _nearest(q, "v", centroids, probes).withColumn("part", F.explode("__near")).drop("__near")
+        sizes = b.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("blocks"))       # a row a centroid
+        b, q = b.join(F.broadcast(sizes), "part"), q.join(F.broadcast(sizes), "part")
+    b = b.withColumn("slices", size(queries, slice_rows))
+    b = b.select("part", "bid", "v", F.pmod(F.xxhash64("bid"), F.col("blocks")).cast("int").alias("blk"), every("slices").alias("sl"))
+    q = q.select("part", "qid", "v", F.pmod(F.xxhash64("qid"), F.col("slices")).cast("int").alias("sl"), every("blocks").alias("blk"))
 
     def cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(left) and len(right):
-            scores, ids = np.round(unit(right["v"]) @ unit(left["v"]).T, 12), left["bid"].to_numpy()
+            scores, ids = np.round(_unit(right["v"]) @ _unit(left["v"]).T, 12), left["bid"].to_numpy()
             for i, query in enumerate(right["qid"].tolist()):
-                best = np.lexsort((ids, -scores[i]))[:k]
+                if len(ids) > k:                             # the k-th best score, then all rows that reach it
+                    row = np.flatnonzero(scores[i] >= np.partition(scores[i], len(ids) - k)[len(ids) - k])
+                else:
+                    row = np.arange(len(ids))
+                best = row[np.lexsort((ids[row], -scores[i][row]))[:k]]
                 out += [[query, ids[j], scores[i, j]] for j in best]
         return pd.DataFrame(out, columns=["qid", "bid", "score"])
 
     t = {**dict(queries.dtypes), **dict(base.dtypes)}
-    best = b.groupBy("blk", "sl").cogroup(q.groupBy("blk", "sl")).applyInPandas(cell, f"qid {t[qid]}, bid {t[bid]}, score double")
+    cells = ("part", "blk", "sl")
+    best = b.groupBy(*cells).cogroup(q.groupBy(*cells)).applyInPandas(cell, f"qid {t[qid]}, bid {t[bid]}, score double")
     return top_n(best, "qid", [F.col("score").desc(), F.col("bid").asc()], k, rank="rank").withColumnsRenamed({"qid": qid, "bid": bid})
 
 

@@ -82,6 +82,15 @@ def m09(t):
     return d.select("qid", "vec_id", "rank", F.round("score", 6).alias("score"))
 
 
+@query("m09_vector_topk_pruned")
+def m09p(t):
+    """The same for every embedding whose id is divisible by 50, through 64 centroids of which a query meets the 24 nearest."""
+    base = t.embeddings.select("vec_id", "embedding")
+    q = base.filter(F.col("vec_id") % 50 == 0).select(F.col("vec_id").alias("qid"), F.col("embedding").alias("qv"))
+    d = M.vector_topk(q, base, 10, "qid", "vec_id", "embedding", "qv", centroids=M.fit_centroids(base, "vec_id", "embedding"), probes=24)
+    return d.select("qid", "vec_id", "rank", F.round("score", 6).alias("score"))
+
+
 @query("m10_text_search", r"""WITH w AS (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '\W+')) AS term FROM documents)
     SELECT doc_id, COUNT(DISTINCT term) AS terms_found, COUNT(*) AS hits FROM w WHERE term IN ('the', 'and', 'license') GROUP BY doc_id""")
 def m10(t):

@@ -351,6 +351,25 @@ def j17(t):
     return union_all([t.spark.read.parquet(f"{root}/{n}").select("event_id", "lookup_status", "s_name") for n in ("found", "missing")])
 
 
+@query("j17_lookup_cached", same_sql("j17_lookup_refresh"))
+def j17c(t):
+    """The same lookup through a cache of at most 40 keys that asks the table only for keys it lacks, over five micro-batches."""
+    from ..operators.relational import union_all
+    from ..session import scratch_dir
+    root = scratch_dir(t.spark, "lookup")
+    dim = t.supplier.select(F.col("s_suppkey").alias("user_id"), "s_name")
+    cache = S.LookupCache(t.spark, lambda keys: dim.join(keys, "user_id", "left_semi"), "user_id", 40, 3600)
+
+    def write(found, missing, i):
+        found.write.mode("overwrite").parquet(f"{root}/found/_batch={i}")
+        missing.write.mode("overwrite").parquet(f"{root}/missing/_batch={i}")
+
+    source = S.in_slices(t.spark, t.folder, "events", "ts", 5)
+    stream = t.spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 1).parquet(source).select("event_id", "user_id")
+    S.lookup_cached(stream, cache, write, f"{root}/checkpoint")
+    return union_all([t.spark.read.parquet(f"{root}/{n}").select("event_id", "lookup_status", "s_name") for n in ("found", "missing")])
+
+
 @query("j31_heartbeat_window_join", """WITH w AS (SELECT time_bucket(INTERVAL '1 day', ts) AS window_start, user_id, COUNT(*) FILTER (WHERE event_type = 'view') AS views, COUNT(*) FILTER (WHERE event_type = 'purchase') AS purchases FROM events GROUP BY ALL)
     SELECT window_start, user_id, views, purchases FROM w WHERE views > 0 AND purchases > 0""")
 def j31(t):

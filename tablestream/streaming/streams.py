@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..operators.core import Aggs, Keys, as_list, interval, seconds
 from ..operators.sequence import CHUNK, attach, carry_over, with_chunk
@@ -168,7 +169,6 @@ def split_late(spark: SparkSession, stream: DataFrame, ts: str, delay: str, on_t
 
 def split_late_batch(df: DataFrame, ts: str, arrival: str, delay: str) -> DataFrame:
     """Batch form: ``is_late`` by the running maximum of event time over *earlier* arrivals (arrival = a number)."""
-    from pyspark.sql import Window
     d = with_chunk(df, [], arrival)
     carry = carry_over(d, [], {"__m": F.max(ts)}, {"__before": ("max", "__m")})
     local = F.max(ts).over(Window.partitionBy(CHUNK).orderBy(arrival).rowsBetween(Window.unboundedPreceding, -1))
@@ -210,3 +210,55 @@ def lookup_each_batch(stream: DataFrame, load_dim: Callable[[], DataFrame], on:
         write(found, missing, i)
 
     stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+class LookupCache:
+    """Bounded copy of a reference table for a stream's lookups: keys used least recently go first, rows are fresh for ``ttl_s`` seconds.
+
+    ``load(keys)`` gives the reference rows of a frame of distinct keys; it is asked only for keys the copy lacks (keys it does not know
+    are remembered too). The copy lies in the shared folder, at most ``most`` keys of it. ``loads`` has the number of keys of each request.
+    """
+
+    def __init__(self, spark: SparkSession, load: Callable[[DataFrame], DataFrame], on: Keys, most: int, ttl_s: float):
+        self.spark, self.load, self.on, self.most, self.ttl_s = spark, load, as_list(on), most, ttl_s
+        self.path: str | None = None
+        self.loads: list[int] = []
+
+    def rows(self, batch: DataFrame) -> DataFrame:
+        """Reference rows of all keys of a micro-batch; the copy moves on."""
+        now, spark = time.time(), batch.sparkSession
+        root = scratch_dir(self.spark, "lookup-cache")
+        keys = batch.select(*self.on).dropna().distinct()
+        lacking = keys
+        if self.path is not None:
+            have = spark.read.parquet(self.path).filter(F.col("__at") >= F.lit(now - self.ttl_s))
+            lacking = keys.join(have.select(*self.on), self.on, "left_anti")
+        lacking.write.parquet(f"{root}/lacking")
+        lacking = spark.read.parquet(f"{root}/lacking")
+        self.loads.append(lacking.count())
+        told = self.load(lacking).withColumn("__found", F.lit(True))
+        got = lacking.join(told, self.on, "left").withColumns({"__found": F.coalesce("__found", F.lit(False)), "__at": F.lit(now), "__used": F.lit(now)})
+        if self.path is not None:
+            asked = keys.withColumn("__asked", F.lit(now))
+            kept = have.join(asked, self.on, "left").withColumn("__used", F.coalesce("__asked", "__used")).drop("__asked")
+            got = got.select(kept.columns).unionByName(kept)
+        got.write.parquet(f"{root}/all")
+        all_ = spark.read.parquet(f"{root}/all")
+        order = Window.partitionBy("__bucket").orderBy(F.col("__used").desc(), *self.on)
+        # the most recent keys, ranked in parts of the key space that hold about equal numbers
+        parts = max(1, self.most // 1_000_000)
+        ranked = all_.withColumn("__bucket", F.pmod(F.xxhash64(*self.on), F.lit(parts))).withColumn("__rank", F.row_number().over(order))
+        ranked.filter(F.col("__rank") <= self.most // parts).drop("__bucket", "__rank").write.parquet(f"{root}/kept")
+        self.path = f"{root}/kept"
+        return all_.filter("__found").join(keys, self.on, "left_semi").drop("__found", "__at", "__used")
+
+
+def lookup_cached(stream: DataFrame, cache: LookupCache, write: Callable[[DataFrame, DataFrame, int], None], checkpoint: str) -> None:
+    """Lookup join through a bounded cache: ``write(found, missing, batch_id)`` for every micro-batch."""
+    from ..operators.joins import join_lookup
+
+    def each(batch: DataFrame, i: int) -> None:
+        found, missing = join_lookup(batch, cache.rows(batch), cache.on)
+        write(found, missing, i)
+
+    stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

@@ -84,10 +84,10 @@ def m09(t):
 
 @query("m09_vector_topk_pruned")
 def m09p(t):
-    """The same for every embedding whose id is divisible by 50, through 64 centroids of which a query meets the 24 nearest."""
+    """The same for every embedding whose id is divisible by 50, through 64 centroids of which a query meets the 40 nearest (recall at ten 0.9 or more: these vectors hardly cluster)."""
     base = t.embeddings.select("vec_id", "embedding")
     q = base.filter(F.col("vec_id") % 50 == 0).select(F.col("vec_id").alias("qid"), F.col("embedding").alias("qv"))
-    d = M.vector_topk(q, base, 10, "qid", "vec_id", "embedding", "qv", centroids=M.fit_centroids(base, "vec_id", "embedding"), probes=24)
+    d = M.vector_topk(q, base, 10, "qid", "vec_id", "embedding", "qv", centroids=M.fit_centroids(base, "vec_id", "embedding"), probes=40)
     return d.select("qid", "vec_id", "rank", F.round("score", 6).alias("score"))
 
 

@@ -19,6 +19,7 @@ from .shared import body, session, text_rows
 EMBED, FILTERS, STRIDE = 8, 24, 4
 CHUNK, STEP = 128, 112                  # in strides: 512 bytes, 64 of them shared with the next chunk
 SAMPLE, SAMPLE_BYTES = 900, 32 << 10    # labelled documents of each class that are fitted, and their longest text
+LONG, BLOCK = 256 << 10, 512            # bytes from which a text is scored in blocks, and chunks of a block
 EPOCHS, BATCH, RATE = 6, 32, 0.01
 LIMIT = 0.3
 
@@ -44,30 +45,50 @@ class Network:
                   "bias": np.zeros(FILTERS), "out": r.normal(0, 0.1, 2 * FILTERS), "base": np.zeros(1)}
         self.p = {k: v.astype(np.float32) for k, v in self.p.items()}
 
-    def _pooled(self, texts):
-        data, start, end, doc = _frame(texts)
+    def _pooled(self, data, start, end):
         x = self.p["embed"][data].reshape(-1, EMBED * STRIDE)
         z = x[:-1] @ self.p["now"] + x[1:] @ self.p["next"] + self.p["bias"]
         z = np.maximum(z, 0)
         pooled = np.maximum.reduceat(z, np.stack([start, end - (end == len(z))], axis=1).ravel(), axis=0)[::2]
         last = end == len(z)                     # reduceat cannot name the end of the array
         pooled[last] = np.maximum(pooled[last], z[-1])
-        return data, x, z, start, end, doc, pooled
+        return x, z, pooled
 
     def _features(self, pooled, doc):
         first = np.flatnonzero(np.diff(doc, prepend=-1))
         n = np.diff(np.append(first, len(doc)))
         return np.hstack([np.add.reduceat(pooled, first, axis=0) / n[:, None], np.maximum.reduceat(pooled, first, axis=0)]), n
 
+    def _long(self, text: bytes) -> np.ndarray:
+        """Features of one text, read in blocks of whole chunks: sum and maximum of the pooled values go on from block to block."""
+        strides = len(text) // STRIDE + 1
+        chunks = max(1, -(-(strides - CHUNK) // STEP) + 1)
+        total, largest = np.zeros(FILTERS), np.zeros(FILTERS, np.float32)
+        for c in range(0, chunks, BLOCK):
+            start = np.arange(min(BLOCK, chunks - c)) * STEP
+            end = np.minimum(start + CHUNK, strides - c * STEP)
+            first, size = c * STEP * STRIDE, (int(end[-1]) + 1) * STRIDE        # the last stride's filters read one stride on
+            piece = text[first:first + size]
+            pooled = self._pooled(np.frombuffer(piece + bytes(size - len(piece)), np.uint8), start, end)[2]
+            total += pooled.sum(axis=0, dtype=float)
+            largest = np.maximum(largest, pooled.max(axis=0))
+        return np.concatenate([total / chunks, largest])
+
     def scores(self, texts: list[bytes]) -> np.ndarray:
         if not texts:
             return np.zeros(0)
-        *_, doc, pooled = self._pooled(texts)
-        f, _ = self._features(pooled, doc)
+        f = np.zeros((len(texts), 2 * FILTERS), np.float32)
+        short = [i for i, t in enumerate(texts) if len(t) <= LONG]
+        if short:
+            data, start, end, doc = _frame([texts[i] for i in short])
+            f[short] = self._features(self._pooled(data, start, end)[2], doc)[0]
+        for i in set(range(len(texts))).difference(short):
+            f[i] = self._long(texts[i])
         return 1 / (1 + np.exp(-np.clip((f @ self.p["out"] + self.p["base"]).astype(float), -40, 40)))
 
     def gradients(self, texts: list[bytes], y: np.ndarray) -> dict[str, np.ndarray]:
-        data, x, z, start, end, doc, pooled = self._pooled(texts)
+        data, start, end, doc = _frame(texts)
+        x, z, pooled = self._pooled(data, start, end)
         f, n = self._features(pooled, doc)
         p = 1 / (1 + np.exp(-np.clip(f @ self.p["out"] + self.p["base"], -40, 40)))
         slip = ((p - y) / len(y)).astype(np.float32)
@@ -121,7 +142,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
     order = [F.xxhash64("doc_id", F.lit(9)), "doc_id"]
     ids = known.where("y = 0").orderBy(*order).limit(sample).unionByName(known.where("y = 1").orderBy(*order).limit(sample)).distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), body().alias("body")).where(F.octet_length("body") <= sample_bytes)
-    rows = texts.join(F.broadcast(ids), "doc_id").select("doc_id", "y", "body").limit(4 * sample).collect()       # ids: 2 * sample rows
+    rows = texts.join(F.broadcast(ids), "doc_id").select("doc_id", "y", "body")                                 # ids: 2 * sample rows
+    rows = rows.orderBy(*order, "y", F.xxhash64("body")).limit(4 * sample).collect()        # more only where ids repeat
     rows = sorted(rows, key=lambda r: (r.doc_id, r.y, bytes(r.body)))
     net, y = Network(), np.array([r.y for r in rows])
     if len(set(y.tolist())) < 2:

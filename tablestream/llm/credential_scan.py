@@ -32,6 +32,7 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 LIMIT = 0.25                 # mean log-likelihood ratio a character from which a candidate is a secret
 ALPHA = 0.05                 # of the Hoeffding bound
 PER_FORMAT, WORDS_EACH = 24, 60
+MOST_LABELLED = 2_000        # tokens of each label that are learned from a given table
 ALNUM, B64 = string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/"
 
 # Labelled formats: (prefix, alphabet, length of the random part). Examples are drawn with a fixed seed.
@@ -81,7 +82,7 @@ class Automaton:
         for t in tokens:
             at = 0
             for c in t:
-                s = SYMBOLS[c]
+                s = SYMBOLS.get(c) or symbol(c)
                 self.count[at][s] = self.count[at].get(s, 0) + 1
                 if s not in self.next[at]:
                     self.next[at][s] = len(self.next)
@@ -162,7 +163,7 @@ class Automaton:
         """Mean log likelihood of a character; what a state has not seen costs its unseen share."""
         table, at, total = self.table, 0, 0.0
         for c in token:
-            step = table.get((at, SYMBOLS[c])) or table[at, "?"]
+            step = table.get((at, SYMBOLS.get(c) or symbol(c))) or table[at, "?"]
             total += step[0]
             at = step[1]
         total += (table.get((at, "")) or table[at, "?"])[0]
@@ -175,20 +176,35 @@ def default_automata() -> tuple[Automaton, Automaton]:
     return Automaton(good), Automaton(plain)
 
 
+def learn(labelled: DataFrame, most: int = MOST_LABELLED, alpha: float = ALPHA) -> tuple[Automaton, Automaton]:
+    """Automata of credentials and of other tokens from a labelled table (``token``, ``secret``: 1 or 0), for ``scan``.
+
+    At most ``most`` tokens of each label are learned, chosen by a hash of the token; null and empty tokens and labels that are neither
+    teach nothing, rows that repeat count once each. A label without tokens gives an automaton without a format: every character is unseen.
+    """
+    rows = labelled.select(F.col("token").alias("token"), F.col("secret").cast("int").alias("secret")).where("length(token) > 0")
+    order = [F.xxhash64("token"), "token"]
+    good, plain = ([r.token for r in rows.where(F.col("secret") == k).orderBy(*order).limit(most).collect()] for k in (1, 0))
+    return Automaton(good, alpha), Automaton(plain, alpha)
+
+
 def find(text: str, automata: tuple[Automaton, Automaton], limit: float = LIMIT) -> list[tuple[str, int, int, float | None]]:
     """(kind, start, end, score) by start, then kind."""
     out: list[tuple[str, int, int, float | None]] = [("assign", m.start(), m.end(), None) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= LEAST["assign"]]
     out += [("access", m.start(), m.end(), None) for m in ACCESS.finditer(text) if m.end() - m.start() >= LEAST["access"]]
     out += [("hex", m.start(), m.end(), None) for m in _LONG_HEX.finditer(text)]
-    known = sorted((a, b) for _, a, b, _ in out)
+    known: list[list[int]] = []                                # stretches of fixed patterns that overlap or touch
+    for _, a, b, _ in sorted(out, key=lambda x: x[1]):
+        if known and a <= known[-1][1]:
+            known[-1][1] = max(known[-1][1], b)
+        else:
+            known.append([a, b])
     good, plain = automata
+    place = 0                                                  # candidates and stretches both come in order
     for m in CANDIDATE.finditer(text):
-        at = m.start()
-        for a, b in known:
-            if a > at:
-                break
-            at = max(at, b)
-        if at >= m.end():                                      # wholly in fixed patterns
+        while place < len(known) and known[place][1] < m.end():
+            place += 1
+        if place < len(known) and known[place][0] <= m.start():     # wholly in fixed patterns
             continue
         ratio = good.score(m.group()) - plain.score(m.group())
         if ratio >= limit:

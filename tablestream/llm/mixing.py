@@ -56,11 +56,14 @@ def mix(docs: DataFrame, levels: Mapping[str, Column], weights: Mapping[str, Map
     ``levels`` names the tree's levels, root first, each with its expression over ``docs``; ``weights`` has integer weights by level and value
     (``*`` for values not named, 1 if absent). ``share`` of all tokens is the target. ``taken`` < ``n_tokens`` where the leaf's budget ends
     inside a document. Null levels count as ''. Documents without words are never chosen. Order within a leaf and epoch: md5 of
-    ``seed:epoch:doc_id`` (null: ''), then doc_id; rows that repeat a doc_id stand next to each other.
+    ``seed:epoch:doc_id``, then doc_id; rows that repeat a doc_id stand next to each other. Rows without doc_id are ordered by their text
+    and the place they were read from instead, each by itself: however many there are, they spread over all stretches.
     """
     session(docs.sparkSession)
     names = list(levels)
+    place = F.concat_ws(":", F.xxhash64("text").cast("string"), F.monotonically_increasing_id().cast("string"))      # written below: it stays
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), token_count(F.col("text")).alias("n_tokens"),
+                       F.coalesce(F.col("doc_id").cast("long").cast("string"), place).alias("_own"),
                        *[F.coalesce(c.cast("string"), F.lit("")).alias(n) for n, c in levels.items()])
     rows = written(rows, "tokens")
     leaves = budgets(rows.groupBy(*names).agg(F.sum("n_tokens").alias("have")), names, weights, share, epochs)
@@ -69,7 +72,7 @@ def mix(docs: DataFrame, levels: Mapping[str, Column], weights: Mapping[str, Map
     rest = F.col("budget") - full * F.col("have")
     chosen = rows.where("n_tokens > 0").join(leaves.select(*names, full.alias("full"), rest.alias("rest")), names)
     whole = chosen.where("full > 0").select("*", F.explode(F.sequence(F.lit(0), F.col("full") - 1)).alias("epoch")).withColumn("taken", F.col("n_tokens"))
-    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("full").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("full").cast("string"), F.col("_own")))
     last = chosen.where("rest > 0").withColumns({"epoch": F.col("full"), "key": key, "bucket": F.substring(key, 1, 3)})
     # a leaf's running total: totals of up to 4,096 stretches of the key first, then within each stretch
     sums = last.groupBy(*names, "bucket").agg(F.sum("n_tokens").alias("t"))

@@ -56,7 +56,7 @@ def op2(spark, folder):
 def op3(spark, folder):
     """Verdict on every page's url."""
     model = url_filter.fit(url_filter.labelled_urls(spark))
-    return url_filter.judge(table(spark, folder, "pages"), model).select("page_id", "host", "path", "rule", "verdict", "score")
+    return url_filter.judge(table(spark, folder, "pages"), model, limit=url_filter.LIMIT).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
 @query("op4_packing")

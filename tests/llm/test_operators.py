@@ -306,6 +306,20 @@ def test_scan(spark, docs, empty):
     assert credential_scan.scan(d).count() == len(rows) and credential_scan.scan(empty).count() == 0
 
 
+def test_scan_by_a_labelled_table(spark, empty):
+    r = random.Random(8)
+    pick = lambda a, n: "".join(r.choice(a) for _ in range(n))
+    tokens = [("acme_" + pick("0123456789", 20), 1) for _ in range(60)] + [(pick("abcdefghijklmnopqrstuvwxyz", r.randint(16, 30)), 0) for _ in range(60)]
+    labelled = spark.createDataFrame(tokens + [(None, 1), ("", 0), ("p@ss!word-of-odd-characters", 1), ("unlabelled", None)], "token string, secret int")
+    automata = credential_scan.learn(labelled)
+    assert credential_scan.learn(labelled.repartition(7))[0].table == automata[0].table
+    docs = spark.createDataFrame([(1, "x acme_01234567890123456789 y"), (2, "internationalisation of things"), (3, None)], "doc_id long, text string")
+    got = {x.doc_id: [(s.kind, s.start, s.end) for s in x.spans] for x in credential_scan.scan(docs, automata).collect()}
+    assert got == {1: [("format", 2, 27)], 2: [], 3: []}
+    nothing = credential_scan.learn(labelled.limit(0))
+    assert credential_scan.scan(empty, nothing).count() == 0 and credential_scan.scan(docs, nothing).count() == 3
+
+
 def test_quality_classifier(spark, empty):
     r = random.Random(6)
     rows, labels = [], []
@@ -380,6 +394,9 @@ def test_mix(spark, docs, empty):
         order = sorted(leaf, key=lambda i: (hashlib.md5(f"5:{e}:{i}".encode()).hexdigest(), i))
         assert {r.doc_id for r in mine} == set(order[:len(mine)]) and sum(r.taken < r.n_tokens for r in mine) <= 1
     assert mixing.mix(empty, levels(), WEIGHTS, 0.5).count() == 0
+    same = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("two words").alias("text"), F.lit("en").alias("lang"), F.lit("src0").alias("source"))
+    half = mixing.mix(same, levels(), WEIGHTS, 0.5)                 # rows without id: cut within, and spread over the stretches
+    assert half.agg(F.sum("taken")).first()[0] == 3000 and half.count() == 1500
     assert mixing.mix(with_repeats(spark, rows), levels(), WEIGHTS, 1.0).count() > 0
 
 

@@ -31,7 +31,7 @@ EACH_BAD, EACH_GOOD = 4, 10             # labelled URLs of a subject: most sites
 
 BUCKETS, GRAMS = 1 << 15, (3, 4, 5)
 MOST_LABELLED = 10_000
-LIMIT = 0.6                             # of the registered query: blocks under 1 % of ordinary sites of subjects left out of the fit
+LIMIT = 0.6                             # of the registered query: blocks 1.2 % of the ordinary and 6 % of the unwanted sites of subjects left out of the fit
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 

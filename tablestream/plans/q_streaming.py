@@ -394,6 +394,33 @@ def w16(t):
     return back(events(t, lambda s: S.stream_tumble(S.pick(s, alive), "ts", "1 day", None, {"n": ("count", "*")})), "window_start").drop("window_end")
 
 
+@query("w16_sources_released", """WITH s AS (SELECT ts, CASE WHEN event_type IN ('view', 'click') THEN event_type ELSE 'rest' END AS source FROM events
+    WHERE event_type IN ('view', 'click') OR ts < TIMESTAMP '2024-01-15'), m AS (SELECT source, MAX(ts) AS newest FROM s GROUP BY source),
+    r AS (SELECT CASE WHEN newest < (SELECT MAX(newest) FROM m) - INTERVAL '2 days' THEN (SELECT MAX(newest) FROM m) ELSE newest END AS reached FROM m),
+    w AS (SELECT time_bucket(INTERVAL '1 day', ts) AS window_start FROM s)
+    SELECT window_start, COUNT(*) AS n FROM w WHERE window_start + INTERVAL '1 day' <= (SELECT MIN(reached) FROM r) - INTERVAL '1 hour' GROUP BY 1""")
+def w16_released(t):
+    """Three streams with a watermark each; the one that falls silent is let go by a heartbeat, then the windows of the others come out."""
+    spark = S.tune(t.spark.newSession())
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    k, schema = F.coalesce("event_type", F.lit("")), t.events.schema
+    until = F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz").cast("timestamp")
+    kinds = {"view": k == "view", "click": k == "click", "rest": ~k.isin("view", "click") & until}
+    root = S.scratch_dir(spark, "sources")
+    for n in kinds:
+        spark.createDataFrame([], schema).write.mode("append").parquet(f"{root}/beats/{n}")
+    sources = {n: (S.in_slices(t.spark, t.folder, "events", "ts", 3, only=c), f"{root}/beats/{n}") for n, c in kinds.items()}
+
+    def once():
+        d = S.union_of_sources(spark, sources, schema, "ts", "1 hour")
+        d = S.stream_tumble(d, "ts", "1 day", None, {"n": ("count_if", f"not {S.BEAT}")}).filter("n > 0")
+        S.run_stream(d, f"{root}/out", f"{root}/checkpoint")
+    once()
+    S.release_idle(spark, sources, schema, "ts", "2 days")
+    once()
+    return back(t.spark.read.parquet(f"{root}/out"), "window_start").select("window_start", "n")
+
+
 @query("w17_processing_time", "SELECT event_type, COUNT(*) AS n FROM events GROUP BY event_type")
 def w17(t):
     """Windows by processing time; their times are the run's own, so the counts are summed over them."""

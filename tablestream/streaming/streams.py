@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
@@ -50,14 +50,15 @@ _slices: dict[tuple, str] = {}
 
 
 def in_slices(spark: SparkSession, folder: str, table: str, ts: str, slices: int, late: Column | None = None, files: int = 1,
-              at: tuple[str, ...] | None = None) -> str:
+              at: tuple[str, ...] | None = None, only: Column | None = None) -> str:
     """The whole table as ``slices`` groups of ``files`` files in order of time (rows without time first), oldest modification first.
 
-    Slices hold about equal numbers of rows, or begin at the times ``at`` (one less than slices). Rows for which ``late`` holds come one slice later than their time. A copy is made once for each session and set of arguments.
+    Slices hold about equal numbers of rows, or begin at the times ``at`` (one less than slices). Rows for which ``late`` holds come one slice later than their time; ``only`` picks rows of the table. A copy is made once for each session and set of arguments.
     """
-    key = (spark.sparkContext.applicationId, folder, table, ts, slices, str(late), files, at)
+    key = (spark.sparkContext.applicationId, folder, table, ts, slices, str(late), files, at, str(only))
     if key not in _slices:
         df = spark.read.parquet(f"{folder}/{table}.parquet")
+        df = df if only is None else df.where(only)
         us = F.unix_micros(F.col(ts).cast("timestamp"))
         if at is not None:
             cuts = [F.unix_micros(F.lit(x).cast("timestamp")) for x in at]
@@ -104,6 +105,50 @@ def replay(spark: SparkSession, folder: str, table: str, ts: str, delay: str, bu
     return spark.read.parquet(out)
 
 
+# ---- several sources -----------------------------------------------------------------------------------
+
+def union_of_sources(spark: SparkSession, sources: Mapping[str, tuple[str, str]], schema: T.StructType, ts: str, delay: str, files: int = 1) -> DataFrame:
+    """One stream of several sources with a watermark each: the time of the whole is that of the slowest source (policy ``min``).
+
+    ``sources``: by name, the folder of its rows and the folder of its heartbeats (see ``release_idle``). Rows of a source that lags are
+    not late, which they would be under one watermark for all. Columns ``__source`` and ``__beat`` are added. Sets the policy on the
+    session: use one that runs no stream of another policy.
+    """
+    spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "min")
+    out = None
+    for name, (rows, beats) in sorted(sources.items()):
+        real = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(rows).withColumn(BEAT, F.lit(False))
+        tick = spark.readStream.schema(schema).parquet(beats).withColumn(BEAT, F.lit(True))
+        mine = with_watermark(real.unionByName(tick), ts, delay).withColumn("__source", F.lit(name))
+        out = mine if out is None else out.unionByName(mine)
+    return out
+
+
+def release_idle(spark: SparkSession, sources: Mapping[str, tuple[str, str]], schema: T.StructType, ts: str, idle: str) -> list[str]:
+    """Heartbeats, so that silent sources hold back the time of the others no longer; returns the names of the silent ones.
+
+    A source is silent when its newest row or heartbeat is more than ``idle`` older than the newest row of all. Its heartbeat stands at that
+    newest time: a source that wakes up finds its rows late if they are older than the delay before it. Every other source gets one at its own
+    newest time: a checkpoint holds the time of the whole only, so a run that starts from it would take a source without new rows for one
+    that has not begun. Run it between two runs, when the rows that are there have been read. A source without any row is silent; rows
+    without time do not count, and nothing is done where no source has a row. Only the time column is read.
+    """
+    newest = {}
+    for name, folders in sources.items():
+        newest[name] = [spark.read.schema(schema).parquet(f).select(F.max(F.unix_micros(F.col(ts).cast("timestamp"))).alias("us")).first()["us"] for f in folders]
+    known = [rows for rows, _ in newest.values() if rows is not None]
+    if not known:
+        return []
+    top = max(known)
+    own = {n: max((x for x in both if x is not None), default=None) for n, both in newest.items()}
+    silent = sorted(n for n, x in own.items() if x is None or x < top - round(seconds(idle) * 1_000_000))
+    for name in sources:
+        when = F.timestamp_micros(F.lit(top if name in silent else own[name])).cast(schema[ts].dataType)
+        beat = spark.range(1).select(*[(when if f.name == ts else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields])
+        beat.coalesce(1).write.mode("append").parquet(sources[name][1])
+    return silent
+
+
 # ---- windows ---------------------------------------------------------------------------------------
 
 def stream_tumble(df: DataFrame, ts: str, size: str, keys: Keys | None, aggs: Aggs) -> DataFrame:

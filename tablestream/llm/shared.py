@@ -11,7 +11,6 @@ from ..session import scratch_dir, tune
 
 # Rows of one Arrow batch: texts can be long, so batches are kept small.
 ARROW_ROWS = 1000
-BYTES_PER_PART = 8 << 20
 
 
 def session(spark: SparkSession) -> SparkSession:
@@ -58,12 +57,6 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def parts_for(df: DataFrame, column: str, per_part: int = BYTES_PER_PART) -> int:
-    """Number of parts that keeps one part near ``per_part`` bytes of the column, and at least two per shuffle partition."""
-    total = df.select(F.sum(F.octet_length(column))).first()[0] or 0
-    return max(2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // per_part))
-
-
 FILTER_WORDS = 1 << 17
 
 

@@ -8,6 +8,11 @@ remains after the union of equal windows are the maximal exact repeats.
 Anchors and probes meet in parts of the hash space. A part gets from each batch of documents one row with packed arrays
 (about six bytes a window), in which a hash stands once however often the batch holds it; so a passage that a third of all
 documents share costs one entry for each batch, and no pairs are made.
+
+Every batch sends a row to every part, so the number of rows is the product of the two. Batches and parts grow with the square
+root of the input (from ``BATCH_BYTES`` on), so that a row keeps ``ROW_BYTES`` of text and rows grow in proportion to the
+input. They end at ``largest``, since a task takes about 23 times that in memory (64 MB: 1.5 GB): reached near 9 TB, and from
+there on rows become shorter; with 100 TB a row has about 45 bytes of text.
 """
 
 from __future__ import annotations
@@ -21,10 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .shared import maybe_among, parts_for, text_rows, written
+from .shared import maybe_among, text_rows, written
 
 WINDOW, BLOCK = 50, 25
-BATCH_BYTES = 8 << 20
+BATCH_BYTES, LARGEST_BYTES, ROW_BYTES = 8 << 20, 64 << 20, 512
 DIRECTORY, LOCAL, PROBE, HIT = 0, 1, 2, 3
 PARCEL = "part int, batch long, kind int, a binary, b binary, c binary"
 PARCEL_ARROW = pa.schema([("part", pa.int32()), ("batch", pa.int64()), ("kind", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary())])
@@ -45,6 +50,11 @@ class Parcels:
         return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, PARCEL_ARROW)], schema=PARCEL_ARROW)
 
 
+def exchange_bytes(total: int, largest: int = LARGEST_BYTES) -> int:
+    """Bytes of text of one batch and of one part, for an input of ``total`` bytes."""
+    return int(min(max(BATCH_BYTES, (total * ROW_BYTES) ** 0.5), largest))
+
+
 def _batch_number() -> Iterator[int]:
     n = TaskContext.get().partitionId() << 32
     while True:
@@ -80,11 +90,11 @@ def _read_directory(data: bytes) -> np.ndarray:
     return np.frombuffer(data, "<i8").reshape(3, -1)
 
 
-def _sign(parts: int):
+def _sign(parts: int, size: int):
     """Every rolling block hash of a batch, sent to its part once; hashes that the batch repeats are hits at once."""
     def run(batches):
         number, out = _batch_number(), Parcels()
-        for rows in W.gather(batches, BATCH_BYTES):
+        for rows in W.gather(batches, size):
             hashed, counts = W.hash_words([r[2] for r in rows])
             at = W.inside(counts, BLOCK)
             at = at[np.repeat(counts, counts)[at] >= WINDOW] if len(at) else at      # shorter texts hold no window
@@ -175,11 +185,11 @@ def _spread(spans: bytes) -> np.ndarray:
     return np.unique(np.concatenate([np.arange(a, b) for a, b in pairs])) if len(pairs) else np.zeros(0, np.int64)
 
 
-def _sign_windows(parts: int):
+def _sign_windows(parts: int, size: int):
     """The 50-word windows that hits point to: within a batch the smallest document of each goes to the window's part."""
     def run(batches):
         number, out = _batch_number(), Parcels()
-        for rows in W.gather(batches, BATCH_BYTES):
+        for rows in W.gather(batches, size):
             hashed, counts = W.hash_words([r[2] for r in rows])
             batch = next(number)
             first = np.cumsum(counts) - counts
@@ -230,21 +240,24 @@ def _repeats(table: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), SPANS_ARROW)] if out else [[], [], []], schema=SPANS_ARROW)
 
 
-def repeat_spans(docs: DataFrame) -> DataFrame:
+def repeat_spans(docs: DataFrame, largest: int = LARGEST_BYTES) -> DataFrame:
     """Maximal exact repeats: ``doc_id``, ``tid`` and ``spans`` (packed pairs of first word and end) of documents that have any.
 
     A span is a union of 50-word windows that each also start in a document with a smaller doc_id. Rows without doc_id take no
-    part. Rows that repeat a doc_id count as parts of one document.
+    part. Rows that repeat a doc_id count as parts of one document. ``largest``: most bytes of text of a batch or part, whose size
+    changes the memory of a task but not the result.
     """
     rows = text_rows(docs).where(F.col("doc_id").isNotNull())
-    parts = parts_for(rows, "body")
-    met = rows.mapInArrow(_sign(parts), PARCEL).groupBy("part").applyInArrow(_probe, PARCEL)
+    total = rows.select(F.sum(F.octet_length("body"))).first()[0] or 0
+    size = exchange_bytes(total, largest)
+    parts = max(2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // size))
+    met = rows.mapInArrow(_sign(parts, size), PARCEL).groupBy("part").applyInArrow(_probe, PARCEL)
     ranges = met.groupBy("batch").applyInArrow(_candidates, SPANS)
     # a long text or a repeated row has several rows of ranges: joined into one
     ranges = ranges.groupBy("doc_id", "tid").agg(F.array_join(F.collect_list(F.hex("spans")), "").alias("spans")).withColumn("spans", F.unhex("spans"))
     ranges = written(ranges, "ranges", free=True)
     near = maybe_among(rows, ranges).join(ranges, ["doc_id", "tid"]).select("doc_id", "tid", "body", "spans")
-    same = near.mapInArrow(_sign_windows(parts), PARCEL).groupBy("part").applyInArrow(_first_document, PARCEL)
+    same = near.mapInArrow(_sign_windows(parts, size), PARCEL).groupBy("part").applyInArrow(_first_document, PARCEL)
     spans = same.groupBy("batch").applyInArrow(_repeats, SPANS)
     return written(spans.groupBy("doc_id", "tid").agg(F.max("spans").alias("spans")), "repeats", free=True)
 
@@ -268,14 +281,14 @@ def _keep(batches):
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), KEPT_ARROW)], schema=KEPT_ARROW)
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, largest: int = LARGEST_BYTES) -> DataFrame:
     """Every document without the words of its repeats: ``doc_id, n_words, n_removed, spans, kept_text``.
 
     ``spans`` are positions of words, end exclusive; ``kept_text`` has the kept words joined by one space. Null and empty texts
     have no words. Only ``doc_id`` and ``text`` are read, so other columns may have any names. A document without
     doc_id is returned whole; rows that repeat a doc_id are returned each, and are never repeats of one another.
     """
-    spans = repeat_spans(docs)
+    spans = repeat_spans(docs, largest)
     rows = text_rows(docs)
     # texts that can have spans meet them in a join; the others pass without a shuffle
     hit = maybe_among(rows.where("doc_id is not null"), spans)

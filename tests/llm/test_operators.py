@@ -70,6 +70,24 @@ def test_remove_repeats(spark, docs, empty):
     assert len({(r.n_removed, r.kept_text) for r in odd if r.doc_id == rows[7][0]}) == 1
 
 
+def test_remove_repeats_in_small_batches_and_parts(docs, monkeypatch):
+    """The size of batches and parts changes rows on the way, not the result; a document of several batches' size stays whole."""
+    rows, d = docs
+    want = brute.remove_repeats([(i, t) for i, t, *_ in rows])
+    monkeypatch.setattr(substring_dedup, "BATCH_BYTES", 1)
+    for largest in (3_000, 40_000):
+        got = substring_dedup.remove_repeats(d, largest).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256)).collect()
+        assert {r[0]: tuple(r[1:]) for r in got} == want
+
+
+def test_exchange_grows_with_the_root_of_the_input():
+    size = substring_dedup.exchange_bytes
+    assert size(0) == size(30 << 30) == substring_dedup.BATCH_BYTES and size(10 ** 14) == substring_dedup.LARGEST_BYTES
+    rows = [(t / size(t)) ** 2 for t in (10 ** 11, 10 ** 12, 8 * 10 ** 12)]             # batches times parts
+    assert rows[2] < 9 * rows[1] < 9 * 15 * rows[0]
+    assert size(10 ** 12) ** 2 / 10 ** 12 >= substring_dedup.ROW_BYTES * 0.99
+
+
 def test_spans_are_where_words_are_cut(docs):
     rows, d = docs
     text = {i: t for i, t, *_ in rows}

@@ -4,7 +4,7 @@ State stays small: rows wait only until the watermark passes them, and what is c
 Row ids, labels and values keep their NULLs.
 """
 
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import deque
 from typing import Any, Iterator
 
@@ -49,6 +49,8 @@ def stream_counter(df: DataFrame, keys: Keys) -> DataFrame:
 
 
 ROW = "us bigint, id string, label string, v double"
+PIECE = "us array<bigint>, id array<string>, label array<string>, v array<double>"
+PIECES, LEAST_ROWS, MOST_ROWS = 16, 64, 4096
 
 
 def in_order(row: tuple) -> tuple:
@@ -60,6 +62,10 @@ def in_order(row: tuple) -> tuple:
 class OrderedRows(StatefulProcessor):
     """Base: rows are held until the watermark passes them, then handed on in order of time and id.
 
+    What a batch brings is kept as pieces of consecutive rows (about ``PIECES`` a batch, of at most ``MOST_ROWS``), each under its first
+    and last time. A timer reads the pieces that the watermark has reached and lists the others by their times only; of a piece that the watermark cuts,
+    the later rows are put back.
+
     ``process(key, rows, carried)`` gets (microseconds, id, label, value) tuples in order and returns output rows and what to
     carry on (tuples of the same shape). The input has the columns of ``ordered_input``. With ``keep_us`` the state of a key goes that
     long after its last carried row; ``wake`` names a time at which the key is to be looked at again even if it stays silent.
@@ -73,7 +79,7 @@ class OrderedRows(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", ROW)
+        self.waiting = handle.getMapState("waiting", "first bigint, last bigint, n bigint", PIECE)
         self.carry = handle.getListState("carry", ROW)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
@@ -82,19 +88,18 @@ class OrderedRows(StatefulProcessor):
             parts = [r[c].astype(object).where(r[c].notna(), None).tolist() for c in ("row_us", "row_id", "row_label", "row_value")]
             new += [(int(us), i, label, v) for us, i, label, v in zip(*parts) if us is not None]
         if new:
-            self.waiting.appendList(new)
-            self.handle.registerTimer(min(new)[0] // 1000 + 1)       # the earliest one; it sets the next when it fires
+            new.sort(key=in_order)
+            step = min(max(-(-len(new) // PIECES), LEAST_ROWS), MOST_ROWS)
+            for i in range(0, len(new), step):
+                self.hold(new[i:i + step])
+            self.handle.registerTimer(new[0][0] // 1000 + 1)         # the earliest one; it sets the next when it fires
         yield from ()
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
         mark = self.mark = timerValues.getCurrentWatermarkInMs() * 1000
-        held = sorted((tuple(r) for r in self.waiting.get()), key=in_order) if self.waiting.exists() else []
-        ready, later = [r for r in held if r[0] <= mark], [r for r in held if r[0] > mark]
-        if later:
-            self.waiting.put(later)
-            self.handle.registerTimer(later[0][0] // 1000 + 1)
-        else:
-            self.waiting.clear()
+        ready, later = self.reached(mark)
+        if later is not None:
+            self.handle.registerTimer(later // 1000 + 1)
         old = [tuple(r) for r in self.carry.get()] if self.carry.exists() else []
         out, keep = self.process(key, ready, old)
         if keep and self.keep_us is not None and keep[-1][0] + self.keep_us < mark:
@@ -109,6 +114,29 @@ class OrderedRows(StatefulProcessor):
         if out:
             yield pd.DataFrame([[*key, *o] for o in out], columns=[*self.keys, *self.out_columns])
 
+    def hold(self, rows: list[tuple]) -> None:
+        """Keep rows that stand in order as one piece."""
+        n = 0
+        while self.waiting.containsKey((rows[0][0], rows[-1][0], n)):
+            n += 1
+        self.waiting.updateValue((rows[0][0], rows[-1][0], n), tuple(list(c) for c in zip(*rows)))
+
+    def reached(self, mark: int) -> tuple[list[tuple], int | None]:
+        """Rows up to the mark, in order, which go from the state, and the earliest time that stays."""
+        ready, later = [], []
+        for piece in [tuple(k) for k in self.waiting.keys()]:
+            if piece[0] > mark:
+                later.append(piece[0])
+                continue
+            rows = list(zip(*self.waiting.getValue(piece)))
+            self.waiting.removeKey(piece)
+            cut = len(rows) if piece[1] <= mark else bisect_right([r[0] for r in rows], mark)
+            ready += rows[:cut]
+            if cut < len(rows):
+                self.hold(rows[cut:])
+                later.append(rows[cut][0])
+        return sorted(ready, key=in_order), min(later, default=None)
+
     def process(self, key: tuple, rows: list[tuple], old: list[tuple]) -> tuple[list[tuple], list[tuple]]:
         raise NotImplementedError
 

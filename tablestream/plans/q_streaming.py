@@ -61,6 +61,40 @@ def o01s(t):
     return d.select(F.col("label").cast("bigint").alias("event_id"), "n", F.round("total", 2).alias("total"))
 
 
+@query("o02_over_rows_stream", same_sql("o02_over_rows"))
+def o02s(t):
+    d = events(t, lambda s: ST.stream_over_rows(S.without_beats(s, "ts"), "user_id", "ts", 10, "value", "event_id"))
+    return d.select(F.col("id").cast("bigint").alias("event_id"), "n", "top")
+
+
+@query("t05_first_per_value_stream", same_sql("t05_first_per_value"))
+def t05s(t):
+    d = events(t, lambda s: ST.stream_first_per_value(S.without_beats(s, "ts"), "user_id", "ts", "event_type", "event_id"))
+    return d.select("user_id", "event_type", F.col("id").cast("bigint").alias("event_id"))
+
+
+@query("t06_priority_stream", same_sql("t06_priority"))
+def t06s(t):
+    """The best row of each user so far, upserted by user."""
+    from ..operators.dedup import dedup_last
+    rank = F.when(F.col("event_type") == "purchase", 0).when(F.col("event_type") == "view", 1).otherwise(2)
+    d = events(t, lambda s: S.stream_dedup_priority(S.without_beats(s, "ts"), "user_id", rank, ["ts", "event_id"]), mode="update", keys=["user_id"])
+    return dedup_last(d, "user_id", "_batch").select("user_id", "event_id", "event_type")
+
+
+@query("w12_tumble_max_stream", same_sql("w12_tumble_max"))
+def w12s(t):
+    d = events(t, lambda s: S.stream_tumble_max(S.without_beats(s, "ts"), "ts", "1 day", None, ["value", "event_id"]))
+    return back(d, "window_start").select("window_start", "event_id", "user_id", "value")
+
+
+@query("w25_last_record_stream", same_sql("w25_last_record"))
+def w25s(t):
+    v = F.when(F.col("event_id") % 3 != 0, F.col("value"))
+    d = events(t, lambda s: S.stream_last_record(S.without_beats(s, "ts").withColumn("v", v), "ts", "1 day", "user_id", ["event_type", "v"]))
+    return back(d, "window_start").drop("window_end")
+
+
 @query("o03_running_total_stream", same_sql("o03_running_total"))
 def o03s(t):
     d = events(t, lambda s: ST.stream_running_total(S.without_beats(s, "ts"), "user_id", "ts", "value", "event_id"))

@@ -350,6 +350,42 @@ class ForgetfulDedup(OrderedRows):
         return out, rows[-1:] or old
 
 
+class KeepFirst(OrderedRows):
+    """The first row of a key, by time and id; later ones, however late they come back, are not reported."""
+    out_columns = ["id", "us"]
+
+    def process(self, key, rows, old):
+        if old or not rows:
+            return [], old
+        return [(rows[0][1], rows[0][0])], rows[:1]
+
+
+class LastRows(OrderedRows):
+    """Number of rows, least and largest value over a row and the ``n`` rows before it; NULL values count as rows only."""
+    out_columns = ["id", "us", "n", "low", "top"]
+
+    def __init__(self, keys: list[str], n: int):
+        super().__init__(keys)
+        self.n = n
+
+    def process(self, key, rows, old):
+        line, low, top, out = old + rows, deque(), deque(), []    # places of values that no later one beats, the best one first
+        for i, (us, row_id, _, v) in enumerate(line):
+            if v is not None:
+                while low and line[low[-1]][3] >= v:
+                    low.pop()
+                while top and line[top[-1]][3] <= v:
+                    top.pop()
+                low.append(i)
+                top.append(i)
+            for places in (low, top):
+                if places and places[0] < i - self.n:
+                    places.popleft()
+            if i >= len(old):
+                out.append((row_id, us, min(i, self.n) + 1, line[low[0]][3] if low else None, line[top[0]][3] if top else None))
+        return out, line[max(len(line) - self.n, 0):]
+
+
 class PairOnce(OrderedRows):
     """First unmatched left row with first unmatched right row, in order of time; each row is used once.
 
@@ -444,6 +480,19 @@ def stream_count_window(df: DataFrame, keys: Keys, ts: str, n: int, value: str,
     return run_ordered(ordered_input(df, k, ts, row_id, None, F.col(value)), k, CountWindow(k, n), "total double, last_us bigint")
 
 
+def stream_first_per_value(df: DataFrame, keys: Keys, ts: str, col: str, row_id: str) -> DataFrame:
+    """First row of each (key, value): ``<keys>, <col>, id, <ts>``. State: one row for each pair, kept for good."""
+    k = [*as_list(keys), col]
+    return _time(run_ordered(ordered_input(df, k, ts, row_id), k, KeepFirst(k), "id string, us bigint"), ts)
+
+
+def stream_over_rows(df: DataFrame, keys: Keys, ts: str, n: int, value: str, row_id: str) -> DataFrame:
+    """Count, least and largest value over a row and the ``n`` rows before it: ``<keys>, id, <ts>, n, low, top``. State: ``n`` rows a key."""
+    k = as_list(keys)
+    d = ordered_input(df, k, ts, row_id, None, F.col(value))
+    return _time(run_ordered(d, k, LastRows(k, n), "id string, us bigint, n bigint, low double, top double"), ts)
+
+
 def stream_dedup_ttl(df: DataFrame, keys: Keys, ts: str, row_id: str, ttl: str) -> DataFrame:
     """First row per key; a key that was silent for longer than ``ttl`` counts as new."""
     k = as_list(keys)

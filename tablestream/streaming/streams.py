@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 from ..operators.core import Aggs, Keys, as_list, interval, seconds
 from ..operators.sequence import CHUNK, attach, carry_over, with_chunk
-from ..operators.windows import hop, session, tumble
+from ..operators.windows import hop, session, tumble, tumble_last_record
 from ..session import scratch_dir, tune
 from ..sinks.tables import write_upsert
 
@@ -163,6 +163,29 @@ def stream_session(df: DataFrame, ts: str, gap: str, keys: Keys, aggs: Aggs) ->
     return session(df, ts, gap, keys, aggs)
 
 
+def stream_tumble_max(df: DataFrame, ts: str, size: str, keys: Keys | None, by: Keys) -> DataFrame:
+    """The record with the largest ``by`` in each window, NULL below all values; one record a window is held."""
+    k = as_list(keys)
+    record = F.struct(*[c for c in df.columns if c not in k])
+    g = df.groupBy(F.window(ts, size).alias("w"), *k).agg(F.max_by(record, F.struct(*as_list(by))).alias("best"))
+    return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *k, "best.*")
+
+
+def stream_last_record(df: DataFrame, ts: str, size: str, keys: Keys, fields: Keys) -> DataFrame:
+    return tumble_last_record(df, ts, size, keys, fields)
+
+
+def stream_dedup_priority(df: DataFrame, keys: Keys, priority: Column, by: Keys) -> DataFrame:
+    """The row of each key with the lowest priority number (NULL before all), then the largest ``by``.
+
+    For update mode and an upsert sink: a key comes out again when a better row replaced its row. One row a key is held.
+    """
+    k = as_list(keys)
+    record = F.struct(*[c for c in df.columns if c not in k])
+    best = F.max_by(record, F.struct(priority.isNull(), -priority, *as_list(by)))
+    return df.groupBy(*k).agg(best.alias("best")).select(*k, "best.*")
+
+
 def stream_rolling_features(df: DataFrame, ts: str, keys: Keys, value: str, bucket: str = "1 hour", long_hours: int = 12,
                             short_hours: int = 6) -> DataFrame:
     """Two chained stateful windows: hourly buckets, then a sliding window over bucket times."""

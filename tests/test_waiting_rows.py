@@ -86,3 +86,31 @@ def test_a_timer_reads_what_is_due_and_no_more_than_a_piece_beyond():
         assert len(ready) == 1000
     assert handle.pieces.read <= 100_000 + 100 * ST.MOST_ROWS and handle.pieces.wrote <= 100 * ST.MOST_ROWS
     assert not handle.pieces.held
+
+
+def in_calls(held, rows, sizes):
+    """Rows handed on in several calls, with what each call carries on to the next."""
+    out, old, at = [], [], 0
+    for n in sizes:
+        more, old = held.process(("x",), rows[at:at + n], old)
+        out, at = out + more, at + n
+    return out
+
+
+def test_last_rows_against_plain_windows():
+    rng = random.Random(7)
+    rows = [(i, str(i), None, rng.choice([None, float(rng.randrange(9))])) for i in range(120)]
+    for n in (0, 1, 7, 200):
+        want = []
+        for i, (us, row_id, _, _) in enumerate(rows):
+            near = rows[max(i - n, 0):i + 1]
+            values = [r[3] for r in near if r[3] is not None]
+            want.append((row_id, us, len(near), min(values, default=None), max(values, default=None)))
+        for sizes in ([120], [1, 0, 2, 40, 0, 77], [1] * 120):
+            assert in_calls(ST.LastRows(["k"], n), rows, sizes) == want
+
+
+def test_only_the_first_row_of_a_key():
+    rows = [(5, "b", None, None), (5, "c", None, None), (9, None, None, None)]
+    for sizes in ([3], [0, 1, 2], [1, 1, 0, 1]):
+        assert in_calls(ST.KeepFirst(["k"]), rows, sizes) == [("b", 5)]

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from ..operators.core import Keys, as_list, seconds
 from ..operators.features import Z_OF_CONFIDENCE
 from ..operators.patterns import Stage, holds, relations
-from .stateful import OrderedRows, _ddl, _time, _us, ordered_input, run_ordered, with_state
+from .stateful import Groups, KeyProcessor, OrderedRows, _ddl, _time, _us, ordered_input, run_ordered, with_groups, with_state
 
 
 # ---- sequence patterns ------------------------------------------------------------------------------------
@@ -424,40 +424,38 @@ def stream_tumble_distinct(df: DataFrame, ts: str, size: str, keys: Keys, col: s
 
 # ---- changelogs ----------------------------------------------------------------------------------------
 
-class RunningTop(StatefulProcessor):
+class RunningTop(KeyProcessor):
     """The ``n`` best rows of a key so far; a row that enters comes out at once, one that is displaced is taken back."""
+    columns, out_columns = ["row_value", "row_id"], ["row_kind", "id", "value", "seq"]
 
     def __init__(self, keys: list[str], n: int):
-        self.keys, self.n = keys, n
+        super().__init__(keys)
+        self.n = n
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
         self.best = handle.getListState("best", "v double, id string")
         self.seq = handle.getValueState("seq", "seq bigint")
 
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+    def take(self, key: tuple, rows: list[tuple]) -> list[tuple]:
         rank = lambda r: (r[0], r[1] is not None, len(r[1] or ""), r[1] or "")
         best = [tuple(r) for r in self.best.get()] if self.best.exists() else []
         seq = self.seq.get()[0] if self.seq.exists() else 0
         out = []
-        for r in rows:
-            ids = r["row_id"].astype(object).where(r["row_id"].notna(), None)
-            for v, i in sorted(((v, i) for v, i in zip(r["row_value"].tolist(), ids.tolist()) if v == v and v is not None), key=rank):
-                if len(best) == self.n and rank((v, i)) <= rank(best[-1]):
-                    continue
-                if len(best) == self.n:
-                    gone = best.pop()
-                    seq += 1
-                    out.append([*key, "-D", gone[1], gone[0], seq])
-                best = sorted([*best, (v, i)], key=rank, reverse=True)
+        for v, i in sorted(((v, i) for v, i in rows if v is not None and v == v), key=rank):
+            if len(best) == self.n and rank((v, i)) <= rank(best[-1]):
+                continue
+            if len(best) == self.n:
+                gone = best.pop()
                 seq += 1
-                out.append([*key, "+I", i, v, seq])
+                out.append(("-D", gone[1], gone[0], seq))
+            best = sorted([*best, (v, i)], key=rank, reverse=True)
+            seq += 1
+            out.append(("+I", i, v, seq))
         if out:
             self.best.put(best)
             self.seq.update((seq,))
-            yield pd.DataFrame(out, columns=[*self.keys, "row_kind", "id", "value", "seq"])
-
-    def close(self) -> None:
-        pass
+        return out
 
 
 def stream_top_n(df: DataFrame, keys: Keys, ts: str, value: str, row_id: str, n: int) -> DataFrame:
@@ -465,49 +463,45 @@ def stream_top_n(df: DataFrame, keys: Keys, ts: str, value: str, row_id: str, n:
     a NULL value are in no top. State: ``n`` rows a key."""
     k = as_list(keys)
     d = ordered_input(df, k, ts, row_id, None, F.col(value))
-    return with_state(d, k, RunningTop(k, n), _ddl(df, k) + ", row_kind string, id string, value double, seq bigint", "append")
+    return with_groups(d, k, Groups(RunningTop(k, n)), "row_kind string, id string, value double, seq bigint", "append")
 
 
-class UpsertLog(StatefulProcessor):
+class UpsertLog(KeyProcessor):
     """Current row of a key by sequence number; a deleted key stays as a tombstone until no older row can come."""
+    columns, out_columns = ["seq", "row_id", "row_label", "row_us"], ["row_kind", "payload", "seq"]
 
     def __init__(self, keys: list[str], keep_us: int):
-        self.keys, self.keep_us = keys, keep_us
+        super().__init__(keys)
+        self.keep_us = keep_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+        super().init(handle)
         self.now = handle.getValueState("now", "seq bigint, payload string, live boolean, us bigint")
 
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+    def take(self, key: tuple, rows: list[tuple]) -> list[tuple]:
         seq, payload, live, us = self.now.get() if self.now.exists() else (None, None, False, 0)
         out, before = [], seq
-        for r in rows:
-            r = r[r["seq"].notna() & r["row_us"].notna()]
-            told = r["row_id"].astype(object).where(r["row_id"].notna(), None)
-            for s, p, kind, at in sorted(zip(r["seq"].tolist(), told.tolist(), r["row_label"].tolist(), r["row_us"].tolist()), key=lambda x: x[0]):
-                if kind == "-U" or (seq is not None and s <= seq):        # beaten by what is known already
-                    continue
-                if kind == "-D":
-                    out += [[*key, "-D", payload, int(s)]] if live else []
-                else:
-                    out += [[*key, "-U", payload, int(s)], [*key, "+U", p, int(s)]] if live else [[*key, "+I", p, int(s)]]
-                seq, payload, live, us = int(s), None if kind == "-D" else p, kind != "-D", int(at)
+        known = [(int(s), p, kind, int(at)) for s, p, kind, at in rows if s is not None and at is not None]
+        for s, p, kind, at in sorted(known, key=lambda x: x[0]):
+            if kind == "-U" or (seq is not None and s <= seq):            # beaten by what is known already
+                continue
+            if kind == "-D":
+                out += [("-D", payload, s)] if live else []
+            else:
+                out += [("-U", payload, s), ("+U", p, s)] if live else [("+I", p, s)]
+            seq, payload, live, us = s, None if kind == "-D" else p, kind != "-D", at
         if seq != before:
             self.now.update((seq, payload, live, us))
             if not live:
                 self.handle.registerTimer((us + self.keep_us) // 1000 + 1)
-        if out:
-            yield pd.DataFrame(out, columns=[*self.keys, "row_kind", "payload", "seq"])
+        return out
 
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+    def fire(self, key: tuple, mark_ms: int) -> list[tuple]:
         if self.now.exists():
             _, _, live, us = self.now.get()
-            if not live and us + self.keep_us < timerValues.getCurrentWatermarkInMs() * 1000:
+            if not live and us + self.keep_us < mark_ms * 1000:
                 self.now.clear()
-        yield from ()
-
-    def close(self) -> None:
-        pass
+        return []
 
 
 def stream_apply_changelog(df: DataFrame, keys: Keys, ts: str, seq: Column, kind: Column, payload: Column, keep: str = "7 days") -> DataFrame:
@@ -520,7 +514,8 @@ def stream_apply_changelog(df: DataFrame, keys: Keys, ts: str, seq: Column, kind
     k = as_list(keys)
     d = ordered_input(df.withColumn("__seq", seq.cast("long")), [*k, "__seq"], ts, payload, kind).withColumnRenamed("__seq", "seq")
     d = d.filter("seq is not null or row_us is null")
-    return with_state(d, k, UpsertLog(k, _us(keep)), _ddl(df, k) + ", row_kind string, payload string, seq bigint", "append", "EventTime")
+    d = d.withColumn("seq", F.col("seq").cast("string"))               # a frame with NULLs would hold numbers as floats
+    return with_groups(d, k, Groups(UpsertLog(k, _us(keep))), "row_kind string, payload string, seq bigint", "append", "EventTime")
 
 
 # ---- cutoffs ---------------------------------------------------------------------------------------------

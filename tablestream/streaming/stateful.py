@@ -2,14 +2,19 @@
 
 State stays small: rows wait only until the watermark passes them, and what is carried on is cut at the look-back or TTL.
 Row ids, labels and values keep their NULLs.
+
+Processors are written for one key and run for groups of keys (``with_groups``): a call to the state store costs far more than a row, so
+a micro-batch makes some calls for each group it touches and none for each key.
 """
 
+import pickle
 from bisect import bisect_left, bisect_right
 from collections import deque
+from collections.abc import Callable
 from typing import Any, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.core import Keys, as_list, seconds
@@ -25,27 +30,237 @@ def _ddl(df: DataFrame, cols: list[str]) -> str:
     return ", ".join(f"`{c}` {types[c]}" for c in cols)
 
 
-class Counter(StatefulProcessor):
-    """Running number of rows per key; each batch emits the key's new count."""
+def plain(r: pd.DataFrame, cols: list[str]) -> list[tuple]:
+    """Rows of a frame as tuples of Python values, None for NULL."""
+    return list(zip(*[r[c].astype(object).where(r[c].notna(), None).tolist() for c in cols]))
+
+
+# ---- keys in groups ---------------------------------------------------------------------------------------
+
+KEY, GROUP, GROUPS = "key_json", "key_group", 256              # no leading underscore: a frame's rows are named tuples
+KEY_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
+class KeyProcessor(StatefulProcessor):
+    """Base of processors of one key: ``take`` gets a batch's rows as tuples of ``columns``, ``fire`` runs when a timer is due; both return
+    output rows without the key. It runs by itself (``with_state``) or for the keys of a group (``with_groups``).
+    """
+    columns: list[str] = []
+    out_columns: list[str] = []
 
     def __init__(self, keys: list[str]):
         self.keys = keys
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.count = handle.getValueState("count", "n bigint")
+        self.handle = handle
+
+    def tuples(self, r: pd.DataFrame) -> list[tuple]:
+        return plain(r, self.columns)
+
+    def take(self, key: tuple, rows: list[tuple]) -> list[tuple]:
+        raise NotImplementedError
+
+    def fire(self, key: tuple, mark_ms: int) -> list[tuple]:
+        return []
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        n = (self.count.get()[0] if self.count.exists() else 0) + sum(len(r) for r in rows)
-        self.count.update((n,))
-        yield pd.DataFrame([[*key, n]], columns=[*self.keys, "n"])
+        yield from self.frame([(*key, *o) for o in self.take(key, [x for r in rows for x in self.tuples(r)])])
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        yield from self.frame([(*key, *o) for o in self.fire(key, timerValues.getCurrentWatermarkInMs())])
+
+    def frame(self, out: list[tuple]) -> Iterator[pd.DataFrame]:
+        if out:
+            yield pd.DataFrame(out, columns=[*self.keys, *self.out_columns])
+
+    def close(self) -> None:
+        pass
+
+
+class KeyState:
+    """A value, list or map state of the key at hand."""
+
+    def __init__(self, of: "KeyStates", name: str):
+        self.of, self.name = of, name
+
+    def exists(self) -> bool:
+        return bool(self.of.now.get(self.name))
+
+    def get(self) -> Any:
+        return self.of.now.get(self.name)
+
+    def put(self, rows: list[tuple]) -> None:
+        self.of.now[self.name] = list(rows)
+
+    def appendValue(self, row: tuple) -> None:
+        self.of.now.setdefault(self.name, []).append(row)
+
+    def update(self, value: tuple) -> None:
+        self.of.now[self.name] = tuple(value)
+
+    def clear(self) -> None:
+        self.of.now.pop(self.name, None)
+
+    def containsKey(self, key: tuple) -> bool:
+        return key in self.of.now.get(self.name, ())
+
+    def getValue(self, key: tuple) -> tuple | None:
+        return self.of.now.get(self.name, {}).get(key)
+
+    def updateValue(self, key: tuple, value: tuple) -> None:
+        self.of.now.setdefault(self.name, {})[key] = value
+
+    def removeKey(self, key: tuple) -> None:
+        held = self.of.now.get(self.name, {})
+        held.pop(key, None)
+        if not held:
+            self.clear()
+
+    def keys(self) -> Iterator[tuple]:
+        return iter(list(self.of.now.get(self.name, ())))
+
+    def iterator(self) -> Iterator[tuple]:
+        return iter(list(self.of.now.get(self.name, {}).items()))
+
+
+class KeyStates:
+    """What a processor of one key gets as its handle inside a group: states and timers of the key at hand."""
+
+    def __init__(self) -> None:
+        self.now: dict[str, Any] = {}
+        self.timers: set[int] = set()
+
+    def state(self, name: str, *_: Any) -> KeyState:
+        return KeyState(self, name)
+
+    getValueState = getListState = getMapState = state
+
+    def registerTimer(self, ms: int) -> None:
+        self.timers.add(ms)
+
+
+class Groups(StatefulProcessor):
+    """Runs a processor of one key for all keys of a group. The states and timers of its keys are one value of the group, and the group has
+    one timer, the earliest of its keys."""
+
+    def __init__(self, inner: KeyProcessor):
+        self.inner = inner
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.memory = handle.getValueState("memory", "states binary")
+        self.due = handle.getValueState("due", "ms bigint")
+        self.key_states = KeyStates()
+        self.inner.init(self.key_states)
+
+    def load(self) -> dict[str, tuple[dict, set]]:
+        held = self.memory.get()
+        return pickle.loads(bytes(held[0])) if held is not None else {}
+
+    def save(self, memory: dict[str, tuple[dict, set]]) -> None:
+        if memory:
+            self.memory.update((pickle.dumps(memory, pickle.HIGHEST_PROTOCOL),))
+        else:
+            self.memory.clear()
+
+    def timer(self, ms: int | None, fired: bool = False) -> None:
+        """The group's one timer; one that has fired goes by itself."""
+        held = self.due.get()
+        old = held[0] if held is not None else None
+        if ms == old and not fired:
+            return
+        if old is not None and not fired:
+            self.handle.deleteTimer(old)
+        if ms is not None:
+            self.handle.registerTimer(ms)
+            self.due.update((ms,))
+        elif old is not None:
+            self.due.clear()
+
+    def run(self, memory: dict[str, tuple[dict, set]], key: str, mark_ms: int | None, call: Callable[[], list[tuple]]) -> list[tuple]:
+        """Call the processor with the key's states at hand; timers up to the mark are done with."""
+        now, timers = memory.get(key, ({}, set()))
+        states = self.key_states
+        states.now, states.timers = now, timers if mark_ms is None else {t for t in timers if t > mark_ms}
+        out = call()
+        if states.now or states.timers:
+            memory[key] = (states.now, states.timers)
+        else:
+            memory.pop(key, None)
+        return [(key, *o) for o in out]
+
+    def by_key(self, rows: Iterator[pd.DataFrame]) -> dict[str, list[tuple]]:
+        per: dict[str, list[tuple]] = {}
+        for r in rows:
+            for k, row in zip(r[KEY].tolist(), self.inner.tuples(r)):
+                per.setdefault(k, []).append(row)
+        return per
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        memory, out = self.load(), []
+        for k, mine in self.by_key(rows).items():
+            out += self.run(memory, k, None, lambda: self.inner.take((k,), mine))
+        self.save(memory)
+        self.timer(min((t for _, timers in memory.values() for t in timers), default=None))
+        yield from self.frame(out)
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        mark_ms, memory, out = timerValues.getCurrentWatermarkInMs(), self.load(), []
+        for k in [k for k, (_, timers) in memory.items() if timers and min(timers) <= mark_ms]:
+            out += self.run(memory, k, mark_ms, lambda: self.inner.fire((k,), mark_ms))
+        self.save(memory)
+        self.timer(min((t for _, timers in memory.values() for t in timers), default=None), True)
+        yield from self.frame(out)
+
+    def frame(self, out: list[tuple]) -> Iterator[pd.DataFrame]:
+        if out:
+            yield pd.DataFrame(out, columns=[KEY, *self.inner.out_columns])
 
     def close(self) -> None:
         pass
 
 
+def with_groups(df: DataFrame, keys: Keys, processor: Groups, out: str, mode: str = "append", time: str = "None", groups: int = GROUPS) -> DataFrame:
+    """Run a processor for groups of keys: ``<keys>`` and the columns ``out``. A key's group is its hash.
+
+    ``groups`` stays what it is for the life of a checkpoint, as the number of state stores does: a task holds one group's due rows and
+    states at a time, and a batch makes some calls to the state store for each group.
+    """
+    k = as_list(keys)
+    d = df.withColumn(KEY, F.to_json(F.struct(*[F.col(c).alias(str(i)) for i, c in enumerate(k)]), KEY_JSON)).drop(*k)
+    d = d.withColumn(GROUP, F.pmod(F.xxhash64(KEY), F.lit(groups)).cast("int"))
+    schema = T.StructType([T.StructField(str(i), df.schema[c].dataType) for i, c in enumerate(k)])
+    got = with_state(d, GROUP, processor, f"{KEY} string, {out}", mode, time)
+    rest = [c for c in got.columns if c != KEY]
+    got = got.withColumn(KEY, F.from_json(KEY, schema, KEY_JSON))
+    return got.select(*[F.col(KEY)[str(i)].alias(c) for i, c in enumerate(k)], *rest)
+
+
+# ---- counters ----------------------------------------------------------------------------------------------
+
+class Counter(KeyProcessor):
+    """Running number of rows per key; each batch emits the key's new count."""
+    out_columns = ["n"]
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.count = handle.getValueState("count", "n bigint")
+
+    def tuples(self, r: pd.DataFrame) -> list[tuple]:
+        return [()] * len(r)
+
+    def take(self, key: tuple, rows: list[tuple]) -> list[tuple]:
+        n = (self.count.get()[0] if self.count.exists() else 0) + len(rows)
+        self.count.update((n,))
+        return [(n,)]
+
+
 def stream_counter(df: DataFrame, keys: Keys) -> DataFrame:
     k = as_list(keys)
-    return with_state(df, k, Counter(k), _ddl(df, k) + ", n bigint", "update")
+    return with_groups(df.select(*k), k, Groups(Counter([KEY])), "n bigint", "update")
+
+
+# ---- rows in order -----------------------------------------------------------------------------------------
 
 
 ROW = "us bigint, id string, label string, v double"
@@ -59,47 +274,77 @@ def in_order(row: tuple) -> tuple:
     return (us, i is not None, len(i or ""), i or "")
 
 
-class OrderedRows(StatefulProcessor):
-    """Base: rows are held until the watermark passes them, then handed on in order of time and id.
+class Waiting:
+    """Rows in pieces of consecutive rows by time, in the map state ``waiting``. What a batch brings is kept as about ``PIECES`` pieces (of
+    at most ``MOST_ROWS`` rows), each under its first and last time. A timer reads the pieces that the watermark has reached and lists
+    the others by their times only; of a piece that the watermark cuts, the later rows are put back.
+    """
 
-    What a batch brings is kept as pieces of consecutive rows (about ``PIECES`` a batch, of at most ``MOST_ROWS``), each under its first
-    and last time. A timer reads the pieces that the watermark has reached and lists the others by their times only; of a piece that the watermark cuts,
-    the later rows are put back.
+    def add(self, new: list[tuple]) -> None:
+        new.sort(key=in_order)
+        step = min(max(-(-len(new) // PIECES), LEAST_ROWS), MOST_ROWS)
+        for i in range(0, len(new), step):
+            self.hold(new[i:i + step])
+
+    def hold(self, rows: list[tuple]) -> None:
+        """Keep rows that stand in order as one piece."""
+        n = 0
+        while self.waiting.containsKey((rows[0][0], rows[-1][0], n)):
+            n += 1
+        self.waiting.updateValue((rows[0][0], rows[-1][0], n), tuple(list(c) for c in zip(*rows)))
+
+    def reached(self, mark: int) -> tuple[list[tuple], int | None]:
+        """Rows up to the mark, in order, which go from the state, and the earliest time that stays."""
+        ready, later = [], []
+        for piece in [tuple(k) for k in self.waiting.keys()]:
+            if piece[0] > mark:
+                later.append(piece[0])
+                continue
+            rows = list(zip(*self.waiting.getValue(piece)))
+            self.waiting.removeKey(piece)
+            cut = len(rows) if piece[1] <= mark else bisect_right([r[0] for r in rows], mark)
+            ready += rows[:cut]
+            if cut < len(rows):
+                self.hold(rows[cut:])
+                later.append(rows[cut][0])
+        return sorted(ready, key=in_order), min(later, default=None)
+
+
+class OrderedRows(Waiting, KeyProcessor):
+    """Base: rows are held until the watermark passes them, then handed on in order of time and id.
 
     ``process(key, rows, carried)`` gets (microseconds, id, label, value) tuples in order and returns output rows and what to
     carry on (tuples of the same shape). The input has the columns of ``ordered_input``. With ``keep_us`` the state of a key goes that
     long after its last carried row; ``wake`` names a time at which the key is to be looked at again even if it stays silent.
     """
-    out_columns: list[str] = []
+    columns = ["row_us", "row_id", "row_label", "row_value"]
     keep_us: int | None = None
     mark = 0                                                 # the watermark (microseconds) while ``process`` runs
 
-    def __init__(self, keys: list[str]):
-        self.keys = keys
-
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+        super().init(handle)
         self.waiting = handle.getMapState("waiting", "first bigint, last bigint, n bigint", PIECE)
         self.carry = handle.getListState("carry", ROW)
 
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        new = []
-        for r in rows:
-            parts = [r[c].astype(object).where(r[c].notna(), None).tolist() for c in ("row_us", "row_id", "row_label", "row_value")]
-            new += [(int(us), i, label, v) for us, i, label, v in zip(*parts) if us is not None]
+    def tuples(self, r: pd.DataFrame) -> list[tuple]:
+        return [(None if us is None else int(us), *rest) for us, *rest in plain(r, self.columns)]
+
+    def take(self, key: tuple, rows: list[tuple]) -> list[tuple]:
+        new = [r for r in rows if r[0] is not None]
         if new:
-            new.sort(key=in_order)
-            step = min(max(-(-len(new) // PIECES), LEAST_ROWS), MOST_ROWS)
-            for i in range(0, len(new), step):
-                self.hold(new[i:i + step])
+            self.add(new)
             self.handle.registerTimer(new[0][0] // 1000 + 1)         # the earliest one; it sets the next when it fires
-        yield from ()
+        return []
 
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        mark = self.mark = timerValues.getCurrentWatermarkInMs() * 1000
-        ready, later = self.reached(mark)
+    def fire(self, key: tuple, mark_ms: int) -> list[tuple]:
+        ready, later = self.reached(mark_ms * 1000)
         if later is not None:
             self.handle.registerTimer(later // 1000 + 1)
+        return self.advance(key, ready, mark_ms * 1000)
+
+    def advance(self, key: tuple, ready: list[tuple], mark: int) -> list[tuple]:
+        """Hand on rows that are due, with what the key carries."""
+        self.mark = mark
         old = [tuple(r) for r in self.carry.get()] if self.carry.exists() else []
         out, keep = self.process(key, ready, old)
         if keep and self.keep_us is not None and keep[-1][0] + self.keep_us < mark:
@@ -111,31 +356,7 @@ class OrderedRows(StatefulProcessor):
             self.carry.put(keep)
         elif old:
             self.carry.clear()
-        if out:
-            yield pd.DataFrame([[*key, *o] for o in out], columns=[*self.keys, *self.out_columns])
-
-    def hold(self, rows: list[tuple]) -> None:
-        """Keep rows that stand in order as one piece."""
-        n = 0
-        while self.waiting.containsKey((rows[0][0], rows[-1][0], n)):
-            n += 1
-        self.waiting.updateValue((rows[0][0], rows[-1][0], n), tuple(list(c) for c in zip(*rows)))
-
-    def reached(self, mark: int) -> tuple[list[tuple], int | None]:
-        """Rows up to the mark, in order, which go from the state, and the earliest time that stays."""
-        ready, later = [], []
-        for piece in [tuple(k) for k in self.waiting.keys()]:
-            if piece[0] > mark:
-                later.append(piece[0])
-                continue
-            rows = list(zip(*self.waiting.getValue(piece)))
-            self.waiting.removeKey(piece)
-            cut = len(rows) if piece[1] <= mark else bisect_right([r[0] for r in rows], mark)
-            ready += rows[:cut]
-            if cut < len(rows):
-                self.hold(rows[cut:])
-                later.append(rows[cut][0])
-        return sorted(ready, key=in_order), min(later, default=None)
+        return out
 
     def process(self, key: tuple, rows: list[tuple], old: list[tuple]) -> tuple[list[tuple], list[tuple]]:
         raise NotImplementedError
@@ -143,8 +364,39 @@ class OrderedRows(StatefulProcessor):
     def wake(self, keep: list[tuple]) -> int | None:
         return keep[-1][0] + self.keep_us if keep and self.keep_us is not None else None
 
-    def close(self) -> None:
-        pass
+
+class OrderedGroups(Waiting, Groups):
+    """``OrderedRows`` for all keys of a group: rows of all its keys wait in common pieces, which a timer reads as far as they are due."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.waiting = handle.getMapState("waiting", "first bigint, last bigint, n bigint", PIECE + ", key array<string>")
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        new = [(*row, k) for r in rows for k, row in zip(r[KEY].tolist(), self.inner.tuples(r)) if row[0] is not None]
+        if new:
+            self.add(new)
+            ms, held = new[0][0] // 1000 + 1, self.due.get()
+            self.timer(ms if held is None else min(ms, held[0]))
+        yield from ()
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        mark_ms, memory, out, per = timerValues.getCurrentWatermarkInMs(), self.load(), [], {}
+        ready, later = self.reached(mark_ms * 1000)
+        for *row, k in ready:
+            per.setdefault(k, []).append(tuple(row))
+        for k, (_, timers) in memory.items():
+            if timers and min(timers) <= mark_ms:
+                per.setdefault(k, [])
+        for k, mine in per.items():
+            if k in memory:
+                memory[k][1].clear()                         # it says anew when it wants to be looked at
+            out += self.run(memory, k, mark_ms, lambda: self.inner.advance((k,), mine, mark_ms * 1000))
+        if per:
+            self.save(memory)
+        wakes = [t for _, timers in memory.values() for t in timers]
+        self.timer(min(wakes if later is None else [*wakes, later // 1000 + 1], default=None), True)
+        yield from self.frame(out)
 
 
 def ordered_input(df: DataFrame, keys: list[str], ts: str, row_id: Column | str, label: Column | None = None, value: Column | None = None) -> DataFrame:
@@ -156,7 +408,7 @@ def ordered_input(df: DataFrame, keys: list[str], ts: str, row_id: Column | str,
 
 
 def run_ordered(df: DataFrame, keys: Keys, processor: OrderedRows, out: str) -> DataFrame:
-    return with_state(df, keys, processor, _ddl(df, as_list(keys)) + ", " + out, "append", "EventTime")
+    return with_groups(df, keys, OrderedGroups(processor), out, "append", "EventTime")
 
 
 class SlidingSum:
@@ -521,37 +773,41 @@ def stream_join_asof(df: DataFrame, keys: Keys, ts: str, is_fact: Column, is_ver
     return _time(run_ordered(d, k, AsOf(k), "id string, us bigint, version string, version_us bigint"), ts)
 
 
-class FollowUp(StatefulProcessor):
+class FollowUp(KeyProcessor):
     """Report an opening row when no closing row of its key comes within the timeout."""
+    out_columns = ["id", "us"]
 
     def __init__(self, keys: list[str], ts: str, timeout_us: int):
-        self.keys, self.ts, self.timeout_us = keys, ts, timeout_us
+        super().__init__(keys)
+        self.ts, self.timeout_us = ts, timeout_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+        super().init(handle)
         self.opened = handle.getListState("opened", "us bigint, id string")
         self.closed = handle.getListState("closed", "us bigint")
 
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        for r in rows:
-            us = r[self.ts].astype("datetime64[us]").astype("int64").tolist()
-            for t, i, o, c in zip(us, r["row_id_"].tolist(), r["row_open"].tolist(), r["row_close"].tolist()):
-                if o:
-                    self.opened.appendValue((t, i))
-                    self.handle.registerTimer((t + self.timeout_us) // 1000 + 1)
-                if c:                                       # an own timer, so that it goes even if nothing was opened
-                    self.closed.appendValue((t,))
-                    self.handle.registerTimer(t // 1000 + 1)
-        yield from ()
-
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        mark = timerValues.getCurrentWatermarkInMs() * 1000
+    def tuples(self, r: pd.DataFrame) -> list[tuple]:
+        us = r[self.ts].astype("datetime64[us]").astype("int64").tolist()
+        return list(zip(us, r["row_id_"].tolist(), r["row_open"].tolist(), r["row_close"].tolist()))
+
+    def take(self, key: tuple, rows: list[tuple]) -> list[tuple]:
+        for t, i, o, c in rows:
+            if o:
+                self.opened.appendValue((t, i))
+                self.handle.registerTimer((t + self.timeout_us) // 1000 + 1)
+            if c:                                            # an own timer, so that it goes even if nothing was opened
+                self.closed.appendValue((t,))
+                self.handle.registerTimer(t // 1000 + 1)
+        return []
+
+    def fire(self, key: tuple, mark_ms: int) -> list[tuple]:
+        mark = mark_ms * 1000
         opened = sorted(tuple(o) for o in self.opened.get()) if self.opened.exists() else []
         closed = sorted(c[0] for c in self.closed.get()) if self.closed.exists() else []
         due = [o for o in opened if o[0] + self.timeout_us <= mark]
         left = [o for o in opened if o[0] + self.timeout_us > mark]
         nearest = [bisect_left(closed, t) for t, _ in due]
-        out = [[*key, i, t] for (t, i), at in zip(due, nearest) if at == len(closed) or closed[at] > t + self.timeout_us]
+        out = [(i, t) for (t, i), at in zip(due, nearest) if at == len(closed) or closed[at] > t + self.timeout_us]
         if due:
             self.opened.put(left) if left else self.opened.clear()
         # no opening row at or before the watermark can still come: closings before it serve only those that wait
@@ -559,11 +815,7 @@ class FollowUp(StatefulProcessor):
         still = [(c,) for c in closed if c >= floor]
         if len(still) < len(closed):
             self.closed.put(still) if still else self.closed.clear()
-        if out:
-            yield pd.DataFrame(out, columns=[*self.keys, "id", "us"])
-
-    def close(self) -> None:
-        pass
+        return out
 
 
 def stream_missing_followup(df: DataFrame, keys: Keys, ts: str, is_open: Column, is_close: Column, timeout: str, row_id: str) -> DataFrame:
@@ -574,5 +826,5 @@ def stream_missing_followup(df: DataFrame, keys: Keys, ts: str, is_open: Column,
     k = as_list(keys)
     d = df.select(*k, ts, F.col(row_id).cast("string").alias("row_id_"), F.coalesce(is_open, F.lit(False)).alias("row_open"),
                   F.coalesce(is_close, F.lit(False)).alias("row_close"))
-    out = with_state(d, k, FollowUp(k, ts, round(seconds(timeout) * 1_000_000)), _ddl(df, k) + ", id string, us bigint", "append", "EventTime")
+    out = with_groups(d, k, Groups(FollowUp(k, ts, round(seconds(timeout) * 1_000_000))), "id string, us bigint", "append", "EventTime")
     return _time(out, ts)

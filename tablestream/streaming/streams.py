@@ -75,7 +75,7 @@ def in_slices(spark: SparkSession, folder: str, table: str, ts: str, slices: int
 
 
 def replay(spark: SparkSession, folder: str, table: str, ts: str, delay: str, build: Callable[[DataFrame], DataFrame], mode: str = "append",
-           keys: Keys = (), order_by: Keys = (), slices: int = 5, late: Column | None = None, files: int = 1, state_partitions: int = 4) -> DataFrame:
+           keys: Keys = (), order_by: Keys = (), slices: int = 5, late: Column | None = None, files: int = 1, state_partitions: int = 12) -> DataFrame:
     """Run ``build`` over a table as a stream until everything is out, and return what it wrote.
 
     The table comes in ``slices`` micro-batches in order of time, so watermarks move, state is kept and dropped, and timers fire

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import cut_lineage
-from .core import Keys, all_of, as_list, hashable
+from .core import Keys, all_of, as_list, hashable, join_null_safe
 from .dedup import dedup_last
 
 
@@ -79,24 +79,40 @@ def expand_hierarchy(edges: DataFrame, parent: str, child: str, kind: str, group
     cycle ends too; every round starts from a checkpoint.
     """
     e = edges.select(F.col(parent).alias("root"), F.col(child).alias("member"), (F.col(kind) == group_value).alias("is_group")).distinct()
+    if depth is None:
+        return every_level(e).select(F.col("root").alias(parent), F.col("member").alias(child))
     step = lambda a, b: (a.filter("is_group").select("root", F.col("member").alias("via"))
                          .join(b.select(F.col("root").alias("via"), "member", "is_group"), "via").select("root", "member", "is_group"))
-    if depth is not None:
-        levels = [e]
-        for _ in range(depth - 1):
-            found = step(levels[-1], e).distinct().join(reduce(DataFrame.unionAll, levels), ["root", "member", "is_group"], "left_anti")
-            levels.append(cut_lineage(found) if depth > 2 else found)
-        reached = reduce(DataFrame.unionAll, levels)
-    else:
-        reached = new = cut_lineage(e)
-        while not new.isEmpty():                             # a new pair is joined with all, old pairs have met already
-            met = step(new, reached).unionByName(step(reached, new)).distinct()
-            new = cut_lineage(met.join(reached, ["root", "member", "is_group"], "left_anti"))
-            reached = cut_lineage(reached.unionByName(new))
-    out = reached.filter(~F.col("is_group"))
+    levels = [e]
+    for _ in range(depth - 1):
+        found = step(levels[-1], e).distinct().join(reduce(DataFrame.unionAll, levels), ["root", "member", "is_group"], "left_anti")
+        levels.append(cut_lineage(found) if depth > 2 else found)
+    out = reduce(DataFrame.unionAll, levels).filter(~F.col("is_group"))
     return out.select(F.col("root").alias(parent), F.col("member").alias(child))
 
 
+def every_level(e: DataFrame) -> DataFrame:
+    """Distinct (root, leaf) pairs of distinct edges ``root, member, is_group``: doubling finds the pairs of groups, leaves come in at the end.
+
+    A leaf with one parent is met by each root of that parent once, so its pairs are neither written nor shuffled to be made distinct; only
+    those of leaves with several parents are.
+    """
+    step = lambda a, b: a.select("root", F.col("member").alias("via")).join(b.select(F.col("root").alias("via"), "member"), "via").select("root", "member")
+    new = cut_lineage(e.filter("is_group").select("root", "member"))
+    parts = [new]
+    while not new.isEmpty():                                 # a new pair is joined with all, old pairs have met already
+        reached = reduce(DataFrame.unionAll, parts)
+        met = step(new, reached).unionByName(step(reached, new)).distinct()
+        new = cut_lineage(join_null_safe(met, reached, ["root", "member"], "left_anti"))
+        parts.append(new)
+    groups = reduce(DataFrame.unionAll, parts).filter(~F.col("root").eqNullSafe(F.col("member")))       # the edge itself gives a leaf's own parent
+    leaves = e.filter(~F.col("is_group")).select("root", "member")
+    parents = leaves.groupBy("member").agg(F.min("root").alias("root"), F.count(F.lit(1)).alias("__n"))
+    one = parents.filter("__n = 1").select("root", "member")
+    more = join_null_safe(leaves, parents.filter("__n > 1").select("member"), ["member"], "left_semi")
+    return one.unionByName(step(groups, one)).unionByName(more.unionByName(step(groups, more)).distinct())
+
+
 def join_lookup(l: DataFrame, dim: DataFrame, on: Keys, status: str = "lookup_status") -> tuple[DataFrame, DataFrame]:
     """Left join to a reference table, split into (found, not found)."""
     k = as_list(on)

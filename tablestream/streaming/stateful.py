@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from ..operators.core import Keys, as_list, seconds
+from ..operators.core import Keys, all_of, as_list, seconds
 
 
 def with_state(df: DataFrame, keys: Keys, processor: StatefulProcessor, schema: str, mode: str = "append", time: str = "None") -> DataFrame:
@@ -752,22 +752,22 @@ def stream_dedup_ttl(df: DataFrame, keys: Keys, ts: str, row_id: str, ttl: str)
 
 
 def stream_pair_once(df: DataFrame, keys: Keys, ts: str, is_left: Column, is_right: Column, row_id: str, ttl: str | None = None) -> DataFrame:
-    """Pair left and right rows of a key one to one in order of event time, whatever order they arrive in.
+    """Pair left and right rows of a key one to one in order of event time, whatever order they arrive in. Rows without key meet nothing.
 
     Rows of other kinds move the watermark; leave them out before it with ``streams.pick``. ``ttl``: how long a row may wait.
     """
     k = as_list(keys)
-    d = ordered_input(df, k, ts, row_id, F.when(is_left, "l").when(is_right, "r")).filter("row_label is not null or row_us is null")
+    d = ordered_input(df, k, ts, row_id, F.when(all_of([F.col(c).isNotNull() for c in k]), F.when(is_left, "l").when(is_right, "r"))).filter("row_label is not null or row_us is null")
     return run_ordered(d, k, PairOnce(k, _us(ttl) if ttl else None), "left_id string, right_id string")
 
 
 def stream_join_asof(df: DataFrame, keys: Keys, ts: str, is_fact: Column, is_version: Column, row_id: str, payload: Column) -> DataFrame:
     """As-of join of facts and versions that arrive in one stream: ``<keys>, id, version, <ts>, version_us`` of every fact.
 
-    ``payload`` is what a version brings (text); unmatched facts have NULL. Each fact comes out once the watermark has passed it.
+    ``payload`` is what a version brings (text); unmatched facts and facts without key have NULL. Each fact comes out once the watermark has passed it.
     """
     k = as_list(keys)
-    kind = F.when(is_fact, "f").when(is_version, "v")
+    kind = F.when(is_fact, "f").when(is_version & all_of([F.col(c).isNotNull() for c in k]), "v")
     d = ordered_input(df.withColumn("__kind", kind), k, ts, F.when(F.col("__kind") == "v", payload.cast("string")).otherwise(F.col(row_id).cast("string")), F.col("__kind"))
     d = d.filter("row_label is not null or row_us is null")
     return _time(run_ordered(d, k, AsOf(k), "id string, us bigint, version string, version_us bigint"), ts)
@@ -819,12 +819,12 @@ class FollowUp(KeyProcessor):
 
 
 def stream_missing_followup(df: DataFrame, keys: Keys, ts: str, is_open: Column, is_close: Column, timeout: str, row_id: str) -> DataFrame:
-    """Opening rows without a closing row of their key within ``timeout``, reported when that time has passed.
+    """Opening rows without a closing row of their key within ``timeout``, reported when that time has passed; those without key always are.
 
     Rows of other kinds move the watermark; leave them out before it with ``streams.pick``.
     """
     k = as_list(keys)
     d = df.select(*k, ts, F.col(row_id).cast("string").alias("row_id_"), F.coalesce(is_open, F.lit(False)).alias("row_open"),
-                  F.coalesce(is_close, F.lit(False)).alias("row_close"))
+                  F.coalesce(is_close & all_of([F.col(c).isNotNull() for c in k]), F.lit(False)).alias("row_close"))
     out = with_groups(d, k, Groups(FollowUp(k, ts, round(seconds(timeout) * 1_000_000))), "id string, us bigint", "append", "EventTime")
     return _time(out, ts)

@@ -32,6 +32,11 @@ def seconds(interval: str | int | float) -> float:
     return total
 
 
+def tasks_for(rows: int, rows_per_task: int = 250_000) -> int:
+    """Partitions that hold a bounded number of rows each, whatever the size of the table."""
+    return max(1, -(-rows // rows_per_task))
+
+
 def interval(secs: float) -> Column:
     """A day-time interval literal of whole microseconds, safe for both timestamp types."""
     us = round(secs * 1_000_000)

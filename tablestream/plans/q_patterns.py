@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..operators import patterns as X
-from ..operators.core import interval
+from ..operators.core import interval, tasks_for
 from ..operators.temporal import missing_followup
 from .registry import query
 
@@ -132,7 +132,9 @@ def x13(t):
     """Transactions = orders per server (customer group), events = their lines; some transactions missing or incomplete."""
     k = F.col("o_orderkey")
     tr = t.orders.filter("o_totalprice <= 480000").select((F.col("o_custkey") % 20).alias("server"), k.alias("tx"), F.when(k % 50 == 0, 9).otherwise(1).alias("want"), F.col("o_orderdate").alias("created"))
-    ev = t.lineitem.select(F.col("l_orderkey").alias("tx"), "l_linenumber").join(t.orders.select(k.alias("tx"), (F.col("o_custkey") % 20).alias("server")), "tx")
+    lines = t.lineitem.select(F.col("l_orderkey").alias("tx"), "l_linenumber")
+    n = tasks_for(lines.count())                             # the join and the counting after it stay in tasks of bounded size
+    ev = lines.repartition(n, "tx").join(t.orders.select(k.alias("tx"), (F.col("o_custkey") % 20).alias("server")).repartition(n, "tx"), "tx")
     return X.completeness(tr, ev, "server", "tx", "want", "created", "2000-01-01 00:00:00", "l_linenumber")
 
 

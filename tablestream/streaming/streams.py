@@ -187,18 +187,30 @@ def stream_dedup_priority(df: DataFrame, keys: Keys, priority: Column, by: Keys)
 
 
 def stream_rolling_features(df: DataFrame, ts: str, keys: Keys, value: str, bucket: str = "1 hour", long_hours: int = 12,
-                            short_hours: int = 6) -> DataFrame:
-    """Two chained stateful windows: hourly buckets, then a sliding window over bucket times."""
-    k = as_list(keys)
+                            short_hours: int = 6, together_hours: int = 4) -> DataFrame:
+    """Two chained stateful windows: hourly buckets, then a sliding window over bucket times.
+
+    The second state holds buckets, not windows: ``together_hours`` consecutive windows share one list of the buckets in their reach, so a bucket
+    is written ``long_hours / together_hours + 1`` times instead of once for each window it lies in. They come out together when the watermark
+    passes the last of them, so the first waits ``together_hours`` less a bucket longer than its own end; 1 lets every window of an hour out by itself.
+    """
+    k, step = as_list(keys), round(seconds(bucket) * 1_000_000)
     b = df.groupBy(F.window(ts, bucket).alias("w"), *k).agg(F.count(F.lit(1)).alias("cnt"), F.sum(value).alias("amt_sum"))
-    b = b.select(*k, "cnt", "amt_sum", F.col("w.end").alias("bucket_end"), F.window_time("w").alias("bucket_time"))
-    h = F.window("bucket_time", f"{long_hours} hours", bucket)
-    x = b.withColumn("h", h)
-    recent = F.col("bucket_end") >= F.col("h.end") - interval(short_hours * 3600)
+    b = b.select(*k, "cnt", "amt_sum", F.unix_micros(F.col("w.end")).alias("end"), F.window_time("w").alias("bucket_time"))
+    reach = F.window("bucket_time", f"{long_hours + together_hours} hours", f"{together_hours} hours").alias("reach")
+    x = b.groupBy(reach, *k).agg(F.collect_list(F.struct("end", "cnt", "amt_sum")).alias("buckets"))
+    x = x.withColumns({"buckets": F.array_sort("buckets"), "last": F.unix_micros(F.col("reach.end"))})
+    hour = 3_600_000_000
+    # windows end at multiples of the bucket, as those of F.window do
+    first = F.floor((F.col("last") - together_hours * hour) / step) * step + step
+    x = x.withColumn("at", F.explode(F.when(first <= F.col("last"), F.sequence(first, F.col("last"), F.lit(step)))))
+    within = lambda hours: F.filter("buckets", lambda y: (y["end"] <= F.col("at")) & (y["end"] >= F.col("at") - hours * hour))
+    # the long horizon holds buckets that begin in the window, the short one those that end at its start too
+    x = x.withColumn("buckets", F.filter("buckets", lambda y: (y["end"] <= F.col("at")) & (y["end"] > F.col("at") - long_hours * hour))).filter(F.size("buckets") > 0)
+    total = lambda rows, c: F.aggregate(rows, F.lit(None).cast(b.schema[c].dataType), lambda a, y: F.coalesce(a + y[c], a, y[c]))
     s, l = f"{short_hours}h", f"{long_hours}h"
-    return (x.groupBy("h", *k).agg(F.sum(F.when(recent, F.col("cnt"))).alias(f"cnt_{s}"), F.sum("cnt").alias(f"cnt_{l}"),
-                                   F.sum(F.when(recent, F.col("amt_sum"))).alias(f"amt_sum_{s}"), F.sum("amt_sum").alias(f"amt_sum_{l}"))
-            .select(*k, F.col("h.end").alias("feature_time"), f"cnt_{s}", f"cnt_{l}", f"amt_sum_{s}", f"amt_sum_{l}"))
+    return x.select(*k, F.timestamp_micros("at").alias("feature_time"), total(within(short_hours), "cnt").alias(f"cnt_{s}"), total("buckets", "cnt").alias(f"cnt_{l}"),
+                    total(within(short_hours), "amt_sum").alias(f"amt_sum_{s}"), total("buckets", "amt_sum").alias(f"amt_sum_{l}"))
 
 
 def processing_time_tumble(df: DataFrame, size: str, keys: Keys | None, aggs: Aggs) -> DataFrame:
